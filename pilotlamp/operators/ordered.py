@@ -207,6 +207,16 @@ def trailing(df: DataFrame, keys: Sequence[str], order: Order, size: int, values
     return out.filter(F.col("_pl_home") == F.col("_pl_chunk")).drop("_pl_home", "_pl_chunk")
 
 
+def pages(df: DataFrame, keys: Sequence[str], order: Order, value: Column, out_col: str = "items",
+          page_rows: int = 1000) -> DataFrame:
+    """Ordered lists of ``value`` per group, cut into pages so that no list outgrows one row."""
+    ranked = rank_in_groups(df, keys, order, "_pl_rn")
+    page = F.floor((F.col("_pl_rn") - 1) / F.lit(page_rows)).cast("long")
+    listed = ranked.groupBy(*keys, page.alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_pl_rn").alias("at"), value.alias("v")))).alias("_pl_items"))
+    return listed.select(*keys, "page", F.transform("_pl_items", lambda x: x["v"]).alias(out_col))
+
+
 def top_in_groups(df: DataFrame, keys: Sequence[str], order: Order, k: int, rank_col: str = "rn") -> DataFrame:
     """First ``k`` rows per group. Spark limits each map task to ``k`` rows per group before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*sort_columns(order))

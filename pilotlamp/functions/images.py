@@ -6,8 +6,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-METRICS = "full double, center double, combined double, brightness double, contrast double"
+METRICS = T.StructType([T.StructField(c, T.DoubleType()) for c in ("full", "center", "combined", "brightness",
+                                                                     "contrast")])
 
 
 def _laplacian_variance(g: np.ndarray) -> float:

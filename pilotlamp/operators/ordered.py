@@ -64,77 +64,77 @@ def _renamed(keys: Sequence[str], prefix: str) -> list[Column]:
 
 def bucketize(df: DataFrame, keys: Sequence[str], order: Order, bucket_rows: int = BUCKET_ROWS,
               split_ties: bool = False) -> DataFrame:
-    """Add ``_pl_b``, a range number that grows with ``order`` inside each group (0 for small groups).
+    """Add ``_ord_b``, a range number that grows with ``order`` inside each group (0 for small groups).
 
     ``split_ties`` cuts ranges that hold one value of the first order column by the second one.
     """
     first, direction = order[0]
     text = isinstance(df.schema[first].dataType, T.StringType)
     big = (
-        df.groupBy(*_renamed(keys, "_pl_g"))
-        .agg(F.count(F.lit(1)).alias("_pl_n"), F.min(first).alias("_pl_lo"), F.max(first).alias("_pl_hi"))
-        .filter(F.col("_pl_n") > bucket_rows)
+        df.groupBy(*_renamed(keys, "_ord_g"))
+        .agg(F.count(F.lit(1)).alias("_ord_n"), F.min(first).alias("_ord_lo"), F.max(first).alias("_ord_hi"))
+        .filter(F.col("_ord_n") > bucket_rows)
     )
     if text:
-        big = big.withColumn("_pl_skip", _common_prefix(F.col("_pl_lo"), F.col("_pl_hi")))
+        big = big.withColumn("_ord_skip", _common_prefix(F.col("_ord_lo"), F.col("_ord_hi")))
 
         def code(c: str) -> Column:
-            return _text_code(F.substr(F.col(c), F.col("_pl_skip") + 1, F.lit(8)))
+            return _text_code(F.substr(F.col(c), F.col("_ord_skip") + 1, F.lit(8)))
     else:
         def code(c: str) -> Column:
             return _numeric(out, c)
-    out = df.join(F.broadcast(big), _same(keys, "_pl_g"), "left")
-    ranges = F.ceil(F.col("_pl_n") / F.lit(float(bucket_rows))) * RANGES_PER_BUCKET
-    span = code("_pl_hi") - code("_pl_lo")
-    at = F.floor((code(first) - code("_pl_lo")) / F.greatest(span, F.lit(1e-9)) * ranges)
+    out = df.join(F.broadcast(big), _same(keys, "_ord_g"), "left")
+    ranges = F.ceil(F.col("_ord_n") / F.lit(float(bucket_rows))) * RANGES_PER_BUCKET
+    span = code("_ord_hi") - code("_ord_lo")
+    at = F.floor((code(first) - code("_ord_lo")) / F.greatest(span, F.lit(1e-9)) * ranges)
     at = F.least(at, ranges - 1)
     bucket = F.coalesce(at, F.lit(-1)) if direction == "asc" else F.coalesce(ranges - 1 - at, F.lit(2**40))
-    out = out.withColumn("_pl_b", F.when(F.col("_pl_n").isNull(), F.lit(0)).otherwise(bucket).cast("long"))
-    out = out.drop(*[c for c in big.columns if c != "_pl_n"])
+    out = out.withColumn("_ord_b", F.when(F.col("_ord_n").isNull(), F.lit(0)).otherwise(bucket).cast("long"))
+    out = out.drop(*[c for c in big.columns if c != "_ord_n"])
     if split_ties and len(order) > 1:
         out = _split_ties(out, keys, order, bucket_rows)
-    return out.drop("_pl_n")
+    return out.drop("_ord_n")
 
 
 def _split_ties(df: DataFrame, keys: Sequence[str], order: Order, bucket_rows: int) -> DataFrame:
     (first, _), (second, direction) = order[0], order[1]
     if isinstance(df.schema[second].dataType, T.StringType):
         raise ValueError("ties can be split on a numeric or time column only")
-    parts = [*keys, "_pl_b"]
+    parts = [*keys, "_ord_b"]
     tied = (
-        df.filter(F.col("_pl_n").isNotNull())
-        .withColumn("_pl_x", _numeric(df, second))
-        .groupBy(*_renamed(parts, "_pl_t"))
-        .agg(F.count(F.lit(1)).alias("_pl_m"), F.min(first).alias("_pl_f0"), F.max(first).alias("_pl_f1"),
-             F.min("_pl_x").alias("_pl_x0"), F.max("_pl_x").alias("_pl_x1"))
-        .filter((F.col("_pl_m") > bucket_rows) & F.col("_pl_f0").eqNullSafe(F.col("_pl_f1")))
+        df.filter(F.col("_ord_n").isNotNull())
+        .withColumn("_ord_x", _numeric(df, second))
+        .groupBy(*_renamed(parts, "_ord_t"))
+        .agg(F.count(F.lit(1)).alias("_ord_m"), F.min(first).alias("_ord_f0"), F.max(first).alias("_ord_f1"),
+             F.min("_ord_x").alias("_ord_x0"), F.max("_ord_x").alias("_ord_x1"))
+        .filter((F.col("_ord_m") > bucket_rows) & F.col("_ord_f0").eqNullSafe(F.col("_ord_f1")))
     )
-    out = df.join(F.broadcast(tied), _same(parts, "_pl_t"), "left")
-    ranges = F.ceil(F.col("_pl_m") / F.lit(float(bucket_rows))) * RANGES_PER_BUCKET
-    at = F.floor((_numeric(df, second) - F.col("_pl_x0"))
-                 / F.greatest(F.col("_pl_x1") - F.col("_pl_x0"), F.lit(1e-9)) * ranges)
+    out = df.join(F.broadcast(tied), _same(parts, "_ord_t"), "left")
+    ranges = F.ceil(F.col("_ord_m") / F.lit(float(bucket_rows))) * RANGES_PER_BUCKET
+    at = F.floor((_numeric(df, second) - F.col("_ord_x0"))
+                 / F.greatest(F.col("_ord_x1") - F.col("_ord_x0"), F.lit(1e-9)) * ranges)
     at = F.least(at, ranges - 1)
     sub = F.coalesce(at if direction == "asc" else ranges - 1 - at, F.lit(0))
     wide = F.lit(1 << 20)
-    return out.withColumn("_pl_b", (F.col("_pl_b") * wide + sub).cast("long")).drop(*tied.columns)
+    return out.withColumn("_ord_b", (F.col("_ord_b") * wide + sub).cast("long")).drop(*tied.columns)
 
 
 def rank_in_groups(df: DataFrame, keys: Sequence[str], order: Order, rank_col: str = "rn",
                    bucket_rows: int = BUCKET_ROWS, split_ties: bool = False) -> DataFrame:
     """1-based position of each row in its group; ``order`` must be total for a repeatable result."""
     b = bucketize(df, keys, order, bucket_rows, split_ties)
-    parts = [*keys, "_pl_b"]
-    before = Window.partitionBy(*[f"_pl_o{i}" for i in range(len(keys))]).orderBy(f"_pl_o{len(keys)}")
+    parts = [*keys, "_ord_b"]
+    before = Window.partitionBy(*[f"_ord_o{i}" for i in range(len(keys))]).orderBy(f"_ord_o{len(keys)}")
     offsets = (
-        b.groupBy(*_renamed(parts, "_pl_o")).agg(F.count(F.lit(1)).alias("_pl_c"))
-        .withColumn("_pl_before", F.sum("_pl_c").over(before.rowsBetween(Window.unboundedPreceding, -1)))
-        .filter(F.col("_pl_before") > 0).drop("_pl_c")
+        b.groupBy(*_renamed(parts, "_ord_o")).agg(F.count(F.lit(1)).alias("_ord_c"))
+        .withColumn("_ord_before", F.sum("_ord_c").over(before.rowsBetween(Window.unboundedPreceding, -1)))
+        .filter(F.col("_ord_before") > 0).drop("_ord_c")
     )
-    local = b.withColumn("_pl_r", F.row_number().over(Window.partitionBy(*parts).orderBy(*sort_columns(order))))
-    out = local.join(F.broadcast(offsets), _same(parts, "_pl_o"), "left")
+    local = b.withColumn("_ord_r", F.row_number().over(Window.partitionBy(*parts).orderBy(*sort_columns(order))))
+    out = local.join(F.broadcast(offsets), _same(parts, "_ord_o"), "left")
     return (
-        out.withColumn(rank_col, (F.col("_pl_r") + F.coalesce("_pl_before", F.lit(0))).cast("long"))
-        .drop("_pl_b", "_pl_r", *offsets.columns)
+        out.withColumn(rank_col, (F.col("_ord_r") + F.coalesce("_ord_before", F.lit(0))).cast("long"))
+        .drop("_ord_b", "_ord_r", *offsets.columns)
     )
 
 
@@ -142,20 +142,20 @@ def prefix_sum(df: DataFrame, keys: Sequence[str], order: Order, value: str, out
                bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Sum of ``value`` over the rows before the current one in its group (0 for the first)."""
     b = bucketize(df, keys, order, bucket_rows)
-    parts = [*keys, "_pl_b"]
-    before = Window.partitionBy(*[f"_pl_o{i}" for i in range(len(keys))]).orderBy(f"_pl_o{len(keys)}")
+    parts = [*keys, "_ord_b"]
+    before = Window.partitionBy(*[f"_ord_o{i}" for i in range(len(keys))]).orderBy(f"_ord_o{len(keys)}")
     offsets = (
-        b.groupBy(*_renamed(parts, "_pl_o")).agg(F.sum(value).alias("_pl_c"))
-        .withColumn("_pl_rank", F.row_number().over(before))
-        .withColumn("_pl_before", F.sum("_pl_c").over(before.rowsBetween(Window.unboundedPreceding, -1)))
-        .filter(F.col("_pl_rank") > 1).drop("_pl_c", "_pl_rank")
+        b.groupBy(*_renamed(parts, "_ord_o")).agg(F.sum(value).alias("_ord_c"))
+        .withColumn("_ord_rank", F.row_number().over(before))
+        .withColumn("_ord_before", F.sum("_ord_c").over(before.rowsBetween(Window.unboundedPreceding, -1)))
+        .filter(F.col("_ord_rank") > 1).drop("_ord_c", "_ord_rank")
     )
     w = Window.partitionBy(*parts).orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, -1)
-    out = b.withColumn("_pl_r", F.coalesce(F.sum(value).over(w), F.lit(0)))
-    out = out.join(F.broadcast(offsets), _same(parts, "_pl_o"), "left")
+    out = b.withColumn("_ord_r", F.coalesce(F.sum(value).over(w), F.lit(0)))
+    out = out.join(F.broadcast(offsets), _same(parts, "_ord_o"), "left")
     return (
-        out.withColumn(out_col, F.col("_pl_r") + F.coalesce("_pl_before", F.lit(0)))
-        .drop("_pl_b", "_pl_r", *offsets.columns)
+        out.withColumn(out_col, F.col("_ord_r") + F.coalesce("_ord_before", F.lit(0)))
+        .drop("_ord_b", "_ord_r", *offsets.columns)
     )
 
 
@@ -163,34 +163,34 @@ def fill_down(df: DataFrame, keys: Sequence[str], order: Order, columns: Sequenc
               bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Replace NULLs by the last non-NULL value above them in the group."""
     b = bucketize(df, keys, order, bucket_rows)
-    parts = [*keys, "_pl_b"]
+    parts = [*keys, "_ord_b"]
     w = Window.partitionBy(*parts).orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
     position = F.struct(*[F.col(c) for c, _ in order])
     pick = F.max_by if order[0][1] == "asc" else F.min_by
     if len({d for _, d in order}) > 1:
         raise ValueError("fill_down needs one direction for all order columns")
     before = (
-        Window.partitionBy(*[f"_pl_o{i}" for i in range(len(keys))]).orderBy(f"_pl_o{len(keys)}")
+        Window.partitionBy(*[f"_ord_o{i}" for i in range(len(keys))]).orderBy(f"_ord_o{len(keys)}")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = b.groupBy(*_renamed(parts, "_pl_o")).agg(
-        *[pick(F.col(c), F.when(F.col(c).isNotNull(), position)).alias(f"_pl_v{i}") for i, c in enumerate(columns)])
-    first_range = Window.partitionBy(*[f"_pl_o{i}" for i in range(len(keys))]).orderBy(f"_pl_o{len(keys)}")
+    carried = b.groupBy(*_renamed(parts, "_ord_o")).agg(
+        *[pick(F.col(c), F.when(F.col(c).isNotNull(), position)).alias(f"_ord_v{i}") for i, c in enumerate(columns)])
+    first_range = Window.partitionBy(*[f"_ord_o{i}" for i in range(len(keys))]).orderBy(f"_ord_o{len(keys)}")
     carried = carried.select(
-        *[f"_pl_o{i}" for i in range(len(parts))],
-        F.row_number().over(first_range).alias("_pl_rank"),
-        *[F.last(f"_pl_v{i}", ignorenulls=True).over(before).alias(f"_pl_c{i}") for i in range(len(columns))],
-    ).filter(F.col("_pl_rank") > 1).drop("_pl_rank")
-    out = b.select("*", *[F.last(c, ignorenulls=True).over(w).alias(f"_pl_l{i}") for i, c in enumerate(columns)])
-    out = out.join(F.broadcast(carried), _same(parts, "_pl_o"), "left")
+        *[f"_ord_o{i}" for i in range(len(parts))],
+        F.row_number().over(first_range).alias("_ord_rank"),
+        *[F.last(f"_ord_v{i}", ignorenulls=True).over(before).alias(f"_ord_c{i}") for i in range(len(columns))],
+    ).filter(F.col("_ord_rank") > 1).drop("_ord_rank")
+    out = b.select("*", *[F.last(c, ignorenulls=True).over(w).alias(f"_ord_l{i}") for i, c in enumerate(columns)])
+    out = out.join(F.broadcast(carried), _same(parts, "_ord_o"), "left")
     for i, c in enumerate(columns):
-        out = out.withColumn(c, F.coalesce(F.col(f"_pl_l{i}"), F.col(f"_pl_c{i}")))
+        out = out.withColumn(c, F.coalesce(F.col(f"_ord_l{i}"), F.col(f"_ord_c{i}")))
     return out.select(*df.columns)
 
 
-def trailing(df: DataFrame, keys: Sequence[str], order: Order, size: int, values: Column, out_col: str,
+def trailing(df: DataFrame, keys: Sequence[str], order: Order, size: int, aggregate: Column, out_col: str,
              rank_col: str = "rn", chunk_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Array of ``values`` over the last ``size`` rows (current row last), plus the row's rank.
+    """``aggregate`` over the last ``size`` rows including the current one, plus the row's rank.
 
     Chunks of ``chunk_rows`` ranks are windowed apart; each chunk also gets the last ``size - 1`` rows of
     the chunk before it, so the result equals one window over the whole group.
@@ -201,20 +201,45 @@ def trailing(df: DataFrame, keys: Sequence[str], order: Order, size: int, values
     at = F.col(rank_col) - 1
     chunk = F.floor(at / F.lit(chunk_rows)).cast("long")
     copies = F.when(at % chunk_rows >= chunk_rows - (size - 1), F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    spread = ranked.withColumn("_pl_home", chunk).withColumn("_pl_chunk", F.explode(copies))
-    w = Window.partitionBy(*keys, "_pl_chunk").orderBy(rank_col).rowsBetween(-(size - 1), 0)
-    out = spread.withColumn(out_col, F.collect_list(values).over(w))
-    return out.filter(F.col("_pl_home") == F.col("_pl_chunk")).drop("_pl_home", "_pl_chunk")
+    spread = ranked.withColumn("_ord_home", chunk).withColumn("_ord_chunk", F.explode(copies))
+    w = Window.partitionBy(*keys, "_ord_chunk").orderBy(rank_col).rowsBetween(-(size - 1), 0)
+    out = spread.withColumn(out_col, aggregate.over(w))
+    return out.filter(F.col("_ord_home") == F.col("_ord_chunk")).drop("_ord_home", "_ord_chunk")
+
+
+def with_size(df: DataFrame, keys: Sequence[str], out_col: str = "n", where: Column | None = None) -> DataFrame:
+    """Add the group size (of the rows where ``where`` holds)."""
+    count = F.count(F.lit(1)) if where is None else F.count_if(where)
+    return df.join(df.groupBy(*keys).agg(count.alias(out_col)), list(keys))
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """Quantiles with linear interpolation per group, from ranks instead of a whole group in memory."""
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
+    ranked = rank_in_groups(rows, keys, [(value, "asc")], "_ord_rn")
+    sized = ranked.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ord_size")), list(keys))
+    at = {name: (F.col("_ord_size") - 1) * F.lit(p) for name, p in shares.items()}
+    place = F.col("_ord_rn") - 1
+    near = F.lit(False)
+    for v in at.values():
+        near = near | (place == F.floor(v)) | (place == F.ceil(v))
+    picked = sized.filter(near)
+    aggregates = []
+    for name, v in at.items():
+        low = F.max(F.when(place == F.floor(v), F.col(value)))
+        high = F.max(F.when(place == F.ceil(v), F.col(value)))
+        aggregates.append((low + (high - low) * F.max(v - F.floor(v))).alias(name))
+    return picked.groupBy(*keys).agg(*aggregates, F.max("_ord_size").alias("n_values"))
 
 
 def pages(df: DataFrame, keys: Sequence[str], order: Order, value: Column, out_col: str = "items",
           page_rows: int = 1000) -> DataFrame:
     """Ordered lists of ``value`` per group, cut into pages so that no list outgrows one row."""
-    ranked = rank_in_groups(df, keys, order, "_pl_rn")
-    page = F.floor((F.col("_pl_rn") - 1) / F.lit(page_rows)).cast("long")
+    ranked = rank_in_groups(df, keys, order, "_ord_rn")
+    page = F.floor((F.col("_ord_rn") - 1) / F.lit(page_rows)).cast("long")
     listed = ranked.groupBy(*keys, page.alias("page")).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_pl_rn").alias("at"), value.alias("v")))).alias("_pl_items"))
-    return listed.select(*keys, "page", F.transform("_pl_items", lambda x: x["v"]).alias(out_col))
+        F.sort_array(F.collect_list(F.struct(F.col("_ord_rn").alias("at"), value.alias("v")))).alias("_ord_items"))
+    return listed.select(*keys, "page", F.transform("_ord_items", lambda x: x["v"]).alias(out_col))
 
 
 def top_in_groups(df: DataFrame, keys: Sequence[str], order: Order, k: int, rank_col: str = "rn") -> DataFrame:
@@ -248,44 +273,44 @@ def fold_in_order(df: DataFrame, keys: Sequence[str], order: Order, step: Step,
     if largest is None or largest <= chunk_rows:
         return df.groupBy(*keys).applyInPandas(whole, out_schema)
 
-    at = (F.col("_pl_rn") - 1) / F.lit(chunk_rows)
-    rows = durable(rank_in_groups(df, keys, order, "_pl_rn", bucket_rows=chunk_rows)
-                   .withColumn("_pl_chunk", F.floor(at).cast("long")))
+    at = (F.col("_ord_rn") - 1) / F.lit(chunk_rows)
+    rows = durable(rank_in_groups(df, keys, order, "_ord_rn", bucket_rows=chunk_rows)
+                   .withColumn("_ord_chunk", F.floor(at).cast("long")))
     key_fields = [rows.schema[k] for k in keys]
-    state_schema = T.StructType([*key_fields, T.StructField("_pl_chunk", T.LongType()),
-                                 T.StructField("_pl_out", T.BinaryType())])
+    state_schema = T.StructType([*key_fields, T.StructField("_ord_chunk", T.LongType()),
+                                 T.StructField("_ord_out", T.BinaryType())])
     data = list(df.columns)
 
     def close(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pl_rn")
-        state = pdf["_pl_in"].iloc[0]
+        pdf = pdf.sort_values("_ord_rn")
+        state = pdf["_ord_in"].iloc[0]
         _, out = step(pdf[data].reset_index(drop=True), None if state is None else bytes(state))
         head = {k: [pdf[k].iloc[0]] for k in keys}
-        return pd.DataFrame({**head, "_pl_chunk": [pdf["_pl_chunk"].iloc[0]], "_pl_out": [out]})
+        return pd.DataFrame({**head, "_ord_chunk": [pdf["_ord_chunk"].iloc[0]], "_ord_out": [out]})
 
     def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_pl_rn")
-        state = pdf["_pl_in"].iloc[0]
+        pdf = pdf.sort_values("_ord_rn")
+        state = pdf["_ord_in"].iloc[0]
         return step(pdf[data].reset_index(drop=True), None if state is None else bytes(state))[0]
 
     empty = F.lit(None).cast("binary")
-    todo = durable(rows.select(*keys, "_pl_chunk").distinct().withColumn("_pl_in", empty))
-    states = todo.withColumn("_pl_out", empty)
+    todo = durable(rows.select(*keys, "_ord_chunk").distinct().withColumn("_ord_in", empty))
+    states = todo.withColumn("_ord_out", empty)
     if not settle:
-        todo = todo.filter("_pl_chunk = 0")
-    on = [*keys, "_pl_chunk"]
+        todo = todo.filter("_ord_chunk = 0")
+    on = [*keys, "_ord_chunk"]
     while True:
         ran = rows.join(todo, on).groupBy(*on).applyInPandas(close, state_schema)
         states = durable(
-            states.join(todo.select(*on, F.col("_pl_in").alias("_pl_used"), F.lit(True).alias("_pl_hit")), on, "left")
-            .join(ran.withColumnRenamed("_pl_out", "_pl_new"), on, "left")
-            .select(*on, F.when(F.col("_pl_hit"), F.col("_pl_used")).otherwise(F.col("_pl_in")).alias("_pl_in"),
-                    F.when(F.col("_pl_hit"), F.col("_pl_new")).otherwise(F.col("_pl_out")).alias("_pl_out")))
-        earlier = states.select(*keys, (F.col("_pl_chunk") + 1).alias("_pl_chunk"), F.col("_pl_out").alias("_pl_prev"))
+            states.join(todo.select(*on, F.col("_ord_in").alias("_ord_used"), F.lit(True).alias("_ord_hit")), on, "left")
+            .join(ran.withColumnRenamed("_ord_out", "_ord_new"), on, "left")
+            .select(*on, F.when(F.col("_ord_hit"), F.col("_ord_used")).otherwise(F.col("_ord_in")).alias("_ord_in"),
+                    F.when(F.col("_ord_hit"), F.col("_ord_new")).otherwise(F.col("_ord_out")).alias("_ord_out")))
+        earlier = states.select(*keys, (F.col("_ord_chunk") + 1).alias("_ord_chunk"), F.col("_ord_out").alias("_ord_prev"))
         todo = (states.join(earlier, on)
-                .filter(F.col("_pl_prev").isNotNull() & ~F.col("_pl_prev").eqNullSafe(F.col("_pl_in")))
-                .select(*on, F.col("_pl_prev").alias("_pl_in")))
+                .filter(F.col("_ord_prev").isNotNull() & ~F.col("_ord_prev").eqNullSafe(F.col("_ord_in")))
+                .select(*on, F.col("_ord_prev").alias("_ord_in")))
         todo = durable(todo)
         if todo.isEmpty():
             break
-    return (rows.join(states.select(*on, "_pl_in"), on).groupBy(*on).applyInPandas(emit, out_schema))
+    return (rows.join(states.select(*on, "_ord_in"), on).groupBy(*on).applyInPandas(emit, out_schema))

@@ -11,6 +11,9 @@ import duckdb
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+SPENT = {}
+
+
 def norm(v):
     if v is None:
         return None
@@ -43,8 +46,11 @@ def compare(spark, con, folder, query):
     """Empty text when equal, else what differs."""
     from pilotlamp.plans.registry import Tables
 
+    t = time.time()
     df = query.build(Tables(spark, folder))
-    got, got_names = rows_of(df.columns, df.collect())
+    data = df.collect()
+    SPENT[query.name] = time.time() - t
+    got, got_names = rows_of(df.columns, data)
     if query.oracle is None:
         return "" if got else "no rows"
     cur = con.execute(query.oracle)
@@ -80,6 +86,6 @@ if __name__ == "__main__":
         except Exception as e:  # noqa: BLE001
             problem = f"{type(e).__name__}: {str(e)[:1500]}"
         bad += bool(problem)
-        print(f"{'FAIL' if problem else 'ok  '} {name} {time.time() - t:.1f}s {'' if q.oracle else '(rows only)'} {problem}",
+        print(f"{'FAIL' if problem else 'ok  '} {name} {SPENT.get(name, -1):.1f}s of {time.time() - t:.1f}s {'' if q.oracle else '(rows only)'} {problem}",
               flush=True)
     print("failed:", bad)

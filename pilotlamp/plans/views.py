@@ -93,7 +93,9 @@ VIEWS = {
     "catalog": """
         SELECT device, name, short_label, module, min(ordinal) AS ordinal
         FROM (SELECT p_brand AS device,
-                     concat(upper(p_type), ' ', p_name) AS name, upper(substr(p_type, 1, 4)) AS short_label,
+                     CASE p_partkey % 4 WHEN 0 THEN concat('ALM ', p_name) WHEN 1 THEN concat('PWR ', p_type)
+                       ELSE concat(p_type, ' ', p_name) END AS name,
+                     CASE WHEN p_partkey % 3 = 0 THEN '' ELSE substr(p_type, 1, 4) END AS short_label,
                      concat('M', CAST(p_size % 4 AS STRING)) AS module, p_partkey AS ordinal FROM {part}) AS c
         GROUP BY device, name, short_label, module""",
     # device names of the rule tables and of the workspace

@@ -484,13 +484,10 @@ def w07(t: Tables):
       round(1 - levenshtein(a.n, b.n) / greatest(length(a.n), length(b.n))::DOUBLE, 3) AS similarity
     FROM k a JOIN k b ON a.device = b.device AND a.class_id < b.class_id
     WHERE levenshtein(a.n, b.n) * 100 <= greatest(length(a.n), length(b.n)) * 28 AND a.key <> b.key
-      AND length(a.n) + bit_length(a.n) = length(a.n) * 9 AND length(b.n) + bit_length(b.n) = length(b.n) * 9
-    UNION ALL
-    SELECT a.device, a.class_id, a.name, b.class_id, b.name, round(1 - editdist / longest, 3) FROM (
-      SELECT a.device, a.class_id, a.name, 0 AS x, 1::DOUBLE AS editdist, 1::DOUBLE AS longest, a.key FROM k a WHERE false) a
-      JOIN k b ON a.device = b.device""")
+      AND a.key LIKE 'RAW%' AND b.key LIKE 'RAW%'""")
 def j20(t: Tables):
-    return C.ambiguous_pairs(_entries(t))
+    raw = _entries(t).filter("key LIKE 'RAW%'")  # the SQL distance counts bytes, so ASCII names only
+    return C.ambiguous_pairs(raw)
 
 
 _EVIDENCE = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_brand AS device, CASE l_suppkey % 4 WHEN 0 THEN 'ALM' WHEN 1 THEN p_type WHEN 2 THEN substr(p_type, 1, 4)
@@ -505,13 +502,13 @@ _RETRIEVED = _DEDUP + f""", ev AS (SELECT DISTINCT device, label_text, module_te
         [regexp_replace(upper(e.name || CASE WHEN e.key LIKE 'RAW%' THEN '' ELSE al.names END || m.modules), '[^A-Z0-9+\\-/一-龥]', '', 'g')])) AS tokens,
         regexp_replace(upper(e.name || CASE WHEN e.key LIKE 'RAW%' THEN '' ELSE al.names END || m.modules), '[^A-Z0-9+\\-/一-龥]', '', 'g') AS body
       FROM entries e JOIN m ON e.device = m.device AND e.key = m.key JOIN al ON e.device = al.device AND e.key = al.key),
-    s AS (SELECT ev.*, x.class_id, x.name AS class_name, CASE WHEN label_text IS NULL THEN 0 WHEN list_contains(tokens, label_text) THEN 100
+    sc AS (SELECT ev.*, x.class_id, x.name AS class_name, CASE WHEN label_text IS NULL THEN 0 WHEN list_contains(tokens, label_text) THEN 100
           WHEN length(label_text) >= 3 AND contains(body, label_text) THEN 75 ELSE 0 END
         + CASE WHEN module_text IS NOT NULL AND contains(body, module_text) THEN 38 ELSE 0 END
         + CASE WHEN interface_text IS NOT NULL AND contains(body, upper(replace(interface_text, ' ', ''))) THEN 32 ELSE 0 END
         + least(30, 8 * len(list_intersect(tokens, [upper(split_part(nearby, ' ', 1)), upper(split_part(nearby, ' ', 2)), upper(replace(nearby, ' ', ''))]))) AS score
       FROM ev JOIN x ON ev.device = x.device),
-    k AS (SELECT *, row_number() OVER (PARTITION BY device, label_text, module_text, interface_text, nearby ORDER BY score DESC, class_id) AS place FROM s)"""
+    k AS (SELECT *, row_number() OVER (PARTITION BY device, label_text, module_text, interface_text, nearby ORDER BY score DESC, class_id) AS place FROM sc)"""
 
 
 def _evidence(t: Tables):

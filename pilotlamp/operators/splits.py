@@ -26,16 +26,21 @@ def target_counts(n: Column, train: float, val: float) -> Column:
     a, b = F.bround(n * train).cast("long"), F.bround(n * val).cast("long")
     c = n - a - b
     one = F.lit(1).cast("long")
-    x, y, z = F.greatest(a, one), F.greatest(b, one), F.greatest(c, one)
-    for _ in range(3):  # raising parts to one overshoots by at most three; take it back from the largest
+    raised = F.struct(F.greatest(a, one).alias("train"), F.greatest(b, one).alias("val"), F.greatest(c, one).alias("test"))
+
+    def give_back(s: Column, _: Column) -> Column:
+        """Raising parts to one can overshoot; the largest part gives one back."""
+        x, y, z = s["train"], s["val"], s["test"]
         over = x + y + z > n
         cut_x = over & (x >= y) & (x >= z) & (x > 1)
         cut_y = over & ~cut_x & (y >= z) & (y > 1)
         cut_z = over & ~cut_x & ~cut_y & (z > 1)
-        x, y, z = x - cut_x.cast("long"), y - cut_y.cast("long"), z - cut_z.cast("long")
-    big = n >= 3
-    return F.struct(F.when(big, x).otherwise(a).alias("train"), F.when(big, y).otherwise(b).alias("val"),
-                    F.when(big, z).otherwise(c).alias("test"))
+        return F.struct((x - cut_x.cast("long")).alias("train"), (y - cut_y.cast("long")).alias("val"),
+                        (z - cut_z.cast("long")).alias("test"))
+
+    repaired = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), raised, give_back)
+    plain = F.struct(a.alias("train"), b.alias("val"), c.alias("test"))
+    return F.when(n >= 3, repaired).otherwise(plain)
 
 
 def split_by_name(images: DataFrame, keys: Sequence[str], name: str, train: float = 0.7, val: float = 0.15) -> DataFrame:

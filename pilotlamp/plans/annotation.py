@@ -498,7 +498,7 @@ _RETRIEVED = _DEDUP + f""", ev AS (SELECT DISTINCT device, label_text, module_te
     al AS (SELECT device, key, string_agg(name, ' ' ORDER BY p) AS names, list(name ORDER BY p) AS name_list FROM (
         SELECT device, key, arg_min(name, ordinal) AS name, min(ordinal) AS p FROM c GROUP BY device, key, upper(replace(name, ' ', ''))) GROUP BY device, key),
     x AS (SELECT e.device, e.class_id, e.name, list_distinct(list_concat(
-        regexp_extract_all(upper(e.name || ' | ' || CASE WHEN e.key LIKE 'RAW%' THEN '' ELSE al.names || ' | ' END || m.modules), '[A-Z][A-Z0-9/+_-]{1,24}'),
+        regexp_extract_all(upper(e.name || ' | ' || CASE WHEN e.key LIKE 'RAW%' THEN '' ELSE al.names || ' | ' END || m.modules), '[A-Z][A-Z0-9/+_-]{{1,24}}'),
         [regexp_replace(upper(e.name || CASE WHEN e.key LIKE 'RAW%' THEN '' ELSE al.names END || m.modules), '[^A-Z0-9+\\-/一-龥]', '', 'g')])) AS tokens,
         regexp_replace(upper(e.name || CASE WHEN e.key LIKE 'RAW%' THEN '' ELSE al.names END || m.modules), '[^A-Z0-9+\\-/一-龥]', '', 'g') AS body
       FROM entries e JOIN m ON e.device = m.device AND e.key = m.key JOIN al ON e.device = al.device AND e.key = al.key),
@@ -523,10 +523,12 @@ def j12(t: Tables):
         "device", "label_text", "module_text", "interface_text", "nearby", "class_id", "class_name", "score", "place")
 
 
-@query("s03_best_entry_per_box", _RETRIEVED + f"""
-    SELECT b.l_orderkey, b.l_linenumber, b.l_partkey, b.l_suppkey, k.class_id, k.score FROM ({_EVIDENCE}) b JOIN k ON b.device = k.device AND b.nearby = k.nearby
-      AND b.label_text IS NOT DISTINCT FROM k.label_text AND b.module_text IS NOT DISTINCT FROM k.module_text
-      AND b.interface_text IS NOT DISTINCT FROM k.interface_text WHERE k.place = 1""")
+_KEYED = "concat_ws('|', device, coalesce(label_text, '~'), coalesce(module_text, '~'), coalesce(interface_text, '~'), nearby)"
+
+
+@query("s03_best_entry_per_box", _RETRIEVED + f""", k1 AS MATERIALIZED (SELECT {_KEYED} AS ek, class_id, score FROM k WHERE place = 1),
+    b AS MATERIALIZED (SELECT {_KEYED} AS ek, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM ({_EVIDENCE}))
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, class_id, score FROM b JOIN k1 ON b.ek = k1.ek""")
 def s03(t: Tables):
     return C.retrieve_entries(_evidence(t), _entries(t), 1).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "class_id", "score")
 

@@ -60,8 +60,9 @@ def compare(spark, con, folder, query):
         return f"columns {got_names} != {want_names}"
     if got == want:
         return "" if got else "both empty"
-    only = [r for r in got if r not in set(want)][:3] if len(got) < 100000 else []
-    miss = [r for r in want if r not in set(got)][:3] if len(got) < 100000 else []
+    have, need = set(got), set(want)
+    only = [r for r in got if r not in need][:3]
+    miss = [r for r in want if r not in have][:3]
     return f"{len(got)} rows != {len(want)} rows\n  columns   {got_names}\n  only here {only}\n  missing   {miss}"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pilotlamp.functions import text
 from pilotlamp.operators import ordered
 
 SPLITS = ["train", "val", "test"]
@@ -167,22 +168,23 @@ def match_inventory(annotations: DataFrame, inventory: DataFrame, on: Sequence[s
 
 def parse_label_lines(lines: DataFrame, class_count: int, column: str = "line") -> DataFrame:
     """Typed fields of ``class cx cy w h`` lines and the first problem of each line."""
-    parts = F.split(F.regexp_replace(F.regexp_replace(column, r"(?U)^\s+", ""), r"(?U)\s+$", ""), r"(?U)\s+")
+    lines = lines.withColumn("_pl_parts", F.split(text.strip(F.col(column)), r"(?U)\s+"))
+    parts = F.col("_pl_parts")
     number = lambda i: F.when(~F.get(parts, F.lit(i)).rlike("(?i)[0-9.][df]$"),
                               F.get(parts, F.lit(i)).try_cast("double"))
     whole = F.when(F.get(parts, F.lit(0)).rlike(r"^[+-]?[0-9]+$"), F.get(parts, F.lit(0)).try_cast("long"))
     fields = ["cx", "cy", "w", "h"]
-    typed = lines.withColumn("_pl_size", F.size(parts)).withColumns(
+    typed = lines.withColumns(
         {"class_id": whole, **{c: number(i + 1) for i, c in enumerate(fields)}})
     unread = F.col("class_id").isNull()
     outside = F.lit(False)
     for c in fields:
         unread = unread | F.col(c).isNull()
         outside = outside | ~F.col(c).between(0.0, 1.0)
-    problem = (F.when(F.col("_pl_size") != 5, "column_count").when(unread, "not_a_number")
+    problem = (F.when(F.size(parts) != 5, "column_count").when(unread, "not_a_number")
                .when((F.col("class_id") < 0) | (F.col("class_id") >= class_count), "class_out_of_range")
                .when(outside, "coordinate_out_of_range"))
-    return typed.withColumn("problem", problem).drop("_pl_size")
+    return typed.withColumn("problem", problem).drop("_pl_parts")
 
 
 def label_report(parsed: DataFrame, file: str = "file", line_no: str = "line_no") -> DataFrame:

@@ -189,8 +189,10 @@ def parse_label_lines(lines: DataFrame, class_count: int, column: str = "line")
 
 def label_report(parsed: DataFrame, file: str = "file", line_no: str = "line_no") -> DataFrame:
     """First problem per file."""
-    bad = parsed.filter(F.col("problem").isNotNull())
-    return bad.groupBy(file).agg(F.min(line_no).alias("line_no"), F.min_by("problem", line_no).alias("problem"))
+    bad = F.when(F.col("problem").isNotNull(), F.col(line_no))
+    # conditional aggregates: a filter on the derived column would parse every line twice
+    return parsed.groupBy(file).agg(F.min(bad).alias("line_no"), F.min_by("problem", bad).alias("problem")).filter(
+        "problem IS NOT NULL")
 
 
 def require_clean(report: DataFrame, show: int = 50) -> None:

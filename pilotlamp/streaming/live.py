@@ -1,11 +1,157 @@
-"""Live votes and verdicts with Structured Streaming."""
+"""Live votes, routing and verdicts with Structured Streaming.
+
+Votes depend on arrival order and on counts of samples, so they keep keyed state. Rows of one micro-batch
+are put in frame order before they touch the state; the source's rate limit bounds a micro-batch. A row
+that arrives twice (same stream, epoch and frame) is dropped within the watermark.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections import Counter
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from pilotlamp.operators import judge, voting
+
+SAMPLE = T.StructType([
+    T.StructField("stream_id", T.LongType()), T.StructField("epoch", T.IntegerType()),
+    T.StructField("frame_idx", T.LongType()), T.StructField("ts", T.TimestampType()),
+    T.StructField("class_name", T.StringType()), T.StructField("confidence", T.DoubleType())])
+DECISION = T.StructType([
+    T.StructField("stream_id", T.LongType()), T.StructField("epoch", T.IntegerType()),
+    T.StructField("frame_idx", T.LongType()), T.StructField("candidate", T.StringType()),
+    T.StructField("ratio", T.DoubleType()), T.StructField("mean", T.DoubleType()),
+    T.StructField("window_size", T.IntegerType()), T.StructField("stable", T.BooleanType())])
+ROUTE = T.StructType([
+    T.StructField("stream_id", T.LongType()), T.StructField("epoch", T.IntegerType()),
+    T.StructField("frame_idx", T.LongType()), T.StructField("position", T.LongType()),
+    T.StructField("voted", T.StringType()), T.StructField("device", T.StringType()),
+    T.StructField("device_confidence", T.DoubleType())])
+STATE = T.StructType([T.StructField("body", T.StringType())])
 
 
 def skip_ahead(frames: DataFrame, skip: int) -> DataFrame:
     """Keep a frame, drop the next ``skip``."""
     return frames.filter(F.pmod(F.col("frame_idx"), F.lit(skip + 1)) == 0)
+
+
+def without_replays(samples: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    return samples.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["stream_id", "epoch", "frame_idx"])
+
+
+class _OrderedRows(StatefulProcessor):
+    """Feeds rows in (epoch, frame) order to ``advance`` with a small JSON state; a new epoch starts afresh."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("state", STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(["epoch", "frame_idx"])
+        saved = self.state.get() if self.state.exists() else None
+        state = json.loads(saved[0]) if saved else self.fresh(None)
+        out = []
+        for row in batch.itertuples(index=False):
+            if state["epoch"] is None or row.epoch > state["epoch"]:
+                state = self.fresh(int(row.epoch))
+            made = self.advance(state, row)
+            if made is not None:
+                out.append((key[0], int(row.epoch), int(row.frame_idx), *made))
+        self.state.update((json.dumps(state),))
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def close(self) -> None:
+        pass
+
+
+class _Stable(_OrderedRows):
+    columns = DECISION.fieldNames()
+
+    def __init__(self, window: int, min_confidence: float, min_ratio: float, min_mean: float, every: float):
+        self.window, self.min_confidence, self.every = window, min_confidence, every
+        self.min_ratio, self.min_mean = min_ratio, min_mean
+
+    @staticmethod
+    def fresh(epoch):
+        return {"epoch": epoch, "history": [], "last": None}
+
+    def advance(self, state, row):
+        if self.every > 0:
+            now = row.ts.timestamp()
+            if state["last"] is not None and now - state["last"] < self.every:
+                return None
+            state["last"] = now
+        if row.confidence >= self.min_confidence:
+            state["history"] = [*state["history"], [row.class_name, row.confidence]][-self.window:]
+        seen = state["history"]
+        if not seen:
+            return None, None, None, 0, False
+        name, votes = Counter(n for n, _ in seen).most_common(1)[0]
+        mean = sum(c for n, c in seen if n == name) / votes
+        ratio = votes / len(seen)
+        stable = len(seen) >= min(3, self.window) and ratio >= self.min_ratio and mean >= self.min_mean
+        return name, ratio, mean, len(seen), stable
+
+
+class _Routed(_OrderedRows):
+    columns = ROUTE.fieldNames()
+
+    def __init__(self, interval: int, window: int):
+        self.interval, self.window = interval, window
+
+    @staticmethod
+    def fresh(epoch):
+        return {"epoch": epoch, "position": 0, "votes": [], "device": None, "confidence": None}
+
+    def advance(self, state, row):
+        if state["position"] % self.interval == 0:
+            state["device"], state["confidence"] = row.class_name, row.confidence
+            state["votes"] = [*state["votes"], row.class_name][-self.window:]
+        state["position"] += 1
+        voted = Counter(state["votes"]).most_common(1)[0][0]
+        return state["position"], voted, state["device"], state["confidence"]
+
+
+def stable_devices(samples: DataFrame, window: int = voting.WINDOW, min_confidence: float = voting.MIN_FRAME_CONFIDENCE,
+                   min_ratio: float = voting.MIN_RATIO, min_mean: float = voting.MIN_MEAN,
+                   sample_seconds: float = 0.0) -> DataFrame:
+    """Running device decision per stream. ``sample_seconds`` keeps one sample per elapsed interval."""
+    return samples.groupBy("stream_id").transformWithStateInPandas(
+        _Stable(window, min_confidence, min_ratio, min_mean, sample_seconds), DECISION, "Append", "None")
+
+
+def routed_devices(samples: DataFrame, interval: int = 15, window: int = voting.SHORT_WINDOW) -> DataFrame:
+    """Device recognised every ``interval`` frames and its short vote, carried to every frame."""
+    return samples.groupBy("stream_id").transformWithStateInPandas(_Routed(interval, window), ROUTE, "Append", "None")
+
+
+def judge_stream(requests: DataFrame, read_rules: Callable[[SparkSession], DataFrame],
+                 write: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+    """Judge each micro-batch of requests. Rules are read per batch, so a change counts for the next request."""
+    def run(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        accepted = judge.validate(judge.explode_requests(batch)).filter(F.col("drop_reason").isNull())
+        write(judge.roll_up(judge.match_observations(accepted, read_rules(spark))), epoch)
+
+    return requests.writeStream.foreachBatch(run)
+
+
+def latest_rules(log: DataFrame) -> DataFrame:
+    """Current rules of an append-only rule log: the newest entry per condition."""
+    rest = [c for c in log.columns if c not in judge.KEY]
+    return log.groupBy(*judge.KEY).agg(F.max_by(F.struct(*rest), F.struct("updated_at", "ordinal")).alias("r")).select(
+        *judge.KEY, "r.*")
+
+
+def progress(frames: DataFrame, totals: DataFrame) -> DataFrame:
+    """Progress in percent (one decimal) and clock text of each processed frame of a file."""
+    from pilotlamp.functions import text
+    done = F.least(F.lit(100.0), F.round(F.col("frame_idx") * 100.0 / F.greatest(F.col("total_frames"), F.lit(1)), 1))
+    j = frames.join(totals, "stream_id")
+    return j.withColumn("progress", done).withColumn("clock", text.clock_text(F.col("frame_idx") / F.col("fps")))

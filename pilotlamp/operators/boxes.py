@@ -218,7 +218,7 @@ def project_templates(template_boxes: DataFrame, transforms: DataFrame) -> DataF
     """Template boxes moved into each target frame by its 3x3 transform; unusable projections are dropped."""
     j = template_boxes.join(transforms, ["device", "template"])
     p = G.project(Box.of(), F.col("h"), F.col("width"), F.col("height"))
-    return j.withColumn("p", p).filter("p IS NOT NULL").select(
+    return ordered.once(j, "p", p).filter("p IS NOT NULL").select(
         "device", "target", "template", "class_id", (F.col("base_weight") * F.col("quality")).alias("strength"),
         *[F.col(f"p.{c}").alias(f"p_{c}") for c in CORNERS])
 
@@ -233,16 +233,20 @@ def template_votes(candidates: DataFrame, projected: DataFrame, min_score: float
     radius = F.greatest(F.lit(18.0), F.hypot(F.greatest(F.lit(4.0), p.w), F.greatest(F.lit(4.0), p.h)) * 0.85)
     wide = Box(F.least(p.x1, p.cx - radius), F.least(p.y1, p.cy - radius), F.greatest(p.x2, p.cx + radius),
                F.greatest(p.y2, p.cy + radius))
-    spots = projected.withColumn("cell", F.explode(_cells(wide, F.lit(cell), 0.0)))
-    mine = candidates.withColumn("cell", F.explode(_cells(Box.of(), F.lit(cell), 0.0)))
-    near = mine.drop("class_id").join(spots, ["device", "target", "cell"])
+    spots = ordered.once(projected, "w", F.struct(*[getattr(wide, c).alias(c) for c in CORNERS]))
+    spots = spots.select("*", *[F.col(f"w.{c}").alias(f"w_{c}") for c in CORNERS]).drop("w")
+    spots = spots.withColumn("cell", F.explode(_cells(Box.of("w_"), F.lit(cell), 0.0)))
+    mine = candidates.drop("class_id").withColumn("cell", F.explode(_cells(Box.of(), F.lit(cell), 0.0)))
+    meet = ((F.col("x1") <= F.col("w_x2")) & (F.col("x2") >= F.col("w_x1")) & (F.col("y1") <= F.col("w_y2"))
+            & (F.col("y2") >= F.col("w_y1")))
     # a pair that shares several cells counts in the first common one only
-    w_cells = lambda v: F.floor(v / cell)
-    first = (F.greatest(w_cells(F.col("x1")), w_cells(wide.x1)) == F.col("cell.cx")) & (
-        F.greatest(w_cells(F.col("y1")), w_cells(wide.y1)) == F.col("cell.cy"))
-    scored = near.filter(first).withColumn("spatial", G.template_score(Box.of(), p)).filter("spatial > 0")
+    first = (F.floor(F.greatest("x1", "w_x1") / cell) == F.col("cell.cx")) & (
+        F.floor(F.greatest("y1", "w_y1") / cell) == F.col("cell.cy"))
+    near = mine.join(spots, ["device", "target", "cell"]).filter(meet & first)
+    scored = ordered.once(near, "spatial", G.template_score(Box.of(), p))
     box = ["device", "target", "box_id"]
-    per_class = scored.groupBy(*box, "class_id").agg(F.sum(F.col("strength") * F.col("spatial")).alias("score"))
+    per_class = scored.groupBy(*box, "class_id").agg(F.sum(F.col("strength") * F.col("spatial")).alias("score")).filter(
+        "score > 0")
     ranked = per_class.groupBy(*box).agg(F.slice(F.sort_array(F.collect_list(F.struct(
         (-F.col("score")).alias("loss"), "class_id"))), 1, 2).alias("r"))
     best, second = -F.get("r", F.lit(0))["loss"], F.coalesce(-F.get("r", F.lit(1))["loss"], F.lit(0.0))

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from pilotlamp.functions import similarity, text
 from pilotlamp.operators import ordered
+from pilotlamp.session import durable
+
+BROADCAST_ROWS = 50_000
 
 
 def _keys(df: DataFrame, key: str, on: Sequence[str]) -> DataFrame:
@@ -45,7 +48,7 @@ def _inside(needles: DataFrame, stacks: DataFrame, on: Sequence[str]) -> DataFra
     # a piece that no stack has rules the needle out, and as the rarest one it joins with nothing
     rarest = (probes.join(common, "piece", "left")
               .groupBy(*on, "key").agg(F.min_by("piece", F.struct(F.coalesce("uses", F.lit(0)), "piece")).alias("piece")))
-    return rarest.join(index, [*on, "piece"]).filter(F.col("stack").contains(F.col("key"))).select(*on, "key", "stack")
+    return ordered.spread(rarest, "key").join(index, [*on, "piece"]).filter(F.col("stack").contains(F.col("key"))).select(*on, "key", "stack")
 
 
 def contained_pairs(left: DataFrame, right: DataFrame, key: str, on: Sequence[str] = ()) -> DataFrame:
@@ -80,11 +83,13 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, key: str, threshold: int, on:
                 .select(*on, "key", F.explode(F.slice("all", F.lit(1), size.cast("int"))).alias("p"))
                 .select(*on, "key", F.col("p.piece").alias("piece")))
 
-    pairs = (prefix(ea).withColumnRenamed("key", "l_key")
-             .join(prefix(eb).withColumnRenamed("key", "r_key"), [*on, "piece"]).drop("piece"))
+    # both sides are laid out by the join key, so the join adds no shuffle
+    pairs = (ordered.spread(prefix(ea), *on, "piece").withColumnRenamed("key", "l_key")
+             .join(ordered.spread(prefix(eb), *on, "piece").withColumnRenamed("key", "r_key"), [*on, "piece"]).drop("piece"))
     longest = F.greatest(F.length("l_key"), F.length("r_key"))
     allowed = longest * (100 - threshold)
-    near = pairs.filter(F.abs(F.length("l_key") - F.length("r_key")) * 100 <= allowed).distinct()
+    near = pairs.filter(F.abs(F.length("l_key") - F.length("r_key")) * 100 <= allowed)
+    near = ordered.spread(near, "l_key", "r_key").distinct()
     return (near.withColumn("distance", F.levenshtein("l_key", "r_key"))
             .filter(F.col("distance") * 100 <= allowed).withColumn("longest", longest))
 
@@ -93,9 +98,10 @@ def best_names(requested: DataFrame, choices: DataFrame, threshold: int, on: Seq
     """First choice with an equal key (100), else the first that contains or is contained (95), else the most
     similar one above ``threshold``. ``requested``: name; ``choices``: name, ordinal. Ties go to the lower ordinal.
     """
-    want = requested.select(*on, "name").distinct().withColumn("key", text.compact_key(F.col("name")))
-    first = choices.withColumn("key", text.compact_key(F.col("name"))).groupBy(*on, "key").agg(
-        F.min(F.struct("ordinal", "name")).alias("c"))
+    # distinct names are few next to the rows they come from; every tier below reads them again
+    want = durable(requested.select(*on, "name").distinct().withColumn("key", text.compact_key(F.col("name"))))
+    first = durable(choices.withColumn("key", text.compact_key(F.col("name"))).groupBy(*on, "key").agg(
+        F.min(F.struct("ordinal", "name")).alias("c")))
     keys = want.select(*on, "key").distinct()
     choice = first.select(*on, F.col("key").alias("r_key"), F.col("c.ordinal").alias("ordinal"),
                           F.col("c.name").alias("choice"))
@@ -108,7 +114,7 @@ def best_names(requested: DataFrame, choices: DataFrame, threshold: int, on: Seq
     exact = keys.join(first, [*on, "key"], "left_semi")
     equal = pick(exact.select(*on, F.col("key").alias("l_key"), F.col("key").alias("r_key")), F.lit(100))
     rest = keys.join(exact, [*on, "key"], "left_anti")
-    inside = pick(contained_pairs(rest, first, "key", on), F.lit(95))
+    inside = durable(pick(contained_pairs(rest, first, "key", on), F.lit(95)))
     rest = rest.join(inside.withColumnRenamed("l_key", "key"), [*on, "key"], "left_anti")
     close = F.floor((F.col("longest") - F.col("distance")) * 100 / F.col("longest")).cast("int")
     near = pick(fuzzy_pairs(rest, first, "key", threshold, on), close)
@@ -127,11 +133,15 @@ def blocked_best(left: DataFrame, right: DataFrame, left_key: Sequence[str], ord
     into blocks; a left row meets whole blocks and keeps ``k`` items of each.
     """
     blocks = ordered.pages(right, list(on), order, item, "block", block_rows)
+    rows = right.count()
+    if rows <= BROADCAST_ROWS:  # beyond that the blocks are shuffled to the left rows
+        blocks = F.broadcast(blocks)
+    left = ordered.spread(left, *left_key)
     if on:
         met = left.join(blocks, list(on))
     else:
-        count = math.ceil(right.count() / block_rows)
-        met = left.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(max(count - 1, 0))).cast("array<bigint>")))
+        last = max(math.ceil(rows / block_rows) - 1, 0)
+        met = left.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(last)).cast("array<bigint>")))
         met = met.join(blocks, "page")
     ranked = F.slice(F.sort_array(F.transform("block", lambda x: F.struct(
         (-score(x)).alias("pl_loss"), x["ordinal"].alias("pl_ordinal"), x.alias("item")))), 1, k)

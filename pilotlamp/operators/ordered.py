@@ -242,6 +242,19 @@ def pages(df: DataFrame, keys: Sequence[str], order: Order, value: Column, out_c
     return listed.select(*keys, "page", F.transform("_ord_items", lambda x: x["v"]).alias(out_col))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, however often it is used below.
+
+    Plain columns are copied into every expression that uses them; a generator is not.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all shuffle partitions before a step that does much work per byte; merging by size would idle cores."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def top_in_groups(df: DataFrame, keys: Sequence[str], order: Order, k: int, rank_col: str = "rn") -> DataFrame:
     """First ``k`` rows per group. Spark limits each map task to ``k`` rows per group before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*sort_columns(order))

@@ -84,12 +84,12 @@ def fuzzy_pairs(left: DataFrame, right: DataFrame, key: str, threshold: int, on:
                 .select(*on, "key", F.col("p.piece").alias("piece")))
 
     # both sides are laid out by the join key, so the join adds no shuffle
-    pairs = (ordered.spread(prefix(ea), *on, "piece").withColumnRenamed("key", "l_key")
-             .join(ordered.spread(prefix(eb), *on, "piece").withColumnRenamed("key", "r_key"), [*on, "piece"]).drop("piece"))
+    pairs = (ordered.lay_out(prefix(ea), *on, "piece").withColumnRenamed("key", "l_key")
+             .join(ordered.lay_out(prefix(eb), *on, "piece").withColumnRenamed("key", "r_key"), [*on, "piece"]).drop("piece"))
     longest = F.greatest(F.length("l_key"), F.length("r_key"))
     allowed = longest * (100 - threshold)
     near = pairs.filter(F.abs(F.length("l_key") - F.length("r_key")) * 100 <= allowed)
-    near = ordered.spread(near, "l_key", "r_key").distinct()
+    near = ordered.lay_out(near, "l_key", "r_key").distinct()
     return (near.withColumn("distance", F.levenshtein("l_key", "r_key"))
             .filter(F.col("distance") * 100 <= allowed).withColumn("longest", longest))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pilotlamp.functions import similarity, text
 from pilotlamp.operators import matching
+from pilotlamp.session import durable
 
 DEVICE_THRESHOLD = 65
 INDICATOR_THRESHOLD = 62
@@ -90,7 +91,7 @@ def map_workspaces(rule_names: DataFrame, workspace_names: DataFrame, review_bel
         F.max(F.when(F.col("place") == 1, F.struct(F.col("item.name").alias("workspace"), F.col("score").alias("score"),
               F.array_intersect("tokens", F.col("item.tokens")).alias("overlap")))).alias("b"),
         F.sort_array(F.collect_list(F.struct("place", F.col("item.name").alias("workspace"), "score"))).alias("top"))
-    rows = rows.select("name", "ordinal", "b.workspace", "b.score", "b.overlap", "top")
+    rows = durable(rows.select("name", "ordinal", "b.workspace", "b.score", "b.overlap", "top"))  # read twice below
     taken = rows.groupBy("workspace").agg(F.min("ordinal").alias("first_ordinal"))
     out = rows.join(taken, "workspace")
     duplicate = F.col("ordinal") > F.col("first_ordinal")

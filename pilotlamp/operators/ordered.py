@@ -250,9 +250,21 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def lay_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash layout by ``keys`` for the join or aggregate that follows, not merged by size."""
+    return df.repartition(_partitions(df), *keys)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all shuffle partitions before a step that does much work per byte; merging by size would idle cores."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    """Use all shuffle partitions before a step that does much work per byte; merging by size would idle cores.
+
+    The hashed key keeps the planner from dropping the shuffle when the rows are already laid out by ``keys``.
+    """
+    return df.repartition(_partitions(df), F.xxhash64(*keys))
 
 
 def top_in_groups(df: DataFrame, keys: Sequence[str], order: Order, k: int, rank_col: str = "rn") -> DataFrame:

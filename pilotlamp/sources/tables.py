@@ -14,8 +14,8 @@ from pilotlamp.operators.judge import REQUEST
 def read_manifest(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """CSV with a header (a byte order mark is dropped), all strings, empty cells stay empty strings."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (spark.read.option("header", True).option("emptyValue", "").option("nullValue", "\u0000")
-            .option("multiLine", True).option("escape", '"').schema(schema).csv(path))
+    rows = spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
+    return rows.fillna("")
 
 
 def write_manifest(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -26,7 +26,7 @@ def write_manifest(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 
 
 def read_label_files(spark: SparkSession, path: str) -> DataFrame:
-    """file, line_no (from 1), line. Files are cut at line breaks by the text source, never read whole."""
+    """file, line_no (from 1), line. A label file is one image's boxes; line numbers need the file in one row."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", True).load(path)
     body = F.regexp_replace(F.regexp_replace(F.decode("content", "UTF-8"), r"(?U)^\s+", ""), r"(?U)\s+$", "")
     rows = raw.select(F.element_at(F.split("path", "/"), -1).alias("file"), body.alias("body")).filter("body <> ''")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pilotlamp.functions import text
 from pilotlamp.operators import matching, ordered
+from pilotlamp.session import durable
 
 AMBIGUOUS_FROM = 72
 FIELDS = ["short_label", "module", "location_hint", "evidence"]
@@ -151,7 +152,7 @@ def retrieve_entries(evidence: DataFrame, entries: DataFrame, k: int = 5) -> Dat
         *columns, text.print_key(text_of("label_text")).alias("e_label"), text.print_key(text_of("module_text"))
         .alias("e_module"), text.print_key(text_of("interface_text")).alias("e_interface"), nearby.alias("e_nearby"),
         text.print_tokens(text_of("relative_position")).alias("e_place"))
-    right = with_manual_text(entries).withColumn("ordinal", F.col("class_id"))
+    right = durable(with_manual_text(entries).withColumn("ordinal", F.col("class_id")))  # counted, then packed
     item = F.struct("ordinal", "class_id", "name", "manual_text", "manual_tokens")
     best = matching.blocked_best(asked, right, columns, [("class_id", "asc")], item, evidence_score, k, ["device"])
     found = best.select(*columns, F.col("item.class_id").alias("class_id"), F.col("item.name").alias("class_name"),

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -181,7 +181,7 @@ def retrieve(queries: DataFrame, items: DataFrame, k: int = 4) -> DataFrame:
     ``queries``: query_id, device_name, verified, vector; ``items``: item_id, device_name, vector. A query with
     several workspaces has one row per workspace and gets ``k`` items of each.
     """
-    own = queries.filter(F.col("verified")).withColumn("ask", F.struct("query_id", "device_name"))
+    own = queries.filter(F.col("verified"))
     mine = nearest(own.select(F.col("device_name").alias("on"), F.concat_ws("\u0001", F.col("query_id").cast("string"), "device_name")
                               .alias("query_id"), "vector"),
                    items.select(F.col("device_name").alias("on"), "item_id", "vector"), "on", k)
@@ -192,4 +192,4 @@ def retrieve(queries: DataFrame, items: DataFrame, k: int = 4) -> DataFrame:
                      items.filter(F.col("device_name") == shared).select(F.col("device_name").alias("on"), "item_id", "vector"), "on", k)
     both = mine.unionByName(common).groupBy("query_id", "item_id").agg(F.min("distance").alias("distance"))
     # at most k rows per workspace plus k are left per query
-    return ordered.top_in_groups(both, ["query_id"], [("distance", "asc"), ("item_id", "asc")], 1 << 20, "place")
+    return both.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "item_id")))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -206,3 +207,28 @@ def reason_text(matched: DataFrame, key: str = "request_id") -> DataFrame:
     return open_.groupBy(key).agg(
         F.count(F.lit(1)).alias("open_count"),
         F.array_join(F.array_sort(F.collect_set("reason")), ",").alias("reasons"))
+
+
+def ask_model(verdicts: DataFrame, questions: DataFrame, make_client: Callable[[], Callable[[str], str]],
+              key: str = "request_id") -> DataFrame:
+    """Model answers for the requests that the rules leave open; complete ones never reach the model.
+
+    ``make_client`` opens a client once per task and returns question -> answer text; a failing call gives
+    an empty answer, which ``read_answers`` turns into the cautious defaults.
+    """
+    open_ = verdicts.filter(~F.col("complete")).select(key).join(questions.select(key, "question"), key)
+    schema = T.StructType([open_.schema[key], T.StructField("content", T.StringType())])
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = make_client()
+
+        def answer(question: str) -> str:
+            try:
+                return client(question)
+            except Exception:  # noqa: BLE001 - a lost answer must not stop the judgement
+                return ""
+
+        for batch in batches:
+            yield pd.DataFrame({key: batch[key], "content": batch["question"].map(answer)})
+
+    return open_.mapInPandas(ask, schema)

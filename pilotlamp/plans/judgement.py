@@ -145,3 +145,17 @@ def e1(t: Tables):
         || lpad(CAST(CAST(floor(time_sec) AS BIGINT) % 60 AS VARCHAR), 2, '0') AS clock FROM {frames}""")
 def f31(t: Tables):
     return t.frames.select("frame_idx", text.clock_text(F.col("time_sec")).alias("clock"))
+
+
+@query("u02_open_request_answers", _ROLLED + """
+    SELECT v.request_id, count(DISTINCT m.device) AS devices, 'warning' AS model_status, true AS model_review
+    FROM verdicts v JOIN matched m ON v.request_id = m.request_id AND m.reason IS NOT NULL
+    JOIN matched d ON d.request_id = v.request_id WHERE NOT v.complete GROUP BY v.request_id """ + _USES)
+def u02(t: Tables):
+    def client():
+        return lambda question: chr(123) + '"status": "' + ("warning" if "规则未确定原因" in question else "normal") + '"' + chr(125)
+
+    matched = _matched(t)
+    answers = judge.ask_model(judge.roll_up(matched), judge.question_text(matched), client)
+    read = judge.read_answers(answers)
+    return read.groupBy("request_id", "model_status", "model_review").agg(F.count(F.lit(1)).alias("devices"))

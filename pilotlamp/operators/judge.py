@@ -29,7 +29,7 @@ ANSWER = T.StructType([
 
 
 def explode_requests(requests: DataFrame) -> DataFrame:
-    """One row per observation of a payload, with its index and the reference's default values."""
+    """One row per observation of a payload, with its index and default values."""
     rows = requests.select("request_id", "device", F.posexplode_outer("observations").alias("index", "o"))
     return rows.select(
         "request_id", F.trim("device").alias("device"), "index",

@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pilotlamp.llm import decontaminate, mixing, quality
+from pilotlamp.llm import decontaminate, mixing, ngram_join, pii, quality
 from pilotlamp.llm.common import table
 from pilotlamp.session import shared_folder
 
@@ -16,11 +17,21 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates: five words, a Jaccard similarity of 0.8 or more."""
+    return ngram_join.keep_one(docs)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without contamination by the benchmark."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind."""
+    return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix(docs)
@@ -28,7 +39,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", drop_near_duplicates),
     ("benchmark decontamination", drop_benchmark),
+    ("PII", redact_personal_data),
     ("mixing sources to target weights", mix_sources),
 ]
 

@@ -54,3 +54,28 @@ def add_columns(
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], key: int = 0, rows: int = 20_000):
+    """Tables of at least ``rows`` rows, the last aside, that never cut a run of equal keys; the input is sorted by key."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        size += b.num_rows
+        if size < rows:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks()
+        keys = t.column(key)
+        low, high = 0, t.num_rows - 1  # first row of the last run
+        while low < high:
+            mid = (low + high) // 2
+            low, high = (low, mid) if keys[mid] == keys[t.num_rows - 1] else (mid + 1, high)
+        if low:
+            yield t.slice(0, low)
+        held, size = t.slice(low).to_batches(), t.num_rows - low
+        rows = max(rows, 2 * size)  # a long run is not looked at again for every batch
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

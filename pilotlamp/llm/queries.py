@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pilotlamp.llm import decontaminate, mixing, quality
+from pilotlamp.llm import decontaminate, mixing, ngram_join, pii, quality
 from pilotlamp.llm.common import table
 
 QUERIES = {}
@@ -95,3 +95,13 @@ def op3(spark, sf_dir):
 def op8(spark, sf_dir):
     found = quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op7_pii")
+def op7(spark, sf_dir):
+    return pii.digest(pii.find(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+
+
+@query("op1_ngram_join")
+def op1(spark, sf_dir):
+    return ngram_join.join(table(spark, sf_dir, "documents"))

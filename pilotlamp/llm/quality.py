@@ -4,7 +4,7 @@ Tokens are runs of letters and digits, or of other visible bytes. Each token fal
 slot has a sparse random index vector. A slot's context vector sums the index vectors of its neighbours over all
 documents; a document's features are the weighted mean of both kinds of vectors, their
 norms, and the share of tokens beside their like. The network learns
-from at most ``SAMPLE`` labelled rows that are not held out, and a temperature fitted on a part of them that it has
+from an even sample of about ``SAMPLE`` labelled rows that are not held out, and a temperature fitted on a part of them that it has
 not seen calibrates its probabilities.
 
 Null and empty texts get features of zero and a score like any other row. A row with a null ``doc_id`` is held out.
@@ -202,10 +202,10 @@ def score_quality(documents: DataFrame, labels: DataFrame, folds: int = 5, thres
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds, F.lit(0))
     features = durable(pooled(documents.withColumn("_fold", fold), context, count, [*without(kept, ["text"]), "_fold"]))
     known = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.round(F.avg("quality")).alias("_y"))
-    fit = (
-        features.where("_fold != 0").join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-        .select("features", "_y").toPandas()
-    )
+    learn = features.where("_fold != 0").join(known, "doc_id")
+    share = min(1.0, SAMPLE / max(1, learn.count()))  # an even share by hash, so that no task gathers a sample of its own
+    fit = learn.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share * 1_000_003).select("doc_id", "features", "_y").toPandas()
+    fit = fit.sort_values("doc_id", kind="stable")
     y = fit["_y"].to_numpy(dtype=np.float64)
     model = Network(np.stack(fit["features"]).astype(np.float64), y) if 0 < y.sum() < len(y) else Share(y)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # weights of fixed size

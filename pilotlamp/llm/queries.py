@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pilotlamp.llm import chat, decontaminate, merkle, mixing, ngram_join, pii, quality, warc
+from pilotlamp.llm import chat, decontaminate, merkle, mixing, ngram_join, pii, quality, url_filters, warc
 from pilotlamp.llm.common import table
 
 QUERIES = {}
@@ -199,3 +199,53 @@ FROM nxt JOIN two USING (doc_id)
 @query("op6_merkle", OP6)
 def op6(spark, sf_dir):
     return merkle.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+# The tables have no lists and no fetch times: both are derived from pages. A page is fetched on a day of 2024 by its
+# id; a host (or its domain) is listed, removed and listed again on days by its least page, its first directories
+# are allowed for a while.
+CAPTURES = "SELECT page_id, url, date_add(DATE'2024-01-01', CAST(page_id * 7919 % 366 AS INT)) AS fetched FROM {pages}"
+ENTRIES = """
+WITH p AS (SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+                  regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/+([^/?#]+)', 1) AS directory FROM {pages}),
+hosts AS (SELECT host, min(page_id) AS m FROM p WHERE host <> '' GROUP BY host),
+dirs AS (SELECT host, directory, min(page_id) AS m FROM p WHERE host <> '' AND directory <> '' GROUP BY host, directory),
+steps AS (
+  SELECT host, m, 'add' AS action, m * 37 % 200 AS day FROM hosts
+  UNION ALL SELECT host, m, 'remove' AS action, m * 37 % 200 + 40 + m % 50 AS day FROM hosts
+  UNION ALL SELECT host, m, 'add' AS action, m * 37 % 200 + 150 + m % 30 AS day FROM hosts
+)
+SELECT CASE WHEN m % 2 = 0 THEN 'domain' ELSE 'host' END AS kind,
+       CASE WHEN m % 2 = 0 AND host LIKE '%.%.%' THEN substring(host, instr(host, '.') + 1) ELSE host END AS pattern,
+       CASE m % 3 WHEN 0 THEN 'adult' WHEN 1 THEN 'malware' ELSE 'spam' END AS category, action, date_add(DATE'2024-01-01', CAST(day AS INT)) AS dated
+FROM steps
+UNION ALL SELECT 'prefix', concat(host, '/', directory), 'allow', 'add', date_add(DATE'2024-01-01', CAST(m * 53 % 366 AS INT)) FROM dirs
+UNION ALL SELECT 'prefix', concat(host, '/', directory), 'allow', 'remove', date_add(DATE'2024-01-01', CAST(m * 53 % 366 + 20 + m % 100 AS INT)) FROM dirs
+"""
+OP9 = (
+    f"WITH captures AS ({CAPTURES}), entries AS ({ENTRIES}),"
+    + """
+one AS (SELECT kind, pattern, category, dated, max(action) AS action FROM entries GROUP BY ALL),
+spans AS (SELECT *, lead(dated) OVER (PARTITION BY kind, pattern, category ORDER BY dated) AS until FROM one),
+c AS (
+  SELECT DISTINCT url, fetched, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)) AS host,
+         rtrim(regexp_replace(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+', '/', 'g'), '/') AS path
+  FROM captures
+),
+hits AS (
+  SELECT DISTINCT c.url, c.fetched, s.kind, s.pattern, s.category FROM c JOIN spans s
+  ON s.action = 'add' AND c.host <> '' AND c.fetched >= s.dated AND (s.until IS NULL OR c.fetched < s.until)
+  AND ((s.kind = 'host' AND c.host = s.pattern) OR (s.kind = 'domain' AND (c.host = s.pattern OR ends_with(c.host, '.' || s.pattern)))
+       OR (s.kind = 'prefix' AND (c.host || c.path = s.pattern OR starts_with(c.host || c.path, s.pattern || '/'))))
+),
+v AS (SELECT url, fetched, count(*) AS n, string_agg(DISTINCT category, ',' ORDER BY category) AS cats, bool_or(category = 'allow') AS allowed FROM hits GROUP BY ALL)
+SELECT captures.page_id, captures.url, captures.fetched, coalesce(n, 0) AS n_active, coalesce(cats, '') AS categories, n IS NOT NULL AND NOT allowed AS blocked
+FROM captures LEFT JOIN v ON captures.url IS NOT DISTINCT FROM v.url AND captures.fetched = v.fetched
+"""
+).replace("date_add(DATE'2024-01-01', ", "(DATE '2024-01-01' + ").replace("{pages}", "pages")
+
+
+@query("op9_url_filters", OP9)
+def op9(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.judge(spark.sql(CAPTURES, pages=pages), spark.sql(ENTRIES, pages=pages))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pilotlamp.llm import chat, decontaminate, merkle, mixing, ngram_join, pii, quality, url_filters, warc
+from pilotlamp.llm import chat, decontaminate, katz, merkle, mixing, ngram_join, pii, quality, url_filters, warc
 from pilotlamp.llm.common import table
 
 QUERIES = {}
@@ -249,3 +249,8 @@ FROM captures LEFT JOIN v ON captures.url IS NOT DISTINCT FROM v.url AND capture
 def op9(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filters.judge(spark.sql(CAPTURES, pages=pages), spark.sql(ENTRIES, pages=pages))
+
+
+@query("op10_katz")
+def op10(spark, sf_dir):
+    return katz.score(table(spark, sf_dir, "documents"))

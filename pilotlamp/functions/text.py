@@ -340,14 +340,24 @@ def frame_time(filename: Column) -> Column:
     return F.coalesce(F.when(t != "", t).cast("double"), F.when(f != "", f).cast("double"), F.lit(0.0))
 
 
-def natural_key(filename: Column, digits: int = 20) -> Column:
-    """Sort key: photos first, then text with numbers compared by value."""
+def natural_key(filename: Column) -> Column:
+    """Sort key: photos first, then text with numbers compared by value, of any length.
+
+    A number is written as the count of its digits, without leading zeros, and the digits; equal values of unequal
+    length are told apart by their zeros at the end of the key.
+    """
     lower = F.lower(filename)
     stem = F.regexp_replace(lower, r"\.[^.]*$", "")
     suffix = F.regexp_extract(lower, r"(\.[^.]*)$", 1)
     parts = F.regexp_extract_all(stem, F.lit(r"(\d+|\D+)"), F.lit(1))
-    padded = F.transform(parts, lambda p: F.when(p.rlike("^[0-9]"), F.lpad(p, digits, "0")).otherwise(p))
-    return F.concat(F.when(stem.startswith("photo"), "0").otherwise("1"), F.array_join(padded, ""), F.lit("|"), suffix)
+
+    def number(p: Column) -> Column:
+        value = F.regexp_replace(p, "^0+(?=[0-9])", "")
+        return F.concat(F.format_string("%08d", F.length(value)), value)
+
+    keyed = F.transform(parts, lambda p: F.when(p.rlike("^[0-9]"), number(p)).otherwise(p))
+    zeros = F.array_join(F.transform(F.filter(parts, lambda p: p.rlike("^[0-9]")), lambda p: F.length(p).cast("string")), ",")
+    return F.concat(F.when(stem.startswith("photo"), "0").otherwise("1"), F.array_join(keyed, ""), F.lit("|"), suffix, F.lit("|"), zeros)
 
 
 def clock_text(seconds: Column) -> Column:

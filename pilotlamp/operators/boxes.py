@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
 import pickle
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from pilotlamp.session import durable
 CORNERS = ["x1", "y1", "x2", "y2"]
 FOLD_BOXES = 512
 TRACK_MEMORY = 3
+SIZE_RATIO = 2.2
 
 
 def is_light_label(label: Column) -> Column:
@@ -162,21 +163,23 @@ def _fold(boxes: DataFrame, keys: list[str], order: ordered.Order, conflict: Con
     rest = [c for c in boxes.columns if c not in keys]
     item = F.struct(*_place(order, F.col), *[F.col(c) for c in rest])
     listed = boxes.groupBy(*keys).agg(F.sort_array(F.collect_list(item)).alias("all"))
+    listed = listed.withColumn("all", F.transform("all", lambda b, i: F.struct(i.alias("i"), b.alias("b"))))
     kind = listed.schema["all"].dataType
-    picked = F.aggregate("all", F.array().cast(kind), lambda kept, b: F.when(
-        F.exists(kept, lambda k: conflict(k, b)), kept).otherwise(F.array_append(kept, b)))
-    marked = listed.withColumn("picked", picked).select(
-        *keys, F.explode(F.transform("all", lambda b: F.struct(b.alias("b"), F.array_contains(F.col("picked"), b)
+    picked = F.aggregate("all", F.array().cast(kind), lambda kept, x: F.when(
+        F.exists(kept, lambda k: conflict(k["b"], x["b"])), kept).otherwise(F.array_append(kept, x)))
+    marked = listed.withColumn("picked", F.transform(picked, lambda x: x["i"])).select(
+        *keys, F.explode(F.transform("all", lambda x: F.struct(x["b"].alias("b"), F.array_contains(F.col("picked"), x["i"])
                                                                .alias("kept")))).alias("r"))
     return marked.select(*keys, *[F.col(f"r.b.{c}").alias(c) for c in rest], F.col("r.kept").alias("kept"))
 
 
 def _rounds(boxes: DataFrame, keys: list[str], order: ordered.Order, conflict: Conflict, reach: float) -> DataFrame:
+    """The same by rounds on a grid; ``_pl_row`` tells equal boxes apart, so one of them can win over the others."""
     rest = [c for c in boxes.columns if c not in keys]
-    extent = boxes.groupBy(*keys).agg(F.greatest(F.avg(F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))),
-                                                 F.lit(1.0)).alias("_pl_size"))
-    item = F.struct(*_place(order, F.col), *[F.col(c) for c in rest])
-    todo = durable(boxes.join(extent, keys).select(*keys, "_pl_size", item.alias("b")).withColumn(
+    spans = F.greatest(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
+    extent = boxes.groupBy(*keys).agg(F.greatest(F.avg(spans), F.lit(1.0)).alias("_pl_size"))
+    item = F.struct(*_place(order, F.col), *[F.col(c) for c in rest], F.monotonically_increasing_id().alias("_pl_row"))
+    todo = durable(ordered.join_keys(boxes, extent, keys).select(*keys, "_pl_size", item.alias("b")).withColumn(
         "cells", _cells(Box.of(struct=F.col("b")), F.col("_pl_size"), reach)))
     done: DataFrame | None = None
     while not todo.isEmpty():
@@ -184,12 +187,13 @@ def _rounds(boxes: DataFrame, keys: list[str], order: ordered.Order, conflict: C
         leaders = spots.groupBy(*keys, "cell").agg(F.min(F.struct("b", "n")).alias("lead"))
         kept = durable(leaders.groupBy(*keys, "lead").agg(F.count(F.lit(1)).alias("led"), F.collect_list("cell").alias("cells"))
                        .filter(F.col("led") == F.col("lead.n")).select(*keys, F.col("lead.b").alias("k"), "cells"))
-        near = spots.join(kept.select(*keys, "k", F.explode("cells").alias("cell")), [*keys, "cell"])
-        gone = near.filter((F.col("b") == F.col("k")) | conflict(F.col("k"), F.col("b"))).select(
-            *keys, "b", (F.col("b") == F.col("k")).alias("kept")).distinct()
+        near = ordered.join_keys(spots, kept.select(*keys, "k", F.explode("cells").alias("cell")), [*keys, "cell"])
+        same = F.col("b._pl_row") == F.col("k._pl_row")
+        gone = near.filter(same | conflict(F.col("k"), F.col("b"))).select(*keys, "b", same.alias("kept"))
         decided = durable(gone.groupBy(*keys, "b").agg(F.bool_or("kept").alias("kept")))
         done = decided if done is None else done.unionByName(decided)
-        todo = durable(todo.join(decided, [*keys, "b"], "left_anti"))
+        rows = decided.select(F.col("b._pl_row").alias("_pl_row"))
+        todo = durable(todo.withColumn("_pl_row", F.col("b._pl_row")).join(rows, "_pl_row", "left_anti").drop("_pl_row"))
     return done.select(*keys, *[F.col(f"b.{c}").alias(c) for c in rest], "kept")
 
 
@@ -275,21 +279,40 @@ def frame_positions(images: DataFrame) -> DataFrame:
     return ranked.withColumn("frame_pos", F.col("frame_pos") - 1).drop("_pl_t", "_pl_k")
 
 
-def _iou(a: tuple, b: tuple) -> float:
-    w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
-    if w <= 0 or h <= 0:
-        return 0.0
-    area = lambda r: max(0.0, r[2] - r[0]) * max(0.0, r[3] - r[1])
-    union = area(a) + area(b) - w * h
-    return w * h / union if union > 0 else 0.0
-
-
-def _similar_size(a: tuple, b: tuple) -> bool:
-    for i in (0, 1):
-        s, t = max(1.0, a[i + 2] - a[i]), max(1.0, b[i + 2] - b[i])
-        if max(s / t, t / s) > 2.2:
-            return False
-    return True
+class _Tracks:
+    """Open tracks of one group as arrays: last box, last frame, opening box id, and the frame that used them."""
+
+    def __init__(self) -> None:
+        self.box, self.frame, self.used, self.ids = np.zeros((0, 4)), np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+    def forget(self, frame: int) -> None:
+        stay = np.flatnonzero(frame - self.frame <= TRACK_MEMORY)
+        self.box, self.frame, self.used, self.ids = self.box[stay], self.frame[stay], self.used[stay], [self.ids[i] for i in stay]
+
+    def scores(self, box: np.ndarray, frame: int, scale: np.ndarray, min_iou: float, max_move: float) -> np.ndarray:
+        """Score of the box with every track, -1 where they may not be joined."""
+        size, sizes = np.maximum(box[2:] - box[:2], 1.0), np.maximum(self.box[:, 2:] - self.box[:, :2], 1.0)
+        alike = np.maximum(size / sizes, sizes / size).max(axis=1) <= SIZE_RATIO
+        sides = np.minimum(self.box[:, 2:], box[2:]) - np.maximum(self.box[:, :2], box[:2])
+        common = np.where((sides > 0).all(axis=1), sides.prod(axis=1), 0.0)
+        areas = np.maximum(self.box[:, 2:] - self.box[:, :2], 0.0).prod(axis=1) + np.maximum(box[2:] - box[:2], 0.0).prod()
+        union = areas - common
+        overlap = np.divide(common, union, out=np.zeros_like(common), where=(common > 0) & (union > 0))
+        centres = ((box[:2] + box[2:]) - (self.box[:, :2] + self.box[:, 2:])) / 2 / scale
+        move = np.hypot(centres[:, 0], centres[:, 1])
+        may = alike & (self.used != frame) & ((overlap >= min_iou) | (move <= max_move))
+        return np.where(may, overlap * 3.0 + np.maximum(0.0, 0.006 - move) / 0.006, -1.0)
+
+    def place(self, box_id, box: np.ndarray, frame: int, score: np.ndarray):
+        """Joins the best track, the one opened first among equals, or opens one; returns the track's id."""
+        if len(score) and score.max() >= 0:
+            i = int(score.argmax())
+            self.box[i], self.frame[i], self.used[i] = box, frame, frame
+            return self.ids[i]
+        self.box = np.vstack([self.box, box])
+        self.frame, self.used = np.append(self.frame, frame), np.append(self.used, -1)
+        self.ids.append(box_id)
+        return box_id
 
 
 def track_boxes(boxes: DataFrame, chunk_rows: int = 100_000) -> DataFrame:
@@ -304,40 +327,17 @@ def track_boxes(boxes: DataFrame, chunk_rows: int = 100_000) -> DataFrame:
                            T.StructField("track", boxes.schema["box_id"].dataType)])
 
     def step(pdf: pd.DataFrame, state: bytes | None) -> tuple[pd.DataFrame, bytes]:
-        frame, live, used = pickle.loads(state) if state else (None, [], set())
-        out = []
-        strict = pdf["track_group"].iloc[0] == "__photos__"
-        min_iou, max_move = (0.45, 0.003) if strict else (0.18, 0.006)
-        for pos, box_id, x1, y1, x2, y2, w, h in zip(*(pdf[c] for c in ("frame_pos", "box_id", *CORNERS, "width",
-                                                                        "height"))):
-            pos, box = int(pos), (float(x1), float(y1), float(x2), float(y2))
-            if pos != frame:
-                frame, used = pos, set()
-                live = [t for t in live if pos - t[2] <= TRACK_MEMORY]
-            best, best_score = None, -1.0
-            for t in live:
-                if t[0] in used or not _similar_size(box, t[1]):
-                    continue
-                o = t[1]
-                overlap = _iou(box, o)
-                move = math.hypot((box[0] + box[2] - o[0] - o[2]) / 2 / max(float(w), 1.0),
-                                  (box[1] + box[3] - o[1] - o[3]) / 2 / max(float(h), 1.0))
-                if overlap < min_iou and move > max_move:
-                    continue
-                score = overlap * 3.0 + max(0.0, 0.006 - move) / 0.006
-                if score > best_score:
-                    best, best_score = t, score
-            if best is None:
-                live.append([box_id, box, pos])
-                out.append((box_id, box_id))
-            else:
-                used.add(best[0])
-                best[1], best[2] = box, pos
-                out.append((box_id, best[0]))
-        rows = pd.DataFrame(out, columns=["box_id", "track"])
-        rows.insert(0, "track_group", pdf["track_group"].iloc[0])
-        rows.insert(0, "device", pdf["device"].iloc[0])
-        return rows, pickle.dumps((frame, live, used))
+        tracks, last = pickle.loads(state) if state else (_Tracks(), None)
+        limits = (0.45, 0.003) if pdf["track_group"].iloc[0] == "__photos__" else (0.18, 0.006)
+        corners = pdf[CORNERS].to_numpy(dtype=np.float64)
+        scale = np.maximum(pdf[["width", "height"]].to_numpy(dtype=np.float64), 1.0)
+        found = []
+        for i, (frame, box_id) in enumerate(zip(pdf["frame_pos"].astype(int), pdf["box_id"])):
+            if frame != last:
+                tracks.forget(frame)
+                last = frame
+            found.append(tracks.place(box_id, corners[i], frame, tracks.scores(corners[i], frame, scale[i], *limits)))
+        return pdf[[*keys, "box_id"]].assign(track=found), pickle.dumps((tracks, last))
 
     order = [("frame_pos", "asc"), ("ann_idx", "asc")]
     needed = boxes.select(*keys, "frame_pos", "ann_idx", "box_id", *CORNERS, "width", "height")

@@ -1,12 +1,10 @@
 """Ranks, fill-down, sliding windows and folds that stay balanced when one group holds most rows.
 
-A plain ``Window.partitionBy(key)`` sends a whole group to one task. Here only groups above
-``bucket_rows`` are cut into ranges of the order column: a range is one window partition, and a small
-table of range sizes supplies what each range needs from the ranges before it. Range limits come from
-min/max/count, which do not change when a lost executor forces a recomputation.
-
-There are at most ``rows / bucket_rows`` large groups, so the tables of large groups and their ranges
-are small by construction; those are the only tables broadcast here.
+A plain ``Window.partitionBy(key)`` sends a whole group to one task. Where the largest group is above
+``bucket_rows``, the table is dealt by range of keys and order columns, so that a large group covers several
+ranges, however its values are spread: a range is one window partition, and a small table of range sums supplies
+what each range needs from those before it. Range limits are sampled, so the dealt table is written once to
+the shared folder and read by all later steps; a lost executor cannot change the limits.
 """
 
 from __future__ import annotations
@@ -21,7 +19,7 @@ from pyspark.sql import types as T
 from pilotlamp.session import durable
 
 BUCKET_ROWS = 1_000_000
-RANGES_PER_BUCKET = 16
+BROADCAST_RANGES = 50_000
 Order = Sequence[tuple[str, str]]
 
 
@@ -29,163 +27,105 @@ def sort_columns(order: Order) -> list[Column]:
     return [F.col(c).asc() if d == "asc" else F.col(c).desc() for c, d in order]
 
 
-def _text_code(s: Column, width: int = 4) -> Column:
-    """A number that never decreases as ``s`` grows in byte order (first ``width`` bytes)."""
-    raw = F.rpad(F.substring(F.hex(F.encode(s, "UTF-8")), 1, 2 * width), 2 * width, "0")
-    return F.conv(raw, 16, 10).cast("double")
-
+def _renamed(keys: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
 
-def _common_prefix(a: Column, b: Column) -> Column:
-    shorter = F.least(F.length(a), F.length(b))
-    same = F.filter(F.sequence(F.lit(1), F.greatest(shorter, F.lit(1))),
-                    lambda i: (i <= shorter) & (F.substr(a, F.lit(1), i) == F.substr(b, F.lit(1), i)))
-    return F.size(same)
 
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join by equal keys where NULL equals NULL; the columns of ``left``, then the other columns of ``right``."""
+    keys = list(keys)
+    other = right.select(*_renamed(keys, "_ord_j"), *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & left[k].eqNullSafe(other[f"_ord_j{i}"])
+    out = left.join(other, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_ord_j{i}" for i in range(len(keys))])
 
-def _numeric(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    return F.col(name).cast("double")
 
+def bucketize(df: DataFrame, keys: Sequence[str], order: Order, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
+    """``df`` with ``_ord_b``, a range number that grows with ``order`` inside each group, and the number of ranges.
 
-def _same(left: Sequence[str], prefix: str) -> Column:
-    cond = F.lit(True)
-    for i, k in enumerate(left):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
-    return cond
+    Ranges are cut by the keys, all order columns and a row number, so neither outliers nor ties make a long one.
+    One range (all 0) when no group is above ``bucket_rows``.
+    """
+    largest, total = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    if not total or largest <= bucket_rows:
+        return df.withColumn("_ord_b", F.lit(0).cast("long")), 1
+    ranges = -(-2 * total // bucket_rows)
+    by = [*[F.col(k).asc() for k in keys], *sort_columns(order), F.col("_ord_tie").asc()]
+    dealt = df.withColumn("_ord_tie", F.monotonically_increasing_id()).repartitionByRange(ranges, *by)
+    return durable(dealt.drop("_ord_tie").withColumn("_ord_b", F.spark_partition_id().cast("long"))), ranges
 
 
-def _renamed(keys: Sequence[str], prefix: str) -> list[Column]:
-    return [F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)]
+def _before(b: DataFrame, keys: Sequence[str], ranges: int, sums: Sequence[Column], carry: Sequence[Column]) -> DataFrame:
+    """``sums`` per range of a group, turned by ``carry`` into what its later ranges need, one row for each of those.
 
+    A group that lies in one range has none, so there are at most twice as many rows as ranges.
+    """
+    names = [f"_ord_o{i}" for i in range(len(keys))]
+    over = Window.partitionBy(*names).orderBy("_ord_ob")
+    per_range = b.groupBy(*_renamed(keys, "_ord_o"), F.col("_ord_b").alias("_ord_ob")).agg(*sums)
+    later = per_range.select(*names, "_ord_ob", F.row_number().over(over).alias("_ord_rank"), *[
+        c.over(over.rowsBetween(Window.unboundedPreceding, -1)).alias(f"_ord_c{i}") for i, c in enumerate(carry)])
+    later = later.filter("_ord_rank > 1").drop("_ord_rank")
+    return F.broadcast(later) if ranges <= BROADCAST_RANGES else later
 
-def bucketize(df: DataFrame, keys: Sequence[str], order: Order, bucket_rows: int = BUCKET_ROWS,
-              split_ties: bool = False) -> DataFrame:
-    """Add ``_ord_b``, a range number that grows with ``order`` inside each group (0 for small groups).
 
-    ``split_ties`` cuts ranges that hold one value of the first order column by the second one.
-    """
-    first, direction = order[0]
-    text = isinstance(df.schema[first].dataType, T.StringType)
-    big = (
-        df.groupBy(*_renamed(keys, "_ord_g"))
-        .agg(F.count(F.lit(1)).alias("_ord_n"), F.min(first).alias("_ord_lo"), F.max(first).alias("_ord_hi"))
-        .filter(F.col("_ord_n") > bucket_rows)
-    )
-    if text:
-        big = big.withColumn("_ord_skip", _common_prefix(F.col("_ord_lo"), F.col("_ord_hi")))
-
-        def code(c: str) -> Column:
-            return _text_code(F.substr(F.col(c), F.col("_ord_skip") + 1, F.lit(8)))
-    else:
-        def code(c: str) -> Column:
-            return _numeric(out, c)
-    out = df.join(F.broadcast(big), _same(keys, "_ord_g"), "left")
-    ranges = F.ceil(F.col("_ord_n") / F.lit(float(bucket_rows))) * RANGES_PER_BUCKET
-    span = code("_ord_hi") - code("_ord_lo")
-    at = F.floor((code(first) - code("_ord_lo")) / F.greatest(span, F.lit(1e-9)) * ranges)
-    at = F.least(at, ranges - 1)
-    bucket = F.coalesce(at, F.lit(-1)) if direction == "asc" else F.coalesce(ranges - 1 - at, F.lit(2**40))
-    out = out.withColumn("_ord_b", F.when(F.col("_ord_n").isNull(), F.lit(0)).otherwise(bucket).cast("long"))
-    out = out.drop(*[c for c in big.columns if c != "_ord_n"])
-    if split_ties and len(order) > 1:
-        out = _split_ties(out, keys, order, bucket_rows)
-    return out.drop("_ord_n")
-
-
-def _split_ties(df: DataFrame, keys: Sequence[str], order: Order, bucket_rows: int) -> DataFrame:
-    (first, _), (second, direction) = order[0], order[1]
-    if isinstance(df.schema[second].dataType, T.StringType):
-        raise ValueError("ties can be split on a numeric or time column only")
-    parts = [*keys, "_ord_b"]
-    tied = (
-        df.filter(F.col("_ord_n").isNotNull())
-        .withColumn("_ord_x", _numeric(df, second))
-        .groupBy(*_renamed(parts, "_ord_t"))
-        .agg(F.count(F.lit(1)).alias("_ord_m"), F.min(first).alias("_ord_f0"), F.max(first).alias("_ord_f1"),
-             F.min("_ord_x").alias("_ord_x0"), F.max("_ord_x").alias("_ord_x1"))
-        .filter((F.col("_ord_m") > bucket_rows) & F.col("_ord_f0").eqNullSafe(F.col("_ord_f1")))
-    )
-    out = df.join(F.broadcast(tied), _same(parts, "_ord_t"), "left")
-    ranges = F.ceil(F.col("_ord_m") / F.lit(float(bucket_rows))) * RANGES_PER_BUCKET
-    at = F.floor((_numeric(df, second) - F.col("_ord_x0"))
-                 / F.greatest(F.col("_ord_x1") - F.col("_ord_x0"), F.lit(1e-9)) * ranges)
-    at = F.least(at, ranges - 1)
-    sub = F.coalesce(at if direction == "asc" else ranges - 1 - at, F.lit(0))
-    wide = F.lit(1 << 20)
-    return out.withColumn("_ord_b", (F.col("_ord_b") * wide + sub).cast("long")).drop(*tied.columns)
+def _with_before(rows: DataFrame, later: DataFrame, keys: Sequence[str]) -> DataFrame:
+    cond = F.col("_ord_b") == F.col("_ord_ob")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_ord_o{i}"))
+    return rows.join(later, cond, "left").drop("_ord_ob", *[f"_ord_o{i}" for i in range(len(keys))])
 
 
 def rank_in_groups(df: DataFrame, keys: Sequence[str], order: Order, rank_col: str = "rn",
-                   bucket_rows: int = BUCKET_ROWS, split_ties: bool = False) -> DataFrame:
+                   bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """1-based position of each row in its group; ``order`` must be total for a repeatable result."""
-    b = bucketize(df, keys, order, bucket_rows, split_ties)
-    parts = [*keys, "_ord_b"]
-    before = Window.partitionBy(*[f"_ord_o{i}" for i in range(len(keys))]).orderBy(f"_ord_o{len(keys)}")
-    offsets = (
-        b.groupBy(*_renamed(parts, "_ord_o")).agg(F.count(F.lit(1)).alias("_ord_c"))
-        .withColumn("_ord_before", F.sum("_ord_c").over(before.rowsBetween(Window.unboundedPreceding, -1)))
-        .filter(F.col("_ord_before") > 0).drop("_ord_c")
-    )
-    local = b.withColumn("_ord_r", F.row_number().over(Window.partitionBy(*parts).orderBy(*sort_columns(order))))
-    out = local.join(F.broadcast(offsets), _same(parts, "_ord_o"), "left")
-    return (
-        out.withColumn(rank_col, (F.col("_ord_r") + F.coalesce("_ord_before", F.lit(0))).cast("long"))
-        .drop("_ord_b", "_ord_r", *offsets.columns)
-    )
+    b, ranges = bucketize(df, keys, order, bucket_rows)
+    local = F.row_number().over(Window.partitionBy(*keys, "_ord_b").orderBy(*sort_columns(order)))
+    if ranges == 1:
+        return b.withColumn(rank_col, local.cast("long")).drop("_ord_b")
+    later = _before(b, keys, ranges, [F.count(F.lit(1)).alias("_ord_n")], [F.sum("_ord_n")])
+    out = _with_before(b.withColumn("_ord_r", local), later, keys)
+    return out.withColumn(rank_col, (F.col("_ord_r") + F.coalesce("_ord_c0", F.lit(0))).cast("long")).drop(
+        "_ord_b", "_ord_r", "_ord_c0")
 
 
 def prefix_sum(df: DataFrame, keys: Sequence[str], order: Order, value: str, out_col: str,
-               bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Sum of ``value`` over the rows before the current one in its group (0 for the first)."""
-    b = bucketize(df, keys, order, bucket_rows)
-    parts = [*keys, "_ord_b"]
-    before = Window.partitionBy(*[f"_ord_o{i}" for i in range(len(keys))]).orderBy(f"_ord_o{len(keys)}")
-    offsets = (
-        b.groupBy(*_renamed(parts, "_ord_o")).agg(F.sum(value).alias("_ord_c"))
-        .withColumn("_ord_rank", F.row_number().over(before))
-        .withColumn("_ord_before", F.sum("_ord_c").over(before.rowsBetween(Window.unboundedPreceding, -1)))
-        .filter(F.col("_ord_rank") > 1).drop("_ord_c", "_ord_rank")
-    )
-    w = Window.partitionBy(*parts).orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, -1)
-    out = b.withColumn("_ord_r", F.coalesce(F.sum(value).over(w), F.lit(0)))
-    out = out.join(F.broadcast(offsets), _same(parts, "_ord_o"), "left")
-    return (
-        out.withColumn(out_col, F.col("_ord_r") + F.coalesce("_ord_before", F.lit(0)))
-        .drop("_ord_b", "_ord_r", *offsets.columns)
-    )
+               bucket_rows: int = BUCKET_ROWS, rank_col: str | None = None) -> DataFrame:
+    """Sum of ``value`` over the rows before the current one in its group (0 for the first), and its rank if named."""
+    b, ranges = bucketize(df, keys, order, bucket_rows)
+    w = Window.partitionBy(*keys, "_ord_b").orderBy(*sort_columns(order))
+    local = {out_col: F.coalesce(F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))}
+    if rank_col:
+        local[rank_col] = F.row_number().over(w).cast("long")
+    out = b.withColumns(local)
+    if ranges == 1:
+        return out.drop("_ord_b")
+    later = _before(b, keys, ranges, [F.sum(value).alias("_ord_s"), F.count(F.lit(1)).alias("_ord_n")],
+                    [F.sum("_ord_s"), F.sum("_ord_n")])
+    out = _with_before(out, later, keys)
+    out = out.withColumns({c: F.col(c) + F.coalesce(f"_ord_c{i}", F.lit(0)) for i, c in enumerate(local)})
+    return out.drop("_ord_b", "_ord_c0", "_ord_c1")
 
 
 def fill_down(df: DataFrame, keys: Sequence[str], order: Order, columns: Sequence[str],
               bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Replace NULLs by the last non-NULL value above them in the group."""
-    b = bucketize(df, keys, order, bucket_rows)
-    parts = [*keys, "_ord_b"]
-    w = Window.partitionBy(*parts).orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
-    position = F.struct(*[F.col(c) for c, _ in order])
-    pick = F.max_by if order[0][1] == "asc" else F.min_by
     if len({d for _, d in order}) > 1:
         raise ValueError("fill_down needs one direction for all order columns")
-    before = (
-        Window.partitionBy(*[f"_ord_o{i}" for i in range(len(keys))]).orderBy(f"_ord_o{len(keys)}")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = b.groupBy(*_renamed(parts, "_ord_o")).agg(
-        *[pick(F.col(c), F.when(F.col(c).isNotNull(), position)).alias(f"_ord_v{i}") for i, c in enumerate(columns)])
-    first_range = Window.partitionBy(*[f"_ord_o{i}" for i in range(len(keys))]).orderBy(f"_ord_o{len(keys)}")
-    carried = carried.select(
-        *[f"_ord_o{i}" for i in range(len(parts))],
-        F.row_number().over(first_range).alias("_ord_rank"),
-        *[F.last(f"_ord_v{i}", ignorenulls=True).over(before).alias(f"_ord_c{i}") for i in range(len(columns))],
-    ).filter(F.col("_ord_rank") > 1).drop("_ord_rank")
-    out = b.select("*", *[F.last(c, ignorenulls=True).over(w).alias(f"_ord_l{i}") for i, c in enumerate(columns)])
-    out = out.join(F.broadcast(carried), _same(parts, "_ord_o"), "left")
-    for i, c in enumerate(columns):
-        out = out.withColumn(c, F.coalesce(F.col(f"_ord_l{i}"), F.col(f"_ord_c{i}")))
-    return out.select(*df.columns)
+    b, ranges = bucketize(df, keys, order, bucket_rows)
+    w = Window.partitionBy(*keys, "_ord_b").orderBy(*sort_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
+    filled = {f"_ord_l{i}": F.last(c, ignorenulls=True).over(w) for i, c in enumerate(columns)}
+    out = b.withColumns(filled)
+    if ranges > 1:
+        position = F.struct(*[F.col(c) for c, _ in order])
+        pick = F.max_by if order[0][1] == "asc" else F.min_by
+        last = [pick(F.col(c), F.when(F.col(c).isNotNull(), position)).alias(f"_ord_v{i}") for i, c in enumerate(columns)]
+        later = _before(b, keys, ranges, last, [F.last(f"_ord_v{i}", ignorenulls=True) for i in range(len(columns))])
+        out = _with_before(out, later, keys)
+        out = out.withColumns({f"_ord_l{i}": F.coalesce(f"_ord_l{i}", f"_ord_c{i}") for i in range(len(columns))})
+    return out.withColumns({c: F.col(f"_ord_l{i}") for i, c in enumerate(columns)}).select(*df.columns)
 
 
 def trailing(df: DataFrame, keys: Sequence[str], order: Order, size: int, aggregate: Column, out_col: str,
@@ -210,14 +150,14 @@ def trailing(df: DataFrame, keys: Sequence[str], order: Order, size: int, aggreg
 def with_size(df: DataFrame, keys: Sequence[str], out_col: str = "n", where: Column | None = None) -> DataFrame:
     """Add the group size (of the rows where ``where`` holds)."""
     count = F.count(F.lit(1)) if where is None else F.count_if(where)
-    return df.join(df.groupBy(*keys).agg(count.alias(out_col)), list(keys))
+    return join_keys(df, df.groupBy(*keys).agg(count.alias(out_col)), keys)
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:
     """Quantiles with linear interpolation per group, from ranks instead of a whole group in memory."""
     rows = df.filter(F.col(value).isNotNull()).select(*keys, value)
     ranked = rank_in_groups(rows, keys, [(value, "asc")], "_ord_rn")
-    sized = ranked.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ord_size")), list(keys))
+    sized = with_size(ranked, keys, "_ord_size")
     at = {name: (F.col("_ord_size") - 1) * F.lit(p) for name, p in shares.items()}
     place = F.col("_ord_rn") - 1
     near = F.lit(False)
@@ -292,7 +232,9 @@ def fold_in_order(df: DataFrame, keys: Sequence[str], order: Order, step: Step,
     ascending = [d == "asc" for _, d in order]
 
     def whole(pdf: pd.DataFrame) -> pd.DataFrame:
-        return step(pdf.sort_values(names, ascending=ascending, kind="stable").reset_index(drop=True), None)[0]
+        for name, up in reversed(list(zip(names, ascending))):  # NULLs stand as in Spark: first when rising, else last
+            pdf = pdf.sort_values(name, ascending=up, kind="stable", na_position="first" if up else "last")
+        return step(pdf.reset_index(drop=True), None)[0]
 
     largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
     if largest is None or largest <= chunk_rows:
@@ -325,17 +267,16 @@ def fold_in_order(df: DataFrame, keys: Sequence[str], order: Order, step: Step,
         todo = todo.filter("_ord_chunk = 0")
     on = [*keys, "_ord_chunk"]
     while True:
-        ran = rows.join(todo, on).groupBy(*on).applyInPandas(close, state_schema)
+        ran = join_keys(rows, todo, on).groupBy(*on).applyInPandas(close, state_schema)
+        used = todo.select(*on, F.col("_ord_in").alias("_ord_used"), F.lit(True).alias("_ord_hit"))
         states = durable(
-            states.join(todo.select(*on, F.col("_ord_in").alias("_ord_used"), F.lit(True).alias("_ord_hit")), on, "left")
-            .join(ran.withColumnRenamed("_ord_out", "_ord_new"), on, "left")
-            .select(*on, F.when(F.col("_ord_hit"), F.col("_ord_used")).otherwise(F.col("_ord_in")).alias("_ord_in"),
+            join_keys(join_keys(states, used, on, "left"), ran.withColumnRenamed("_ord_out", "_ord_new"), on, "left").select(*on, F.when(F.col("_ord_hit"), F.col("_ord_used")).otherwise(F.col("_ord_in")).alias("_ord_in"),
                     F.when(F.col("_ord_hit"), F.col("_ord_new")).otherwise(F.col("_ord_out")).alias("_ord_out")))
         earlier = states.select(*keys, (F.col("_ord_chunk") + 1).alias("_ord_chunk"), F.col("_ord_out").alias("_ord_prev"))
-        todo = (states.join(earlier, on)
+        todo = (join_keys(states, earlier, on)
                 .filter(F.col("_ord_prev").isNotNull() & ~F.col("_ord_prev").eqNullSafe(F.col("_ord_in")))
                 .select(*on, F.col("_ord_prev").alias("_ord_in")))
         todo = durable(todo)
         if todo.isEmpty():
             break
-    return (rows.join(states.select(*on, "_ord_in"), on).groupBy(*on).applyInPandas(emit, out_schema))
+    return join_keys(rows, states.select(*on, "_ord_in"), on).groupBy(*on).applyInPandas(emit, out_schema)

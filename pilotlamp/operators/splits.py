@@ -69,7 +69,7 @@ def assign_largest_first(images: DataFrame, keys: Sequence[str], group: str, tra
     sizes = _group_sizes(images, keys, group)
     total = sizes.groupBy(*keys).agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("groups"))
     t = target_counts(F.col("total"), train, val)
-    rows = sizes.join(total, keys).withColumn("t", t).select(
+    rows = ordered.join_keys(sizes, total, keys).withColumn("t", t).select(
         *keys, group, "size", "groups", *[F.col(f"t.{s}").alias(f"t_{s}") for s in SPLITS])
     schema = T.StructType([*[rows.schema[k] for k in keys], rows.schema[group], T.StructField("split", T.StringType())])
 
@@ -96,9 +96,10 @@ def split_devices(images: DataFrame, keys: Sequence[str], group: str, name: str,
     """Group split where there are three groups, else a split in name order; adds split and strategy."""
     keys = list(keys)
     many = _group_sizes(images, keys, group).groupBy(*keys).agg(F.count(F.lit(1)).alias("_pl_g")).filter("_pl_g >= 3")
-    grouped = images.join(many.select(*keys), keys, "left_semi")
-    by_group = grouped.join(assign_largest_first(grouped, keys, group, train, val), [*keys, group])
-    by_name = split_by_name(images.join(many.select(*keys), keys, "left_anti"), keys, name, train, val)
+    grouped = ordered.join_keys(images, many.select(*keys), keys, "left_semi")
+    assigned = assign_largest_first(grouped, keys, group, train, val)
+    by_group = ordered.join_keys(grouped, assigned, [*keys, group])
+    by_name = split_by_name(ordered.join_keys(images, many.select(*keys), keys, "left_anti"), keys, name, train, val)
     return by_group.withColumn("strategy", F.lit("video_group")).unionByName(
         by_name.withColumn("strategy", F.lit("image_level")))
 
@@ -115,17 +116,16 @@ def assign_shuffled(images: DataFrame, keys: Sequence[str], group: str, train: f
     sizes = _group_sizes(images, keys, group).withColumn(
         "_pl_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(group).cast("string"))))
     order = [("_pl_h", "asc"), (group, "asc")]
-    run = ordered.prefix_sum(sizes, keys, order, "size", "_pl_before")
-    run = ordered.rank_in_groups(run, keys, order, "_pl_rn")
+    run = ordered.prefix_sum(sizes, keys, order, "size", "_pl_before", rank_col="_pl_rn")
     total = sizes.groupBy(*keys).agg(F.sum("size").alias("_pl_total"))
-    run = run.join(total, keys)
+    run = ordered.join_keys(run, total, keys)
     in_train = F.col("_pl_before") < F.col("_pl_total") * train
     used = run.filter(in_train).groupBy(*keys).agg(F.sum("size").alias("_pl_used"))
-    run = run.join(used, keys, "left")
+    run = ordered.join_keys(run, used, keys, "left")
     in_val = F.col("_pl_before") - F.coalesce("_pl_used", F.lit(0)) < F.col("_pl_total") * val
     run = run.withColumn("split", F.when(in_train, "train").when(in_val, "val").otherwise("test"))
     have = run.groupBy(*keys).agg(*[F.count_if(F.col("split") == s).alias(f"_pl_{s}") for s in SPLITS])
-    run = run.join(have, keys)
+    run = ordered.join_keys(run, have, keys)
     a, b, c, r = (F.col(f"_pl_{x}") for x in ("train", "val", "test", "rn"))
     enough = a + b + c >= 3
     moved = (F.when(enough & (b == 0) & (c == 0), F.when(r == a, "val").when(r == a - 1, "test"))
@@ -135,7 +135,7 @@ def assign_shuffled(images: DataFrame, keys: Sequence[str], group: str, train: f
 
 
 def apply_splits(images: DataFrame, assigned: DataFrame, keys: Sequence[str], group: str) -> DataFrame:
-    return images.join(assigned.select(*keys, group, "split"), [*keys, group])
+    return ordered.join_keys(images, assigned.select(*keys, group, "split"), [*keys, group])
 
 
 def missing_classes(rows: DataFrame, label: str) -> DataFrame:

@@ -3,13 +3,15 @@
 import pickle
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pilotlamp.operators import boxes as B
-from pilotlamp.operators import matching, ordered
+from pilotlamp.functions import text
+from pilotlamp.operators import frames, matching, ordered
 from pilotlamp.operators import splits as S
 
 RNG = random.Random(7)
@@ -32,7 +34,30 @@ def test_rank_in_groups(spark):
         same(ordered.rank_in_groups(df, ["k"], order, bucket_rows=10), want)
     order = [("x", "asc"), ("id", "desc")]
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*ordered.sort_columns(order))).cast("long"))
-    same(ordered.rank_in_groups(df, ["k"], order, bucket_rows=5, split_ties=True), want)
+    same(ordered.rank_in_groups(df, ["k"], order, bucket_rows=5), want)
+
+
+def test_ranges_stay_short(spark):
+    """Outliers, names with a common prefix, one-value columns, NULL keys and NULL order values; at most twice the limit."""
+    n, limit = 1000, 50
+    cases = {
+        "outlier": [(None, 10**12 if i == 0 else i, i) for i in range(n)],
+        "ties": [("k", 7, i) for i in range(n)],
+        "prefix": [("k", f"same_prefix_{'a' if i == 0 else 'z' if i == 1 else 'm'}{i:025d}", i) for i in range(n)],
+        "nulls": [("k" if i % 3 else None, None if i % 2 else i, i) for i in range(n)],
+        "equal": [("k", 1, 1) for _ in range(n)],
+    }
+    for name, rows in cases.items():
+        kind = "string" if name == "prefix" else "long"
+        df = spark.createDataFrame(rows, f"k string, x {kind}, id long").repartition(4)
+        order = [("x", "desc"), ("id", "asc")]
+        b, ranges = ordered.bucketize(df, ["k"], order, limit)
+        assert ranges > 10 and b.groupBy("k", "_ord_b").count().agg(F.max("count")).first()[0] <= 2 * limit, name
+        want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy(*ordered.sort_columns(order))).cast("long"))
+        same(ordered.rank_in_groups(df, ["k"], order, bucket_rows=limit), want)
+    whole = spark.range(500).select((F.col("id") % 5).alias("device"), "id")
+    b, _ = ordered.bucketize(whole, [], [("device", "asc"), ("id", "asc")], 20)
+    assert b.groupBy("_ord_b").count().agg(F.max("count")).first()[0] <= 40
 
 
 def test_prefix_sum_and_fill_down(spark):
@@ -79,6 +104,60 @@ def test_fold_in_chunks_equals_one_pass(spark):
         same(ordered.fold_in_order(df, ["k"], order, step(last), schema, chunk_rows=60, settle=settle), whole)
 
 
+def test_fold_keeps_null_keys_and_null_order(spark):
+    rows = [(None if i % 2 else "k", None if i % 5 == 0 else i % 7, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, x long, id long")
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("id", T.LongType()), T.StructField("before", T.LongType())])
+
+    def step(pdf, state):
+        last = pickle.loads(state) if state else -1
+        before = [last, *pdf["id"].tolist()[:-1]]
+        return pd.DataFrame({"k": pdf["k"], "id": pdf["id"], "before": before}), pickle.dumps(int(pdf["id"].iloc[-1]))
+
+    for order in ([("x", "asc"), ("id", "asc")], [("x", "desc"), ("id", "desc")]):
+        w = Window.partitionBy("k").orderBy(*ordered.sort_columns(order))
+        want = df.select("k", "id", F.coalesce(F.lag("id").over(w), F.lit(-1)).alias("before"))
+        for limit in (1000, 7):
+            same(ordered.fold_in_order(df, ["k"], order, step, schema, chunk_rows=limit), want)
+
+
+def test_suppression_of_equal_boxes_and_null_images(spark):
+    box = (0.0, 0.0, 10.0, 10.0, 1, 0.5)
+    rows = [(None, *box)] * 4 + [(1, *box)] * 3 + [(None, 50.0, 50.0, 60.0, 60.0, 1, 0.4), (1, 0.0, 0.0, 9.0, 10.0, 1, 0.9)]
+    df = spark.createDataFrame(rows, "image int, x1 double, y1 double, x2 double, y2 double, class_id int, score double")
+    order = [("score", "desc"), ("x1", "asc")]
+    for limit in (100, 1):
+        got = B.suppress(df, ["image"], order, B.overlap_conflict(0.5), fold_boxes=limit)
+        assert got.count() == len(rows)
+        assert sorted((str(r.image), r.score) for r in got.filter("kept").collect()) == [("1", 0.9), ("None", 0.4), ("None", 0.5)]
+
+
+def test_natural_key_of_long_numbers(spark):
+    names = [f"a_{'9' * 30}{i}.png" for i in (2, 9, 1)] + ["a_10.png", "a_9.png", "a_09.png", "photo_3.png"]
+    df = spark.createDataFrame([(n,) for n in names], "f string").orderBy(text.natural_key(F.col("f")))
+    assert [r.f for r in df.collect()] == ["photo_3.png", "a_9.png", "a_09.png", "a_10.png"] + [f"a_{'9' * 30}{i}.png" for i in (1, 2, 9)]
+
+
+def test_striding_picks_follow_the_rule():
+    def plain(sizes, target, groups):
+        """One pick at a time, as the rule is worded."""
+        at, picks = dict.fromkeys(range(len(sizes)), 0), []
+        while len(picks) < target and any(at[g] < sizes[g] for g in at):
+            for g in [g for g in at if at[g] < sizes[g]]:
+                if len(picks) < target:
+                    left = max(1, (target - len(picks)) // groups)
+                    picks.append((g, at[g]))
+                    at[g] = min(sizes[g], at[g] + max(1, (sizes[g] - at[g]) // left))
+        free = [(g, p) for g in at for p in range(sizes[g]) if (g, p) not in set(picks)]
+        return picks + free[:max(0, target - len(picks))]
+
+    for _ in range(200):
+        sizes = [RNG.randrange(1, 30) for _ in range(RNG.randrange(1, 8))]
+        target = RNG.randrange(1, 60)
+        got = frames._striding_picks(np.array(sizes), target, len(sizes))
+        assert got == plain(sizes, target, len(sizes))
+
+
 def test_suppression_rounds_equal_fold(spark):
     data = [(1, f"b{i:03d}", *[float(v) for v in (x, y, x + RNG.randrange(5, 40), y + RNG.randrange(5, 40))], i % 3, RNG.randrange(9) / 10)
             for i in range(150) for x, y in [(RNG.randrange(80), RNG.randrange(80))]]

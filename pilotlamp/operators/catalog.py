@@ -184,18 +184,23 @@ def match_terms(prints: DataFrame, terms: DataFrame) -> DataFrame:
         .alias("confidence"))
 
 
-def class_text(entries: DataFrame) -> Column:
-    """One line describing an allowed class."""
+def class_text(entries: DataFrame, aliases: int | None = None, evidence_chars: int | None = None) -> Column:
+    """One line describing an allowed class; the limits keep its first aliases and the start of its evidence."""
     def labelled(prefix: str, value: Column) -> Column:
         return F.when(F.coalesce(value, F.lit("")) != "", F.concat(F.lit(prefix), value))
 
     def listed(c: str) -> Column:
-        return F.array_join(F.slice(F.col(c), 1, 6), " / ") if c in entries.columns else F.lit(None)
+        if c not in entries.columns:
+            return F.lit(None)
+        return F.array_join(F.col(c) if aliases is None else F.slice(F.col(c), 1, aliases), " / ")
+
+    evidence = _given(entries, "evidence")
+    evidence = evidence if evidence_chars is None else F.substring(evidence, 1, evidence_chars)
 
     return F.concat_ws(
         "；", F.concat(F.col("class_id").cast("string"), F.lit(": "), F.trim("name")),
         labelled("模块=", _given(entries, "module")), labelled("位置=", _given(entries, "location_hint")),
-        labelled("别名=", listed("aliases")), labelled("说明书=", F.substring(_given(entries, "evidence"), 1, 180)))
+        labelled("别名=", listed("aliases")), labelled("说明书=", evidence))
 
 
 def parse_class_lines(lines: DataFrame) -> DataFrame:

@@ -69,9 +69,10 @@ def upsert(old: DataFrame, new: DataFrame, key: str = "id", version: str = "vers
     return both.groupBy(key).agg(F.max_by(F.struct(*rest), version).alias("r")).select(key, "r.*")
 
 
-def manifest(chunked: DataFrame) -> DataFrame:
-    return chunked.select("*", F.length("chunk").alias("chars"),
-                          F.translate(F.substring("chunk", 1, 120), "\n", " ").alias("preview"))
+def manifest(chunked: DataFrame, preview: int | None = None) -> DataFrame:
+    """Chunks with their length and their text, or its first ``preview`` characters, in one line."""
+    start = F.col("chunk") if preview is None else F.substring("chunk", 1, preview)
+    return chunked.select("*", F.length("chunk").alias("chars"), F.translate(start, "\n", " ").alias("preview"))
 
 
 def corpus_stats(chunked: DataFrame, keys: Sequence[str], file: str) -> DataFrame:
@@ -92,8 +93,8 @@ def _hits(low: Column, word: str) -> Column:
     return F.slice(F.aggregate(parts, start, add, lambda acc: acc["found"]), F.lit(1), F.size(parts) - 1)
 
 
-def evidence_windows(body: Column, radius: int = 1000, limit: int = 100) -> Column:
-    """First ``limit`` distinct text windows around evidence words, by position."""
+def evidence_windows(body: Column, radius: int = 1000, limit: int | None = None) -> Column:
+    """Distinct text windows around evidence words, by position; only the first ``limit`` where that is set."""
     low = F.lower(body)
     at = F.array_sort(F.array_distinct(F.flatten(F.array(*[_hits(low, w.lower()) for w in vocab.EVIDENCE_WORDS]))))
 
@@ -102,21 +103,24 @@ def evidence_windows(body: Column, radius: int = 1000, limit: int = 100) -> Colu
         piece = F.substr(body, first + 1, i + radius - first)
         return text.strip(F.regexp_replace(piece, "\n{3,}", "\n\n"))
 
-    def add(acc: Column, i: Column) -> Column:
-        w = window(i)
-        return F.when((F.size(acc) >= limit) | (w == "") | F.array_contains(acc, w), acc).otherwise(F.array_append(acc, w))
+    found = F.array_distinct(F.filter(F.transform(at, window), lambda w: w != ""))
+    return found if limit is None else F.slice(found, 1, limit)
 
-    return F.aggregate(at, F.array().cast("array<string>"), add)
 
+def indicator_terms(docs: DataFrame, key: str, body: str = "text", longest: int | None = None,
+                    kept_chars: int | None = None) -> DataFrame:
+    """Distinct (label word, line) pairs of manual lines, and common words a text contains.
 
-def indicator_terms(docs: DataFrame, key: str, body: str = "text") -> DataFrame:
-    """Distinct (label word, line) pairs of manual lines up to 240 characters, and common words a text contains."""
+    ``longest`` leaves out longer lines, ``kept_chars`` keeps the start of a line.
+    """
     lines = docs.select(key, F.explode(F.split(body, r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\u0085  ]")).alias("line"))
     lines = lines.select(key, text.strip(F.regexp_replace("line", r"(?U)\s+", " ")).alias("line"))
     found = F.regexp_extract_all("line", F.lit("(?i)" + vocab.TERM_PATTERN), F.lit(1))
-    hits = lines.filter((F.col("line") != "") & (F.length("line") <= 240)).select(
+    short = F.lit(True) if longest is None else F.length("line") <= longest
+    shown = F.col("line") if kept_chars is None else F.substring("line", 1, kept_chars)
+    hits = lines.filter((F.col("line") != "") & short).select(
         key, F.explode(F.array_distinct(F.transform(found, F.upper))).alias("keyword"),
-        F.substring("line", 1, 120).alias("manual_text")).distinct()
+        shown.alias("manual_text")).distinct()
     upper = F.upper(body)
     words = F.filter(F.array(*[F.when(upper.contains(w), F.lit(w)) for w in vocab.COMMON_TERM_WORDS]),
                      lambda w: w.isNotNull())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pilotlamp.functions import text
+from pilotlamp.operators import ordered
 
 ALARMS = ["warning", "critical"]
 KEY = ["device", "indicator", "color", "state"]
@@ -116,8 +117,11 @@ def match_keys(keys: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def match_observations(observations: DataFrame, rules: DataFrame) -> DataFrame:
-    """Observations with their resolution; distinct keys are resolved once and joined back."""
-    return observations.join(match_keys(observations, rules), KEY)
+    """Observations with their resolution; distinct keys are resolved once and joined back.
+
+    NULL equals NULL, so an observation without a device stays, as ``device_not_found_in_rules``.
+    """
+    return ordered.join_keys(observations, match_keys(observations, rules), KEY)
 
 
 def strongest(severity: Column) -> Column:
@@ -214,21 +218,23 @@ def ask_model(verdicts: DataFrame, questions: DataFrame, make_client: Callable[[
     """Model answers for the requests that the rules leave open; complete ones never reach the model.
 
     ``make_client`` opens a client once per task and returns question -> answer text; a failing call gives
-    an empty answer, which ``read_answers`` turns into the cautious defaults.
+    an empty answer, which ``read_answers`` turns into the cautious defaults, and its ``error`` as text.
     """
     open_ = verdicts.filter(~F.col("complete")).select(key).join(questions.select(key, "question"), key)
-    schema = T.StructType([open_.schema[key], T.StructField("content", T.StringType())])
+    schema = T.StructType([open_.schema[key], T.StructField("content", T.StringType()),
+                           T.StructField("error", T.StringType())])
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
 
-        def answer(question: str) -> str:
+        def answer(question: str) -> tuple[str, str | None]:
             try:
-                return client(question)
-            except Exception:  # noqa: BLE001 - a lost answer must not stop the judgement
-                return ""
+                return client(question), None
+            except Exception as e:  # noqa: BLE001 - a lost answer must not stop the judgement
+                return "", f"{type(e).__name__}: {e}"
 
         for batch in batches:
-            yield pd.DataFrame({key: batch[key], "content": batch["question"].map(answer)})
+            found = [answer(q) for q in batch["question"]]
+            yield pd.DataFrame({key: batch[key], "content": [f[0] for f in found], "error": [f[1] for f in found]})
 
     return open_.mapInPandas(ask, schema)

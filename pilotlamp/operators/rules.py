@@ -13,7 +13,6 @@ from pilotlamp.functions import text
 from pilotlamp.operators import ordered
 from pilotlamp.operators.judge import KEY
 
-HEADER_SCAN_ROWS = 8
 NESTED_RULES = T.MapType(T.StringType(), T.StructType([
     T.StructField("normal_state_description", T.StringType()),
     T.StructField("indicators", T.MapType(T.StringType(), T.StructType([
@@ -41,10 +40,10 @@ def header_position(cells: Column, logical: str) -> Column:
     return F.coalesce(F.when(exact > 0, exact - 1), F.when(part > 0, part - 1)).cast("int")
 
 
-def find_headers(cells: DataFrame) -> DataFrame:
-    """Header row per table: the row among the first eight that names most logical columns (three at least)."""
+def find_headers(cells: DataFrame, scan_rows: int | None = None) -> DataFrame:
+    """Header row per table: the first row that names most logical columns, among the first ``scan_rows`` if set."""
     at = F.struct(*[header_position(F.col("cells"), c).alias(c) for c in vocab.HEADER_WORDS])
-    head = cells.filter(F.col("row_index") < HEADER_SCAN_ROWS).withColumn("at", at)
+    head = (cells if scan_rows is None else cells.filter(F.col("row_index") < scan_rows)).withColumn("at", at)
     named = sum((F.col(f"at.{c}").isNotNull().cast("int") for c in vocab.HEADER_WORDS), F.lit(0))
     best = head.withColumn("named", named).groupBy("table_index").agg(
         F.max_by(F.struct("row_index", "at", "named"), F.struct("named", -F.col("row_index"))).alias("h"))
@@ -52,13 +51,13 @@ def find_headers(cells: DataFrame) -> DataFrame:
                        F.col("h.named").alias("named"))
 
 
-def table_report(cells: DataFrame) -> DataFrame:
+def table_report(cells: DataFrame, scan_rows: int | None = None) -> DataFrame:
     """Per table: whether it can be parsed, and why not."""
     reason = (F.when(F.col("named") < 3, "no_header")
               .when(F.col("at.device_name").isNull() | F.col("at.indicator_name").isNull(), "no_device_or_indicator")
               .otherwise("ok"))
     rows = cells.groupBy("table_index").agg(F.count(F.lit(1)).alias("row_count"))
-    return (rows.join(find_headers(cells), "table_index", "left")
+    return (rows.join(find_headers(cells, scan_rows), "table_index", "left")
             .select("table_index", "row_count", F.coalesce(reason, F.lit("no_header")).alias("reason")))
 
 

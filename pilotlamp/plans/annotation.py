@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pilotlamp import vocab
 from pilotlamp.functions import geometry as G
 from pilotlamp.functions import text
 from pilotlamp.functions.geometry import Box
@@ -479,15 +480,18 @@ def w07(t: Tables):
     return n.select("device", "name", "short_label", "module", "class_id")
 
 
-@query("j20_ambiguous_names", _DEDUP + """, k AS (SELECT *, upper(regexp_replace(name, '[\\s_\\-./]+', '', 'g')) AS n FROM entries)
+# the SQL distance counts bytes: every wider character of the names becomes one free ASCII character
+_WIDE = "".join(sorted({c for name in vocab.PREFERRED_NAMES.values() for c in name.upper() if ord(c) > 127}))
+_FREE = "abcdefghijklmnopqrstuvwxyz!#$%&()*+,:;<=>?@[]^{|}~"[:len(_WIDE)].replace("{", "").replace("}", "")
+
+
+@query("j20_ambiguous_names", _DEDUP + f""", k AS (SELECT *, translate(upper(regexp_replace(name, '[\\s_\\-./]+', '', 'g')), '{_WIDE}', '{_FREE}') AS n FROM entries)
     SELECT a.device, a.class_id AS class_a, a.name AS name_a, b.class_id AS class_b, b.name AS name_b,
       round(1 - levenshtein(a.n, b.n) / greatest(length(a.n), length(b.n))::DOUBLE, 3) AS similarity
     FROM k a JOIN k b ON a.device = b.device AND a.class_id < b.class_id
-    WHERE levenshtein(a.n, b.n) * 100 <= greatest(length(a.n), length(b.n)) * 28 AND a.key <> b.key
-      AND a.key LIKE 'RAW%' AND b.key LIKE 'RAW%'""")
+    WHERE levenshtein(a.n, b.n) * 100 <= greatest(length(a.n), length(b.n)) * 28 AND a.key <> b.key""")
 def j20(t: Tables):
-    raw = _entries(t).filter("key LIKE 'RAW%'")  # the SQL distance counts bytes, so ASCII names only
-    return C.ambiguous_pairs(raw)
+    return C.ambiguous_pairs(_entries(t))
 
 
 _EVIDENCE = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_brand AS device, CASE l_suppkey % 4 WHEN 0 THEN 'ALM' WHEN 1 THEN p_type WHEN 2 THEN substr(p_type, 1, 4)
@@ -552,6 +556,6 @@ def j19(t: Tables):
     SELECT e.device, concat(CAST(class_id AS VARCHAR), ': ', name, '；模块=', m.module) AS line FROM entries e JOIN m ON e.device = m.device AND e.key = m.key""")
 def f36(t: Tables):
     e = _entries(t).withColumn("module", F.get("modules", F.lit(0))).drop("aliases")
-    return e.select("device", C.class_text(e).alias("line"))
+    return e.select("device", C.class_text(e, aliases=6, evidence_chars=180).alias("line"))
 
 

@@ -174,7 +174,7 @@ _SHARP = """SELECT device, video_idx, frame_idx, time_sec, clarity AS center, 0.
     FROM {frames}"""
 
 
-@query("j16_best_near_anchor", _ALLOC + f""", x AS (SELECT c.device, c.video_idx, mt AS duration, least(frames, 8) AS frames
+@query("j16_best_near_anchor", _ALLOC + f""", x AS (SELECT c.device, c.video_idx, mt AS duration, frames
       FROM counts c JOIN (SELECT device, video_idx, max(time_sec) AS mt FROM {{frames}} GROUP BY 1, 2) m
         ON c.device = m.device AND c.video_idx = m.video_idx),
     a AS (SELECT *, duration * (anchor + 0.5e0) / frames AS anchor_sec FROM (
@@ -188,7 +188,7 @@ _SHARP = """SELECT device, video_idx, frame_idx, time_sec, clarity AS center, 0.
 def j16(t: Tables):
     longest = t.frames.groupBy(*V.VIDEO).agg(F.max("time_sec").alias("end"))
     videos = _alloc(t).join(longest, V.VIDEO).select(
-        *V.VIDEO, F.col("end").alias("duration"), F.least(F.col("frames"), F.lit(8)).alias("frames"))
+        *V.VIDEO, F.col("end").alias("duration"), "frames")
     best = V.best_near_anchors(videos, t.sql(_SHARP), 60.0)
     return best.select(*V.VIDEO, "anchor", "frame_idx", *[F.round(c, 4).alias(c) for c in
                                                          ("anchor_sec", "time_sec", "combined", "center")])

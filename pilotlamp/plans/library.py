@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from pilotlamp import vocab
 from pilotlamp.functions import similarity, text
 from pilotlamp.operators import corpus as D
 from pilotlamp.plans.registry import Tables, query
@@ -45,7 +46,7 @@ def a19(t: Tables):
 @query("a19_corpus_manifest", _CHUNKED + """
     SELECT doc_id, chunk_index, length(chunk) AS chars, replace(substr(chunk, 1, 120), chr(10), ' ') AS preview FROM chunked""")
 def a19_manifest(t: Tables):
-    return D.manifest(_chunked(t)).select("doc_id", "chunk_index", "chars", "preview")
+    return D.manifest(_chunked(t), preview=120).select("doc_id", "chunk_index", "chars", "preview")
 
 
 @query("f19_content_ids", "SELECT doc_id, sha1(concat(lang, '||', source, '||', CAST(n_chars AS VARCHAR), '||', text)) AS id FROM {documents}")
@@ -63,13 +64,31 @@ def src11(t: Tables):
     return D.upsert(old, again.unionByName(fresh))
 
 
-@query("f29_evidence_windows")
+_WINDOWS = f"""
+    WITH v AS (SELECT unnest([{", ".join(f"'{w.lower()}'" for w in vocab.EVIDENCE_WORDS)}]) AS word),
+    p AS (SELECT doc_id, text, word, string_split(lower(text), word) AS parts FROM {{documents}}, v),
+    pos AS (SELECT DISTINCT doc_id, text, CAST(list_sum(list_transform(parts[1:k], lambda x: length(x))) + (k - 1) * length(word) AS BIGINT) AS i
+      FROM (SELECT *, unnest(generate_series(1, len(parts) - 1)) AS k FROM p)),
+    win AS (SELECT doc_id, i, {_strip("regexp_replace(substring(text, greatest(0, i - 1000) + 1, i + 1000 - greatest(0, i - 1000)), '\\n{3,}', '\n\n', 'g')")} AS w FROM pos),
+    f AS (SELECT doc_id, w, min(i) AS i FROM win WHERE w <> '' GROUP BY doc_id, w)"""
+
+
+@query("f29_evidence_windows", _WINDOWS + """
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS place, length(w) AS chars, md5(w) AS "window" FROM f""")
 def f29(t: Tables):
     w = t.documents.select("doc_id", F.posexplode(D.evidence_windows(F.col("text"))).alias("place", "window"))
     return w.select("doc_id", "place", F.length("window").alias("chars"), F.md5("window").alias("window"))
 
 
-@query("w16_evidence_batches")
+@query("w16_evidence_batches", _WINDOWS.replace("WITH v", "WITH RECURSIVE v") + """,
+    n AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS r, length(w) AS c FROM f),
+    walk AS (
+      SELECT doc_id, r, 0 AS batch, c AS chars FROM n WHERE r = 1
+      UNION ALL
+      SELECT n.doc_id, n.r, CASE WHEN chars + c + 1 <= 15000 THEN batch ELSE batch + 1 END,
+             CASE WHEN chars + c + 1 <= 15000 THEN chars + 2 + c ELSE c END FROM walk JOIN n ON n.doc_id = walk.doc_id AND n.r = walk.r + 1
+    )
+    SELECT doc_id, batch, max(chars) AS chars FROM walk GROUP BY doc_id, batch""")
 def w16(t: Tables):
     w = t.documents.select("doc_id", D.batch_windows(D.evidence_windows(F.col("text"))).alias("b"))
     return w.select("doc_id", F.posexplode("b").alias("batch", "body")).select("doc_id", "batch", F.length("body").alias("chars"))
@@ -86,7 +105,7 @@ _TERM = "PWR|POWER|RUN|ALM|ALARM|ACT|ACTIVE|LINK|LNK|LOS|FAIL|FAULT|STATUS|STA\\
       lambda k: contains(upper(html), k))) AS keyword FROM {{pages}})
     SELECT * FROM h UNION ALL SELECT page_id, keyword, keyword FROM w WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.page_id = w.page_id AND h.keyword = w.keyword)""")
 def f30(t: Tables):
-    return D.indicator_terms(t.pages, "page_id", "html")
+    return D.indicator_terms(t.pages, "page_id", "html", longest=240, kept_chars=120)
 
 
 @query("f28_cosine_distance", """

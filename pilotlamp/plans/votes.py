@@ -118,13 +118,13 @@ def st07(t: Tables):
 
 
 @query("s04_top_classes", """
-    WITH s AS (SELECT vec_id, CAST(unnest(generate_series(1, 8)) AS INTEGER) AS i, embedding FROM {embeddings}),
+    WITH s AS (SELECT vec_id, CAST(unnest(generate_series(1, len(embedding))) AS INTEGER) AS i, embedding FROM {embeddings}),
     r AS (SELECT vec_id, i, round(CAST(embedding[i] AS DOUBLE), 6) AS confidence,
       row_number() OVER (PARTITION BY vec_id ORDER BY embedding[i] DESC, i) AS place FROM s)
     SELECT vec_id, CAST(place AS INTEGER) AS place, concat('class_', CAST(i AS VARCHAR)) AS class_name, confidence
     FROM r WHERE place <= 3""")
 def s04(t: Tables):
-    scores = F.transform(F.slice("embedding", 1, 8), lambda x, i: F.struct(
+    scores = F.transform("embedding", lambda x, i: F.struct(
         F.concat(F.lit("class_"), (i + 1).cast("string")).alias("class_name"), x.cast("double").alias("confidence")))
     best = t.embeddings.select("vec_id", F.posexplode(voting.top_classes(scores, 3)).alias("p", "s"))
     return best.select("vec_id", (F.col("p") + 1).alias("place"), "s.class_name", F.round("s.confidence", 6).alias("confidence"))

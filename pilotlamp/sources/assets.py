@@ -20,8 +20,9 @@ def read_inventory(spark: SparkSession, root: str) -> DataFrame:
 
 
 def describe_paths(files: DataFrame, root: str) -> DataFrame:
-    base = root.rstrip("/").split(":", 1)[-1].lstrip("/")
-    below = F.regexp_extract("path", f"{base}/(.*)$", 1)
+    base = "/" + root.rstrip("/").split(":", 1)[-1].lstrip("/") + "/"
+    at = F.instr("path", F.lit(base))
+    below = F.when(at > 0, F.substr("path", at + len(base))).otherwise("")
     parts = F.split(below, "/")
     name = F.element_at(parts, -1)
     folders = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 2, F.lit(0)))

@@ -11,18 +11,26 @@ from pyspark.sql import types as T
 from pilotlamp.operators.judge import REQUEST
 
 
+MARK = "\ufeff"
+
+
 def read_manifest(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header (a byte order mark is dropped), all strings, empty cells stay empty strings."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
-    return rows.fillna("")
+    """CSV with a header, columns picked by name; all strings, empty cells stay empty strings.
+
+    A byte order mark is dropped and quoted cells may hold line breaks. A missing column is an error.
+    """
+    rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    rows = rows.toDF(*[c.removeprefix(MARK) for c in rows.columns])
+    return rows.select(*columns).fillna("")
 
 
 def write_manifest(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """CSV parts with a header; arrays become ' | ' lists."""
+    """CSV parts, each with a byte order mark and a header; arrays become ' | ' lists."""
     flat = [F.array_join(F.col(f.name).cast("array<string>"), " | ").alias(f.name)
             if isinstance(f.dataType, T.ArrayType) else F.col(f.name) for f in df.schema.fields]
-    df.select(*flat).write.partitionBy(*partition_by).option("header", True).mode("error").csv(path)
+    out = df.select(*flat)
+    first = next(c for c in out.columns if c not in partition_by)
+    out.withColumnRenamed(first, MARK + first).write.partitionBy(*partition_by).option("header", True).mode("error").csv(path)
 
 
 def read_label_files(spark: SparkSession, path: str) -> DataFrame:

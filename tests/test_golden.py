@@ -168,6 +168,14 @@ def test_sources(spark, tmp_path):
     (tmp_path / "m.csv").write_text("﻿device,note\nd1,\nd2,x\n", encoding="utf-8")
     rows = tables.read_manifest(spark, str(tmp_path / "m.csv"), ["device", "note"]).collect()
     assert [tuple(r) for r in rows] == [("d1", ""), ("d2", "x")]
+    (tmp_path / "n.csv").write_text('note,device\n"two\nlines",d1\n', encoding="utf-8")
+    assert [tuple(r) for r in tables.read_manifest(spark, str(tmp_path / "n.csv"), ["device", "note"]).collect()] == [("d1", "two\nlines")]
+    df = spark.createDataFrame([("d", ["a", "b"])], "device string, tags array<string>")
+    tables.write_manifest(df, str(tmp_path / "out"))
+    assert all(p.read_bytes().startswith(b"\xef\xbb\xbfdevice") for p in (tmp_path / "out").glob("part-*.csv"))
+    assert [tuple(r) for r in tables.read_manifest(spark, str(tmp_path / "out"), ["tags", "device"]).collect()] == [("a | b", "d")]
+    odd = spark.createDataFrame([("file:/r.o(o)t+x/dev/images/a.png",)], "path string")
+    assert [r.device for r in assets.describe_paths(odd, "file:/r.o(o)t+x").collect()] == ["dev"]
     (tmp_path / "labels").mkdir()
     (tmp_path / "labels" / "a.txt").write_text("0 .1 .2 .3 .4\n\n1 1 1 1 1\n")
     (tmp_path / "labels" / "b.txt").write_text("")
@@ -193,3 +201,27 @@ def test_plans_have_no_cross_join_and_no_python(spark):
                  "j14_template_votes", "w15_document_chunks"):
         plan = QUERIES[name].build(t)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "Python" not in plan and "NestedLoop" not in plan, name
+
+
+def test_observation_without_device_stays(spark):
+    rules = spark.createDataFrame([("d", "RUN", "green", "on", "ok", "normal", 1, "r")],
+                                  "device string, indicator string, color string, state string, meaning string, severity string, ordinal int, rule_source string")
+    seen = spark.createDataFrame([("q1", 1, None, "RUN", "green", "on"), ("q1", 2, "d", "RUN", "green", "on")],
+                                 "request_id string, obs_id int, device string, indicator string, color string, state string")
+    got = {r.obs_id: (r.reason, r.severity) for r in judge.match_observations(seen, rules).collect()}
+    assert got == {1: ("device_not_found_in_rules", None), 2: (None, "normal")}
+
+
+def test_failing_model_is_reported(spark):
+    verdicts = spark.createDataFrame([("q1", False), ("q2", False)], "request_id string, complete boolean")
+    questions = spark.createDataFrame([("q1", "ok"), ("q2", "bad")], "request_id string, question string")
+
+    def client():
+        def ask(question):
+            if question == "bad":
+                raise TimeoutError("no answer")
+            return "{}"
+        return ask
+
+    got = {r.request_id: (r.content, r.error) for r in judge.ask_model(verdicts, questions, client).collect()}
+    assert got == {"q1": ("{}", None), "q2": ("", "TimeoutError: no answer")}

@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -34,6 +35,7 @@ from pilotlamp.llm.ngram_join import _mix
 from pilotlamp.session import durable
 
 PART_CHARS = 24_000_000  # characters of the corpus for one part, about 4 million tokens
+PACK_BYTES = 16_000_000  # text packed together: larger packs shuffle less and need more memory
 MAX_COUNT = 5  # counts above are not discounted
 SAMPLE = 0.02  # share of the rows in which frequent words are looked for; it decides on the layout only
 START, END = np.uint64(1), np.uint64(2)
@@ -97,40 +99,55 @@ def _edges(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def _slices(batch: pa.RecordBatch, text: int):
+    """Slices of about ``PACK_BYTES`` of text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + PACK_BYTES, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def _packs(documents: DataFrame, parts: int, often: np.ndarray) -> DataFrame:
     """Pairs of every Arrow batch by part; part -1 has the documents of the batch."""
 
     def run(batches):
         task, seq = TaskContext.get().partitionId(), 0
         for b in batches:
-            if not b.num_rows:
+            for part in _slices(b, 2):
+                yield pack(part, (task << 24) + seq)  # the same when the task is run again
+                seq += 1
+
+    def pack(b, number):
+        held = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        found = []
+        for at in range(0, b.num_rows, 200):  # words live as objects for a few documents only
+            texts = [tokens(t) for t in b.column(2).slice(at, 200).cast(pa.binary()).to_pylist()]
+            found.append((np.fromiter(map(len, texts), np.int64, len(texts)), np.fromiter((_WORD[w] for t in texts for w in t), np.uint64)))
+        n, word = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        del found, texts
+        history = np.empty_like(word)
+        history[1:] = word[:-1]
+        history[np.cumsum(n) - n] = START
+        place = _place(word, history, often)
+        order = np.lexsort((history, place))
+        place = place[order]
+        bounds = np.searchsorted(((place >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+        del place
+        word, history = word[order], history[order]
+        doc = np.repeat(np.arange(len(n), dtype=np.uint32), n)[order]
+        del order
+        rows = [(-1, _pack(b.column(0).to_pylist(), np.packbits(held), _small(n)))]
+        for p in range(parts):
+            w, h, d = (x[bounds[p]:bounds[p + 1]] for x in (word, history, doc))
+            if not len(w):
                 continue
-            number, seq = (task << 24) + seq, seq + 1  # the same when the task is run again
-            held = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            texts = [tokens(t) for t in b.column(2).cast(pa.binary()).to_pylist()]
-            n = np.fromiter(map(len, texts), np.int64, len(texts))
-            word = np.fromiter((_WORD[w] for t in texts for w in t), np.uint64, int(n.sum()))
-            del texts
-            history = np.empty_like(word)
-            history[1:] = word[:-1]
-            history[np.cumsum(n) - n] = START
-            doc = np.repeat(np.arange(len(n), dtype=np.uint32), n)
-            place = _place(word, history, often)
-            order = np.lexsort((history, place))
-            word, history, doc, place = word[order], history[order], doc[order], place[order]
-            part = ((place >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-            del order, place
-            bounds = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-            rows = [(-1, _pack(b.column(0).to_pylist(), np.packbits(held), _small(n)))]
-            for p in range(parts):
-                w, h, d = (x[bounds[p]:bounds[p + 1]] for x in (word, history, doc))
-                if not len(w):
-                    continue
-                first = _edges(w, h)
-                words, wi = np.unique(w[first], return_inverse=True)
-                histories, hi = np.unique(h[first], return_inverse=True)
-                rows.append((p, _pack(words, _small(wi), histories, _small(hi), _small(np.diff(np.append(first, len(w)))), _small(d), np.packbits(held), len(n))))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["part", "batch", "data"])
+            first = _edges(w, h)
+            words, wi = np.unique(w[first], return_inverse=True)
+            histories, hi = np.unique(h[first], return_inverse=True)
+            rows.append((p, _pack(words, _small(wi), histories, _small(hi), _small(np.diff(np.append(first, len(w)))), _small(d), np.packbits(held), len(n))))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([number] * len(rows), pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["part", "batch", "data"])
 
     return documents.select("doc_id", "held_out", "text").mapInArrow(run, _PACK)
 

@@ -311,12 +311,56 @@ def _tracked(t: Tables):
     return rows.join(tracks, ["device", "track_group", "box_id"])
 
 
-@query("j15_box_tracks")
+_TRACKS = """WITH RECURSIVE placed AS (
+      SELECT o_orderkey AS image, concat('video_', o_custkey) AS track_group,
+        row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS pos FROM {orders}),
+    ids AS (SELECT *, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(trunc(l_extendedprice * 100) AS BIGINT)) AS box_id FROM {lineitem}),
+    b AS (SELECT track_group, pos, image, l_linenumber, box_id, l_linenumber * 120e0 + l_suppkey % 3 AS x, l_linenumber * 60e0 + l_partkey % 4 AS y,
+        CASE WHEN l_partkey % 5 <> 0 THEN CASE WHEN l_partkey % 7 = 0 THEN 1 ELSE l_linenumber END END AS class_id, l_quantity * 4 AS class_score,
+        row_number() OVER (PARTITION BY track_group ORDER BY pos, concat('{', l_linenumber, ', ', box_id, '}')) AS k
+      FROM ids JOIN placed ON image = l_orderkey),
+    walk AS (
+      SELECT DISTINCT track_group, CAST(0 AS BIGINT) AS k, CAST('' AS VARCHAR) AS box_id, CAST('' AS VARCHAR) AS track,
+        CAST([] AS STRUCT(id VARCHAR, x DOUBLE, y DOUBLE, pos BIGINT, used BIGINT)[]) AS live FROM b
+      UNION ALL
+      SELECT track_group, k, box_id, CASE WHEN best > 0 THEN near[best].id ELSE box_id END,
+        CASE WHEN best > 0 THEN list_transform(near, lambda t, i: CASE WHEN i = best THEN {'id': t.id, 'x': x, 'y': y, 'pos': pos, 'used': pos} ELSE t END)
+          ELSE list_append(near, {'id': box_id, 'x': x, 'y': y, 'pos': pos, 'used': CAST(-1 AS BIGINT)}) END
+      FROM (SELECT *, CASE WHEN len(scores) > 0 AND list_max(scores) >= 0 THEN list_position(scores, list_max(scores)) ELSE 0 END AS best
+        FROM (SELECT *, list_transform(near, lambda t: CASE WHEN t.used <> pos AND (overlap(x, y, t.x, t.y) >= 0.18e0 OR move(x, y, t.x, t.y) <= 0.006e0)
+            THEN overlap(x, y, t.x, t.y) * 3e0 + greatest(0e0, 0.006e0 - move(x, y, t.x, t.y)) / 0.006e0 ELSE -1e0 END) AS scores
+          FROM (SELECT b.*, list_filter(w.live, lambda t: b.pos - t.pos <= 3) AS near FROM walk w JOIN b ON b.track_group = w.track_group AND b.k = w.k + 1)))
+    ),
+    tracks AS (SELECT 'd' AS device, track_group, box_id, track FROM walk WHERE k > 0)"""
+# boxes are 30 x 20 in images of 1000 x 700
+_COMMON = "(greatest(0e0, 30 - abs({x} - {u})) * greatest(0e0, 20 - abs({y} - {v})))"
+
+
+def _plain_geometry(sql: str) -> str:
+    """The two measures written out: SQL macros cannot be part of a query."""
+    x, y, u, v = "x", "y", "t.x", "t.y"
+    common = _COMMON.format(x=x, y=y, u=u, v=v)
+    sql = sql.replace("overlap(x, y, t.x, t.y)", f"({common} / (1200e0 - {common}))")
+    return sql.replace("move(x, y, t.x, t.y)", "sqrt(pow((x - t.x) / 1000e0, 2) + pow((y - t.y) / 700e0, 2))")
+
+
+_TRACKS = _plain_geometry(_TRACKS)
+
+
+@query("j15_box_tracks", _TRACKS + " SELECT device, track_group, box_id, track FROM tracks")
 def j15(t: Tables):
     return B.track_boxes(_track_input(t))
 
 
-@query("a07_track_classes")
+@query("a07_track_classes", _TRACKS + """,
+    seen AS (SELECT t.device, t.track_group, t.track, b.class_id, b.class_score, row_number() OVER (ORDER BY image, l_linenumber, b.box_id) AS place
+      FROM tracks t JOIN b ON b.track_group = t.track_group AND b.box_id = t.box_id),
+    m AS (SELECT device, track_group, track, class_id, count(*) AS n, sum(1 + least(greatest(class_score, 0), 200) / 100) AS w, min(place) AS first_seen FROM seen GROUP BY ALL),
+    r AS (SELECT *, row_number() OVER v AS place, lead(w) OVER v AS second, count(*) OVER (PARTITION BY device, track_group, track) AS classes
+      FROM m WHERE class_id IS NOT NULL WINDOW v AS (PARTITION BY device, track_group, track ORDER BY w DESC, first_seen)),
+    a AS (SELECT device, track_group, track, CAST(sum(n) AS BIGINT) AS members FROM m GROUP BY ALL)
+    SELECT a.*, r.class_id AS winner, a.members >= 2 AND r.class_id IS NOT NULL AND (classes = 1 OR (n >= 2 AND w >= second * 1.35e0)) AS stable
+    FROM a LEFT JOIN r ON a.device = r.device AND a.track_group = r.track_group AND a.track = r.track AND place = 1""")
 def a07(t: Tables):
     return B.track_classes(_tracked(t))
 

@@ -132,7 +132,22 @@ def w09(t: Tables):
     return V.balanced_sample(rows, "device", "video_idx", [("frame_idx", "asc")], 120)
 
 
-@query("w09_striding_sample")
+@query("w09_striding_sample", """
+    WITH RECURSIVE sizes AS (SELECT device, video_idx, count(*) AS n, row_number() OVER (PARTITION BY device ORDER BY video_idx) AS g FROM {frames} GROUP BY 1, 2),
+    own AS (SELECT device, list(n ORDER BY g) AS n, count(*) AS groups FROM sizes GROUP BY device),
+    walk AS (
+      SELECT device, n, groups, list_transform(n, lambda x: CAST(0 AS BIGINT)) AS spot, CAST(0 AS BIGINT) AS g, CAST(0 AS BIGINT) AS picks, CAST(NULL AS BIGINT) AS place FROM own
+      UNION ALL
+      SELECT device, n, groups, list_transform(spot, lambda x, i: CASE WHEN i = h THEN least(n[h], x + greatest(1, (n[h] - x) // greatest(1, (400 - picks) // groups))) ELSE x END),
+        h, picks + 1, spot[h]
+      FROM (SELECT *, coalesce(list_min(list_filter(open, lambda i: i > g)), list_min(open)) AS h FROM (
+        SELECT *, list_filter(generate_series(1, groups), lambda i: spot[i] < n[i]) AS open FROM walk WHERE picks < 400)) WHERE len(open) > 0
+    ),
+    r AS (SELECT device, video_idx, frame_idx, row_number() OVER (PARTITION BY device, video_idx ORDER BY frame_idx) - 1 AS place FROM {frames}),
+    named AS (SELECT r.*, s.g, w.place IS NOT NULL AS taken FROM r JOIN sizes s ON s.device = r.device AND s.video_idx = r.video_idx
+      LEFT JOIN walk w ON w.device = r.device AND w.g = s.g AND w.place = r.place)
+    SELECT device, video_idx, frame_idx FROM (SELECT *, row_number() OVER (PARTITION BY device, taken ORDER BY g, place) AS k,
+      count(*) FILTER (taken) OVER (PARTITION BY device) AS have FROM named) WHERE taken OR k <= 400 - have""")
 def w09_exact(t: Tables):
     rows = t.frames.select("device", "video_idx", "frame_idx")
     return V.striding_sample(rows, "device", "video_idx", [("frame_idx", "asc")], 400)
@@ -351,22 +366,86 @@ def _marked(t: Tables):
     return V.drop_near_duplicates(g, "clarity_threshold", max_hamming=24, min_correlation=0.5)
 
 
-@query("w14_near_duplicates")
+_FOLDED = f"""WITH RECURSIVE p AS (SELECT vec_id, label, px FROM (SELECT e.label, g.* FROM {{embeddings}} e JOIN ({_PX}) g ON e.vec_id = g.vec_id)),
+    c AS (SELECT vec_id, i // 8 AS r, i % 8 AS c, px[i + 1] AS v, px FROM (SELECT vec_id, px, unnest(generate_series(0, 63)) AS i FROM p)),
+    lap AS (SELECT vec_id, v, px[abs(r - 1) * 8 + c + 1] + px[(CASE WHEN r = 7 THEN 6 ELSE r + 1 END) * 8 + c + 1]
+        + px[r * 8 + abs(c - 1) + 1] + px[r * 8 + (CASE WHEN c = 7 THEN 6 ELSE c + 1 END) + 1] - 4 * v AS lap FROM c),
+    sharp AS (SELECT vec_id, var_pop(lap) AS clarity, stddev_pop(v) - 30 AS scale_score FROM lap GROUP BY vec_id),
+    bits AS (SELECT vec_id, unnest(generate_series(0, 55)) AS i, px FROM p),
+    code AS (SELECT vec_id, CAST(sum(CASE WHEN px[(i // 7) * 8 + i % 7 + 2] > px[(i // 7) * 8 + i % 7 + 1] THEN 1::BIGINT << (55 - i) ELSE 0 END) AS BIGINT) AS dhash FROM bits GROUP BY vec_id),
+    h AS (SELECT vec_id, list_transform(generate_series(0, 7), lambda b: len(list_filter(px, lambda v: floor(v / 32) = b)) / 64e0 - 0.125e0) AS hist FROM p),
+    fr AS (SELECT p.label AS video_idx, p.vec_id AS frame_idx, p.vec_id * 0.8e0 AS time_sec, clarity, scale_score, dhash, hist, sqrt(list_inner_product(hist, hist)) AS norm
+      FROM p JOIN sharp USING (vec_id) JOIN code USING (vec_id) JOIN h USING (vec_id)),
+    th AS (SELECT video_idx, greatest(28, quantile_cont(clarity, 0.2)) AS floor_ FROM fr GROUP BY video_idx),
+    f AS (SELECT fr.*, floor_, row_number() OVER (PARTITION BY video_idx ORDER BY time_sec, frame_idx) AS k FROM fr JOIN th USING (video_idx)),
+    walk AS (
+      SELECT DISTINCT video_idx, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS frame_idx, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS gone, CAST(NULL AS VARCHAR) AS why,
+        CAST([] AS STRUCT(idx BIGINT, t DOUBLE, c DOUBLE, h BIGINT, hist DOUBLE[], norm DOUBLE)[]) AS kept FROM f
+      UNION ALL
+      SELECT video_idx, k, frame_idx,
+        CASE WHEN clarity < floor_ THEN format('blur<{{:.1f}}', floor_) WHEN twin > 0 AND clarity <= kept[twin].c * 1.18e0 THEN format('duplicate@{{:.2f}}s', kept[twin].t) END,
+        CASE WHEN clarity >= floor_ AND twin > 0 AND clarity > kept[twin].c * 1.18e0 THEN kept[twin].idx END,
+        CASE WHEN clarity >= floor_ AND twin > 0 AND clarity > kept[twin].c * 1.18e0 THEN format('replaced_by_clearer@{{:.2f}}s', time_sec) END,
+        CASE WHEN clarity < floor_ OR (twin > 0 AND clarity <= kept[twin].c * 1.18e0) THEN kept
+          WHEN twin > 0 THEN list_append(list_concat(kept[1:twin - 1], kept[twin + 1:]), mine)
+          ELSE list_append(kept, mine)[-8:] END
+      FROM (SELECT *, coalesce(list_position(list_transform(kept, lambda o: bit_count(xor(o.h, dhash)) <= 24
+          AND (norm * o.norm = 0 OR list_inner_product(hist, o.hist) / (norm * o.norm) >= 0.5e0)), true), 0) AS twin
+        FROM (SELECT f.*, w.kept, {{{{'idx': f.frame_idx, 't': time_sec, 'c': clarity, 'h': dhash, 'hist': hist, 'norm': norm}}}} AS mine
+          FROM walk w JOIN f ON f.video_idx = w.video_idx AND f.k = w.k + 1))
+    ),
+    judged AS (SELECT video_idx, frame_idx, max(reason) AS reject_reason FROM (
+        SELECT video_idx, frame_idx, reason FROM walk WHERE k > 0 UNION ALL SELECT video_idx, gone, why FROM walk WHERE gone IS NOT NULL) GROUP BY ALL)""".replace("{{'idx'", "{'idx'").replace("norm}}", "norm}")
+
+
+@query("w14_near_duplicates", _FOLDED + """
+    SELECT concat('dev_', video_idx) AS device, frame_idx, reject_reason FROM judged""")
 def w14(t: Tables):
     return _marked(t).select("device", "frame_idx", "reject_reason")
 
 
-@query("w12_quota_selection")
+_CHOSEN = _FOLDED + """,
+    q AS (SELECT video_idx, count(*) AS qn, quantile_cont(scale_score, 0.33) AS q1, quantile_cont(scale_score, 0.67) AS q2 FROM fr WHERE scale_score > 0 GROUP BY 1),
+    m AS (SELECT fr.video_idx, fr.frame_idx, time_sec, clarity, reject_reason, CASE WHEN coalesce(qn, 0) < 3 OR scale_score <= 0 THEN 'mid'
+        WHEN scale_score <= q1 + 1e-9 THEN 'far' WHEN scale_score >= q2 - 1e-9 THEN 'near' ELSE 'mid' END AS bucket
+      FROM fr JOIN judged j ON j.video_idx = fr.video_idx AND j.frame_idx = fr.frame_idx LEFT JOIN q ON q.video_idx = fr.video_idx),
+    reps AS (SELECT *, count(*) OVER (PARTITION BY video_idx) AS reps FROM m WHERE reject_reason IS NULL),
+    many AS (SELECT *, count(*) OVER b AS n, min(time_sec) OVER b AS t0, max(time_sec) OVER b AS t1 FROM reps WHERE reps > 18 WINDOW b AS (PARTITION BY video_idx, bucket)),
+    bins AS (SELECT *, CASE WHEN t1 <= t0 THEN 0 ELSE least(5, CAST(floor((time_sec - t0) / (t1 - t0 + 1e-9) * 6) AS BIGINT)) END AS bin FROM many),
+    heads AS (SELECT *, t1 > t0 AND row_number() OVER (PARTITION BY video_idx, bucket, bin ORDER BY clarity DESC, time_sec, frame_idx) = 1 AS head FROM bins),
+    quota AS (SELECT *, row_number() OVER (PARTITION BY video_idx, bucket ORDER BY head DESC, clarity DESC, time_sec, frame_idx) <= 6 OR n <= 6 AS taken FROM heads),
+    filled AS (SELECT *, taken OR row_number() OVER (PARTITION BY video_idx, taken ORDER BY clarity DESC, time_sec, frame_idx)
+        <= 18 - count(*) FILTER (taken) OVER (PARTITION BY video_idx) AS chosen FROM quota),
+    first AS (SELECT m.*, coalesce(chosen, false) AS chosen FROM m LEFT JOIN (SELECT video_idx, frame_idx, true AS chosen FROM reps WHERE reps <= 18
+        UNION ALL SELECT video_idx, frame_idx, chosen FROM filled) c ON c.video_idx = m.video_idx AND c.frame_idx = m.frame_idx),
+    have AS (SELECT video_idx, count(*) FILTER (chosen) AS n, count(*) FILTER (chosen AND bucket = 'far') AS far, count(*) FILTER (chosen AND bucket = 'mid') AS mid,
+        count(*) FILTER (chosen AND bucket = 'near') AS near, list(time_sec) FILTER (chosen) AS times FROM first GROUP BY video_idx),
+    pool AS (SELECT f.video_idx, f.frame_idx, row_number() OVER (PARTITION BY f.video_idx ORDER BY
+          CASE WHEN reject_reason LIKE '%duplicate%' OR reject_reason LIKE '%replaced%' THEN 3e0 ELSE 0e0 END + CASE WHEN reject_reason LIKE 'blur<%' THEN -3e0 ELSE 0e0 END
+          + 2e0 / (1e0 + CASE bucket WHEN 'far' THEN far WHEN 'near' THEN near ELSE mid END)
+          + least(3e0, coalesce(list_min(list_transform(times, lambda t: abs(time_sec - t))), 9999e0) / 2e0) + ln(1e0 + greatest(0e0, clarity)) / 4e0 DESC, time_sec, f.frame_idx) AS r, n
+      FROM first f JOIN have h ON h.video_idx = f.video_idx AND h.n < 12 WHERE NOT chosen),
+    selected AS (SELECT f.*, chosen OR p.frame_idx IS NOT NULL AS selected FROM first f
+      LEFT JOIN pool p ON p.video_idx = f.video_idx AND p.frame_idx = f.frame_idx AND p.r <= 12 - p.n)"""
+
+
+@query("w12_quota_selection", _CHOSEN + """
+    SELECT concat('dev_', video_idx) AS device, frame_idx, bucket, reject_reason, selected FROM selected""")
 def w12(t: Tables):
     return V.select_quota(_marked(t), 12, 18, 2).select("device", "frame_idx", "bucket", "reject_reason", "selected")
 
 
-@query("a17_bucket_report")
+@query("a17_bucket_report", _CHOSEN + """
+    SELECT concat('dev_', video_idx) AS device, video_idx, count(*) AS candidates, count(*) FILTER (reject_reason IS NULL) AS after_dedup, count(*) FILTER (selected) AS selected,
+      count(*) FILTER (selected AND bucket = 'far') AS far, count(*) FILTER (selected AND bucket = 'mid') AS mid, count(*) FILTER (selected AND bucket = 'near') AS near
+    FROM selected GROUP BY video_idx""")
 def a17(t: Tables):
     return V.bucket_report(V.select_quota(_marked(t), 12, 18, 2))
 
 
-@query("a17_reject_reasons")
+@query("a17_reject_reasons", _CHOSEN + """
+    SELECT concat('dev_', video_idx) AS device, regexp_replace(coalesce(reject_reason, CASE WHEN selected THEN 'selected' ELSE 'dropped_by_device_max_or_balance' END), '[<@].*$', '') AS outcome,
+      count(*) AS n FROM selected GROUP BY ALL""")
 def a17_reasons(t: Tables):
     return V.reason_report(V.select_quota(_marked(t), 12, 18, 2))
 

@@ -28,12 +28,32 @@ def w17(t: Tables):
     return S.split_by_name(t.images, ["device"], "filename").select("image", "split")
 
 
-@query("w18_group_split")
+_LARGEST = "WITH RECURSIVE" + """ g AS (SELECT device, grp, CAST(count(*) AS BIGINT) AS size FROM {images} GROUP BY 1, 2),
+    sizes AS (SELECT device, CAST(sum(size) AS BIGINT) AS n, count(*) AS groups FROM g GROUP BY device),""" + _TARGETS + """,
+    turns AS (SELECT *, row_number() OVER (PARTITION BY device ORDER BY size DESC, grp) AS k FROM g),
+    walk AS (
+      SELECT device, CAST(0 AS BIGINT) AS k, CAST('' AS VARCHAR) AS grp, 0 AS part, CAST(0 AS BIGINT) AS a, CAST(0 AS BIGINT) AS b, CAST(0 AS BIGINT) AS c FROM targets
+      UNION ALL
+      SELECT device, k, grp, part, a + CASE WHEN part = 1 THEN size ELSE 0 END, b + CASE WHEN part = 2 THEN size ELSE 0 END, c + CASE WHEN part = 3 THEN size ELSE 0 END
+      FROM (SELECT w.device, x.k, x.grp, x.size, w.a, w.b, w.c, CAST(CASE WHEN groups >= 3 AND x.k <= 3 THEN x.k
+          WHEN train - a >= val - b AND train - a >= test - c THEN 1 WHEN val - b >= test - c THEN 2 ELSE 3 END AS INTEGER) AS part
+        FROM walk w JOIN targets t ON t.device = w.device JOIN turns x ON x.device = w.device AND x.k = w.k + 1)
+    ),
+    largest AS (SELECT device, grp, CASE part WHEN 1 THEN 'train' WHEN 2 THEN 'val' ELSE 'test' END AS split FROM walk WHERE k > 0)"""
+
+
+@query("w18_group_split", _LARGEST + " SELECT device, grp, split FROM largest")
 def w18(t: Tables):
     return S.assign_largest_first(t.images, ["device"], "grp")
 
 
-@query("w18_device_split")
+@query("w18_device_split", _LARGEST + """,
+    named AS (SELECT i.device, i.grp, CASE WHEN rn <= train THEN 'train' WHEN rn <= train + val THEN 'val' ELSE 'test' END AS split
+      FROM (SELECT *, row_number() OVER (PARTITION BY device ORDER BY filename) AS rn FROM {images}) i JOIN targets t ON t.device = i.device AND groups < 3),
+    done AS (SELECT i.device, i.grp, l.split, 'video_group' AS strategy FROM {images} i JOIN largest l ON l.device = i.device AND l.grp = i.grp
+        JOIN targets t ON t.device = i.device AND groups >= 3
+      UNION ALL SELECT device, grp, split, 'image_level' FROM named)
+    SELECT device, split, strategy, count(*) AS images, count(DISTINCT grp) AS groups FROM done GROUP BY device, split, strategy""")
 def w18_devices(t: Tables):
     done = S.split_devices(t.images, ["device"], "grp", "filename")
     return done.groupBy("device", "split", "strategy").agg(F.count(F.lit(1)).alias("images"), F.countDistinct("grp").alias("groups"))

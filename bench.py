@@ -9,6 +9,13 @@ import time
 os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--driver-memory 16g --conf spark.ui.showConsoleProgress=false pyspark-shell")
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+# queries whose work grows fastest with the tables; timed once more on the smaller tables, so that growth shows
+GROWING = [
+    "j05_workspace_mapping", "s02_top3_workspaces", "j06_directory_matching", "j12_evidence_retrieval", "s03_best_entry_per_box",
+    "s05_nearest_chunks", "j13_overlap_partners", "j15_box_tracks", "w14_near_duplicates", "w18_group_split", "s07_stable_order",
+    "j20_ambiguous_names",
+]
+GROWTH_SECONDS = 180
 HEADLINE = [
     "a01_inspection_verdicts", "a02_conflict_resolution", "flt03_observation_validation", "flt16_alarm_gate",
     "j04_custom_rule_merge", "j01_device_names", "w04_running_vote", "a06_majority_vote", "w02_equal_count_bins",
@@ -20,7 +27,7 @@ HEADLINE = [
 def main() -> None:
     from pilotlamp.plans import load_all
     from pilotlamp.plans.registry import QUERIES, Tables
-    from pilotlamp.session import build_session
+    from pilotlamp.session import build_session, drop_tables
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -29,17 +36,25 @@ def main() -> None:
     spark = build_session("bench", f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8)
     spark.sparkContext.setLogLevel("ERROR")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    took = {}
-    for name in names:
+
+    def timed(name: str, path: str, count: int) -> float:
+        """Median of ``count`` runs after one that warms up."""
         times = []
-        for i in range(runs + 1):  # the first run warms up
+        for _ in range(count + 1):
             start = time.time()
-            QUERIES[name].build(Tables(spark, folder)).write.format("noop").mode("overwrite").save()
+            QUERIES[name].build(Tables(spark, path)).write.format("noop").mode("overwrite").save()
             times.append(time.time() - start)
-        took[name] = round(statistics.median(times[1:] or times), 3)
-        print(name, took[name], file=sys.stderr, flush=True)
+            drop_tables(spark)
+        print(os.path.basename(path), name, took := round(statistics.median(times[1:] or times), 3), file=sys.stderr, flush=True)
+        return took
+
+    took = {name: timed(name, folder, runs) for name in names}
+    growth, begun, smaller = {}, time.time(), os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.01")
+    for name in GROWING if names is HEADLINE and os.path.isdir(smaller) else []:
+        if time.time() - begun < GROWTH_SECONDS:
+            growth[name] = [timed(name, smaller, 1), timed(name, folder, 1)]
     print(json.dumps({"metric": "headline queries, warm, median", "value": round(sum(took.values()), 3), "unit": "sec",
-                      "queries": took, "sf": os.path.basename(folder.rstrip("/"))}))
+                      "queries": took, "sf": os.path.basename(folder.rstrip("/")), "growth_sf0.01_and_sf": growth}))
     spark.stop()
 
 

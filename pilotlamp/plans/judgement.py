@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pilotlamp.functions import text
 from pilotlamp.operators import judge
+from pilotlamp.operators import requests as whole
 from pilotlamp.plans.registry import Tables, query
 
 COLORS = ["green", "red", "yellow", "blue", "unknown"]
@@ -159,3 +160,54 @@ def u02(t: Tables):
     answers = judge.ask_model(judge.roll_up(matched), judge.question_text(matched), client)
     read = judge.read_answers(answers)
     return read.groupBy("request_id", "model_status", "model_review").agg(F.count(F.lit(1)).alias("devices"))
+
+
+# a payload per order and brand; its device is named exactly, in other letters, by an alias without rules, not at all known, or missing
+_PAYLOADS = """SELECT concat(CAST(request_id AS STRING), '-', device) AS request_id, CASE request_id % 6 WHEN 0 THEN device WHEN 1 THEN lower(device)
+      WHEN 2 THEN concat('lamp house of ', device) WHEN 3 THEN 'orphan cabinet' WHEN 4 THEN 'zzzzqqqqxxxx' END AS device,
+    device AS brand, request_id % 6 AS kind, obs_id, indicator, color, state, confidence FROM {inspections}"""
+
+
+def _requests(t: Tables):
+    o = F.struct("indicator", "color", "state", "confidence")
+    rows = t.sql(_PAYLOADS).groupBy("request_id", "device").agg(F.sort_array(F.collect_list(F.struct("obs_id", o.alias("o")))).alias("all"))
+    return rows.select("request_id", "device", F.transform("all", lambda x: x["o"]).alias("observations"))
+
+
+def _aliases(t: Tables):
+    brands = t.rules.groupBy("device").agg(F.min("ordinal").alias("ordinal"))
+    named = brands.select(
+        F.concat(F.lit("id-"), "device").alias("device_id"), F.col("device").alias("canonical_name"), F.col("device").alias("rule_name"),
+        F.array(F.concat(F.lit("lamp house of "), "device")).alias("aliases"), F.array().cast("array<string>").alias("workspace_names"),
+        F.lit(True).alias("verified"), F.col("ordinal").cast("int").alias("ordinal"))
+    orphan = t.spark.range(1).select(
+        F.lit("id-orphan").alias("device_id"), F.lit("orphan cabinet").alias("canonical_name"), F.lit("rules that are gone").alias("rule_name"),
+        F.array().cast("array<string>").alias("aliases"), F.array().cast("array<string>").alias("workspace_names"), F.lit(False).alias("verified"), F.lit(0).alias("ordinal"))
+    return named.unionByName(orphan)
+
+
+@query("e2_judged_requests", """
+    WITH p AS (""" + _PAYLOADS + """),
+    ok AS (SELECT *, CASE WHEN kind IN (0, 1, 2) THEN brand WHEN kind = 3 THEN 'rules that are gone' END AS rule_name FROM p WHERE confidence >= 0.6 AND kind <> 5),
+    hits AS (SELECT o.obs_id, o.request_id, count(*) AS matches, count(DISTINCT concat(r.severity, '|', r.meaning)) AS outcomes, min(r.ordinal) AS ordinal
+      FROM ok o JOIN {rules} r ON o.rule_name = r.device AND o.indicator = r.indicator
+       AND (o.color = 'unknown' OR r.color = 'unknown' OR o.color = r.color)
+       AND (o.state = 'unknown' OR r.state = 'unknown' OR o.state = r.state OR (r.state = 'steady_or_blinking' AND o.state IN ('steady', 'blinking')))
+      GROUP BY o.obs_id, o.request_id),
+    m AS (SELECT o.*, CASE WHEN rule_name IS NULL THEN 'device_not_found_in_rules' WHEN kind = 3 THEN 'resolved_rule_name_not_found'
+        WHEN h.matches IS NULL THEN 'no_exact_rule' WHEN h.outcomes > 1 THEN 'multiple_conflicting_rules' END AS reason,
+        CASE WHEN h.outcomes = 1 THEN r.severity END AS severity
+      FROM ok o LEFT JOIN hits h ON o.obs_id = h.obs_id AND o.request_id = h.request_id LEFT JOIN {rules} r ON r.ordinal = h.ordinal),
+    v AS (SELECT request_id, count(*) FILTER (reason IS NULL) AS resolved, count(*) FILTER (reason IS NOT NULL) AS unresolved, count(*) FILTER (severity = 'unknown') AS unknown_rules,
+        max(CASE severity WHEN 'normal' THEN 0 WHEN 'info' THEN 1 WHEN 'warning' THEN 2 WHEN 'critical' THEN 3 ELSE -1 END) AS rank FROM m GROUP BY request_id),
+    d AS (SELECT *, resolved > 0 AND unresolved = 0 AND unknown_rules = 0 AS complete, coalesce(rank, -1) >= 2 AS backed FROM v),
+    report AS (SELECT request_id, device, count(*) AS given, count(*) FILTER (confidence >= 0.6) AS accepted FROM p GROUP BY request_id, device)
+    SELECT r.request_id, CASE WHEN device IS NULL THEN 'missing_device' WHEN accepted = 0 THEN 'no_valid_observations' END AS error,
+      CASE WHEN device IS NULL OR accepted = 0 THEN 'error' WHEN complete OR backed THEN CASE rank WHEN 3 THEN 'fault' WHEN 2 THEN 'warning' WHEN 1 THEN 'info' WHEN 0 THEN 'normal' ELSE 'unknown' END
+        ELSE 'uncertain' END AS status,
+      coalesce(CASE WHEN complete THEN rank >= 2 ELSE backed END, false) AS alarm, given - accepted AS dropped,
+      coalesce(resolved + unresolved, 0) AS reasons
+    FROM report r LEFT JOIN d ON d.request_id = r.request_id""")
+def e2(t: Tables):
+    out = whole.judge_requests(_requests(t), _aliases(t), t.rules)
+    return out.select("request_id", "error", "status", "alarm", F.size("dropped").cast("long").alias("dropped"), F.size("reasons").cast("long").alias("reasons"))

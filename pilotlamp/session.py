@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -28,7 +30,7 @@ def build_session(app: str = "pilotlamp", master: str | None = None, partitions:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can read: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may fall back to a temporary folder; a cluster without the setting is an error.
+    Only a local master may go without the setting; it then uses a temporary folder that ends with the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
@@ -36,10 +38,30 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="pilotlamp-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_MADE: list[str] = []
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A new path below the shared folder, remembered until ``drop_tables``."""
+    _MADE.append(f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete all intermediate tables made so far in this process; call it when the results that read them are stored."""
+    made, _MADE[:] = _MADE[:], []
+    conf = spark._jsc.hadoopConfiguration()
+    for path in made:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(made)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -47,6 +69,6 @@ def durable(df: DataFrame) -> DataFrame:
     Parquet keeps column pruning and gives the optimiser real sizes.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    path = new_folder(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -19,6 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pilotlamp.operators import judge, voting
+from pilotlamp.operators import requests as whole
 
 SAMPLE = T.StructType([
     T.StructField("stream_id", T.LongType()), T.StructField("epoch", T.IntegerType()),
@@ -34,6 +35,8 @@ ROUTE = T.StructType([
     T.StructField("frame_idx", T.LongType()), T.StructField("position", T.LongType()),
     T.StructField("voted", T.StringType()), T.StructField("device", T.StringType()),
     T.StructField("device_confidence", T.DoubleType())])
+ALIASES = ("device_id string, canonical_name string, rule_name string, aliases array<string>, workspace_names array<string>,"
+           " verified boolean, ordinal int")
 STATE = T.StructType([T.StructField("body", T.StringType())])
 
 
@@ -132,12 +135,17 @@ def routed_devices(samples: DataFrame, interval: int = 15, window: int = voting.
 
 
 def judge_stream(requests: DataFrame, read_rules: Callable[[SparkSession], DataFrame],
-                 write: Callable[[DataFrame, int], None]) -> DataStreamWriter:
-    """Judge each micro-batch of requests. Rules are read per batch, so a change counts for the next request."""
+                 write: Callable[[DataFrame, int], None], read_aliases: Callable[[SparkSession], DataFrame] | None = None
+                 ) -> DataStreamWriter:
+    """Judge each micro-batch of requests as ``requests.judge_requests`` does, failing requests included.
+
+    Rules and aliases are read per batch, so a change counts for the next request. Without aliases device names are
+    looked up among the devices of the rules.
+    """
     def run(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        accepted = judge.validate(judge.explode_requests(batch)).filter(F.col("drop_reason").isNull())
-        write(judge.roll_up(judge.match_observations(accepted, read_rules(spark))), epoch)
+        aliases = read_aliases(spark) if read_aliases else spark.createDataFrame([], ALIASES)
+        write(whole.judge_requests(batch, aliases, read_rules(spark)), epoch)
 
     return requests.writeStream.foreachBatch(run)
 

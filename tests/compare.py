@@ -45,11 +45,13 @@ def oracle_connection(folder):
 def compare(spark, con, folder, query):
     """Empty text when equal, else what differs."""
     from pilotlamp.plans.registry import Tables
+    from pilotlamp.session import drop_tables
 
     t = time.time()
     df = query.build(Tables(spark, folder))
     data = df.collect()
     SPENT[query.name] = time.time() - t
+    drop_tables(spark)
     got, got_names = rows_of(df.columns, data)
     if query.oracle is None:
         return "" if got else "no rows"

@@ -10,9 +10,10 @@ os.environ.setdefault("PYSPARK_SUBMIT_ARGS", "--conf spark.ui.showConsoleProgres
 
 @pytest.fixture(scope="session")
 def spark():
-    from pilotlamp.session import build_session
+    from pilotlamp.session import build_session, drop_tables
 
     session = build_session("tests", "local[8]", 4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_tables(session)
     session.stop()

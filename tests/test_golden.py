@@ -225,3 +225,31 @@ def test_failing_model_is_reported(spark):
 
     got = {r.request_id: (r.content, r.error) for r in judge.ask_model(verdicts, questions, client).collect()}
     assert got == {"q1": ("{}", None), "q2": ("", "TimeoutError: no answer")}
+
+
+def test_whole_requests(spark):
+    """Alias tier, rule tier, unresolved, rule name gone, wrong indicator, and all ways to fail."""
+    from pilotlamp.operators import requests
+    rules = spark.createDataFrame([("Rectifier A", "RUN lamp", "green", "steady", "normal", "works", 1), ("Rectifier A", "ALM lamp", "red", "steady", "critical", "broken", 2),
+                                   ("Cooling unit", "RUN lamp", "green", "steady", "warning", "hot", 3)],
+                                  "device string, indicator string, color string, state string, severity string, meaning string, ordinal int")
+    aliases = spark.createDataFrame([("1", "Rectifier", "Rectifier A", ["power cabinet"], [], True, 1), ("2", "Ghost", "Gone", ["phantom"], [], False, 2)],
+                                    "device_id string, canonical_name string, rule_name string, aliases array<string>, workspace_names array<string>, verified boolean, ordinal int")
+    run, alm = ("RUN lamp", "green", "steady", 0.9), ("ALM lamp", "red", "steady", None)
+    cases = {
+        "alias": ("power cabinet", [run, alm]), "rule": ("cooling unit", [run]), "ghost": ("phantom", [run]), "none": ("qqqqqqq", [run]), "lamp": ("power cabinet", [("ZZZZ 9", "green", "steady", 1.0)]),
+        "no_device": (None, [run]), "blank": (" ", [run]), "no_list": ("power cabinet", None), "empty": ("power cabinet", []), "rejected": ("power cabinet", [("", "green", "steady", 1.0), ("RUN lamp", "green", "steady", 0.1)]),
+        "some": ("power cabinet", [run, ("RUN lamp", "green", "steady", 0.1)]),
+    }
+    df = spark.createDataFrame([(k, *v) for k, v in cases.items()], "request_id string, device string, observations array<struct<indicator:string,color:string,state:string,confidence:double>>")
+    got = {r.request_id: r for r in requests.judge_requests(df, aliases, rules).collect()}
+    assert len(got) == len(cases)
+    assert {k: (r.status, r.alarm, r.error) for k, r in got.items()} == {
+        "alias": ("fault", True, None), "rule": ("warning", True, None), "ghost": ("uncertain", False, None), "none": ("uncertain", False, None), "lamp": ("uncertain", False, None),
+        "no_device": ("error", False, "missing_device"), "blank": ("error", False, "missing_device"), "no_list": ("error", False, "missing_observations"),
+        "empty": ("error", False, "missing_observations"), "rejected": ("error", False, "no_valid_observations"), "some": ("normal", False, None)}
+    assert got["ghost"].reasons == ["resolved_rule_name_not_found"] and got["none"].reasons == ["device_not_found_in_rules"] and got["lamp"].reasons == ["indicator_not_found_in_rules"]
+    assert got["alias"].reasons == ["RUN lamp：green steady -> works (normal, source=base)", "ALM lamp：red steady -> broken (critical, source=base)"]
+    assert got["rejected"].dropped == ["0:missing_indicator", "1:low_confidence"] and got["some"].dropped == ["1:low_confidence"]
+    odd = rules.withColumn("color", F.lit("teal glow 红")).limit(1)
+    assert [(r.kind, r.word) for r in requests.vocabulary_gaps(odd).collect()] == [("color", "teal glow 红")]

@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pilotlamp.session import durable, shared_folder
+from pilotlamp.session import durable, new_folder
 
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 32 << 20
@@ -146,7 +146,7 @@ def plan_records(pages: DataFrame) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[DataFrame, str]:
     """Archives all pages under ``folder``; returns the manifest and the folder."""
-    folder = folder or f"{shared_folder(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    folder = folder or new_folder(pages.sparkSession, "warc")
     store, root = _filesystem(folder)
     store.create_dir(root, recursive=True)
 

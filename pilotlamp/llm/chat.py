@@ -135,42 +135,44 @@ def format_conversations(conversations: DataFrame, tokenizer_path: str, trained=
 
 def loss_texts(text: str, starts: np.ndarray, ends: np.ndarray, loss: np.ndarray) -> list[str]:
     """The unescaped texts under the mask; characters of several tokens count once."""
-    out, at, begin = [], -1, -1
-    for s, e in zip(starts[loss].tolist(), ends[loss].tolist(), strict=True):
-        if s > at:
-            if begin >= 0:
-                out.append(unescape(text[begin:at]))
-            begin = s
-        at = max(at, e)
-    if begin >= 0:
-        out.append(unescape(text[begin:at]))
-    return out
+    first, last = starts[loss], np.maximum.accumulate(ends[loss])
+    if not len(first):
+        return []
+    cuts = np.flatnonzero(first[1:] > last[:-1]) + 1  # a token that begins after all before it have ended
+    begins, stops = first[np.append(0, cuts)], last[np.append(cuts, len(last)) - 1]
+    return [unescape(text[a:b]) for a, b in zip(begins.tolist(), stops.tolist(), strict=True)]
+
+
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    """The rows of a list column as views of one array."""
+    flat, at = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [flat[a - at[0]:b - at[0]] for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
 def digest(formatted: DataFrame) -> DataFrame:
     """Digests of every conversation, read back from its blocks in order."""
 
     def run(batches):
-        state, rows = None, []
-        for (conv, _block, text, starts, ends, loss), new in _runs(batches, 1):
-            if new:
-                if state:
-                    rows.append(close(state))
-                state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            for role, body in _TURN.findall(text):
-                state[1] += 1
-                state[2].update(f"{unescape(role)}\n{unescape(body)}\n".encode())
-            for learnt in loss_texts(text, np.array(starts, np.int64), np.array(ends, np.int64), np.array(loss, bool)):
-                state[3] += len(learnt)
-                state[4].update(learnt.encode())
-            state[5] += len(text)
-            if len(rows) >= 5000:
+        state = None
+        for b in batches:
+            rows = []
+            columns = [b.column(0).to_pylist(), b.column(1).to_pylist(), *(_lists(b.column(i)) for i in (2, 3, 4))]
+            for conv, text, starts, ends, loss in zip(*columns, strict=True):
+                if state is None or conv != state[0]:
+                    if state:
+                        rows.append(close(state))
+                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                for role, body in _TURN.findall(text):
+                    state[1] += 1
+                    state[2].update(f"{unescape(role)}\n{unescape(body)}\n".encode())
+                for learnt in loss_texts(text, starts, ends, loss):
+                    state[3] += len(learnt)
+                    state[4].update(learnt.encode())
+                state[5] += len(text)
+            if rows:
                 yield batch(rows)
-                rows = []
         if state:
-            rows.append(close(state))
-        if rows:
-            yield batch(rows)
+            yield batch([close(state)])
 
     def close(s):
         return (s[0], s[1], s[2].hexdigest(), s[3], s[4].hexdigest(), s[5])
@@ -181,4 +183,4 @@ def digest(formatted: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     rows = formatted.select("conv_id", "block", "text", "starts", "ends", "loss").repartition("conv_id").sortWithinPartitions("conv_id", "block")
-    return rows.mapInArrow(run, _DIGEST)
+    return rows.drop("block").mapInArrow(run, _DIGEST)

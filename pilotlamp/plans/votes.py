@@ -48,6 +48,18 @@ def w04(t: Tables):
                     F.round("mean", 6).alias("mean"), "window_size", F.coalesce(stable, F.lit(False)).alias("stable"))
 
 
+@query("st01_replayed_votes", _RUNNING + """
+    SELECT stream_id, frame_idx, candidate, round(ratio, 6) AS ratio, round(mean, 6) AS mean,
+      CAST(coalesce(size, 0) AS INTEGER) AS window_size,
+      coalesce(size >= 3 AND ratio >= 0.75 AND round(mean, 9) >= 0.80, false) AS stable FROM f""")
+def st01(t: Tables):
+    from pilotlamp.streaming import live
+    v = live.replay(t.samples, lambda s: live.stable_devices(s, 8, 0.6))
+    stable = (F.col("window_size") >= 3) & (F.col("ratio") >= 0.75) & (F.round("mean", 9) >= 0.80)
+    return v.select("stream_id", "frame_idx", "candidate", F.round("ratio", 6).alias("ratio"),
+                    F.round("mean", 6).alias("mean"), "window_size", F.coalesce(stable, F.lit(False)).alias("stable"))
+
+
 @query("w04_final_vote", _RUNNING + """
     SELECT stream_id, candidate, round(ratio, 6) AS ratio, round(mean, 6) AS mean, CAST(size AS INTEGER) AS window_size
     FROM (SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY ts DESC, frame_idx DESC) AS k FROM f)
@@ -84,6 +96,12 @@ def w05(t: Tables):
     return _interval(t)
 
 
+@query("st02_replayed_routes", _INTERVAL + "SELECT * FROM f")
+def st02(t: Tables):
+    from pilotlamp.streaming import live
+    return live.replay(t.samples, lambda s: live.routed_devices(s, 15, 5)).drop("epoch")
+
+
 @query("j18_detector_routing", _INTERVAL + """
     SELECT f.*, CASE WHEN device_confidence >= 0.7 AND device = voted AND voted NOT IN ('error')
                        AND voted NOT IN ('view') THEN concat('detector_', voted) END AS detector,

@@ -40,6 +40,19 @@ ALIASES = ("device_id string, canonical_name string, rule_name string, aliases a
 STATE = T.StructType([T.StructField("body", T.StringType())])
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def replay(samples: DataFrame, vote: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A recorded table of samples through the same stateful step as a stream, as one batch."""
+    spark = samples.sparkSession
+    if "RocksDB" not in spark.conf.get(STATE_STORE, ""):
+        spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    _ = spark.streams.active  # starts the coordinator of state stores, which a batch does not do by itself
+    columns = [F.col(c).cast(SAMPLE[c].dataType).alias(c) for c in SAMPLE.fieldNames() if c != "epoch"]
+    return vote(samples.select(*columns, F.lit(0).alias("epoch")))
+
+
 def skip_ahead(frames: DataFrame, skip: int) -> DataFrame:
     """Keep a frame, drop the next ``skip``."""
     return frames.filter(F.pmod(F.col("frame_idx"), F.lit(skip + 1)) == 0)

@@ -68,17 +68,21 @@ def group_key(name: Column, short_label: Column, mode: str) -> Column:
         return text.semantic_key(name, short_label)
     if mode == "strict":
         return F.concat(F.lit("STRICT:"), text.catalog_key(name))
+    if mode == "none":
+        return F.concat(F.lit("NONE:"), F.uuid())
     raise ValueError(f"unknown mode {mode!r}")
 
 
 def deduplicate(items: DataFrame, mode: str = "semantic") -> DataFrame:
-    """One entry per semantic family (or per equal name in ``strict`` mode) and device.
+    """One entry per semantic family (per equal name in ``strict`` mode, per row in mode ``none``) and device.
 
-    The name is the family's display name, else the shortest. Modules and other names are united in
-    first-seen order. ``merged`` counts the entries; more than one means a line of the merge report.
+    The name is the family's display name, else the shortest. Modules, locations, evidence and other names are united in
+    first-seen order. ``merged`` counts the entries; ``merge_report`` lists those of more than one.
     """
     rows = items.withColumn("name", F.trim("name")).filter("coalesce(name, '') <> ''")
     rows = rows.withColumn("key", group_key(F.col("name"), _given(items, "short_label"), mode))
+    if mode == "none":
+        rows = durable(rows)  # its keys are drawn once
     pos = F.col("ordinal")
     base = rows.groupBy("device", "key").agg(
         F.min_by("name", F.struct(F.length("name"), pos)).alias("shortest"),
@@ -90,12 +94,21 @@ def deduplicate(items: DataFrame, mode: str = "semantic") -> DataFrame:
     names = first_seen(rows, ["device", "key"], F.col("name"), same("name"), pos, "names")
     modules = first_seen(rows, ["device", "key"], _given(items, "module"), same("module"), pos, "modules")
     out = base.join(names, ["device", "key"]).join(modules, ["device", "key"], "left")
+    for given, united in (("location_hint", "location_hints"), ("evidence", "evidences")):
+        if given in items.columns:
+            listed = first_seen(rows, ["device", "key"], F.col(given), text.catalog_key(F.col(given)), pos, united)
+            out = out.join(listed, ["device", "key"], "left")
     own = text.catalog_key(F.col("name"))
     out = out.withColumn("aliases", F.filter("names", lambda x: text.catalog_key(x) != own))
     out = out.withColumn("_pl_k", text.semantic_key(F.col("name"), F.col("short_label"))).withColumn("_pl_n", own)
     return number(out, [("_pl_k", "asc"), ("_pl_n", "asc"), ("ordinal", "asc")]).drop("_pl_k", "_pl_n")
 
 
+def merge_report(deduplicated: DataFrame) -> DataFrame:
+    """Entries that unite several rows: how many, under which name, and the names that went in."""
+    return deduplicated.filter("merged > 1").select("device", "key", "name", "merged", "names")
+
+
 def pos_min(pos: Column) -> Column:
     return F.min(pos).alias("ordinal")
 

@@ -17,7 +17,6 @@ from pilotlamp.operators import ordered
 CHUNK_SIZE = 700
 CHUNK_OVERLAP = 120
 EVIDENCE_BATCH = 15_000
-SALTS = 64
 META = ["device_name", "source_type", "source_file", "section", "page"]
 
 
@@ -143,16 +142,16 @@ def nearest(queries: DataFrame, items: DataFrame, on: str, k: int, query_rows: i
 
     ``queries``: on, query_id, vector; ``items``: on, item_id, vector. Both sides are packed into blocks
     of bounded size that meet on ``on`` and a salt, one matrix product per pair of blocks; only ``k`` rows
-    per query leave a block. A large device spreads over up to 64 salts. Ties go to the lower id.
+    per query leave a block. A device has a salt for every block of its items. Ties go to the lower id.
     """
     def blocks(df: DataFrame, id_col: str, rows: int, name: str) -> DataFrame:
         return ordered.pages(df, [on], [(id_col, "asc")], F.struct(F.col(id_col).alias("id"), F.col("vector").alias("v")), name,
                              rows)
 
-    right = blocks(items, "item_id", item_rows, "items").withColumn("salt", F.col("page") % SALTS).drop("page")
+    right = blocks(items, "item_id", item_rows, "items").withColumnRenamed("page", "salt")
     width = items.groupBy(on).agg(F.ceil(F.count(F.lit(1)) / F.lit(item_rows)).alias("pages"))
     left = blocks(queries, "query_id", query_rows, "asked").drop("page").join(width, on)
-    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(SALTS).cast("long"), F.col("pages")) - 1)))
+    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
     pairs = left.select(on, "salt", "asked").join(right, [on, "salt"]).select("asked", "items")
     schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType),
                            T.StructField("item_id", items.schema["item_id"].dataType),
@@ -179,11 +178,12 @@ def nearest(queries: DataFrame, items: DataFrame, on: str, k: int, query_rows: i
     return ordered.top_in_groups(found, ["query_id"], [("distance", "asc"), ("item_id", "asc")], k, "place")
 
 
-def retrieve(queries: DataFrame, items: DataFrame, k: int = 4) -> DataFrame:
+def retrieve(queries: DataFrame, items: DataFrame, k: int = 4, same: Sequence[str] = ()) -> DataFrame:
     """Nearest items of the query's verified workspaces and of the global device, without repeats, by distance.
 
     ``queries``: query_id, device_name, verified, vector; ``items``: item_id, device_name, vector. A query with
-    several workspaces has one row per workspace and gets ``k`` items of each.
+    several workspaces has one row per workspace and gets ``k`` items of each. Of items that agree in the columns
+    ``same`` (file, page and text, say) a query keeps the nearest one.
     """
     own = queries.filter(F.col("verified"))
     mine = nearest(own.select(F.col("device_name").alias("on"), F.concat_ws("\u0001", F.col("query_id").cast("string"), "device_name")
@@ -195,5 +195,9 @@ def retrieve(queries: DataFrame, items: DataFrame, k: int = 4) -> DataFrame:
     common = nearest(each.select(shared.alias("on"), "query_id", "vector"),
                      items.filter(F.col("device_name") == shared).select(F.col("device_name").alias("on"), "item_id", "vector"), "on", k)
     both = mine.unionByName(common).groupBy("query_id", "item_id").agg(F.min("distance").alias("distance"))
+    if same:
+        named = both.join(items.select("item_id", *same).distinct(), "item_id")
+        first = named.groupBy("query_id", *same).agg(F.min(F.struct("distance", "item_id")).alias("f"))
+        both = first.select("query_id", "f.item_id", "f.distance")
     # at most k rows per workspace plus k are left per query
     return both.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "item_id")))

@@ -43,8 +43,12 @@ def read_label_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_labels(label_bodies: DataFrame, path: str) -> None:
-    """Label bodies as a table partitioned by split; one row per image page."""
-    label_bodies.write.partitionBy("split").mode("error").parquet(path)
+    """Label files as text, one folder per image below its split (``split=.../image=...``); pages follow each other.
+
+    An image without boxes has a file with one empty line.
+    """
+    rows = label_bodies.repartition("split", "image").sortWithinPartitions("split", "image", "page")
+    rows.select("split", "image", "body").write.partitionBy("split", "image").mode("error").text(path)
 
 
 def read_class_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -253,3 +253,29 @@ def test_whole_requests(spark):
     assert got["rejected"].dropped == ["0:missing_indicator", "1:low_confidence"] and got["some"].dropped == ["1:low_confidence"]
     odd = rules.withColumn("color", F.lit("teal glow 红")).limit(1)
     assert [(r.kind, r.word) for r in requests.vocabulary_gaps(odd).collect()] == [("color", "teal glow 红")]
+
+
+def test_label_files_are_text(spark, tmp_path):
+    from pilotlamp.sources import tables
+    rows = [("train", "a", 1, "1 .5 .5 .1 .1"), ("train", "a", 0, "0 .5 .5 .1 .1\n0 .2 .2 .1 .1"), ("val", "b", 0, "")]
+    tables.write_labels(spark.createDataFrame(rows, "split string, image string, page int, body string"), str(tmp_path / "labels"))
+    body = "".join(p.read_text() for p in (tmp_path / "labels" / "split=train" / "image=a").glob("*.txt"))
+    assert body == "0 .5 .5 .1 .1\n0 .2 .2 .1 .1\n1 .5 .5 .1 .1\n" and list((tmp_path / "labels" / "split=val" / "image=b").glob("*.txt"))
+
+
+def test_retrieval_without_equal_texts(spark):
+    items = spark.createDataFrame([(1, "_GLOBAL_", [1.0, 0.0], "f", "t"), (2, "_GLOBAL_", [1.0, 0.1], "f", "t"), (3, "_GLOBAL_", [0.0, 1.0], "g", "t")],
+                                  "item_id long, device_name string, vector array<double>, file string, body string")
+    asked = spark.createDataFrame([(7, "d", False, [1.0, 0.0])], "query_id long, device_name string, verified boolean, vector array<double>")
+    assert [r.item_id for r in D.retrieve(asked, items, 3, same=["file", "body"]).orderBy("place").collect()] == [1, 3]
+    assert [r.item_id for r in D.retrieve(asked, items, 3).orderBy("place").collect()] == [1, 2, 3]
+
+
+def test_catalogue_modes(spark):
+    df = spark.createDataFrame([("d", "RUN lamp", "", "M1", "front", "p1", 1), ("d", "RUN", "", "M2", "rear", "p2", 2), ("d", "RUN", "", "M2", "rear", "p3", 3)],
+                               "device string, name string, short_label string, module string, location_hint string, evidence string, ordinal int")
+    assert [C.deduplicate(df, m).count() for m in ("semantic", "strict", "none")] == [1, 2, 3]
+    merged = C.deduplicate(df)
+    row = merged.first()
+    assert row.location_hints == ["front", "rear"] and row.evidences == ["p1", "p2", "p3"] and row.modules == ["M1", "M2"]
+    assert [(r.device, r.merged) for r in C.merge_report(merged).collect()] == [("d", 3)]

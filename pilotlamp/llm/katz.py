@@ -19,7 +19,8 @@ from __future__ import annotations
 
 import math
 import pickle
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pilotlamp.llm.common import col
 from pilotlamp.llm.ngram_join import _mix
 from pilotlamp.session import durable
 
-PART_CHARS = 24_000_000  # characters of the corpus for one part, about 4 million tokens
+PART_CHARS = 12_000_000  # characters of the corpus for one part, about 2 million tokens
 PACK_BYTES = 16_000_000  # text packed together: larger packs shuffle less and need more memory
 MAX_COUNT = 5  # counts above are not discounted
 SAMPLE = 0.02  # share of the rows in which frequent words are looked for; it decides on the layout only
@@ -65,12 +66,26 @@ def tokens(text: bytes | None) -> list[bytes | None]:
     return [*text.translate(_LOWER).split(), None] if text else [None]
 
 
+class _Planes:
+    """An array by byte planes, and as differences where it is sorted 64-bit hashes: what repeats then stands together."""
+
+    def __init__(self, x: np.ndarray):
+        self.kind, self.rising = x.dtype, x.dtype == np.uint64
+        x = np.diff(x, prepend=np.uint64(0)) if self.rising else np.ascontiguousarray(x)
+        self.data = x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+    def array(self) -> np.ndarray:
+        x = np.ascontiguousarray(np.frombuffer(self.data, np.uint8).reshape(self.kind.itemsize, -1).T).view(self.kind).ravel()
+        return np.cumsum(x, dtype=np.uint64) if self.rising else x
+
+
 def _pack(*parts) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts, protocol=5))
+    packed = [_Planes(x) if isinstance(x, np.ndarray) and x.itemsize > 1 and x.dtype.kind == "u" else x for x in parts]
+    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(packed, protocol=5))
 
 
-def _unpack(data: bytes):
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+def _unpack(data: bytes) -> list:
+    return [x.array() if isinstance(x, _Planes) else x for x in pickle.loads(zstandard.ZstdDecompressor().decompress(data))]
 
 
 def _small(x: np.ndarray) -> np.ndarray:
@@ -175,38 +190,44 @@ def _merge(packs: DataFrame, parts: int, often: np.ndarray) -> DataFrame:
 
     def merged(part, held):
         word, history, trained, packs = [], [], [], []
-        for batch, data in held:
+        while held:
+            batch, data = held.pop(0)
             words, wi, histories, hi, times, docs, bits, n = _unpack(data)
             out = np.unpackbits(bits, count=n)
             first = np.cumsum(times.astype(np.int64)) - times
             word.append(words[wi])
             history.append(histories[hi])
-            trained.append(np.add.reduceat(1 - out[docs].astype(np.int64), first))
+            trained.append(np.add.reduceat(1 - out[docs].astype(np.int32), first))
             packs.append((batch, times, docs, bits, n))
         size = [len(w) for w in word]
-        word, history, trained = np.concatenate(word), np.concatenate(history), np.concatenate(trained)
+        word, history, trained = (np.concatenate(x) for x in (word, history, trained))
         order = np.lexsort((history, _place(word, history, often)))
-        first = _edges(word[order], history[order])
-        mine = np.empty(len(word), np.int64)
-        mine[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
-        count = np.bincount(mine, weights=trained, minlength=len(first)).astype(np.int64)
-        word, history = word[order][first], history[order][first]
-        del order
+        word, history = word[order], history[order]
+        first = _edges(word, history)
+        mine = np.empty(len(word), np.uint32)
+        mine[order] = np.repeat(np.arange(len(first), dtype=np.uint32), np.diff(np.append(first, len(word))))
+        count = np.add.reduceat(trained[order], first)
+        del order, trained
+        word, history = word[first], history[first]
         run_at = _edges(word)
-        run_word, run_count = word[run_at], np.add.reduceat(count, run_at)
+        run_word, run_count = word[run_at], np.add.reduceat(count.astype(np.int64), run_at)
+        runs = np.diff(np.append(run_at, len(word)))
+        del word, first
         hot = np.isin(run_word, often)
         cold = run_count[~hot]
         often_words, inverse = np.unique(run_word[hot], return_inverse=True)
         histories, hi = np.unique(history, return_inverse=True)
+        del history
         at, kept = 0, []
         for n, (batch, times, docs, bits, docs_n) in zip(size, packs, strict=True):
             index = mine[at:at + n]  # rising: packs and table are in one order
-            kept.append((batch, _small(np.diff(index, prepend=0)), times, docs, bits, docs_n))
+            kept.append(_pack(batch, _small(np.diff(index, prepend=np.uint32(0))), times, docs, bits, docs_n))
             at += n
+        del mine, packs
         of = lambda c: np.bincount(np.minimum(c, MAX_COUNT + 2), minlength=MAX_COUNT + 3)[1:MAX_COUNT + 2]
         return row(
-            part=part, words=run_word.view(np.int64), pairs=np.diff(np.append(run_at, len(word))), histories=histories.view(np.int64), history=hi,
-            counts=count, occurrences=_pack(kept), pair_counts=of(count), word_counts=of(cold), n_words=int((cold > 0).sum()), n_tokens=int(cold.sum()),
+            part=part, words=run_word.view(np.int64), pairs=runs, histories=histories.view(np.int64), history=hi.astype(np.int32),
+            counts=count, occurrences=pickle.dumps(kept, protocol=5), pair_counts=of(count), word_counts=of(cold), n_words=int((cold > 0).sum()), n_tokens=int(cold.sum()),
             often=often_words.view(np.int64), often_counts=np.bincount(inverse, weights=run_count[hot], minlength=len(often_words)).astype(np.int64),
         )
 
@@ -247,7 +268,6 @@ class Model:
     often: np.ndarray
     often_counts: np.ndarray
     unknown: float = 0.0
-    extra: dict = field(default_factory=dict)
 
     def discounted(self, counts: np.ndarray, factor: np.ndarray) -> np.ndarray:
         return counts * factor[np.minimum(counts, MAX_COUNT + 1)]
@@ -276,6 +296,18 @@ def _columns(batch, i):
     return words.view(np.uint64), pairs.astype(np.int64), histories.view(np.uint64), history, counts.astype(np.int64)
 
 
+@contextmanager
+def _shuffle_files_dropped(spark):
+    """Shuffle files of what is written meanwhile go as soon as it is written."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def train(documents: DataFrame) -> tuple[DataFrame, DataFrame, Model]:
     """Pair table, backoff table (``history, log_weight``) and model from ``doc_id, held_out, text``.
 
@@ -290,7 +322,8 @@ def train(documents: DataFrame) -> tuple[DataFrame, DataFrame, Model]:
     # a frequent word fills a quarter of a part; there are four times as many such words as parts at most
     frequent = [r["w"] for r in seen.where((F.col("count") > max(50, total / (4 * parts))) & (F.col("w") != "")).select("w").collect()]
     often = np.array(sorted({int(END), *(xxhash.xxh64_intdigest(w.encode()) for w in frequent)}), np.uint64)
-    table = durable(_merge(_packs(documents, parts, often), parts, often))
+    with _shuffle_files_dropped(spark):  # the packs are as large as the table made of them
+        table = durable(_merge(_packs(documents, parts, often), parts, often))
     sums = table.where("part >= 0").select(
         *[F.sum(F.element_at("pair_counts", i + 1)).alias(f"p{i}") for i in range(MAX_COUNT + 1)],
         *[F.sum(F.element_at("word_counts", i + 1)).alias(f"w{i}") for i in range(MAX_COUNT + 1)], F.sum("n_words").alias("words"), F.sum("n_tokens").alias("tokens"),
@@ -347,7 +380,7 @@ def score(documents: DataFrame, folds: int = 10) -> DataFrame:
                     term = np.where(counts > 0, np.log10(np.maximum(model.discounted(counts, model.pair_factor), 1e-300)), np.log10(model.word_probability(c))[of_run])
                 term = term + after[of_run] - np.where(histories[history] == START, math.log10(model.n_docs + 1), 0.0)
                 out = []
-                for batch, step, times, docs, _bits, n in _unpack(b.column("occurrences")[i].as_py())[0]:
+                for batch, step, times, docs, _bits, n in map(_unpack, pickle.loads(b.column("occurrences")[i].as_py())):
                     pair = np.repeat(np.cumsum(step.astype(np.int64)), times)
                     r = of_run[pair]
                     values = [np.bincount(docs, weights=x, minlength=n) for x in (term[pair], base[r], c[r] > 0)]
@@ -359,7 +392,7 @@ def score(documents: DataFrame, folds: int = 10) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 _, _, histories, history, counts = _columns(b, i)
-                for batch, step, times, docs, _bits, _n in _unpack(b.column("occurrences")[i].as_py())[0]:
+                for batch, step, times, docs, _bits, _n in map(_unpack, pickle.loads(b.column("occurrences")[i].as_py())):
                     pair = np.repeat(np.cumsum(step.astype(np.int64)), times)
                     new = counts[pair] == 0
                     if new.any():

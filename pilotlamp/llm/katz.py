@@ -231,7 +231,9 @@ def _merge(packs: DataFrame, parts: int, often: np.ndarray) -> DataFrame:
             often=often_words.view(np.int64), often_counts=np.bincount(inverse, weights=run_count[hot], minlength=len(often_words)).astype(np.int64),
         )
 
-    return packs.repartition(parts, "part").sortWithinPartitions("part", "batch").mapInArrow(run, _TABLE)
+    to = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.pmod("batch", F.lit(parts))).cast("int")  # one part a task
+    dealt = packs.withColumn("to", to).repartitionById(parts, "to").sortWithinPartitions("part", "batch")
+    return dealt.drop("to").mapInArrow(run, _TABLE)
 
 
 _KINDS = {

@@ -112,10 +112,12 @@ def scan_windows(
     each with its own broadcast set, and the hits are united.
     """
     spark = documents.sparkSession
-    out, first = documents, True
+    out, more = documents, []
     passed = list(documents.columns if keep is None else keep)
-    blocks = list(_blocks(benchmark, window, block_words))
-    for k, block in enumerate(blocks):
+    blocks = _blocks(benchmark, window, block_words)
+    block = next(blocks)
+    while block is not None:
+        following = next(blocks, None)  # two blocks at most are held here
         shared = spark.sparkContext.broadcast(block)
 
         def judge(text, *before, shared=shared):
@@ -127,10 +129,9 @@ def scan_windows(
                 items[row] = sorted(met | set(items[row]))
             return [pa.array(map(len, texts), pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
 
-        more = [] if first else ["hits", "items"]
-        last = k == len(blocks) - 1
-        out = add_columns(out, ["text", *more], judge, HITS, passed if last else [*passed, "text"] if "text" not in passed else passed)
-        first = False
+        scanned_again = following is not None and "text" not in passed
+        out = add_columns(out, ["text", *more], judge, HITS, [*passed, "text"] if scanned_again else passed)
+        block, more = following, ["hits", "items"]
     return out
 
 

@@ -36,7 +36,7 @@ from pilotlamp.llm.ngram_join import _mix
 from pilotlamp.session import durable
 
 PART_CHARS = 12_000_000  # characters of the corpus for one part, about 2 million tokens
-PACK_BYTES = 16_000_000  # text packed together: larger packs shuffle less and need more memory
+PACK_BYTES = 10_000_000  # text packed together: larger packs shuffle less and need more memory
 MAX_COUNT = 5  # counts above are not discounted
 SAMPLE = 0.02  # share of the rows in which frequent words are looked for; it decides on the layout only
 START, END = np.uint64(1), np.uint64(2)
@@ -51,7 +51,7 @@ _TABLE = (
 
 class _Words(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:  # a cache only
+        if len(self) > 100_000:  # a cache only
             self.clear()
             self[None] = int(END)
         h = self[word] = xxhash.xxh64_intdigest(word)

@@ -9,8 +9,9 @@ the threshold reaches its target. Members whose sketches look alike form candida
 checked exactly on whole shingle sets, in tiles of bounded size, and links are counted in the tile.
 
 Null texts and texts without words have no shingles: they link to nothing, and each is a class of its own. Fewer words than a
-shingle give one shingle of all words. Repeated rows are copies: they share a class and count as links. Columns of the input
-other than the id are not returned. An empty table gives an empty result.
+shingle give one shingle of all words. Repeated rows are copies: they share a class and count as links. Classes and copies are
+told apart by keys made of the sets: ids may be null or repeat and are labels only. Columns of the input other than the id are
+not returned. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -270,11 +271,13 @@ def _near(sets: list[np.ndarray], top: int) -> np.ndarray:
 
 
 def join(documents: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, small: int = SMALL, tile: int = TILE, keep=()) -> DataFrame:
-    """One row per document: ``doc_id, class_id, copy_id, n_links``.
+    """One row per document: ``doc_id, class_id, copy_id, n_links, class_key, copy_key``.
 
-    Documents linked by a similarity of at least ``similarity``, directly or through others, share ``class_id``, the
-    least ``doc_id`` among them; ``copy_id`` is the least of those with an equal set; ``n_links`` counts all other
-    documents that reach the similarity. ``keep`` names further columns to return; ``has_words`` may be among them.
+    Documents linked by a similarity of at least ``similarity``, directly or through others, share ``class_key``, the
+    least set id among them; those with an equal set share ``copy_key``, its id. Both are null without words: such a row
+    is a class of its own. ``class_id`` and ``copy_id`` label them with the least ``doc_id`` of the class and of the
+    copies; two classes have one label if their ids are null or repeat. ``n_links`` counts all other documents that reach
+    the similarity. ``keep`` names further columns to return; ``has_words`` may be among them.
     """
     rows = documents.select(col("doc_id"), col("text"))
     extra = [c for c in keep if c != "has_words"]
@@ -315,12 +318,14 @@ def join(documents: DataFrame, similarity: float = SIMILARITY, recall: float = R
         .unionByName(linked.select("root").distinct().join(ids.withColumnRenamed("member", "root"), "root").select("root", "copy_id"))
         .groupBy("root").agg(F.min("copy_id").alias("class_id"))
     )
-    classes = linked.join(least, "root").select("member", "class_id").unionByName(least.select(F.col("root").alias("member"), "class_id"))
+    classes = linked.join(least, "root").select("member", "root", "class_id").unionByName(least.select(F.col("root").alias("member"), "root", "class_id"))
     per_member = ids.join(links, "member", "left").join(classes, "member", "left").select(
-        "member", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "member", "copy_id", F.coalesce("root", "member").alias("class_key"),
+        F.when(F.col("root").isNull(), F.col("copy_id")).otherwise(F.col("class_id")).alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
     return prints.select("doc_id", "member", *extra).join(per_member, "member", "left").select(
-        *keep_columns(keep), "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+        *keep_columns(keep), "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        "class_key", F.col("member").alias("copy_key"),
     )
 
 
@@ -356,7 +361,7 @@ def keep_one(documents: DataFrame) -> DataFrame:
     """
     marked = documents.withColumn("_text_key", F.xxhash64("text"))
     found = durable(join(marked, keep=["_text_key", "has_words"]))
-    first = found.where("has_words").groupBy("class_id").agg(F.min(F.struct("doc_id", "_text_key")).alias("r"), F.count("*").alias("n"))
+    first = found.where("has_words").groupBy("class_key").agg(F.min(F.struct("doc_id", "_text_key")).alias("r"), F.count("*").alias("n"))
     kept = first.select("r.doc_id", "r._text_key").unionByName(found.where("NOT has_words").select("doc_id", "_text_key")).distinct()
     same = marked["doc_id"].eqNullSafe(kept["doc_id"]) & marked["_text_key"].eqNullSafe(kept["_text_key"])
     out = marked.join(kept, same, "left_semi")

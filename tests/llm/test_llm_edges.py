@@ -69,6 +69,22 @@ def test_ngram_join(spark, odd, none):
     assert ngram_join.join(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
+def test_ngram_join_tells_texts_apart_whatever_their_ids(spark):
+    """Unlike texts with null ids, or with one id, are classes of their own; near copies among them still meet."""
+    text = lambda w, change=None: " ".join("x" if i == change else f"{w}{i}" for i in range(80))
+    rows = [(None, text("a")), (None, text("b")), (None, text("a", 79)), (7, text("c")), (7, text("d")), (7, text("d", 79)), (8, text("c")), (None, None), (None, "!")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ngram_join.join(df, keep=["text"]).collect()
+    by = {(r.doc_id, r.text): r for r in found}
+    key = [by[r].class_key for r in rows]
+    assert len(found) == len(rows) and key[7:] == [None, None]
+    assert key[0] == key[2] and key[3] == key[6] and key[4] == key[5] and len(set(key[:7])) == 4
+    assert [by[r].n_links for r in rows] == [1, 0, 1, 1, 1, 1, 1, 0, 0] and by[rows[3]].copy_key != by[rows[4]].copy_key
+    kept = [(r.doc_id, r.text) for r in ngram_join.keep_one(df.unionByName(df.limit(2))).collect()]
+    assert len(kept) == 6 and {rows[1], rows[3], rows[7], rows[8]} <= set(kept)
+    assert sum(r in (rows[0], rows[2]) for r in kept) == 1 and sum(r in (rows[4], rows[5]) for r in kept) == 1
+
+
 def test_ngram_join_splits_large_groups(spark):
     """A group of near copies above all limits is tiled, and every link is counted once."""
     words = [f"w{i}" for i in range(120)]

@@ -31,8 +31,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of every document."""
-    return mixing.mix(docs)
+    """The mix: the pieces of every document with their texts and slots; ``mixing.slot_rows`` turns them into rows."""
+    return mixing.fill_slots(docs)
 
 
 STAGES = [

@@ -61,6 +61,46 @@ def test_mixing_comes_near_the_targets(spark):
     assert all(abs(r.taken - r.target) <= 0.03 * r.target + 20 and r.taken <= 3 * r.source_size for r in by)
 
 
+def test_mixing_gives_the_text_of_every_slot(spark, odd):
+    """Slots follow the golden ratio, hold whole blocks in order, and the pieces of an epoch make up each text."""
+    from collections import defaultdict
+
+    blanks = [" ", "\n", "\t ", "  "]
+    texts = {i: "\n" * (i % 2) + "".join(f"é{i}-{j}{blanks[(i + j) % 4]}" for j in range(1 + i * 37 % 900)) for i in range(60)}
+    df = spark.createDataFrame([(i, t, "ab"[i % 3 > 0]) for i, t in texts.items()], "doc_id long, text string, source string")
+    filled = mixing.fill_slots(df).cache()
+    rows = sorted(mixing.slot_rows(filled).collect(), key=lambda r: (r.slot, r["at"]))
+    by = {r.doc_id: r for r in filled.collect()}
+    assert len(by) == len(texts) and all(len(r.text.split()) == r.words > 0 for r in rows)
+    sources = {r.source: r for r in mixing.plan_sources(df.select("source", mixing.size_of(F.col("text")).alias("size"), F.concat(F.lit("s"), "source").alias("skey"))).withColumn(
+        "source", F.substring("skey", 2, 1)).collect()}
+    share, slots, rank = sources["a"].slots / (sources["a"].slots + sources["b"].slots), defaultdict(list), {"a": 0, "b": 0}
+    for r in rows:
+        slots[r.slot].append(r)
+    assert list(slots) == list(range(len(slots)))
+    runs = {}
+    for i, found in slots.items():
+        s = "a" if (i * mixing.GOLDEN % 2**32) / 2**32 < share else "b"
+        block_no, epoch = rank[s] % sources[s].blocks, rank[s] // sources[s].blocks
+        rank[s] += 1
+        assert {(r.source, r.epoch) for r in found} == {(s, epoch)}
+        assert [r["at"] for r in found] == [sum(x.words for x in found[:k]) for k in range(len(found))]
+        assert sum(r.words for r in found) == min(sources[s].block, sources[s].source_size - block_no * sources[s].block)
+        assert runs.setdefault((s, block_no), [r.text for r in found]) == [r.text for r in found]
+    epochs = defaultdict(list)
+    for r in rows:
+        epochs[r.doc_id, r.epoch].append(r)
+    whole = 0
+    for (d, _), found in epochs.items():
+        if sum(r.words for r in found) == by[d]["size"]:
+            whole += 1
+            assert "".join(r.text for r in sorted(found, key=lambda r: r.first_word)) == texts[d]
+    assert whole > 40
+    taken = {r.doc_id: r.taken for r in mixing.mix(df).collect()}
+    assert taken == {d: sum(r.words for r in rows if r.doc_id == d) for d in texts}
+    assert sum(r.taken for r in mixing.fill_slots(odd).collect()) == sum(len(r.text.split()) for r in mixing.slot_rows(mixing.fill_slots(odd)).collect()) > 0
+
+
 def test_ngram_join(spark, odd, none):
     got = {r.doc_id: r for r in ngram_join.join(odd).collect()}
     assert got[5].n_links == 1 and got[2].n_links == 0 and got[3].class_id == 3 and got[7].n_links == 0

@@ -2,7 +2,8 @@
 
 Votes depend on arrival order and on counts of samples, so they keep keyed state. Rows of one micro-batch
 are put in frame order before they touch the state; the source's rate limit bounds a micro-batch. A row
-that arrives twice (same stream, epoch and frame) is dropped within the watermark.
+that arrives twice (same stream, epoch and frame) is dropped within the watermark. A recorded table has no micro-batches:
+there the same step runs over bounded chunks of each stream and its state goes from chunk to chunk.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from pilotlamp.operators import judge, voting
+from pilotlamp.operators import judge, ordered, voting
 from pilotlamp.operators import requests as whole
 
 SAMPLE = T.StructType([
@@ -39,16 +40,11 @@ ALIASES = ("device_id string, canonical_name string, rule_name string, aliases a
            " verified boolean, ordinal int")
 STATE = T.StructType([T.StructField("body", T.StringType())])
 
-
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+CHUNK_ROWS = 200_000  # of a recorded stream, in one Python task
 
 
 def replay(samples: DataFrame, vote: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """A recorded table of samples through the same stateful step as a stream, as one batch."""
-    spark = samples.sparkSession
-    if "RocksDB" not in spark.conf.get(STATE_STORE, ""):
-        spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    _ = spark.streams.active  # starts the coordinator of state stores, which a batch does not do by itself
+    """A recorded table of samples through the same stateful step as a stream, ``CHUNK_ROWS`` rows of a stream at a time."""
     columns = [F.col(c).cast(SAMPLE[c].dataType).alias(c) for c in SAMPLE.fieldNames() if c != "epoch"]
     return vote(samples.select(*columns, F.lit(0).alias("epoch")))
 
@@ -68,26 +64,31 @@ class _OrderedRows(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", STATE)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values(["epoch", "frame_idx"])
-        saved = self.state.get() if self.state.exists() else None
-        state = json.loads(saved[0]) if saved else self.fresh(None)
+    def fold(self, rows: pd.DataFrame, saved: str | None) -> tuple[pd.DataFrame, str]:
+        """Output and closing state of sorted rows of one stream."""
+        state = json.loads(saved) if saved else self.fresh(None)
         out = []
-        for row in batch.itertuples(index=False):
+        for row in rows.itertuples(index=False):
             if state["epoch"] is None or row.epoch > state["epoch"]:
                 state = self.fresh(int(row.epoch))
             made = self.advance(state, row)
             if made is not None:
-                out.append((key[0], int(row.epoch), int(row.frame_idx), *made))
-        self.state.update((json.dumps(state),))
-        yield pd.DataFrame(out, columns=self.columns)
+                out.append((row.stream_id, int(row.epoch), int(row.frame_idx), *made))
+        return pd.DataFrame(out, columns=self.schema.fieldNames()), json.dumps(state)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows)).sort_values(["epoch", "frame_idx"])
+        saved = self.state.get() if self.state.exists() else None
+        out, state = self.fold(batch, saved[0] if saved else None)
+        self.state.update((state,))
+        yield out
 
     def close(self) -> None:
         pass
 
 
 class _Stable(_OrderedRows):
-    columns = DECISION.fieldNames()
+    schema, settle = DECISION, True
 
     def __init__(self, window: int, min_confidence: float, min_ratio: float, min_mean: float, every: float):
         self.window, self.min_confidence, self.every = window, min_confidence, every
@@ -116,7 +117,7 @@ class _Stable(_OrderedRows):
 
 
 class _Routed(_OrderedRows):
-    columns = ROUTE.fieldNames()
+    schema, settle = ROUTE, False  # counts all rows
 
     def __init__(self, interval: int, window: int):
         self.interval, self.window = interval, window
@@ -134,17 +135,29 @@ class _Routed(_OrderedRows):
         return state["position"], voted, state["device"], state["confidence"]
 
 
+def _advance(samples: DataFrame, processor: _OrderedRows) -> DataFrame:
+    """A stream by micro-batches, a table by chunks."""
+    if samples.isStreaming:
+        return samples.groupBy("stream_id").transformWithStateInPandas(processor, processor.schema, "Append", "None")
+
+    def step(rows: pd.DataFrame, state: bytes | None) -> tuple[pd.DataFrame, bytes]:
+        out, closing = processor.fold(rows, state.decode() if state else None)
+        return out, closing.encode()
+
+    order = [(c, "asc") for c in ("epoch", "frame_idx", "ts", "class_name", "confidence")]
+    return ordered.fold_in_order(samples.select(*SAMPLE.fieldNames()), ["stream_id"], order, step, processor.schema, CHUNK_ROWS, processor.settle)
+
+
 def stable_devices(samples: DataFrame, window: int = voting.WINDOW, min_confidence: float = voting.MIN_FRAME_CONFIDENCE,
                    min_ratio: float = voting.MIN_RATIO, min_mean: float = voting.MIN_MEAN,
                    sample_seconds: float = 0.0) -> DataFrame:
     """Running device decision per stream. ``sample_seconds`` keeps one sample per elapsed interval."""
-    return samples.groupBy("stream_id").transformWithStateInPandas(
-        _Stable(window, min_confidence, min_ratio, min_mean, sample_seconds), DECISION, "Append", "None")
+    return _advance(samples, _Stable(window, min_confidence, min_ratio, min_mean, sample_seconds))
 
 
 def routed_devices(samples: DataFrame, interval: int = 15, window: int = voting.SHORT_WINDOW) -> DataFrame:
     """Device recognised every ``interval`` frames and its short vote, carried to every frame."""
-    return samples.groupBy("stream_id").transformWithStateInPandas(_Routed(interval, window), ROUTE, "Append", "None")
+    return _advance(samples, _Routed(interval, window))
 
 
 def judge_stream(requests: DataFrame, read_rules: Callable[[SparkSession], DataFrame],

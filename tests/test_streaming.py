@@ -54,6 +54,31 @@ def test_live_routes_equal_batch(spark):
     assert rows(got, *cols) == rows(want, *cols)
 
 
+def test_replays_run_in_bounded_chunks(spark, monkeypatch):
+    """A stream far above the chunk limit gives what one pass gives, and no step gets more rows than the limit."""
+    cols = ["stream_id", "frame_idx", "candidate", "ratio", "mean", "window_size", "stable"]
+    few = Tables(spark, SF).samples.filter("frame_idx < 400")
+    votes = rows(live.replay(few, live.stable_devices).fillna("", ["candidate"]).fillna(0.0), *cols)
+    paths = ["stream_id", "frame_idx", "position", "voted", "device", "device_confidence"]
+    routes = rows(live.replay(few, live.routed_devices), *paths)
+    limit = few.groupBy("stream_id").count().agg(F.max("count")).first()[0] // 3
+    fold = live.ordered.fold_in_order
+
+    def seen(df, keys, order, step, *args):
+        def watched(part, state):
+            if len(part) > limit:
+                raise ValueError(f"{len(part)} rows in one step")
+            return step(part, state)
+
+        return fold(df, keys, order, watched, *args)
+
+    monkeypatch.setattr(live, "CHUNK_ROWS", limit)
+    monkeypatch.setattr(live.ordered, "fold_in_order", seen)
+    assert rows(live.replay(few, live.stable_devices).fillna("", ["candidate"]).fillna(0.0), *cols) == votes
+    assert rows(live.replay(few, live.routed_devices), *paths) == routes
+    assert votes and routes and limit > 0
+
+
 def test_epoch_resets_and_sampling(spark):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     folder = tempfile.mkdtemp()

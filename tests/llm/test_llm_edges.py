@@ -157,6 +157,15 @@ def test_pii_searches_go_on_where_a_match_ended(spark):
     assert [got[i] for i in range(len(cases))] == [personal(t) for t in cases]
 
 
+def test_pii_proposes_secrets_whose_digit_or_letter_comes_late(spark):
+    secrets = ["token: " + "aB_-" * 15 + "7", "token: " + "12_-" * 15 + "k", "token: abcdefghij0123456789"]
+    others = ["a-" * 30, "1_" * 30, "-" * 80, "token: abc1"]
+    df = spark.createDataFrame(list(enumerate(secrets + others)), "doc_id long, text string")
+    found = F.filter(pii._found("secret", F.col("text")), lambda m: pii._passes("secret", m["hit"]))
+    got = {r.doc_id: [(m.start, m.end) for m in r.found] for r in df.select("doc_id", found.alias("found")).collect()}
+    assert got == {i: [(7, len(t))] if i < 3 else [] for i, t in enumerate(secrets + others)}
+
+
 def test_em_tells_good_labelers_from_bad():
     counts = {("secret", "++++"): 50, ("secret", "+0++"): 30, ("secret", "-0--"): 60, ("secret", "-+0-"): 20}
     posterior, rel = pii.fit_votes(counts)

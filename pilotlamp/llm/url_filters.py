@@ -2,12 +2,12 @@
 
 List entries are dated: at ``dated`` a list of a ``category`` gains (``add``) or loses (``remove``) a ``pattern`` of ``kind``
 ``host`` (that host), ``domain`` (it and all below) or ``prefix`` (a host with leading path segments). Entries become validity
-intervals, and each capture is held against those that are open when it was fetched. Captures are reduced to distinct
-keys and dates before the join, which meets intervals by key and ``BIN_DAYS`` days, so that neither a host with
-most captures nor a pattern with a long history multiplies rows.
+intervals, and each capture is held against those that are open when it was fetched, to the instant: a date is its
+midnight. Captures are reduced to distinct keys and times before the join, which meets intervals by key and ``BIN_DAYS``
+days, so that neither a host with most captures nor a pattern with a long history multiplies rows.
 
-A null or unreadable url, a null date and a capture without keys match nothing and are kept. An entry with a null field is void. Of
-entries equal but for the action, on one date, a removal wins. Repeated captures are judged alike. Columns of
+A null or unreadable url, a null time and a capture without keys match nothing and are kept. An entry with a null field is void. Of
+entries equal but for the action, at one time, a removal wins. Repeated captures are judged alike. Columns of
 the captures pass through; those named like a result are replaced.
 """
 
@@ -59,27 +59,26 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     names = ["n_active", "categories", "blocked"]
     kept = without(captures.columns, names)
     depth = entries.where("kind = 'prefix'").agg(F.max(F.size(F.split("pattern", "/"))).alias("d")).first()[0] or 1
-    rows = captures.select(*[col(c).alias(f"c{i}") for i, c in enumerate(kept)], F.coalesce("url", F.lit("")).alias("u"), F.to_date("fetched").alias("day"))
-    each = rows.where("u != '' AND day IS NOT NULL").select("u", "day").distinct()
-    keyed = each.select("u", "day", F.explode(keys_of(host_of(F.col("u")), segments_of(F.col("u")), depth - 1)).alias("key"))
-    asked = keyed.select("key", "day").distinct().withColumn("bin", F.floor(F.unix_date("day") / BIN_DAYS))
-    last = rows.agg(F.max("day")).first()[0]
-    first = rows.agg(F.min("day")).first()[0]
-    open_days = intervals(entries).withColumn("since_day", F.greatest(F.to_date("since"), F.lit(first).cast("date")))
-    until = F.least(F.coalesce(F.date_sub(F.to_date("until"), 1), F.lit(last).cast("date")), F.lit(last).cast("date"))
+    rows = captures.select(*[col(c).alias(f"c{i}") for i, c in enumerate(kept)], F.coalesce("url", F.lit("")).alias("u"), F.col("fetched").cast("timestamp").alias("at"))
+    each = rows.where("u != '' AND at IS NOT NULL").select("u", "at").distinct()
+    keyed = each.select("u", "at", F.explode(keys_of(host_of(F.col("u")), segments_of(F.col("u")), depth - 1)).alias("key"))
+    asked = keyed.select("key", "at").distinct().withColumn("bin", F.floor(F.unix_date(F.to_date("at")) / BIN_DAYS))
+    first, last = (F.lit(x).cast("date") for x in rows.agg(F.to_date(F.min("at")), F.to_date(F.max("at"))).first())
+    known = intervals(entries).withColumns({"since": F.col("since").cast("timestamp"), "until": F.col("until").cast("timestamp")})
+    since_day, until_day = F.greatest(F.to_date("since"), first), F.least(F.coalesce(F.to_date("until"), last), last)
     bins = F.sequence(F.floor(F.unix_date("since_day") / BIN_DAYS), F.floor(F.unix_date("until_day") / BIN_DAYS))
     spans = (
-        open_days.withColumn("until_day", until).where("since_day <= until_day").withColumn("bin", F.explode(bins))
-        .select("key", "bin", "category", "since_day", "until_day")
+        known.withColumns({"since_day": since_day, "until_day": until_day}).where("since_day <= until_day").withColumn("bin", F.explode(bins))
+        .select("key", "bin", "category", "since", "until")
     )
-    found = asked.join(spans, ["key", "bin"]).where("day BETWEEN since_day AND until_day").select("key", "day", "category").distinct()
-    per_key = found.groupBy("key", "day").agg(F.count("*").alias("n"), F.collect_set("category").alias("names"))  # a few categories
+    found = asked.join(spans, ["key", "bin"]).where("at >= since AND (until IS NULL OR at < until)").select("key", "at", "category").distinct()
+    per_key = found.groupBy("key", "at").agg(F.count("*").alias("n"), F.collect_set("category").alias("names"))  # a few categories
     verdict = (
-        keyed.join(per_key, ["key", "day"]).groupBy("u", "day")
+        keyed.join(per_key, ["key", "at"]).groupBy("u", "at")
         .agg(F.sum("n").alias("n_active"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("names"))
     )
     allowed = F.array_contains("names", ALLOW)
-    judged = rows.join(verdict, ["u", "day"], "left")
+    judged = rows.join(verdict, ["u", "at"], "left")
     return judged.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], F.coalesce("n_active", F.lit(0)).alias("n_active"),
         F.coalesce(F.array_join("names", ","), F.lit("")).alias("categories"),

@@ -281,6 +281,17 @@ def test_url_filters(spark, odd, none):
     assert url_filters.judge(df.where("false"), entries).count() == 0 and url_filters.judge(df, entries.where("false")).where("blocked").count() == 0
 
 
+def test_url_filters_judge_by_the_hour(spark):
+    at = lambda d, h: datetime.datetime(2024, 1, d, h)
+    entries = spark.createDataFrame([
+        ("host", "a.org", "ads", "add", at(5, 9)), ("host", "a.org", "ads", "remove", at(5, 17)), ("host", "b.org", "spam", "add", at(5, 9)),
+    ], "kind string, pattern string, category string, action string, dated timestamp")
+    cases = [("a", at(5, 8), 0), ("a", at(5, 9), 1), ("a", at(5, 16), 1), ("a", at(5, 17), 0), ("b", at(5, 8), 0), ("b", at(5, 10), 1), ("b", at(28, 0), 1)]
+    df = spark.createDataFrame([(i, f"http://{h}.org/", t) for i, (h, t, _) in enumerate(cases)], "page_id long, url string, fetched timestamp")
+    got = {r.page_id: r.n_active for r in url_filters.judge(df, entries).collect()}
+    assert got == {i: c[2] for i, c in enumerate(cases)}
+
+
 def test_katz(odd, none):
     got = katz.score(odd).collect()
     assert len(got) == odd.count() and all(r.held_out for r in got if r.doc_id is None)

@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pilotlamp.llm.common import add_columns, col, whole_groups, words
 from pilotlamp.session import durable
 
-SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.97
+SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 PLACES = 64  # of the embedding
 DEPTH, SMALL = 4, 100
 LOOSE = 0.15  # what an estimate may lack, three deviations

@@ -125,6 +125,10 @@ def test_ngram_join_tells_texts_apart_whatever_their_ids(spark):
     assert sum(r in (rows[0], rows[2]) for r in kept) == 1 and sum(r in (rows[4], rows[5]) for r in kept) == 1
 
 
+def test_ngram_join_has_runs_for_one_miss_in_a_thousand():
+    assert (1 - ngram_join._survival(ngram_join.DEPTH)) ** ngram_join.runs_for() <= 0.001
+
+
 def test_ngram_join_splits_large_groups(spark):
     """A group of near copies above all limits is tiled, and every link is counted once."""
     words = [f"w{i}" for i in range(120)]

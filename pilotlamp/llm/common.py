@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,13 @@ def words(text: bytes | None) -> list[bytes]:
     return text.translate(_WORD_BYTES).split() if text else []
 
 
+def word_codes(text: bytes | None) -> tuple[list[bytes], np.ndarray]:
+    """Words between blanks, tabs and line ends (``[^\\x20\\x09-\\x0D]+``) of UTF-8 text and a number for each, equal for equal words."""
+    found = text.split() if text else []
+    number: dict[bytes, int] = {}
+    return found, np.fromiter((number.setdefault(w, len(number)) for w in found), np.int64, len(found))
+
+
 def col(name: str):
     """A column by its exact name, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pilotlamp.llm import chat, decontaminate, katz, merkle, mixing, ngram_join, pii, quality, url_filters, warc
+from pyspark.sql import functions as F
+
+from pilotlamp.llm import (
+    chat, decontaminate, filter_audit, katz, merkle, mixing, ngram_join, periodic, pii, quality, quality_rules, url_filters, warc,
+)
 from pilotlamp.llm.common import table
 
 QUERIES = {}
@@ -254,3 +258,108 @@ def op9(spark, sf_dir):
 @query("op10_katz")
 def op10(spark, sf_dir):
     return katz.score(table(spark, sf_dir, "documents"))
+
+
+def with_periodic_tails(documents):
+    """``documents``; every tenth one by the hash of its id repeats a stretch of its words up to the end."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    chosen = documents.select("doc_id", "text", h.alias("h"), F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "").alias("w"))
+    chosen = chosen.select("*", F.size("w").alias("n"), F.floor(F.col("h") / 10).alias("g"))
+    a = F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int")
+    chosen = chosen.select("*", a.alias("a")).select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int").alias("p"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    changed = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return chosen.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), changed).otherwise(F.col("text")).alias("text"))
+
+
+# crc32 of the decimal id, bit by bit: the start value, then for each character its code and eight shifts (-1)
+CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+  lambda i: [ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END), 4294967295::BIGINT)"""
+OP11 = (
+    f"WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w, {CRC} AS h FROM documents),"
+    + """
+e AS (SELECT *, len(w) AS n, h // 10 AS g, CASE WHEN len(w) > 0 THEN h // 10 % len(w) ELSE 0 END AS a FROM d),
+f AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p, h % 10 = 0 AND n > 0 AS changed FROM e),
+t AS (
+  SELECT doc_id, i, w[1 + CASE WHEN changed AND i >= a THEN a + (i - a) % p ELSE i END] AS word, n
+  FROM (SELECT *, unnest(range(n)) AS i FROM f WHERE n > 0)
+),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND (y.i - x.i) * 4 <= x.n),
+islands AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + q AS len
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS grp FROM pairs) GROUP BY doc_id, q, grp
+),
+runs AS (SELECT doc_id, s, len, min(q) AS q FROM islands WHERE len >= greatest(6, 4 * q) GROUP BY doc_id, s, len),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+texts AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM t ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+lists AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM runs GROUP BY doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(len AS DOUBLE) / q DESC, s, q) AS place FROM runs)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, len AS length, q AS period, 1000 * len // q AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN lists USING (doc_id) LEFT JOIN texts USING (doc_id) LEFT JOIN ranked ON ranked.doc_id = d.doc_id AND place = 1
+"""
+)
+
+
+def runs_digest(found):
+    """The contract's columns from the result of ``periodic.find_runs``."""
+    longer = lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    listed = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    found = found.select("*", F.aggregate("runs", none, longer).alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op11_periodic_runs", OP11)
+def op11(spark, sf_dir):
+    return runs_digest(periodic.find_runs(with_periodic_tails(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_quality_rules")
+def op12(spark, sf_dir):
+    return quality_rules.digest(quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"]))
+
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, coalesce(regexp_extract_all(text, '[^ 	-]+'), []) AS w FROM documents
+),
+f AS (
+  SELECT doc_id, part, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+    regexp_matches(t, '[#$%&*|]'), doc_id > min(doc_id) OVER (PARTITION BY t)] AS fails
+  FROM d
+),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+classes AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails
+),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+),
+steps AS (SELECT o, step, o[step] AS own, o[1:step - 1] AS before FROM (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+rows AS (
+  SELECT part, o, step, own, sum(n) FILTER (NOT early AND NOT fails[own]) AS kept, sum(n) FILTER (NOT early AND fails[own]) AS removed,
+         sum(n) FILTER (early AND fails[own]) AS redundant, sum(n) FILTER (fails[own] AND len(list_filter(fails, lambda x: x)) = 1) AS unique_fails,
+         sum(good) FILTER (NOT early AND fails[own]) AS good_lost, sum(toxic) FILTER (NOT early AND fails[own]) AS toxic_lost
+  FROM (SELECT *, coalesce(list_bool_or(list_transform(before, lambda b: fails[b])), false) AS early FROM classes, steps) GROUP BY ALL
+)
+SELECT part, array_to_string(list_transform(o, lambda i: chr(64 + i)), '') AS filter_order, step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+FROM rows
+"""
+
+
+@query("op13_filter_audit", OP13)
+def op13(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

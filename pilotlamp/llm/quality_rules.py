@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pilotlamp.llm.common import add_columns, col, word_codes
+from pilotlamp.llm.common import add_columns, col, without, word_codes
 from pilotlamp.session import durable
 
 TREES, ROWS, SEED = 100, 256, 20
@@ -176,7 +176,7 @@ def judge(documents: DataFrame, labels: DataFrame, trees: int = TREES, rows: int
 
     ``labels`` has ``doc_id`` and ``quality`` (0: bad).
     """
-    kept = [c for c in (documents.columns if keep is None else keep) if c.lower() not in {"anomaly", "kept"}]
+    kept = without(documents.columns if keep is None else keep, [*STATISTICS.names, "anomaly", "kept"])
     extra = [c for c in kept if c.lower() != "doc_id"]
     judged = durable(statistics(documents, ["doc_id", *extra]))
     forest = Forest(features(draw(judged, trees * rows)), trees, rows)
@@ -197,7 +197,7 @@ def judge(documents: DataFrame, labels: DataFrame, trees: int = TREES, rows: int
     counts = by_id.join(marks, "doc_id").groupBy("step", "bad").agg(F.sum("n").alias("n")).collect()
     limit = calibrate([(r.step, r.bad, r.n) for r in counts])
     passes = F.lit(True) if limit is None else F.floor(F.col("anomaly") * STEPS) < F.lit(round(limit * STEPS))
-    return scored.withColumn("kept", ~F.col("base_failed") & passes).select(*map(col, extra if "doc_id" not in kept else kept), *STATISTICS.names, "anomaly", "kept")
+    return scored.withColumn("kept", ~F.col("base_failed") & passes).select(*map(col, kept), *STATISTICS.names, "anomaly", "kept")
 
 
 def digest(judged: DataFrame) -> DataFrame:

@@ -115,3 +115,60 @@ def katz(docs: dict[int, str | None], discounts) -> dict[int, tuple]:
             sum(math.log10(p(h, w)) for h, w in zip(["\t", *t], t, strict=False)))
         for d, t in toks.items()
     }
+
+
+def periodic_runs(w, repeats=4, shortest=6):
+    """All runs (start, length, period), lag by lag over whole texts."""
+    n, found = len(w), {}
+    for q in range(1, n // repeats + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j > i and j + q - i >= max(shortest, repeats * q):
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted(((a, b - a, q) for (a, b), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def best_run(runs):
+    return max(runs, key=lambda r: (r[1] / r[2], -r[0], -r[2]), default=(None, None, None))
+
+
+def rule_counts(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            again += line in seen
+            seen.add(line)
+    at = defaultdict(list)
+    for i in range(len(w) - 2):
+        at[tuple(w[i:i + 3])].append(i)
+    inside = {i + k for places in at.values() if len(places) > 1 for i in places for k in range(3)}
+    return [len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), again, len(inside)]
+
+
+def isolation_paths(nodes, roots, rows):
+    """Mean path length of each row, node by node."""
+    out = []
+    for x in rows:
+        total = 0.0
+        for at in roots:
+            while nodes[at][0] >= 0:
+                at = int(nodes[at][2]) + (x[nodes[at][0]] >= nodes[at][1])
+            total += nodes[at][3]
+        out.append(total / len(roots))
+    return out
+
+
+def fails(text):
+    """The filters that look at one text."""
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return {
+        "A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+        "D": re.search(r"[#$%&*|]", text) is not None,
+    }

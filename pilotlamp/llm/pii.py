@@ -23,6 +23,7 @@ BASE = ["email", "ip", "card", "phone"]
 ADDED = ["secret", "local_phone"]
 KINDS = BASE + ADDED
 ROUNDS = 50
+BLOCK = 128  # matches of a text that are copied when one is added
 
 # Word lists of the gazetteer and of the context labeler
 DOMAINS = ["com", "org", "net", "edu", "gov", "io", "info", "de", "fr", "es", "uk", "eu"]
@@ -40,10 +41,11 @@ AGAINST = "version|section|isbn|order|sha|md5|commit|invoice|article|page|fig"
 
 LOCAL = "A-Za-z0-9._%+-"
 PATTERNS = {
-    # a run that fails at its first place fails at all of them; \G is where the last match ended
-    "email": f"(?:(?<![{LOCAL}])|\\G)[{LOCAL}]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)+",
+    # a run that fails at its first place fails at all of them; \G is where the last match ended; a group that repeats with
+    # nothing after it is possessive, for others are matched by recursion and a long run would exhaust the stack
+    "email": f"(?:(?<![{LOCAL}])|\\G)[{LOCAL}]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++",
     "ip": "(?:(?<![0-9])|\\G)[0-9]++(?:\\.[0-9]++){3}",
-    "card": "[0-9](?:[\\x20-]?[0-9])+",
+    "card": "[0-9](?:[\\x20-]?[0-9])++",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
     "secret": "(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+",
     "local_phone": "(?<![0-9A-Za-z])\\(?[0-9]{3}\\)?[\\x20.-]{1,2}[0-9]{3}[\\x20.-][0-9]{4}(?![0-9A-Za-z])",
@@ -114,21 +116,36 @@ def _features(kind: str, hit: Column, before: Column, after: Column) -> Column:
     return F.array(*[F.concat(F.lit(f"{kind}.{name}."), value.cast("string")) for name, value in known.items()])
 
 
+def _listed_in_order(items: Column, step, kind: str, finish) -> Column:
+    """What ``step(at, item)`` adds for each item, beside the new ``at``; ``finish(at, list)`` ends it.
+
+    The list grows in blocks: appending copies one block, not all that was found before.
+    """
+    none = F.expr(f"cast(array() as array<{kind}>)")
+    start = F.struct(F.lit(0).alias("at"), none.alias("block"), F.expr(f"cast(array() as array<array<{kind}>>)").alias("full"))
+
+    def add(acc, x):
+        at, one = step(acc["at"], x)
+        full = F.size(acc["block"]) == BLOCK
+        block = F.when(full, F.array(one)).otherwise(F.concat(acc["block"], F.array(one)))
+        return F.struct(at.alias("at"), block.alias("block"), F.when(full, F.concat(acc["full"], F.array(acc["block"]))).otherwise(acc["full"]).alias("full"))
+
+    return F.aggregate(items, start, add, lambda acc: finish(acc["at"], F.concat(F.flatten(acc["full"]), acc["block"])))
+
+
 def _found(kind: str, text: Column) -> Column:
     """Spans of a kind from the gaps and matches of one chain of searches, each beginning where the last match ended."""
     chain = F.lit(f"(?s)\\G(.*?)({PATTERNS[kind]})")
     pairs = F.arrays_zip(
         F.regexp_extract_all(text, chain, F.lit(1)).alias("gap"), F.regexp_extract_all(text, chain, F.lit(2)).alias("hit")
     )
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,hit:string>>)").alias("out"))
 
-    def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
+    def step(at, x):
+        begin = at + F.length(x["gap"])
         end = begin + F.length(x["hit"])
-        one = F.struct(begin.alias("start"), end.alias("end"), x["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        return end, F.struct(begin.alias("start"), end.alias("end"), x["hit"].alias("hit"))
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    return _listed_in_order(pairs, step, "struct<start:int,end:int,hit:string>", lambda at, out: out)
 
 
 def _described(kind: str, text: Column, found: Column) -> Column:
@@ -254,13 +271,11 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(documents: DataFrame) -> DataFrame:
     """``documents`` with every span of ``text`` replaced by its kind in angle brackets; overlapping spans are joined."""
     found = find(documents)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     by_place = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
-    def step(acc, s):
-        gap = F.substr(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])
-        more = F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), more.alias("out"))
+    def step(at, s):
+        gap = F.substr(F.col("text"), at + 1, s["start"] - at)
+        return F.greatest(at, s["end"]), F.when(s["start"] < at, "").otherwise(F.concat(gap, F.lit("<"), F.upper(s["kind"]), F.lit(">")))
 
-    whole = F.aggregate(by_place, start, step, lambda acc: F.concat(acc["out"], F.substr(F.col("text"), acc["at"] + 1, F.length("text"))))
+    whole = _listed_in_order(by_place, step, "string", lambda at, out: F.concat(F.array_join(out, ""), F.substr(F.col("text"), at + 1, F.length("text"))))
     return found.withColumn("text", F.when(F.size("spans") > 0, whole).otherwise(F.col("text"))).select(*map(col, without(documents.columns, ["spans"])))

@@ -207,3 +207,20 @@ def test_audit_with_a_hot_text_and_cold_ones(spark, labels, monkeypatch):
 def test_shapley_shares_what_is_removed(spark, odd, labels):
     rows = filter_audit.audit(odd, labels).where("filter_order = 'ABCDE'").groupBy("part").agg(F.sum("shapley").alias("s"), F.sum("removed").alias("r")).collect()
     assert all(r.s == math.factorial(5) * r.r for r in rows)
+
+
+def test_personal_data_in_long_runs(spark):
+    """Runs that a recursive match would not survive, and very many matches in one text."""
+    from brute import personal
+
+    from pilotlamp.llm import pii
+
+    texts = ["7" * 1_000_000, "a@b" + ".c" * 100_000, "1-" * 100_000 + "1", "user@example.org, " * 2_000, "call +1 437 555 0689 now " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    start = time.time()
+    got = {r.doc_id: r for r in pii.digest(pii.find(df)).collect()}
+    for i, want in enumerate([[], [f"email:0:{len(texts[1])}"], [], personal(texts[3]), personal(texts[4])]):
+        assert got[i].base_sha256 == sha(",".join(want))
+    clean = {r.doc_id: r.text for r in pii.redact(df.where("doc_id IN (1, 3)")).collect()}
+    assert clean == {1: "<EMAIL>", 3: "<EMAIL>, " * 2_000}
+    assert time.time() - start < 90

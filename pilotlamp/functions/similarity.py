@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -16,12 +12,6 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(longest > 0, 1.0 - F.levenshtein(a, b) / longest).otherwise(0.0)
 
 
-@F.pandas_udf(T.DoubleType())
-def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Exact matching-blocks ratio, for results that must equal Python's difflib."""
-    return pd.Series([0.0 if not x or not y else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])
-
-
 def bigrams(key: Column) -> Column:
     """Distinct two-character pieces, numbered when repeated, of the key between two sentinels."""
     padded = F.concat(F.lit("\u0002"), key, F.lit("\u0003"))

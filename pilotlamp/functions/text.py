@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import unicodedata
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pilotlamp import vocab
 
@@ -72,12 +69,6 @@ def half_width(s: Column) -> Column:
     return F.translate(s, _FULL_WIDTH, _HALF_WIDTH)
 
 
-@F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    """Exact Unicode NFKC."""
-    return s.map(lambda v: None if v is None else unicodedata.normalize("NFKC", v))
-
-
 def label_key(s: Column) -> Column:
     """Key of a short printed label."""
     return F.regexp_replace(F.upper(half_width(s)), r"(?U)[\s_\-./\\()（）【】\[\]:：]+", "")

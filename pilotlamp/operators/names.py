@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pilotlamp.functions import similarity, text
-from pilotlamp.operators import matching
+from pilotlamp.functions import text
+from pilotlamp.operators import matching, similar
 from pilotlamp.session import durable
 
 DEVICE_THRESHOLD = 65
@@ -57,18 +58,17 @@ def match_indicators(requested: DataFrame, rules: DataFrame) -> DataFrame:
     return matching.best_names(requested, choices, INDICATOR_THRESHOLD, ["device"])
 
 
-def pair_score(a_plain: Column, a_solid: Column, a_tokens: Column, item: Column) -> Column:
+def name_score(f: similar.Facts) -> np.ndarray:
     """Composite score 0..100 of two names, rounded half to even."""
-    overlap = F.array_intersect(a_tokens, item["tokens"])
-    base = F.greatest(
-        similarity.ratio(a_plain, item["plain"]) * 100, similarity.ratio(a_solid, item["solid"]) * 100,
-        F.when((a_solid != "") & (item["solid"] != ""),
-               F.when(a_solid == item["solid"], 100.0)
-               .when(item["solid"].contains(a_solid) | a_solid.contains(item["solid"]), 96.0)
-               .otherwise(0.0)).otherwise(0.0))
-    model = F.exists(overlap, text.is_model_token)
-    bonus = F.when(model, 10).otherwise(0) + F.least(F.lit(10), F.size(overlap) * 2)
-    return F.bround(F.least(F.lit(100.0), base + bonus)).cast("int")
+    base = np.maximum(100 * f.ratios[0], np.maximum(100 * f.ratios[1], np.where(f.contained[1], 96.0, 0.0)))
+    bonus = np.where(f.marked > 0, 10, 0) + np.minimum(10, 2 * f.shared)
+    return np.rint(np.minimum(100.0, base + bonus))
+
+
+def directory_score(f: similar.Facts) -> np.ndarray:
+    """Three parts edit ratio, one part shared words."""
+    union = f.tokens[0] + f.tokens[1] - f.shared
+    return f.ratios[0] * 0.75 + np.where(union > 0, f.shared / np.maximum(union, 1), 0.0) * 0.25
 
 
 def _described(names: DataFrame) -> DataFrame:
@@ -82,15 +82,15 @@ def map_workspaces(rule_names: DataFrame, workspace_names: DataFrame, review_bel
 
     Review is due below ``review_below`` or when an earlier rule name already took the same workspace.
     """
-    right = _described(workspace_names.withColumn("ordinal", F.col("name")))
-    item = F.struct("ordinal", "name", "plain", "solid", "tokens")
-    best = matching.blocked_best(
-        _described(rule_names), right, ["name"], [("name", "asc")], item,
-        lambda x: pair_score(F.col("plain"), F.col("solid"), F.col("tokens"), x), k)
+    left = _described(rule_names).withColumn("models", F.filter("tokens", text.is_model_token))
+    right = durable(_described(workspace_names.withColumn("ordinal", F.col("name"))))
+    best = similar.best_k(left, right, ["plain", "solid"], "tokens", name_score, k, "models")
+    best = best.join(left.select("name", "ordinal", "tokens"), "name").join(right.select(F.col("name").alias("item"), F.col("tokens").alias("its")), "item")
+    best = best.withColumn("score", F.col("score").cast("int"))
     rows = best.groupBy("name", "ordinal").agg(
-        F.max(F.when(F.col("place") == 1, F.struct(F.col("item.name").alias("workspace"), F.col("score").alias("score"),
-              F.array_intersect("tokens", F.col("item.tokens")).alias("overlap")))).alias("b"),
-        F.sort_array(F.collect_list(F.struct("place", F.col("item.name").alias("workspace"), "score"))).alias("top"))
+        F.max(F.when(F.col("place") == 1, F.struct(F.col("item").alias("workspace"), F.col("score").alias("score"),
+              F.array_intersect("tokens", F.col("its")).alias("overlap")))).alias("b"),
+        F.sort_array(F.collect_list(F.struct("place", F.col("item").alias("workspace"), "score"))).alias("top"))
     rows = durable(rows.select("name", "ordinal", "b.workspace", "b.score", "b.overlap", "top"))  # read twice below
     taken = rows.groupBy("workspace").agg(F.min("ordinal").alias("first_ordinal"))
     out = rows.join(taken, "workspace")
@@ -103,11 +103,8 @@ def map_workspaces(rule_names: DataFrame, workspace_names: DataFrame, review_bel
         "top")
 
 
-def match_directories(sources: DataFrame, packages: DataFrame, exact_ratio: bool = False) -> DataFrame:
-    """Package directory per source directory: one equal key, else one clearly best similar name, else none.
-
-    ``exact_ratio`` scores with difflib's matching blocks instead of the Levenshtein ratio.
-    """
+def match_directories(sources: DataFrame, packages: DataFrame) -> DataFrame:
+    """Package directory per source directory: one equal key, else one clearly best similar name, else none."""
     key = text.letters_key(F.col("name"))
     s = sources.select("name").distinct().withColumn("key", key).withColumn(
         "words", text.keyword_tokens(F.col("name")))
@@ -118,42 +115,12 @@ def match_directories(sources: DataFrame, packages: DataFrame, exact_ratio: bool
         F.when(F.col("n") == 1, 1.0).otherwise(0.0).alias("score"),
         F.when(F.col("n") == 1, "normalized_exact").otherwise("ambiguous_normalized_exact").alias("method"))
     rest = s.join(equal, "key", "left_anti")
-    right = p.withColumn("words", text.keyword_tokens(F.col("name"))).withColumn("ordinal", F.col("name"))
-    if exact_ratio:
-        return direct.unionByName(_decide(_exact_scores(rest, right)))
-
-    def parts(x: Column) -> tuple[Column, Column]:
-        return similarity.ratio(F.col("key"), x["key"]), text.jaccard(F.col("words"), x["words"])
-
-    def score(x: Column) -> Column:
-        seq, overlap = parts(x)
-        return seq * 0.75 + overlap * 0.25
-
-    best = matching.blocked_best(rest, right, ["name"], [("name", "asc")], F.struct("ordinal", "key", "words"), score, 2)
-    best = best.withColumn("seq", similarity.ratio(F.col("key"), F.col("item.key")))
-    scored = best.select("name", F.col("item.ordinal").alias("package"), "score", "seq", "place")
+    right = durable(p.withColumn("words", text.keyword_tokens(F.col("name"))))
+    best = similar.best_k(rest, right, ["key"], "words", directory_score, 2)
+    scored = best.select("name", F.col("item").alias("package"), "score", F.col("ratio").alias("seq"), "place")
     return direct.unionByName(_decide(scored))
 
 
-def _exact_scores(rest: DataFrame, packages: DataFrame) -> DataFrame:
-    """Two best packages per source by the exact ratio.
-
-    The exact ratio is at most (2 * shorter) / (sum of lengths) and needs a shared character, and an accepted
-    match needs a ratio above .65, so candidates come from shared pieces; sources without any stay unmatched.
-    """
-    from pilotlamp.operators import ordered
-
-    left = rest.withColumn("piece", F.explode(F.array_distinct(similarity.bigrams(F.col("key")))))
-    right = packages.select(F.col("name").alias("package"), F.col("key").alias("p_key"), F.col("words").alias("p_words"),
-                            F.explode(F.array_distinct(similarity.bigrams(F.col("key")))).alias("piece"))
-    pairs = left.join(right, "piece").drop("piece").distinct()
-    seq = similarity.sequence_ratio(F.col("key"), F.col("p_key"))
-    scored = pairs.withColumn("seq", seq).withColumn(
-        "score", F.col("seq") * 0.75 + text.jaccard(F.col("words"), F.col("p_words")) * 0.25)
-    top = ordered.top_in_groups(scored, ["name"], [("score", "desc"), ("package", "asc")], 2, "place")
-    return top.select("name", "package", "score", "seq", "place")
-
-
 def _decide(scored: DataFrame) -> DataFrame:
     first, second = F.col("place") == 1, F.col("place") == 2
     rows = scored.groupBy("name").agg(

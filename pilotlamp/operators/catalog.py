@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -137,39 +138,55 @@ def with_manual_text(entries: DataFrame) -> DataFrame:
     return entries.withColumn("manual_text", text.print_key(manual)).withColumn("manual_tokens", text.print_tokens(manual))
 
 
-def evidence_score(item: Column) -> Column:
-    """Fit of visual evidence (label, module, interface, nearby and position tokens) with a catalogue entry."""
-    label, module, interface = F.col("e_label"), F.col("e_module"), F.col("e_interface")
-    body, tokens = item["manual_text"], item["manual_tokens"]
-    near = F.size(F.array_intersect("e_nearby", tokens))
-    place = F.size(F.array_intersect("e_place", tokens))
-    zero = F.lit(0)
-    return (F.when((label != "") & F.array_contains(tokens, label), 100)
-            .when((F.length(label) >= 3) & body.contains(label), 75).otherwise(zero)
-            + F.when((module != "") & body.contains(module), 38).otherwise(zero)
-            + F.when((interface != "") & body.contains(interface), 32).otherwise(zero)
-            + F.least(F.lit(30), near * 8) + F.least(F.lit(12), place * 4))
+WEIGHTS = {"near": (8, 30), "place": (4, 12), "equal": (100, 100), "label": (75, 75), "module": (38, 38), "interface": (32, 32)}  # a hit, at most
+
+
+def evidence_hits(asked: DataFrame, entries: DataFrame) -> DataFrame:
+    """``e_id, class_id`` of every piece of evidence and entry of its device that have something in common, with their score.
+
+    Tokens meet in posting lists by (device, token); texts inside a manual text are found by their rarest piece. Each hit adds its weight.
+    """
+    tokens = {"near": F.col("e_nearby"), "place": F.col("e_place"), "equal": F.filter(F.array("e_label"), lambda x: x != "")}
+    wanted = [asked.select("device", "e_id", F.lit(kind).alias("kind"), F.explode(F.array_distinct(c)).alias("token")) for kind, c in tokens.items()]
+    postings = entries.select("device", "class_id", F.explode(F.array_distinct("manual_tokens")).alias("token"))
+    by_token = reduce(DataFrame.unionByName, wanted).join(postings, ["device", "token"]).select("e_id", "class_id", "kind")
+
+    texts = {"label": F.when(F.length("e_label") >= 3, F.col("e_label")), "module": F.col("e_module"), "interface": F.col("e_interface")}
+    inner = durable(reduce(DataFrame.unionByName, [
+        asked.select("device", "e_id", F.lit(kind).alias("kind"), c.alias("key")).filter("key != ''") for kind, c in texts.items()]))
+    bodies = entries.select("device", "class_id", F.col("manual_text").alias("key"))
+    pairs = matching._inside(matching._keys(inner, "key", ["device"]), matching._keys(bodies, "key", ["device"]), ["device"])
+    by_text = pairs.join(inner, ["device", "key"]).join(bodies.withColumnRenamed("key", "stack"), ["device", "stack"]).select("e_id", "class_id", "kind")
+
+    counts = by_token.unionByName(by_text).groupBy("e_id", "class_id").agg(*[F.count_if(F.col("kind") == kind).alias(kind) for kind in WEIGHTS])
+    points = {kind: F.least(F.col(kind) * each, F.lit(most)) for kind, (each, most) in WEIGHTS.items()}
+    label = F.greatest(points.pop("equal"), points.pop("label"))
+    return counts.select("e_id", "class_id", reduce(lambda x, y: x + y, points.values(), label).cast("int").alias("score"))
 
 
 def retrieve_entries(evidence: DataFrame, entries: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` best entries of the device per piece of evidence; ties keep catalogue order.
 
-    Equal evidence is scored once: ``evidence`` rows are reduced to distinct ones and joined back.
+    Equal evidence is scored once: ``evidence`` rows are reduced to distinct ones and joined back. Entries without a hit
+    follow in catalogue order; they come from one short list per device.
     """
     text_of = lambda c: F.coalesce(c, F.lit(""))
     columns = ["device", "label_text", "module_text", "interface_text", "nearby_text", "relative_position"]
-    distinct = evidence.select(*columns).distinct()
     nearby = F.array_distinct(F.flatten(F.transform(F.coalesce("nearby_text", F.array().cast("array<string>")),
                                                     text.print_tokens)))
-    asked = distinct.select(
+    asked = durable(evidence.select(*columns).distinct().select(
         *columns, text.print_key(text_of("label_text")).alias("e_label"), text.print_key(text_of("module_text"))
         .alias("e_module"), text.print_key(text_of("interface_text")).alias("e_interface"), nearby.alias("e_nearby"),
-        text.print_tokens(text_of("relative_position")).alias("e_place"))
-    right = durable(with_manual_text(entries).withColumn("ordinal", F.col("class_id")))  # counted, then packed
-    item = F.struct("ordinal", "class_id", "name", "manual_text", "manual_tokens")
-    best = matching.blocked_best(asked, right, columns, [("class_id", "asc")], item, evidence_score, k, ["device"])
-    found = best.select(*columns, F.col("item.class_id").alias("class_id"), F.col("item.name").alias("class_name"),
-                        F.col("score"), "place")
+        text.print_tokens(text_of("relative_position")).alias("e_place"), F.monotonically_increasing_id().alias("e_id")))
+    right = durable(with_manual_text(entries).select("device", "class_id", "name", "manual_text", "manual_tokens"))
+    order = [("score", "desc"), ("class_id", "asc")]
+    hits = ordered.top_in_groups(evidence_hits(asked, right), ["e_id"], order, k, "place").drop("place")
+    # k hits at most are among the first entries, so 2k of them hold k without any
+    first = ordered.top_in_groups(right.select("device", "class_id"), ["device"], [("class_id", "asc")], 2 * k, "place").drop("place")
+    plain = asked.select("device", "e_id").join(first, "device").select("e_id", "class_id", F.lit(0).alias("score"))
+    every = hits.unionByName(plain).groupBy("e_id", "class_id").agg(F.max("score").alias("score"))
+    best = ordered.top_in_groups(every, ["e_id"], order, k, "place").join(asked.select("e_id", *columns), "e_id")
+    found = best.join(right.select("device", "class_id", F.col("name").alias("class_name")), ["device", "class_id"])
     cond = F.lit(True)
     e, f = evidence.alias("e"), found.alias("f")
     for c in columns:

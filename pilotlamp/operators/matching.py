@@ -3,14 +3,12 @@
 ``contained_pairs`` and ``fuzzy_pairs`` find candidates through shared two-character pieces and then test
 them exactly. The piece filters lose no match: the bounds follow from the q-gram lemma. Rare pieces are
 used first, so frequent ones ("brand", "video") do not pair everything with everything.
-``blocked_best`` is for scores without such a bound: it compares each row with blocks of the other side
-and keeps the best ``k`` inside the row, so pairs are never shuffled.
+Best-k names without a lossless bound on shared pieces are in ``similar``.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +17,6 @@ from pilotlamp.functions import similarity, text
 from pilotlamp.operators import ordered
 from pilotlamp.session import durable
 
-BROADCAST_ROWS = 50_000
-
 
 def _keys(df: DataFrame, key: str, on: Sequence[str]) -> DataFrame:
     return df.select(*on, F.col(key).alias("key")).filter(F.coalesce(F.col("key"), F.lit("")) != "").distinct()
@@ -121,30 +117,3 @@ def best_names(requested: DataFrame, choices: DataFrame, threshold: int, on: Seq
     found = equal.unionByName(inside).unionByName(near).withColumnRenamed("l_key", "key")
     return want.join(found, [*on, "key"], "left").select(
         *on, "name", F.col("m.choice").alias("choice"), F.coalesce("m.score", F.lit(0)).alias("score"))
-
-
-def blocked_best(left: DataFrame, right: DataFrame, left_key: Sequence[str], order: ordered.Order, item: Column,
-                 score: Callable[[Column], Column], k: int, on: Sequence[str] = (),
-                 block_rows: int = 512) -> DataFrame:
-    """The ``k`` best right rows per left row.
-
-    ``item`` is the struct kept of a right row and must hold ``ordinal`` (its place in list order);
-    ``score(item)`` is a number, higher is better, ties go to the lower ordinal. Right rows are packed
-    into blocks; a left row meets whole blocks and keeps ``k`` items of each.
-    """
-    blocks = ordered.pages(right, list(on), order, item, "block", block_rows)
-    rows = right.count()
-    if rows <= BROADCAST_ROWS:  # beyond that the blocks are shuffled to the left rows
-        blocks = F.broadcast(blocks)
-    left = ordered.spread(left, *left_key)
-    if on:
-        met = left.join(blocks, list(on))
-    else:
-        last = max(math.ceil(rows / block_rows) - 1, 0)
-        met = left.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(last)).cast("array<bigint>")))
-        met = met.join(blocks, "page")
-    ranked = F.slice(F.sort_array(F.transform("block", lambda x: F.struct(
-        (-score(x)).alias("pl_loss"), x["ordinal"].alias("pl_ordinal"), x.alias("item")))), 1, k)
-    flat = met.withColumn("best", F.explode(ranked)).select(*left.columns, "best.*")
-    return (ordered.top_in_groups(flat, left_key, [("pl_loss", "asc"), ("pl_ordinal", "asc")], k, "place")
-            .select(*left.columns, "item", (-F.col("pl_loss")).alias("score"), "place"))

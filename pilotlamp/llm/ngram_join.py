@@ -5,7 +5,9 @@ Members are split recursively on sampled shared tokens of their min-hash embeddi
 token ``(place, value)`` whose hash with the node falls under ``1 / (similarity * places)``, so that members with a
 shared token can follow it together. Buckets of at most ``SMALL`` members are compared at once, larger ones are split
 again, and those that stay large at the last depth are compared in tiles. Independent runs are added until the recall at
-the threshold reaches its target. Members whose sketches look alike form candidate groups; inside those every pair is
+the threshold reaches its target, in two waves: what the first finds joins members to components, and the second drops buckets that lie
+in one component, for those could only give links inside a candidate group that is checked pair by pair anyway. So a large group
+of near copies is split in the first wave, not in every run. Members whose sketches look alike form candidate groups; inside those every pair is
 checked exactly on whole shingle sets, in tiles of bounded size, and links are counted in the tile.
 
 Null texts and texts without words have no shingles: they link to nothing, and each is a class of its own. Fewer words than a
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,7 @@ from pilotlamp.session import durable
 SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 PLACES = 64  # of the embedding
 DEPTH, SMALL = 4, 100
+WAVE = 3  # runs of the first wave; the second has the others
 LOOSE = 0.15  # what an estimate may lack, three deviations
 TILE, TILE_SHINGLES = 1024, 1_500_000  # members and shingles in one side of a tile
 BROADCAST_ROWS = 500_000  # ids of 16 bytes
@@ -121,24 +125,52 @@ def _sketches(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, PLACES)
 
 
-def _split(members: DataFrame, similarity: float, runs: int = 0) -> DataFrame:
-    """``bucket, member`` of the next level; members at the root go through ``runs`` trees."""
+def _split(members: DataFrame, similarity: float, runs: range | None = None) -> DataFrame:
+    """``bucket, member, root`` of the next level; members at the root of the trees go through all of ``runs``."""
 
     def split(batches):
         for b in batches:
             for at in range(0, b.num_rows, 2000):
                 part = b.slice(at, 2000)
-                s, ids = _sketches(part.column(1)), part.column(0)
+                s, ids, known = _sketches(part.column(1)), part.column(0), part.column(2)
                 if runs:
-                    roots = [np.full(len(s), x, np.uint64) for x in _mix(np.arange(1, runs + 1, dtype=np.uint64))]
+                    starts = [np.full(len(s), x, np.uint64) for x in _mix(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64))]
                 else:
-                    roots = [part.column(2).to_numpy().view(np.uint64)]
-                for paths in roots:
+                    starts = [part.column(3).to_numpy().view(np.uint64)]
+                for paths in starts:
                     rows, buckets = _children(paths, s, similarity)
-                    yield pa.RecordBatch.from_arrays([pa.array(buckets), ids.take(pa.array(rows))], ["bucket", "member"])
+                    rows = pa.array(rows)
+                    yield pa.RecordBatch.from_arrays([pa.array(buckets), ids.take(rows), known.take(rows)], ["bucket", "member", "root"])
 
-    columns = ["member", "sketch"] if runs else ["member", "sketch", "bucket"]
-    return members.select(*columns).mapInArrow(split, "bucket long, member binary")
+    columns = ["member", "sketch", "root"] if runs else ["member", "sketch", "root", "bucket"]
+    return members.select(*columns).mapInArrow(split, "bucket long, member binary, root binary")
+
+
+def _candidates(members: DataFrame, similarity: float, recall: float, small: int, tile: int) -> DataFrame:
+    """``member, root`` of the candidate groups that all runs give together."""
+    brief = members.select("member", _brief_of(F.col("sketch")).alias("brief"))
+    stars, found = [], None
+    for runs in (range(WAVE), range(WAVE, max(runs_for(recall), WAVE + 1))):
+        known = members.select("member", "sketch", F.lit(None).cast("binary").alias("root"))
+        if found is not None:
+            groups = found.unionByName(found.select(F.col("root").alias("member"), "root").distinct())
+            known = members.select("member", "sketch").join(groups, "member", "left")
+        nodes = durable(_split(known, similarity, runs))
+        for level in range(1, DEPTH + 1):
+            in_one = (F.count("root") == F.count("*")) & (F.min("root") == F.max("root"))
+            sizes = nodes.groupBy("bucket").agg(F.count("*").alias("n"), F.coalesce(in_one, F.lit(False)).alias("in_one")).where("n > 1 AND NOT in_one").drop("in_one")
+            shared = durable(nodes.join(sizes, "bucket"))
+            last = level == DEPTH
+            leaf = shared if last else shared.where(F.col("n") <= small)
+            leaf = _tiled(leaf.drop("root").join(brief, "member"), "bucket", F.ceil(F.col("n") / tile))
+            stars.append(durable(_alike(leaf, similarity)))
+            large = shared.where(F.col("n") > small)
+            if last or large.isEmpty():
+                break
+            nodes = durable(_split(large.join(members.select("member", "sketch"), "member"), similarity))
+        found = components(reduce(DataFrame.unionByName, stars))
+        stars = [found]
+    return found
 
 
 def _labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -286,23 +318,7 @@ def join(documents: DataFrame, similarity: float = SIMILARITY, recall: float = R
         prints.where("member IS NOT NULL").groupBy("member")
         .agg(F.min("doc_id").alias("copy_id"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch"))
     )
-    brief = members.select("member", _brief_of(F.col("sketch")).alias("brief"))
-    nodes, stars = durable(_split(members, similarity, runs_for(recall))), []
-    for level in range(1, DEPTH + 1):
-        sizes = nodes.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-        shared = durable(nodes.join(sizes, "bucket"))
-        last = level == DEPTH
-        leaf = shared if last else shared.where(F.col("n") <= small)
-        leaf = _tiled(leaf.join(brief, "member"), "bucket", F.ceil(F.col("n") / tile))
-        stars.append(durable(_alike(leaf, similarity)))
-        large = shared.where(F.col("n") > small)
-        if last or large.isEmpty():
-            break
-        nodes = durable(_split(large.join(members.select("member", "sketch"), "member"), similarity))
-    edges = stars[0]
-    for s in stars[1:]:
-        edges = edges.unionByName(s)
-    found = components(edges)
+    found = _candidates(members, similarity, recall, small, tile)
     group = found.unionByName(found.select(F.col("root").alias("member"), "root").distinct())
     group = group.join(members.select("member", "copies", "size", "copy_id"), "member")
     group = durable(group)

@@ -206,14 +206,18 @@ def overlap_partners(boxes: DataFrame, keys: Sequence[str], cell: float = 32.0)
     shapes = boxes.groupBy(*keys, *CORNERS).agg(F.count(F.lit(1)).alias("copies"))
     spots = shapes.withColumn("cell", F.explode(_cells(Box.of(), F.lit(cell), 0.0)))
     a = spots.select(*keys, "cell", *[F.col(c).alias(f"a_{c}") for c in CORNERS], F.col("copies").alias("a_copies"))
-    b = spots.select(*keys, "cell", *[F.col(c).alias(f"b_{c}") for c in CORNERS], F.col("copies").alias("b_copies"))
+    b = spots.select(*[F.col(k).alias(f"_pl_{k}") for k in keys], F.col("cell").alias("_pl_cell"),
+                     *[F.col(c).alias(f"b_{c}") for c in CORNERS], F.col("copies").alias("b_copies"))
+    met = F.col("cell") == F.col("_pl_cell")
+    for k in keys:
+        met = met & F.col(k).eqNullSafe(F.col(f"_pl_{k}"))
     left, top = F.greatest("a_x1", "b_x1"), F.greatest("a_y1", "b_y1")
     owner = (F.floor(left / cell) == F.col("cell.cx")) & (F.floor(top / cell) == F.col("cell.cy"))
     differ = F.struct(*[f"a_{c}" for c in CORNERS]) != F.struct(*[f"b_{c}" for c in CORNERS])
-    pairs = a.join(b, [*keys, "cell"]).filter(owner & differ).withColumn("iou", G.iou(Box.of("a_"), Box.of("b_")))
+    pairs = a.join(b, met).filter(owner & differ).withColumn("iou", G.iou(Box.of("a_"), Box.of("b_")))
     found = pairs.filter("iou > 0").groupBy(*keys, *[F.col(f"a_{c}").alias(c) for c in CORNERS]).agg(
         F.sum("b_copies").alias("partners"), F.max("iou").alias("best_iou"))
-    return shapes.join(found, [*keys, *CORNERS], "left").fillna(0, ["partners"]).fillna(0.0, ["best_iou"])
+    return ordered.join_keys(shapes, found, [*keys, *CORNERS], "left").fillna(0, ["partners"]).fillna(0.0, ["best_iou"])
 
 
 # template votes ----------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ GROWING = [
     "s05_nearest_chunks", "j13_overlap_partners", "j15_box_tracks", "w14_near_duplicates", "w18_group_split", "s07_stable_order",
     "j20_ambiguous_names",
 ]
-GROWTH_SECONDS = 180
+GROWTH_SECONDS = 300  # queries not begun by then are named in the result
 HEADLINE = [
     "a01_inspection_verdicts", "a02_conflict_resolution", "flt03_observation_validation", "flt16_alarm_gate",
     "j04_custom_rule_merge", "j01_device_names", "w04_running_vote", "a06_majority_vote", "w02_equal_count_bins",
@@ -38,7 +38,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
 
     def timed(name: str, path: str, count: int) -> float:
-        """Median of ``count`` runs after one that warms up."""
+        """Median of ``count`` runs after one that warms up; without any, the time of that one."""
         times = []
         for _ in range(count + 1):
             start = time.time()
@@ -52,9 +52,10 @@ def main() -> None:
     growth, begun, smaller = {}, time.time(), os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.01")
     for name in GROWING if names is HEADLINE and os.path.isdir(smaller) else []:
         if time.time() - begun < GROWTH_SECONDS:
-            growth[name] = [timed(name, smaller, 1), timed(name, folder, 1)]
+            growth[name] = [timed(name, smaller, 0), timed(name, folder, 0)]
     print(json.dumps({"metric": "headline queries, warm, median", "value": round(sum(took.values()), 3), "unit": "sec",
-                      "queries": took, "sf": os.path.basename(folder.rstrip("/")), "growth_sf0.01_and_sf": growth}))
+                      "queries": took, "sf": os.path.basename(folder.rstrip("/")), "growth_sf0.01_and_sf": growth,
+                      "growth_not_measured": [n for n in GROWING if n not in growth]}))
     spark.stop()
 
 

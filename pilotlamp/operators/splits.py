@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from pilotlamp.functions import text
+from pilotlamp.functions import arrays, text
 from pilotlamp.operators import ordered
 
 SPLITS = ["train", "val", "test"]
@@ -58,37 +55,81 @@ def _group_sizes(images: DataFrame, keys: Sequence[str], group: str) -> DataFram
     return images.groupBy(*keys, group).agg(F.count(F.lit(1)).alias("size"))
 
 
-def assign_largest_first(images: DataFrame, keys: Sequence[str], group: str, train: float = 0.7, val: float = 0.15,
-                         chunk_rows: int = 200_000) -> DataFrame:
+def _div(a: Column, b: Column | int) -> Column:
+    return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)
+
+
+def _share_out(state: Column, run: Column, groups: Column) -> Column:
+    """One run of ``run.n`` groups of equal ``run.size``: how its groups are dealt, and what the parts lack after it.
+
+    Seeds come first (``seeds`` from part ``seen`` on). Of the others the part that lacks most (``s1``) takes ``p1``, then
+    ``s2`` and ``s1`` take ``p2`` in turn until they lack no more than ``s3``, then all three take turns.
+    """
+    size, zero = run["size"], F.lit(0).cast("long")
+    seeds = F.when(groups >= 3, F.least(run["n"], F.greatest(zero, 3 - state["seen"]))).otherwise(zero)
+
+    def lead(u: Column, v: Column) -> Column:
+        """Groups that ``u`` takes before ``v`` takes one; of parts that lack the same the first goes first."""
+        gap = v["v"] - u["v"]
+        return F.when(gap < 0, zero).otherwise(_div(gap + F.when(u["i"] < v["i"], size).otherwise(size - 1), size))
+
+    def opened(seeds: Column) -> Column:
+        lacking = F.transform(state["lack"], lambda v, i: v - F.when((i >= state["seen"]) & (i < state["seen"] + seeds), size).otherwise(zero))
+        ranked = F.sort_array(F.transform(lacking, lambda v, i: F.struct((-v).alias("v"), i.alias("i"))))
+        return arrays.let(ranked, lambda r: dealt(seeds, F.get(r, F.lit(0)), F.get(r, F.lit(1)), F.get(r, F.lit(2))))
+
+    def dealt(seeds: Column, a: Column, b: Column, c: Column) -> Column:
+        def second(p1: Column) -> Column:
+            left = F.struct((a["v"] + p1 * size).alias("v"), a["i"].alias("i"))
+            p2 = lead(left, c) + lead(b, c)
+            return F.struct(size.alias("size"), state["seen"].alias("seen"), seeds.alias("seeds"), p1.alias("p1"), p2.alias("p2"),
+                            a["i"].alias("s1"), b["i"].alias("s2"), c["i"].alias("s3"))
+
+        return arrays.let(arrays.let(lead(a, b), second), lambda out: after(out, a, b, c))
+
+    def after(out: Column, a: Column, b: Column, c: Column) -> Column:
+        rest = run["n"] - out["seeds"]
+        one = F.least(rest, out["p1"])
+        two = F.least(rest - one, out["p2"])
+        three = rest - one - two
+        odd = out["p2"] % 2
+        taken = {0: one + _div(two, 2) + _div(three + odd, 3), 1: _div(two + 1, 2) + _div(three + 1 - odd, 3), 2: _div(three + 2, 3)}
+        lack = F.transform(F.sort_array(F.array(*[F.struct(p["i"].alias("i"), (-p["v"] - taken[k] * size).alias("v"))
+                                                  for k, p in enumerate((a, b, c))])), lambda x: x["v"])
+        return F.struct(F.struct(lack.alias("lack"), (state["seen"] + run["n"]).alias("seen")).alias("state"), out.alias("out"))
+
+    return arrays.let(seeds, opened)
+
+
+def assign_largest_first(images: DataFrame, keys: Sequence[str], group: str, train: float = 0.7,
+                         val: float = 0.15) -> DataFrame:
     """Split per group: the three largest groups open train, val and test, each next one goes where most is missing.
 
-    The counts decide every step, so this is a fold over the groups of a key, largest first (ties by
-    name). Only group sizes travel; a long list of groups runs chunk by chunk.
+    Largest first, ties by name. Groups of equal size are dealt by arithmetic and find their part by their rank among
+    them, so only the distinct sizes of a key are listed: at most the square root of twice its images.
     """
     keys = list(keys)
-    sizes = _group_sizes(images, keys, group)
-    total = sizes.groupBy(*keys).agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("groups"))
-    t = target_counts(F.col("total"), train, val)
-    rows = ordered.join_keys(sizes, total, keys).withColumn("t", t).select(
-        *keys, group, "size", "groups", *[F.col(f"t.{s}").alias(f"t_{s}") for s in SPLITS])
-    schema = T.StructType([*[rows.schema[k] for k in keys], rows.schema[group], T.StructField("split", T.StringType())])
-
-    def step(pdf: pd.DataFrame, state: bytes | None) -> tuple[pd.DataFrame, bytes]:
-        counts, seen = pickle.loads(state) if state else ([0, 0, 0], 0)
-        targets = [int(pdf[f"t_{s}"].iloc[0]) for s in SPLITS]
-        seed = int(pdf["groups"].iloc[0]) >= 3
-        chosen = []
-        for n in pdf["size"]:
-            missing = [t - c for t, c in zip(targets, counts)]
-            i = seen if seed and seen < 3 else missing.index(max(missing))
-            counts[i] += int(n)
-            seen += 1
-            chosen.append(SPLITS[i])
-        out = pdf[[*keys, group]].copy()
-        out["split"] = chosen
-        return out, pickle.dumps((counts, seen))
-
-    return ordered.fold_in_order(rows, keys, [("size", "desc"), (group, "asc")], step, schema, chunk_rows, settle=False)
+    part, size = F.struct("_pl_size", "_pl_n"), "_pl_size"
+    sizes = images.groupBy(*keys, group).agg(F.count(F.lit(1)).alias(size))
+    runs = sizes.groupBy(*keys, size).agg(F.count(F.lit(1)).alias("_pl_n"))
+    listed = runs.groupBy(*keys).agg(
+        F.sum("_pl_n").alias("_pl_groups"), F.sum(F.col(size) * F.col("_pl_n")).alias("_pl_total"),
+        F.sort_array(F.collect_list(part), asc=False).alias("_pl_runs"))
+    t = target_counts(F.col("_pl_total"), train, val)
+    start = F.struct(F.array(*[t[s] for s in SPLITS]).alias("lack"), F.lit(0).cast("long").alias("seen"))
+    kind = "struct<size:bigint,seen:bigint,seeds:bigint,p1:bigint,p2:bigint,s1:int,s2:int,s3:int>"
+    items = F.transform("_pl_runs", lambda r: F.struct(r[size].alias("size"), r["_pl_n"].alias("n")))
+    plan = arrays.scan(items, start, lambda state, run: _share_out(state, run, F.col("_pl_groups")), kind)
+    plan = listed.select(*keys, F.explode(plan).alias("_pl_d")).withColumn(size, F.col("_pl_d.size"))
+    ranked = ordered.rank_in_groups(sizes, [*keys, size], [(group, "asc")], "_pl_rn")
+    d, q = F.col("_pl_d"), F.col("_pl_rn") - 1 - F.col("_pl_d.seeds")
+    turn = q - d["p1"] - d["p2"]
+    next_, other = (F.when(d["p2"] % 2 == k, d["s2"]).otherwise(d["s1"]) for k in (0, 1))
+    place = (F.when(q < 0, d["seen"] + F.col("_pl_rn") - 1).when(q < d["p1"], d["s1"])
+             .when(turn < 0, F.when((q - d["p1"]) % 2 == 0, d["s2"]).otherwise(d["s1"]))
+             .when(turn % 3 == 0, d["s3"]).when(turn % 3 == 1, next_).otherwise(other))
+    split = F.get(F.array(*[F.lit(s) for s in SPLITS]), place.cast("int"))
+    return ordered.join_keys(ranked, plan, [*keys, size]).select(*keys, group, split.alias("split"))
 
 
 def split_devices(images: DataFrame, keys: Sequence[str], group: str, name: str, train: float = 0.7,

@@ -184,22 +184,26 @@ def test_name_pairs_equal_brute_force(spark):
 
 
 def test_largest_first_split(spark):
-    rows = [("d", f"g{g:02d}", f"g{g:02d}_{i}") for g in range(12) for i in range(RNG.randrange(1, 9))]
-    df = spark.createDataFrame(rows, "device string, grp string, filename string")
-    sizes = {}
-    for _, g, _ in rows:
-        sizes[g] = sizes.get(g, 0) + 1
-    n = len(rows)
-    targets = [round(n * 0.7), round(n * 0.15)]
-    targets.append(n - sum(targets))
-    counts, want = [0, 0, 0], {}
-    for i, (g, s) in enumerate(sorted(sizes.items(), key=lambda kv: (-kv[1], kv[0]))):
-        j = i if i < 3 else max(range(3), key=lambda k: targets[k] - counts[k])
-        counts[j] += s
-        want[g] = S.SPLITS[j]
-    for chunk in (200_000, 4):
-        got = {r.grp: r.split for r in S.assign_largest_first(df, ["device"], "grp", chunk_rows=chunk).collect()}
-        assert got == want
+    """Groups dealt by arithmetic go where the loop over groups puts them: equal sizes, few groups, NULL keys."""
+    cases = {None: [1] * 40, "one": [7], "two": [2, 9], "even": [5] * 23, "tail": [30, 30] + [1] * 17, "three": [4, 4, 4], "jump": [50, 9, 9, 9, 9, 2, 2, 1]}
+    cases |= {f"r{i}": [RNG.randrange(1, RNG.choice([3, 9, 40])) for _ in range(RNG.randrange(1, 60))] for i in range(60)}
+    rows = [(d, f"g{g:02d}", i) for d, sizes in cases.items() for g, s in enumerate(sizes) for i in range(s)]
+    df = spark.createDataFrame(rows, "device string, grp string, size int")
+    for train, val in ((0.7, 0.15), (0.34, 0.33)):
+        goal = {n: r.t for n, r in ((r.n, r) for r in spark.createDataFrame([(n,) for n in {sum(s) for s in cases.values()}], "n long").select(
+            "n", S.target_counts(F.col("n"), train, val).alias("t")).collect())}
+        want = {}
+        for device, sizes in cases.items():
+            counts = [0, 0, 0]
+            for i, (s, g) in enumerate(sorted(((s, g) for g, s in enumerate(sizes)), key=lambda x: (-x[0], x[1]))):
+                lack = [t - c for t, c in zip(goal[sum(sizes)], counts)]
+                j = i if len(sizes) >= 3 and i < 3 else lack.index(max(lack))
+                counts[j] += s
+                want[device, f"g{g:02d}"] = S.SPLITS[j]
+        got = S.assign_largest_first(df, ["device"], "grp", train, val)
+        assert got.columns == ["device", "grp", "split"]
+        found = [((r.device, r.grp), r.split) for r in got.collect()]
+        assert len(found) == len(want) and dict(found) == want
 
 
 def test_shuffled_split_properties(spark):

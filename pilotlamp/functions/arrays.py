@@ -1,4 +1,4 @@
-"""Folds inside one row that list what they find in linear time, and texts cut into pieces of equal length."""
+"""Folds inside one row that list what they find, and texts cut into pieces of equal length."""
 
 from __future__ import annotations
 
@@ -7,9 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLOCK = 256
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often it is used; works inside other folds too."""
     return F.aggregate(F.array().cast("array<int>"), value, lambda v, _: v, body)
@@ -20,21 +17,26 @@ def scan(items: Column, start: Column, step: Callable[[Column, Column], Column],
     """Fold ``items`` and list what the steps hand out.
 
     ``step(state, item)`` is a struct of ``state`` and ``out`` (of type ``kind``; NULL lists nothing), ``finish`` gets the
-    last state and the list. The list grows in blocks: appending copies a block, not all that was found before.
+    last state and the list. A fold copies its state at every step, so blocks of as many items as there are blocks are
+    folded apart: a step copies what its block found, and only a block copies all that was found before.
     """
     none = F.array().cast(f"array<{kind}>")
-    zero = F.struct(start.alias("state"), none.alias("block"), F.array().cast(f"array<array<{kind}>>").alias("full"))
 
     def add(acc: Column, item: Column) -> Column:
-        def keep(r: Column) -> Column:
-            full = F.size(acc["block"]) >= BLOCK
-            block = F.when(r["out"].isNull(), acc["block"]).when(full, F.array(r["out"])).otherwise(F.array_append(acc["block"], r["out"]))
-            done = F.when(r["out"].isNotNull() & full, F.array_append(acc["full"], acc["block"])).otherwise(acc["full"])
-            return F.struct(r["state"].alias("state"), block.alias("block"), done.alias("full"))
+        return let(step(acc["state"], item), lambda r: F.struct(
+            r["state"].alias("state"),
+            F.when(r["out"].isNull(), acc["found"]).otherwise(F.array_append(acc["found"], r["out"])).alias("found")))
+
+    def add_block(acc: Column, block: Column) -> Column:
+        inner = F.aggregate(block, F.struct(acc["state"].alias("state"), none.alias("found")), add)
+        return let(inner, lambda r: F.struct(r["state"].alias("state"), F.array_append(acc["full"], r["found"]).alias("full")))
 
-        return let(step(acc["state"], item), keep)
+    def blocks(all_: Column) -> Column:
+        rows = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(all_))).cast("int"))
+        return F.transform(F.sequence(F.lit(0), rows - 1), lambda b: F.slice(all_, b * rows + 1, rows))
 
-    return F.aggregate(items, zero, add, lambda acc: finish(acc["state"], F.concat(F.flatten(acc["full"]), acc["block"])))
+    zero = F.struct(start.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("full"))
+    return F.aggregate(let(items, blocks), zero, add_block, lambda acc: finish(acc["state"], F.flatten(acc["full"])))
 
 
 def pieces_of(s: Column, size: int) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pilotlamp import vocab
-from pilotlamp.functions import text
+from pilotlamp.functions import arrays, text
 from pilotlamp.operators import ordered
 
 CHUNK_SIZE = 700
@@ -21,19 +21,28 @@ META = ["device_name", "source_type", "source_file", "section", "page"]
 
 
 def pack(pieces: Column, size: int, joiner: str = "\n") -> Column:
-    """Join neighbouring pieces while length(current) + length(piece) + 1 stays within ``size``."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+    """Join neighbouring pieces while length(current) + length(piece) + 1 stays within ``size``.
 
-    def add(acc: Column, p: Column) -> Column:
-        fits = F.length(acc["open"]) + F.length(p) + 1 <= size
-        empty = acc["open"] == ""
-        joined = F.when(empty, p).otherwise(F.concat(acc["open"], F.lit(joiner), p))
-        closed = F.when(empty, acc["done"]).otherwise(F.array_append(acc["done"], acc["open"]))
-        return F.struct(F.when(fits, acc["done"]).otherwise(closed).alias("done"),
-                        F.when(fits, joined).otherwise(p).alias("open"))
+    The fold carries lengths only and lists where a text begins and how many pieces it has; each text is joined once.
+    """
+    kind = "struct<first:int,n:int>"
+
+    def add(acc: Column, chars: Column) -> Column:
+        fits, empty = acc["chars"] + chars + 1 <= size, acc["chars"] == 0
+        closed = F.when(~empty & ~fits, F.struct(acc["first"].alias("first"), (acc["at"] - acc["first"]).alias("n")))
+        opens = empty | ~fits
+        state = F.struct((acc["at"] + 1).alias("at"), F.when(opens, acc["at"]).otherwise(acc["first"]).alias("first"),
+                         F.when(opens, chars).otherwise(acc["chars"] + len(joiner) + chars).alias("chars"))
+        return F.struct(state.alias("state"), closed.alias("out"))
 
-    return F.aggregate(pieces, start, add, lambda acc: F.when(acc["open"] == "", acc["done"]).otherwise(
-        F.array_append(acc["done"], acc["open"])))
+    def close(last: Column, found: Column) -> Column:
+        rest = F.struct(last["first"].alias("first"), (last["at"] - last["first"]).alias("n"))
+        return F.when(last["chars"] == 0, found).otherwise(F.array_append(found, rest))
+
+    start = F.struct(*[F.lit(0).alias(c) for c in ("at", "first", "chars")])
+    return arrays.let(pieces, lambda all_: F.transform(
+        arrays.scan(F.transform(all_, F.length), start, add, kind, close),
+        lambda t: F.array_join(F.slice(all_, t["first"] + 1, t["n"]), joiner)))
 
 
 def chunks(body: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -> Column:
@@ -44,7 +53,8 @@ def chunks(body: Column, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP) -
     def cut(p: Column) -> Column:
         count = F.ceil((F.length(p) - size) / F.lit(step)) + 1
         starts = F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)).cast("int"))
-        slices = F.transform(starts, lambda i: text.strip(F.substr(p, i * step + 1, F.lit(size))))
+        slices = arrays.let(arrays.pieces_of(p, step), lambda pieces: F.transform(
+            starts, lambda i: text.strip(arrays.part_of(pieces, step, i * step, F.lit(size), size))))
         return F.when(F.length(p) <= size, F.array(p)).otherwise(slices)
 
     return F.filter(F.flatten(F.transform(pack(paragraphs, size), cut)), lambda c: c != "")
@@ -82,27 +92,28 @@ def corpus_stats(chunked: DataFrame, keys: Sequence[str], file: str) -> DataFram
 
 def _hits(low: Column, word: str) -> Column:
     """0-based positions of non-overlapping occurrences, left to right."""
-    parts = F.split(low, "\\Q" + word + "\\E", -1)
-    start = F.struct(F.array().cast("array<int>").alias("found"), F.lit(0).alias("at"))
-
-    def add(acc: Column, p: Column) -> Column:
-        here = acc["at"] + F.length(p)
-        return F.struct(F.array_append(acc["found"], here).alias("found"), (here + len(word)).alias("at"))
+    def add(at: Column, part: Column) -> Column:
+        here = at + F.length(part)
+        return F.struct((here + len(word)).alias("state"), here.alias("out"))
 
-    return F.slice(F.aggregate(parts, start, add, lambda acc: acc["found"]), F.lit(1), F.size(parts) - 1)
+    # the last part ends with the text, not with a word
+    return arrays.scan(F.split(low, "\\Q" + word + "\\E", -1), F.lit(0), add, "int",
+                       lambda _, found: F.slice(found, F.lit(1), F.size(found) - 1))
 
 
 def evidence_windows(body: Column, radius: int = 1000, limit: int | None = None) -> Column:
     """Distinct text windows around evidence words, by position; only the first ``limit`` where that is set."""
-    low = F.lower(body)
-    at = F.array_sort(F.array_distinct(F.flatten(F.array(*[_hits(low, w.lower()) for w in vocab.EVIDENCE_WORDS]))))
+    def around(low: Column) -> Column:
+        return F.array_sort(F.array_distinct(F.flatten(F.array(*[_hits(low, w.lower()) for w in vocab.EVIDENCE_WORDS]))))
 
-    def window(i: Column) -> Column:
+    def window(pieces: Column, i: Column) -> Column:
         first = F.greatest(F.lit(0), i - radius)
-        piece = F.substr(body, first + 1, i + radius - first)
+        piece = arrays.part_of(pieces, 2 * radius, first, i + radius - first, 2 * radius)
         return text.strip(F.regexp_replace(piece, "\n{3,}", "\n\n"))
 
-    found = F.array_distinct(F.filter(F.transform(at, window), lambda w: w != ""))
+    windows = arrays.let(arrays.pieces_of(body, 2 * radius), lambda pieces: F.transform(
+        arrays.let(F.lower(body), around), lambda i: window(pieces, i)))
+    found = F.array_distinct(F.filter(windows, lambda w: w != ""))
     return found if limit is None else F.slice(found, 1, limit)
 
 

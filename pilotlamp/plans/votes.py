@@ -99,7 +99,7 @@ def w05(t: Tables):
 @query("st02_replayed_routes", _INTERVAL + "SELECT * FROM f")
 def st02(t: Tables):
     from pilotlamp.streaming import live
-    return live.replay(t.samples, lambda s: live.routed_devices(s, 15, 5)).drop("epoch")
+    return live.replay(t.samples, lambda s: live.routed_devices(s, 15, 5)).drop("epoch", "late")
 
 
 @query("j18_detector_routing", _INTERVAL + """

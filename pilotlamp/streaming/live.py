@@ -30,12 +30,13 @@ DECISION = T.StructType([
     T.StructField("stream_id", T.LongType()), T.StructField("epoch", T.IntegerType()),
     T.StructField("frame_idx", T.LongType()), T.StructField("candidate", T.StringType()),
     T.StructField("ratio", T.DoubleType()), T.StructField("mean", T.DoubleType()),
-    T.StructField("window_size", T.IntegerType()), T.StructField("stable", T.BooleanType())])
+    T.StructField("window_size", T.IntegerType()), T.StructField("stable", T.BooleanType()),
+    T.StructField("late", T.LongType())])
 ROUTE = T.StructType([
     T.StructField("stream_id", T.LongType()), T.StructField("epoch", T.IntegerType()),
     T.StructField("frame_idx", T.LongType()), T.StructField("position", T.LongType()),
     T.StructField("voted", T.StringType()), T.StructField("device", T.StringType()),
-    T.StructField("device_confidence", T.DoubleType())])
+    T.StructField("device_confidence", T.DoubleType()), T.StructField("late", T.LongType())])
 ALIASES = ("device_id string, canonical_name string, rule_name string, aliases array<string>, workspace_names array<string>,"
            " verified boolean, ordinal int")
 STATE = T.StructType([T.StructField("body", T.StringType())])
@@ -59,21 +60,31 @@ def without_replays(samples: DataFrame, delay: str = "10 minutes") -> DataFrame:
 
 
 class _OrderedRows(StatefulProcessor):
-    """Feeds rows in (epoch, frame) order to ``advance`` with a small JSON state; a new epoch starts afresh."""
+    """Feeds rows in (epoch, frame) order to ``advance`` with a small JSON state; a new epoch starts afresh.
+
+    Rows of an epoch before the current one change nothing; ``late`` counts them. With ``idle_ms`` a stream without
+    rows for that long, in event time, ends: its state is cleared, and rows that come later open a new one.
+    """
+
+    idle_ms = 0
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.state = handle.getValueState("state", STATE)
 
     def fold(self, rows: pd.DataFrame, saved: str | None) -> tuple[pd.DataFrame, str]:
         """Output and closing state of sorted rows of one stream."""
-        state = json.loads(saved) if saved else self.fresh(None)
+        state = json.loads(saved) if saved else {**self.fresh(None), "late": 0}
         out = []
         for row in rows.itertuples(index=False):
+            if state["epoch"] is not None and row.epoch < state["epoch"]:
+                state["late"] += 1
+                continue
             if state["epoch"] is None or row.epoch > state["epoch"]:
-                state = self.fresh(int(row.epoch))
+                state = {**self.fresh(int(row.epoch)), "late": state["late"]}
             made = self.advance(state, row)
             if made is not None:
-                out.append((row.stream_id, int(row.epoch), int(row.frame_idx), *made))
+                out.append((row.stream_id, int(row.epoch), int(row.frame_idx), *made, state["late"]))
         return pd.DataFrame(out, columns=self.schema.fieldNames()), json.dumps(state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -81,8 +92,19 @@ class _OrderedRows(StatefulProcessor):
         saved = self.state.get() if self.state.exists() else None
         out, state = self.fold(batch, saved[0] if saved else None)
         self.state.update((state,))
+        if self.idle_ms:
+            end = int(batch["ts"].max().timestamp() * 1000) + self.idle_ms
+            timers = list(self.handle.listTimers())
+            if not timers or end > max(timers):
+                for t in timers:
+                    self.handle.deleteTimer(t)
+                self.handle.registerTimer(end)
         yield out
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter([])
+
     def close(self) -> None:
         pass
 
@@ -135,10 +157,12 @@ class _Routed(_OrderedRows):
         return state["position"], voted, state["device"], state["confidence"]
 
 
-def _advance(samples: DataFrame, processor: _OrderedRows) -> DataFrame:
+def _advance(samples: DataFrame, processor: _OrderedRows, idle_seconds: float = 0.0) -> DataFrame:
     """A stream by micro-batches, a table by chunks."""
     if samples.isStreaming:
-        return samples.groupBy("stream_id").transformWithStateInPandas(processor, processor.schema, "Append", "None")
+        processor.idle_ms = int(idle_seconds * 1000)
+        return samples.groupBy("stream_id").transformWithStateInPandas(
+            processor, processor.schema, "Append", "EventTime" if processor.idle_ms else "None")
 
     def step(rows: pd.DataFrame, state: bytes | None) -> tuple[pd.DataFrame, bytes]:
         out, closing = processor.fold(rows, state.decode() if state else None)
@@ -150,14 +174,18 @@ def _advance(samples: DataFrame, processor: _OrderedRows) -> DataFrame:
 
 def stable_devices(samples: DataFrame, window: int = voting.WINDOW, min_confidence: float = voting.MIN_FRAME_CONFIDENCE,
                    min_ratio: float = voting.MIN_RATIO, min_mean: float = voting.MIN_MEAN,
-                   sample_seconds: float = 0.0) -> DataFrame:
-    """Running device decision per stream. ``sample_seconds`` keeps one sample per elapsed interval."""
-    return _advance(samples, _Stable(window, min_confidence, min_ratio, min_mean, sample_seconds))
+                   sample_seconds: float = 0.0, idle_seconds: float = 0.0) -> DataFrame:
+    """Running device decision per stream. ``sample_seconds`` keeps one sample per elapsed interval.
+
+    ``idle_seconds`` ends the state of a stream that has been silent for so long; the samples then need a watermark on
+    ``ts``. ``late`` is the number of rows of older epochs that the stream has rejected so far.
+    """
+    return _advance(samples, _Stable(window, min_confidence, min_ratio, min_mean, sample_seconds), idle_seconds)
 
 
-def routed_devices(samples: DataFrame, interval: int = 15, window: int = voting.SHORT_WINDOW) -> DataFrame:
-    """Device recognised every ``interval`` frames and its short vote, carried to every frame."""
-    return _advance(samples, _Routed(interval, window))
+def routed_devices(samples: DataFrame, interval: int = 15, window: int = voting.SHORT_WINDOW, idle_seconds: float = 0.0) -> DataFrame:
+    """Device recognised every ``interval`` frames and its short vote, carried to every frame; the rest as above."""
+    return _advance(samples, _Routed(interval, window), idle_seconds)
 
 
 def judge_stream(requests: DataFrame, read_rules: Callable[[SparkSession], DataFrame],

@@ -92,6 +92,45 @@ def test_epoch_resets_and_sampling(spark):
                    (1, 0, "b", 1, False), (1, 2, "b", 2, False), (1, 4, "b", 3, True)]
 
 
+KIND = "stream_id long, epoch int, frame_idx long, ts string, class_name string, confidence double"
+
+
+def fed(spark, name, batches, vote, watermark=None):
+    """The rows that ``vote`` gives when each list of samples is one micro-batch."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    folder = tempfile.mkdtemp()
+    source = spark.readStream.schema(live.SAMPLE).parquet(folder)
+    df = vote(source.withWatermark("ts", watermark) if watermark else source)
+    q = df.writeStream.format("memory").queryName(name).outputMode("append").option("checkpointLocation", tempfile.mkdtemp()).start()
+    for samples in batches:
+        spark.createDataFrame(samples, KIND).withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(folder)
+        q.processAllAvailable()
+    q.stop()
+    return spark.table(name)
+
+
+def test_rows_of_an_older_epoch_are_rejected_and_counted(spark):
+    row = lambda e, i, c: (1, e, i, f"2024-01-01 00:00:{i:02d}", c, 0.9)
+    batches = [[row(0, 50, "old")], [row(1, 0, "new"), row(1, 1, "new")], [row(0, 51, "old"), row(0, 52, "old"), row(1, 2, "new")], [row(2, 0, "next")]]
+    got = fed(spark, "late_votes", batches, live.stable_devices)
+    assert rows(got, "epoch", "frame_idx", "candidate", "window_size", "late") == [
+        (0, 50, "old", 1, 0), (1, 0, "new", 1, 0), (1, 1, "new", 2, 0), (1, 2, "new", 3, 2), (2, 0, "next", 1, 2)]
+    got = fed(spark, "late_routes", batches, lambda s: live.routed_devices(s, 1, 5))
+    assert rows(got, "epoch", "frame_idx", "position", "voted", "late") == [
+        (0, 50, 1, "old", 0), (1, 0, 1, "new", 0), (1, 1, 2, "new", 0), (1, 2, 3, "new", 2), (2, 0, 1, "next", 2)]
+
+
+def test_state_of_a_dead_stream_ends(spark):
+    row = lambda s, i, at: (s, 0, i, f"2024-01-01 {at}", "a", 0.9)
+    batches = [[row(1, 0, "00:00:00"), row(1, 1, "00:00:01")], [row(2, 0, "00:00:05"), row(1, 2, "00:09:00")], [row(2, 1, "02:00:00")],
+               [row(2, 2, "02:00:01")], [row(1, 3, "02:00:02"), row(2, 3, "02:00:02")]]
+    want = {0.0: 4, 600.0: 1}
+    for idle, size in want.items():
+        got = fed(spark, f"idle_{int(idle)}", batches, lambda s: live.stable_devices(s, idle_seconds=idle), "1 minute")
+        out = {(r[0], r[1]): r[2] for r in rows(got, "stream_id", "frame_idx", "window_size")}
+        assert out[1, 2] == 3 and out[1, 3] == size, (idle, out)
+
+
 def test_rule_change_counts_for_next_batch(spark):
     folder, verdicts = tempfile.mkdtemp(), []
     current = {"severity": "normal"}

@@ -224,7 +224,7 @@ def overlap_partners(boxes: DataFrame, keys: Sequence[str], cell: float = 32.0)
 
 def project_templates(template_boxes: DataFrame, transforms: DataFrame) -> DataFrame:
     """Template boxes moved into each target frame by its 3x3 transform; unusable projections are dropped."""
-    j = template_boxes.join(transforms, ["device", "template"])
+    j = ordered.join_keys(template_boxes, transforms, ["device", "template"])
     p = G.project(Box.of(), F.col("h"), F.col("width"), F.col("height"))
     return ordered.once(j, "p", p).filter("p IS NOT NULL").select(
         "device", "target", "template", "class_id", (F.col("base_weight") * F.col("quality")).alias("strength"),
@@ -250,7 +250,7 @@ def template_votes(candidates: DataFrame, projected: DataFrame, min_score: float
     # a pair that shares several cells counts in the first common one only
     first = (F.floor(F.greatest("x1", "w_x1") / cell) == F.col("cell.cx")) & (
         F.floor(F.greatest("y1", "w_y1") / cell) == F.col("cell.cy"))
-    near = mine.join(spots, ["device", "target", "cell"]).filter(meet & first)
+    near = ordered.join_keys(mine, spots, ["device", "target", "cell"]).filter(meet & first)
     scored = ordered.once(near, "spatial", G.template_score(Box.of(), p))
     box = ["device", "target", "box_id"]
     per_class = scored.groupBy(*box, "class_id").agg(F.sum(F.col("strength") * F.col("spatial")).alias("score")).filter(
@@ -265,8 +265,8 @@ def template_votes(candidates: DataFrame, projected: DataFrame, min_score: float
 
 def apply_template_votes(candidates: DataFrame, votes: DataFrame) -> DataFrame:
     """Candidates with the accepted template class; ``change`` says filled, corrected or same."""
-    j = candidates.join(votes.filter("accepted").select("device", "target", "box_id", "winner"),
-                        ["device", "target", "box_id"], "left")
+    j = ordered.join_keys(candidates, votes.filter("accepted").select("device", "target", "box_id", "winner"),
+                          ["device", "target", "box_id"], "left")
     change = (F.when(F.col("winner").isNull(), "none").when(F.col("class_id").isNull(), "filled")
               .when(F.col("class_id") != F.col("winner"), "corrected").otherwise("same"))
     return j.withColumn("change", change).withColumn("class_id", F.coalesce("winner", "class_id")).drop("winner")

@@ -17,9 +17,10 @@ MARK = "\ufeff"
 def read_manifest(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """CSV with a header, columns picked by name; all strings, empty cells stay empty strings.
 
-    A byte order mark is dropped and quoted cells may hold line breaks. A missing column is an error.
+    A byte order mark is dropped and quoted cells may hold line breaks. A missing column is an error, and so are
+    parts of a folder whose headers differ.
     """
-    rows = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    rows = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", True).csv(path)
     rows = rows.toDF(*[c.removeprefix(MARK) for c in rows.columns])
     return rows.select(*columns).fillna("")
 

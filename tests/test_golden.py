@@ -163,6 +163,17 @@ def test_merge_states(spark):
     assert len(r) == 1 and r[0].name == "RUN status lamp" and [tuple(s) for s in r[0].states] == [("on", "ok"), ("off", "bad")]
 
 
+def test_parts_of_a_manifest_agree_on_their_header(spark, tmp_path):
+    from pilotlamp.sources import tables
+    (tmp_path / "a.csv").write_text("\ufeffdevice,note\nd1,x\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("\ufeffdevice,note\nd2,y\n", encoding="utf-8")
+    read = lambda: sorted(map(tuple, tables.read_manifest(spark, str(tmp_path), ["note", "device"]).collect()))
+    assert read() == [("x", "d1"), ("y", "d2")]
+    (tmp_path / "c.csv").write_text("\ufeffnote,device\nz,d3\n", encoding="utf-8")
+    with pytest.raises(Exception, match="header"):
+        read()
+
+
 def test_sources(spark, tmp_path):
     from pilotlamp.sources import assets, tables
     (tmp_path / "m.csv").write_text("﻿device,note\nd1,\nd2,x\n", encoding="utf-8")

@@ -197,6 +197,60 @@ def _rounds(boxes: DataFrame, keys: list[str], order: ordered.Order, conflict: C
     return done.select(*keys, *[F.col(f"b.{c}").alias(c) for c in rest], "kept")
 
 
+def conflict_record(decided: DataFrame, keys: Sequence[str], order: ordered.Order, conflict: Conflict, fields: Sequence[str],
+                    reach: float = 0.0) -> DataFrame:
+    """Why each dropped box went: the first kept box in ``order`` that it conflicts with.
+
+    ``decided`` is the result of ``suppress`` with the same arguments. Returns the dropped boxes with ``kept_<field>`` for
+    each of ``fields``, ``iou`` and ``center_distance``. Copies are looked up once. Boxes lie on grids whose cells are
+    powers of two: one that is large looks on its own grid, the other one joins it there, so no box fills many cells.
+    NULL keys form a group; boxes without coordinates conflict with nothing and are never dropped.
+    """
+    keys = list(keys)
+    rest = [c for c in decided.columns if c not in (*keys, "kept")]
+    decided = durable(decided)
+    box = F.struct(*[F.col(c) for c in rest]).alias("b")
+    place = F.struct(*_place(order, F.col)).alias("place")
+    dropped = decided.filter(~F.col("kept")).groupBy(*keys, box).agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    winners = decided.filter("kept").select(*keys, F.struct(place, box).alias("k"))
+    lost, held = _levels(dropped, "b", reach), _levels(winners, "k.b", reach)
+    top = lost.select(*keys, "level").unionByName(held.select(*keys, "level")).groupBy(*keys).agg(F.max("level").alias("top"))
+    lost, held = ordered.join_keys(lost, top, keys), ordered.join_keys(held, top, keys)
+    own, above = F.array("level"), F.when(F.col("level") < F.col("top"), F.sequence(F.col("level") + 1, "top"))
+    every = F.sequence("level", "top")
+    met = None
+    for mine, theirs in ((own, every), (above, own)):
+        pairs = ordered.join_keys(_spots(lost, mine, "b", reach), _spots(held, theirs, "k.b", reach), [*keys, "level", "cell"])
+        met = pairs if met is None else met.unionByName(pairs)
+    first = met.filter(conflict(F.col("k.b"), F.col("b"))).groupBy(*keys, "b", "copies").agg(
+        F.min_by("k.b", "k.place").alias("k"))
+    out = first.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    x, k = Box.of(struct=F.col("b")), Box.of(struct=F.col("k"))
+    return out.select(*keys, *[F.col(f"b.{c}").alias(c) for c in rest], *[F.col(f"k.{c}").alias(f"kept_{c}") for c in fields],
+                      G.iou(x, k).alias("iou"), G.center_distance(x, k).alias("center_distance"))
+
+
+def _span(b: Box, reach: float) -> Column:
+    """Side of the square around the centre in which a box can meet a conflicting one."""
+    return F.greatest(b.w, b.h, F.greatest(b.w, b.h, F.lit(1.0)) * reach, F.lit(1.0))
+
+
+def _levels(boxes: DataFrame, column: str, reach: float) -> DataFrame:
+    """``level``: the power of two not below the span of the box, so that it touches four cells of that grid at most."""
+    return boxes.withColumn("level", F.ceil(F.log2(_span(Box.of(struct=F.col(column)), reach))).cast("int"))
+
+
+def _spots(boxes: DataFrame, levels: Column, column: str, reach: float) -> DataFrame:
+    """The cells of a box on the grids of ``levels``."""
+    at = boxes.withColumn("level", F.explode(levels))
+    b, size = Box.of(struct=F.col(column)), F.pow(F.lit(2.0), F.col("level"))
+    half = _span(b, reach) / 2
+    columns = F.sequence(F.floor((b.cx - half) / size), F.floor((b.cx + half) / size))
+    rows = F.sequence(F.floor((b.cy - half) / size), F.floor((b.cy + half) / size))
+    cells = F.flatten(F.transform(columns, lambda x: F.transform(rows, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+    return at.withColumn("cell", F.explode(cells)).drop("top")
+
+
 def overlap_partners(boxes: DataFrame, keys: Sequence[str], cell: float = 32.0) -> DataFrame:
     """Per distinct box of an image: copies, overlapping boxes and the best IoU.
 
@@ -400,6 +454,48 @@ def export_boxes(images: DataFrame, boxes: DataFrame, key: str, order: ordered.O
                     F.coalesce(F.size("items"), F.lit(0)).alias("n_boxes"))
 
 
+def export_documents(images: DataFrame, boxes: DataFrame, classes: DataFrame, stats: DataFrame, order: ordered.Order,
+                     fields: Sequence[str], class_fields: Sequence[str] = ("name", "short_label"), form: str = "tiled_prelabel",
+                     page_rows: int = 1000) -> DataFrame:
+    """The nested result of a device as JSON documents: ``device``, ``page``, ``document``.
+
+    ``images``: device, image; ``boxes``: device, image and ``fields``; ``classes``: device, class_id, ``class_fields`` and
+    ordinal (their order); ``stats``: one row a device, its figures become ``meta`` (``funnel`` makes them). Page 0 also holds
+    the whole class list (``schema_classes``, ``class_order``, ``names``; of equal ids the last name counts) and ``meta``,
+    whether a class was found or not. ``annotations`` maps every file name to its boxes in ``order``, files without boxes to
+    an empty list. A page holds at most ``page_rows`` boxes or empty files; the lists of a file on two pages belong
+    together. NULL names count as empty ones, classes without an id are left out, devices are those of ``images`` and ``boxes``.
+    """
+    named = F.coalesce(F.col("image").cast("string"), F.lit("")).alias("image")
+    found = boxes.select("device", named, F.struct(*fields).alias("box"), *[F.col(c).alias(f"_pl_{i}") for i, (c, _) in enumerate(order)])
+    empty = ordered.join_keys(images.select("device", named).distinct(), found.select("device", "image").distinct(),
+                              ["device", "image"], "left_anti")
+    rows = found.unionByName(empty, allowMissingColumns=True)
+    ranked = ordered.rank_in_groups(rows, ["device"], [("image", "asc"), *[(f"_pl_{i}", d) for i, (_, d) in enumerate(order)]], "rn")
+    ranked = ranked.withColumn("page", F.floor((F.col("rn") - 1) / F.lit(page_rows)).cast("long"))
+    listed = ranked.groupBy("device", "page", "image").agg(F.sort_array(F.collect_list(
+        F.when(F.col("box").isNotNull(), F.struct("rn", "box")))).alias("items"))
+    pages = listed.groupBy("device", "page").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(
+        "image", F.transform("items", lambda x: x["box"]).alias("boxes"))))).alias("annotations"))
+    known = classes.filter("class_id IS NOT NULL").select("device", F.col("class_id").cast("long").alias("id"), "ordinal", *[
+        F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in class_fields])
+    last = known.groupBy("device", "id").agg(F.max_by(class_fields[0], "ordinal").alias("name")).groupBy("device").agg(
+        F.map_from_entries(F.transform(F.sort_array(F.collect_list(F.struct("id", "name"))), lambda x: F.struct(
+            x["id"].cast("string"), x["name"]))).alias("names"))
+    schema = known.groupBy("device").agg(F.sort_array(F.collect_list(F.struct("ordinal", "id", *class_fields))).alias("c"))
+    head = ordered.join_keys(schema, last, ["device"]).select(
+        "device", "names", F.transform("c", lambda x: x["id"]).alias("class_order"),
+        F.transform("c", lambda x, i: F.struct(i.alias("order"), x["id"].alias("class_id"), *[x[c].alias(c) for c in class_fields]))
+        .alias("schema_classes"))
+    meta = stats.select("device", F.struct(*[c for c in stats.columns if c != "device"]).alias("meta"))
+    out = ordered.join_keys(ordered.join_keys(pages, head, ["device"], "left"), meta, ["device"], "left")
+    first = F.col("page") == 0
+    parts = [F.lit(form).alias("format"), F.col("device").alias("device_name"), "page", *[
+        F.when(first, F.col(c)).alias(c) for c in ("schema_classes", "class_order", "names")], "annotations",
+        F.lit(True).alias("needs_human_review"), F.when(first, F.col("meta")).alias("meta")]
+    return out.select("device", "page", F.to_json(F.struct(*parts)).alias("document"))
+
+
 def first_per_group(rows: DataFrame, keys: Sequence[str], order: ordered.Order, k: int) -> DataFrame:
     return ordered.top_in_groups(rows, keys, order, k, "place")
 

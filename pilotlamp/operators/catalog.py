@@ -34,6 +34,9 @@ def merge_candidates(items: DataFrame) -> DataFrame:
     ``items``: device, name, short_label, module, ordinal (and optional location_hint, evidence, states).
     State-only names are dropped. The longest name wins, other fields take the first non-empty value,
     states are united in first-seen order. Numbered by (module, name).
+
+    A second merge of the result by short label and module finds nothing: the entries of one label take a short label with
+    that key if any of them has one and else a name with that label, and entries merged by name have no label at all.
     """
     rows = items.filter(~text.is_state_only(F.col("name"))).select(
         "device", "ordinal", F.trim("name").alias("name"), *[_given(items, c).alias(c) for c in FIELDS],
@@ -49,16 +52,20 @@ def merge_candidates(items: DataFrame) -> DataFrame:
         F.max_by("name", F.struct(F.length("name"), -pos)).alias("name"),
         *[F.coalesce(F.min_by(c, F.when(F.col(c) != "", pos)), F.lit("")).alias(c) for c in FIELDS],
         F.count(F.lit(1)).alias("merged"), F.min(pos).alias("ordinal"))
-    states = rows.select("device", "merge_key", "ordinal", F.posexplode("states").alias("i", "state")).filter(
-        "coalesce(state.state, '') <> ''")
-    listed = states.groupBy("device", "merge_key", "state").agg(F.min(F.struct("ordinal", "i")).alias("p")).groupBy(
-        "device", "merge_key").agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "state"))),
-                                               lambda x: x["state"]).alias("states"))
-    out = merged.join(listed, ["device", "merge_key"], "left")
+    named = rows.withColumn("states", F.filter("states", lambda s: F.coalesce(s["state"], F.lit("")) != ""))
+    out = merged.join(united_states(named, ["device", "merge_key"]), ["device", "merge_key"], "left")
     out = out.withColumn("_pl_m", text.letters_key(F.col("module"))).withColumn("_pl_n", text.letters_key(F.col("name")))
     return number(out, [("_pl_m", "asc"), ("_pl_n", "asc"), ("ordinal", "asc")]).drop("_pl_m", "_pl_n")
 
 
+def united_states(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct states per group, ordered by the row that names them first and their place in it."""
+    each = rows.select(*keys, "ordinal", F.posexplode("states").alias("i", "state")).filter("state IS NOT NULL")
+    once = each.groupBy(*keys, "state").agg(F.min(F.struct("ordinal", "i")).alias("p"))
+    return once.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("p", "state"))), lambda x: x["state"])
+                                   .alias("states"))
+
+
 def number(items: DataFrame, order: ordered.Order, out_col: str = "class_id") -> DataFrame:
     """Dense class ids from 0 per device."""
     return ordered.rank_in_groups(items, ["device"], order, out_col).withColumn(out_col, F.col(out_col) - 1)
@@ -77,8 +84,9 @@ def group_key(name: Column, short_label: Column, mode: str) -> Column:
 def deduplicate(items: DataFrame, mode: str = "semantic") -> DataFrame:
     """One entry per semantic family (per equal name in ``strict`` mode, per row in mode ``none``) and device.
 
-    The name is the family's display name, else the shortest. Modules, locations, evidence and other names are united in
-    first-seen order. ``merged`` counts the entries; ``merge_report`` lists those of more than one.
+    The name is the family's display name, else the shortest. Modules, locations, evidence, states and other names are united
+    in first-seen order; states are equal when all their fields are. ``merged`` counts the entries; ``merge_report`` lists those
+    of more than one.
     """
     rows = items.withColumn("name", F.trim("name")).filter("coalesce(name, '') <> ''")
     rows = rows.withColumn("key", group_key(F.col("name"), _given(items, "short_label"), mode))
@@ -99,6 +107,8 @@ def deduplicate(items: DataFrame, mode: str = "semantic") -> DataFrame:
         if given in items.columns:
             listed = first_seen(rows, ["device", "key"], F.col(given), text.catalog_key(F.col(given)), pos, united)
             out = out.join(listed, ["device", "key"], "left")
+    if "states" in items.columns:
+        out = out.join(united_states(rows, ["device", "key"]), ["device", "key"], "left")
     own = text.catalog_key(F.col("name"))
     out = out.withColumn("aliases", F.filter("names", lambda x: text.catalog_key(x) != own))
     out = out.withColumn("_pl_k", text.semantic_key(F.col("name"), F.col("short_label"))).withColumn("_pl_n", own)

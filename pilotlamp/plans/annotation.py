@@ -165,6 +165,27 @@ def w13_score(t: Tables):
         "image", "box_id", "kept")
 
 
+_KEPT_FIRST = f"""
+    WITH RECURSIVE b AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, box_id) AS rn FROM crowded),
+    r AS (
+      SELECT image, rn, [{{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'id': box_id}}] AS kept, box_id, CAST(NULL AS VARCHAR) AS hit FROM b WHERE rn = 1
+      UNION ALL
+      SELECT image, rn, CASE WHEN hit IS NULL THEN list_append(kept, {{'x1': x1, 'y1': y1, 'x2': x2, 'y2': y2, 'id': box_id}}) ELSE kept END, box_id, hit
+      FROM (SELECT b.*, r.kept, list_filter(r.kept, lambda k: {_IOU} >= 0.35 OR {_CD} <= {_LONG} * 0.65e0)[1].id AS hit
+        FROM r JOIN b ON b.image = r.image AND b.rn = r.rn + 1))
+    SELECT r.image, r.box_id, k.box_id AS kept_box_id, k.score AS kept_score, k.x1 AS kept_x1, round({_IOU}, 6) AS iou, round({_CD}, 6) AS center_distance
+    FROM r JOIN crowded b ON b.box_id = r.box_id JOIN crowded k ON k.box_id = r.hit /* {{crowded}} */"""
+
+
+@query("w13_conflict_record", _KEPT_FIRST)
+def w13_conflicts(t: Tables):
+    order = [("score", "desc"), ("box_id", "asc")]
+    decided = B.suppress(t.crowded, ["image"], order, B.near_conflict(), 0.65)
+    return B.conflict_record(decided, ["image"], order, B.near_conflict(), ["box_id", "score", "x1"], 0.65).select(
+        "image", "box_id", "kept_box_id", "kept_score", "kept_x1", F.round("iou", 6).alias("iou"),
+        F.round("center_distance", 6).alias("center_distance"))
+
+
 @query("w13_suppress_by_area", _greedy("(x2 - x1) * (y2 - y1), box_id", f"{_IOU} >= 0.45"))
 def w13_area(t: Tables):
     rows = t.crowded.withColumn("area", (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")))
@@ -412,6 +433,38 @@ def src13(t: Tables):
     return B.export_boxes(images, t.boxes, "image", [("box_id", "asc")], ["class_id", "box_id"])
 
 
+_FOUND = """SELECT o_orderpriority AS device, concat('img_', CAST(image AS STRING), '.png') AS image, CAST(class_id AS INTEGER) AS class_id, box_id,
+    CAST(x1 AS INTEGER) AS x1, class_id <> 7 AS label_ok, x2 - x1 < 45 AS geometry_ok, score > 2 AS kept, class_id % 2 = 1 AS verified,
+    score <> 5 AS classified FROM {boxes} JOIN {orders} ON image = o_orderkey"""
+_IMAGES = "SELECT o_orderpriority AS device, concat('img_', CAST(o_orderkey AS STRING), '.png') AS image FROM {orders}"
+_CLASSES = """SELECT DISTINCT device, class_id, 8 - class_id AS ordinal, concat('lamp ', CAST(class_id AS STRING)) AS name,
+    concat('L', CAST(class_id AS STRING)) AS short_label FROM """
+
+
+@query("src13_nested_export", f"""
+    WITH found AS ({_FOUND}), images AS ({_IMAGES}), classes AS ({_CLASSES} found),
+    ranked AS (SELECT device, image, class_id, box_id, x1, row_number() OVER (PARTITION BY device ORDER BY image, box_id) AS rn
+      FROM images LEFT JOIN found USING (device, image)),
+    files AS (SELECT device, (rn - 1) // 1000 AS page, image, concat('"', image, '":[', string_agg('{{"class_id":' || class_id || ',"box_id":"' || box_id
+      || '","x1":' || x1 || '}}', ',' ORDER BY rn), ']') AS item FROM ranked GROUP BY device, page, image),
+    pages AS (SELECT device, page, string_agg(item, ',' ORDER BY image) AS items FROM files GROUP BY ALL),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY device ORDER BY ordinal) - 1 AS place FROM classes),
+    head AS (SELECT device, concat('"schema_classes":[', string_agg(concat('{{"order":', place, ',"class_id":', class_id, ',"name":"', name, '","short_label":"',
+        short_label, '"}}'), ',' ORDER BY place), '],"class_order":[', string_agg(CAST(class_id AS VARCHAR), ',' ORDER BY place), '],"names":{{',
+        string_agg(concat('"', class_id, '":"', name, '"'), ',' ORDER BY class_id), '}},') AS top FROM numbered GROUP BY device),
+    stats AS (SELECT device, concat(',"meta":{{"raw":', count(*), ',"label_passed":', count_if(label_ok), ',"geometry_passed":', count_if(label_ok AND geometry_ok),
+        ',"after_dedup":', count_if(label_ok AND geometry_ok AND kept), ',"verified":', count_if(label_ok AND geometry_ok AND kept AND verified),
+        ',"classified":', count_if(label_ok AND geometry_ok AND kept AND verified AND classified), '}}') AS meta FROM found GROUP BY device)
+    SELECT device, page, concat('{{"format":"tiled_prelabel","device_name":"', device, '","page":', page, ',', CASE WHEN page = 0 THEN top END,
+      '"annotations":{{', items, '}},"needs_human_review":true', CASE WHEN page = 0 THEN meta END, '}}') AS document
+    FROM pages LEFT JOIN head USING (device) LEFT JOIN stats USING (device)""")
+def src13_nested(t: Tables):
+    found = t.sql(_FOUND)
+    classes = t.spark.sql(_CLASSES + "{found}", found=found)
+    return B.export_documents(t.sql(_IMAGES), found, classes, B.funnel(found, ["device"]), [("box_id", "asc")],
+                              ["class_id", "box_id", "x1"])
+
+
 _JSON = """SELECT l_orderkey, concat(chr(123), '"device_name": "', l_returnflag, '", "annotations": ', chr(123), '"img_', CAST(l_partkey AS STRING), '.png": [',
     chr(123), '"class_id": ', CAST(l_linenumber AS STRING), ', "x": ', CAST(l_suppkey AS STRING), ', "y": 2, "w": ', CAST(CAST(l_quantity AS BIGINT) AS STRING),
     ', "h": 4.5', chr(125), '], "empty_', CAST(l_suppkey AS STRING), '.png": []', chr(125), chr(125)) AS body FROM {lineitem}"""
@@ -496,6 +549,22 @@ def a09_modules(t: Tables):
     return _entries(t).select("device", "key", F.array_join("modules", ",").alias("modules"))
 
 
+@query("a09_entry_states", _DEDUP + """,
+    st AS (SELECT device, key, concat('s', ordinal % 3, ':', module) AS state, ordinal * 2 AS p FROM c
+      UNION ALL SELECT device, key, concat('off:', CASE WHEN ordinal % 2 = 0 THEN 'dark' ELSE '' END), ordinal * 2 + 1 FROM c),
+    f AS (SELECT device, key, state, min(p) AS p FROM st GROUP BY ALL)
+    SELECT device, key, string_agg(state, ',' ORDER BY p) AS states FROM f GROUP BY device, key""")
+def a09_states(t: Tables):
+    def state(name, meaning):
+        return F.struct(name.alias("state"), meaning.alias("meaning"))
+
+    p = F.col("ordinal")
+    rows = t.catalog.withColumn("states", F.array(state(F.concat(F.lit("s"), (p % 3).cast("string")), F.col("module")),
+                                                  state(F.lit("off"), F.when(p % 2 == 0, "dark").otherwise(""))))
+    joined = F.transform("states", lambda s: F.concat_ws(":", s["state"], s["meaning"]))
+    return C.deduplicate(rows).select("device", "key", F.array_join(joined, ",").alias("states"))
+
+
 @query("a09_strict_entries", """
     SELECT device, concat('STRICT:', upper(replace(name, ' ', ''))) AS key, count(*) AS merged FROM {catalog} GROUP BY ALL""")
 def a09_strict(t: Tables):

@@ -60,6 +60,37 @@ def st01(t: Tables):
                     F.round("mean", 6).alias("mean"), "window_size", F.coalesce(stable, F.lit(False)).alias("stable"))
 
 
+_STABLE = """
+    SELECT stream_id, frame_idx, candidate, round(ratio, 6) AS ratio, round(mean, 6) AS mean,
+      CAST(coalesce(size, 0) AS INTEGER) AS window_size,
+      coalesce(size >= 3 AND ratio >= 0.75 AND round(mean, 9) >= 0.80, false) AS stable FROM f"""
+
+
+def _stable(votes):
+    stable = (F.col("window_size") >= 3) & (F.col("ratio") >= 0.75) & (F.round("mean", 9) >= 0.80)
+    return votes.select("stream_id", "frame_idx", "candidate", F.round("ratio", 6).alias("ratio"), F.round("mean", 6).alias("mean"),
+                        "window_size", F.coalesce(stable, F.lit(False)).alias("stable"))
+
+
+@query("st01_streamed_votes", _RUNNING + _STABLE)
+def st01_streamed(t: Tables):
+    from pilotlamp.streaming import live
+    return _stable(live.stream_recorded(t.samples, lambda s: live.stable_devices(s, 8, 0.6)))
+
+
+# a looped file starts again every 500 frames: each run of it votes on its own
+_LOOPED = ("\n    WITH looped AS (SELECT * REPLACE (stream_id * 100000 + frame_idx // 500 AS stream_id) FROM {samples})," +
+           _RUNNING.replace("WITH acc", " acc", 1).replace("{samples}", "looped") + _STABLE.replace(
+               "SELECT stream_id", "SELECT stream_id // 100000 AS stream_id"))
+
+
+@query("st05_streamed_restarts", _LOOPED)
+def st05_streamed(t: Tables):
+    from pilotlamp.streaming import live
+    looped = t.samples.withColumn("epoch", F.floor(F.col("frame_idx") / 500).cast("int"))
+    return _stable(live.stream_recorded(looped, lambda s: live.stable_devices(s, 8, 0.6)))
+
+
 @query("w04_final_vote", _RUNNING + """
     SELECT stream_id, candidate, round(ratio, 6) AS ratio, round(mean, 6) AS mean, CAST(size AS INTEGER) AS window_size
     FROM (SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY ts DESC, frame_idx DESC) AS k FROM f)
@@ -102,6 +133,12 @@ def st02(t: Tables):
     return live.replay(t.samples, lambda s: live.routed_devices(s, 15, 5)).drop("epoch", "late")
 
 
+@query("st02_streamed_routes", _INTERVAL + "SELECT * FROM f")
+def st02_streamed(t: Tables):
+    from pilotlamp.streaming import live
+    return live.stream_recorded(t.samples, lambda s: live.routed_devices(s, 15, 5)).drop("epoch", "late")
+
+
 @query("j18_detector_routing", _INTERVAL + """
     SELECT f.*, CASE WHEN device_confidence >= 0.7 AND device = voted AND voted NOT IN ('error')
                        AND voted NOT IN ('view') THEN concat('detector_', voted) END AS detector,

@@ -21,6 +21,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from pilotlamp.operators import judge, ordered, voting
 from pilotlamp.operators import requests as whole
+from pilotlamp.session import durable, new_folder
 
 SAMPLE = T.StructType([
     T.StructField("stream_id", T.LongType()), T.StructField("epoch", T.IntegerType()),
@@ -42,6 +43,8 @@ ALIASES = ("device_id string, canonical_name string, rule_name string, aliases a
 STATE = T.StructType([T.StructField("body", T.StringType())])
 
 CHUNK_ROWS = 200_000  # of a recorded stream, in one Python task
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def replay(samples: DataFrame, vote: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -50,6 +53,40 @@ def replay(samples: DataFrame, vote: Callable[[DataFrame], DataFrame]) -> DataFr
     return vote(samples.select(*columns, F.lit(0).alias("epoch")))
 
 
+def stream_recorded(samples: DataFrame, vote: Callable[[DataFrame], DataFrame], batch_rows: int = CHUNK_ROWS) -> DataFrame:
+    """A recorded table of samples through the streaming engine: files, keyed state, a result table in the shared folder.
+
+    The frames are cut at quantiles of ``frame_idx`` into batches of about ``batch_rows`` rows. Every batch is appended to
+    the source folder and read by a run of the query that goes on from the checkpoint of the run before it, so batches
+    arrive in order whatever times the file system notes, and a lost run is repeated from its checkpoint. Without an
+    ``epoch`` column there is one epoch. Frames without a number belong to no batch and are an error.
+    """
+    spark = samples.sparkSession
+    epoch = F.col("epoch") if "epoch" in samples.columns else F.lit(0)
+    columns = [(epoch if c == "epoch" else F.col(c)).cast(SAMPLE[c].dataType).alias(c) for c in SAMPLE.fieldNames()]
+    rows = durable(samples.select(*columns).repartitionByRange("frame_idx"))
+    total, numbered = rows.agg(F.count(F.lit(1)), F.count("frame_idx")).first()
+    if total > numbered:
+        raise ValueError(f"{total - numbered} samples have no frame number")
+    n = max(1, -(-total // batch_rows))
+    cuts = sorted(set(rows.approxQuantile("frame_idx", [i / n for i in range(1, n)], 0.1 / n))) if n > 1 else []
+    source, out, checkpoint = (new_folder(spark, kind) for kind in ("samples", "decisions", "progress"))
+    rows.limit(0).write.parquet(source)  # a stream is defined on a folder that exists
+    decided = vote(spark.readStream.schema(SAMPLE).parquet(source))
+    provider = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            part = rows if low is None else rows.filter(F.col("frame_idx") >= int(low))
+            part = part if high is None else part.filter(F.col("frame_idx") < int(high))
+            part.write.mode("append").parquet(source)
+            decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode(
+                "append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(_PROVIDER) if provider is None else spark.conf.set(_PROVIDER, provider)
+    return spark.read.schema(decided.schema).parquet(out)
+
+
 def skip_ahead(frames: DataFrame, skip: int) -> DataFrame:
     """Keep a frame, drop the next ``skip``."""
     return frames.filter(F.pmod(F.col("frame_idx"), F.lit(skip + 1)) == 0)

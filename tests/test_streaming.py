@@ -1,5 +1,7 @@
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pilotlamp.operators import voting
@@ -160,3 +162,19 @@ def test_rule_log_keeps_latest(spark):
     log = spark.createDataFrame([("d", "RUN", "green", "steady", "normal", 1, 1), ("d", "RUN", "green", "steady", "critical", 2, 2)],
                                 "device string, indicator string, color string, state string, severity string, ordinal int, updated_at int")
     assert [r["severity"] for r in live.latest_rules(log).collect()] == ["critical"]
+
+
+def test_recorded_samples_through_the_engine_equal_the_fold(spark):
+    """Several batches with state carried by the checkpoint give what the batch fold gives; the session is left as it was."""
+    few = Tables(spark, SF).samples.filter("frame_idx < 400")
+    before = spark.conf.get(live._PROVIDER, None)
+    size = few.count() // 3
+    cols = ["stream_id", "frame_idx", "candidate", "ratio", "mean", "window_size", "stable"]
+    want = rows(live.replay(few, live.stable_devices).fillna("", ["candidate"]).fillna(0.0), *cols)
+    got = live.stream_recorded(few, live.stable_devices, size)
+    assert want and rows(got.fillna("", ["candidate"]).fillna(0.0), *cols) == want
+    assert spark.conf.get(live._PROVIDER, None) == before
+    assert live.stream_recorded(few.limit(0), live.routed_devices).count() == 0
+    lost = few.withColumn("frame_idx", F.lit(None).cast("long"))
+    with pytest.raises(ValueError, match="no frame number"):
+        live.stream_recorded(lost, live.routed_devices)

@@ -13,8 +13,13 @@ from pilotlamp.operators import ordered
 SPLITS = ["train", "val", "test"]
 
 
+def ratios_ok(train, val):
+    """Train has a share, val may have one and test is left some; for numbers and columns."""
+    return (train > 0) & (val >= 0) & (train + val < 1)
+
+
 def check_ratios(train: float, val: float) -> None:
-    if not (train > 0 and val >= 0 and train + val < 1):
+    if not ratios_ok(train, val):
         raise ValueError(f"split ratios {train} and {val} must be positive and leave room for test")
 
 

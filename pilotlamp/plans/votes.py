@@ -91,6 +91,21 @@ def st05_streamed(t: Tables):
     return _stable(live.stream_recorded(looped, lambda s: live.stable_devices(s, 8, 0.6)))
 
 
+_SAMPLED = """
+    WITH RECURSIVE pick AS (
+      SELECT stream_id, min(frame_idx) AS frame_idx, arg_min(ts, frame_idx) AS ts FROM {samples} GROUP BY stream_id
+      UNION ALL
+      SELECT s.stream_id, min(s.frame_idx), arg_min(s.ts, s.frame_idx) FROM pick p JOIN {samples} s ON s.stream_id = p.stream_id
+        AND s.frame_idx > p.frame_idx AND s.ts >= p.ts + INTERVAL 2 HOUR GROUP BY s.stream_id)
+    SELECT stream_id, frame_idx FROM pick"""
+
+
+@query("st06_streamed_sampling", _SAMPLED)
+def st06_streamed(t: Tables):
+    from pilotlamp.streaming import live
+    return live.stream_recorded(t.samples, lambda s: live.stable_devices(s, sample_seconds=7200.0)).select("stream_id", "frame_idx")
+
+
 @query("w04_final_vote", _RUNNING + """
     SELECT stream_id, candidate, round(ratio, 6) AS ratio, round(mean, 6) AS mean, CAST(size AS INTEGER) AS window_size
     FROM (SELECT *, row_number() OVER (PARTITION BY stream_id ORDER BY ts DESC, frame_idx DESC) AS k FROM f)

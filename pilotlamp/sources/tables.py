@@ -26,12 +26,17 @@ def read_manifest(spark: SparkSession, path: str, columns: Sequence[str]) -> Dat
 
 
 def write_manifest(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """CSV parts, each with a byte order mark and a header; arrays become ' | ' lists."""
+    """CSV parts, each with a byte order mark and a header; arrays become ' | ' lists.
+
+    Quotes in cells are doubled and blanks around them kept, so that ``read_manifest`` gives the same cells back
+    (NULL as an empty string).
+    """
     flat = [F.array_join(F.col(f.name).cast("array<string>"), " | ").alias(f.name)
             if isinstance(f.dataType, T.ArrayType) else F.col(f.name) for f in df.schema.fields]
     out = df.select(*flat)
     first = next(c for c in out.columns if c not in partition_by)
-    out.withColumnRenamed(first, MARK + first).write.partitionBy(*partition_by).option("header", True).mode("error").csv(path)
+    out.withColumnRenamed(first, MARK + first).write.partitionBy(*partition_by).mode("error").csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def read_label_files(spark: SparkSession, path: str) -> DataFrame:

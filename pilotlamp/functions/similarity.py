@@ -12,6 +12,23 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(longest > 0, 1.0 - F.levenshtein(a, b) / longest).otherwise(0.0)
 
 
+def token_set_ratio(a: Column, b: Column) -> Column:
+    """Likeness 0..1 of two strings as sets of words, whatever their order and repeats.
+
+    The best ``ratio`` among the shared words, the shared words followed by the other words of ``a``, and those of ``b``
+    (sorted, joined by blanks). 1 when one set holds the other; 0 when one has no words; NULL for NULL.
+    """
+    def words(s: Column) -> Column:
+        return F.filter(F.array_sort(F.array_distinct(F.split(s, r"(?U)\s+"))), lambda w: w != "")
+
+    x, y = words(a), words(b)
+    both, only_a, only_b = F.array_intersect(x, y), F.array_except(x, y), F.array_except(y, x)
+    shared, left, right = (F.array_join(v, " ") for v in (both, F.concat(both, only_a), F.concat(both, only_b)))
+    held = (F.size(both) > 0) & ((F.size(only_a) == 0) | (F.size(only_b) == 0))
+    return (F.when(a.isNull() | b.isNull(), None).when((F.size(x) == 0) | (F.size(y) == 0), 0.0).when(held, 1.0)
+            .otherwise(F.greatest(ratio(left, right), ratio(shared, left), ratio(shared, right))))
+
+
 def bigrams(key: Column) -> Column:
     """Distinct two-character pieces, numbered when repeated, of the key between two sentinels."""
     padded = F.concat(F.lit("\u0002"), key, F.lit("\u0003"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pilotlamp.functions import text
+from pilotlamp.functions import similarity, text
 from pilotlamp.operators import matching, names
 from pilotlamp.plans.registry import Tables, query
 
@@ -234,3 +234,23 @@ def o02(t: Tables):
 def o05(t: Tables):
     out = t.rules.filter("severity = 'critical' AND indicator = 'PROMO' AND color = 'red'").select("device").distinct()
     return t.rules.join(out, "device", "left_anti").groupBy("device").agg(F.count(F.lit(1)).alias("n"))
+
+
+_WORD_PAIRS = """SELECT p_partkey, concat(p_name, ' ', p_type) AS a, CASE p_partkey % 6 WHEN 0 THEN '' WHEN 1 THEN concat(p_type, '  ', p_name, ' ', p_type)
+    WHEN 2 THEN concat(' ', p_type, ' ', p_brand) WHEN 3 THEN concat(p_brand, ' ', p_name, ' mk2') WHEN 4 THEN concat(p_name, 's ', p_brand) ELSE p_name END AS b FROM {part}"""
+_LIST = "list_sort(list_distinct(list_filter(string_split_regex({}, '\\s+'), lambda w: w <> '')))"
+
+
+def _word_ratio(x: str, y: str) -> str:
+    return f"(CASE WHEN greatest(length({x}), length({y})) > 0 THEN 1 - levenshtein({x}, {y}) / greatest(length({x}), length({y})) ELSE 0 END)"
+
+
+@query("f21_token_set_ratio", f"""
+    WITH p AS (SELECT p_partkey, {_LIST.format('a')} AS x, {_LIST.format('b')} AS y FROM ({_WORD_PAIRS})),
+    s AS (SELECT *, list_filter(x, lambda w: list_contains(y, w)) AS c, list_filter(x, lambda w: NOT list_contains(y, w)) AS l,
+      list_filter(y, lambda w: NOT list_contains(x, w)) AS r FROM p),
+    j AS (SELECT *, coalesce(array_to_string(c, ' '), '') AS ct, array_to_string(list_concat(c, l), ' ') AS lt, array_to_string(list_concat(c, r), ' ') AS rt FROM s)
+    SELECT p_partkey, round(CASE WHEN len(x) = 0 OR len(y) = 0 THEN 0 WHEN len(c) > 0 AND (len(l) = 0 OR len(r) = 0) THEN 1
+      ELSE greatest({_word_ratio('lt', 'rt')}, {_word_ratio('ct', 'lt')}, {_word_ratio('ct', 'rt')}) END, 6) AS score FROM j""")
+def f21_token_set(t: Tables):
+    return t.sql(_WORD_PAIRS).select("p_partkey", F.round(similarity.token_set_ratio(F.col("a"), F.col("b")), 6).alias("score"))

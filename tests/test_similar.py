@@ -75,3 +75,10 @@ def test_few_names_are_scored():
         assert scores[0] == max(ratio(one, x) for x in many if abs(len(x) - len(one)) < 2)
         seen.append(n)
     assert np.mean(seen) < 0.1 * len(many)
+
+
+def test_token_set_ratio(spark):
+    from pilotlamp.functions.similarity import token_set_ratio
+    data = [("a b", "b  a a", 1.0), ("a b c", "c", 1.0), ("", "a", 0.0), (" ", " ", 0.0), ("ab", "cd", 0.0), ("x ab", "x ac", 0.75), (None, "a", None)]
+    df = spark.createDataFrame(data, "a string, b string, want double")
+    assert all(r.got == r.want for r in df.withColumn("got", token_set_ratio(df.a, df.b)).collect())

@@ -43,6 +43,8 @@ ALIASES = ("device_id string, canonical_name string, rule_name string, aliases a
 STATE = T.StructType([T.StructField("body", T.StringType())])
 
 CHUNK_ROWS = 200_000  # of a recorded stream, in one Python task
+STATE_ROWS = 25_000  # of a recorded table, for each partition of state
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -59,7 +61,8 @@ def stream_recorded(samples: DataFrame, vote: Callable[[DataFrame], DataFrame],
     The frames are cut at quantiles of ``frame_idx`` into batches of about ``batch_rows`` rows. Every batch is appended to
     the source folder and read by a run of the query that goes on from the checkpoint of the run before it, so batches
     arrive in order whatever times the file system notes, and a lost run is repeated from its checkpoint. Without an
-    ``epoch`` column there is one epoch. Frames without a number belong to no batch and are an error.
+    ``epoch`` column there is one epoch. Every partition of state is a store to open in each run, so there is one for
+    ``STATE_ROWS`` rows of the table, at most as many as the session's shuffle partitions. Frames without a number belong to no batch and are an error.
     """
     spark = samples.sparkSession
     epoch = F.col("epoch") if "epoch" in samples.columns else F.lit(0)
@@ -73,8 +76,11 @@ def stream_recorded(samples: DataFrame, vote: Callable[[DataFrame], DataFrame],
     source, out, checkpoint = (new_folder(spark, kind) for kind in ("samples", "decisions", "progress"))
     rows.limit(0).write.parquet(source)  # a stream is defined on a folder that exists
     decided = vote(spark.readStream.schema(SAMPLE).parquet(source))
-    provider = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    most = int(spark.conf.get(_PARTITIONS))
+    settings = {_PROVIDER: _ROCKSDB, _PARTITIONS: str(min(most, max(8, -(-total // STATE_ROWS))))}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         for low, high in zip([None, *cuts], [*cuts, None]):
             part = rows if low is None else rows.filter(F.col("frame_idx") >= int(low))
@@ -83,7 +89,8 @@ def stream_recorded(samples: DataFrame, vote: Callable[[DataFrame], DataFrame],
             decided.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).outputMode(
                 "append").trigger(availableNow=True).start().awaitTermination()
     finally:
-        spark.conf.unset(_PROVIDER) if provider is None else spark.conf.set(_PROVIDER, provider)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(decided.schema).parquet(out)
 
 

@@ -2,10 +2,13 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from pilotlamp import vocab
 from pilotlamp.functions import arrays
+from pilotlamp.operators import boxes as B
 from pilotlamp.operators import corpus as D
 
 RNG = random.Random(5)
@@ -59,3 +62,25 @@ def test_long_texts(spark):
     word = next(w.lower() for w in vocab.EVIDENCE_WORDS)
     hits = spark.range(1).select(D._hits(F.repeat(F.lit(word + "." * 90), 20_000), word).alias("h")).first().h
     assert hits == list(range(0, 20_000 * (90 + len(word)), 90 + len(word)))
+
+
+def test_many_track_groups_equal_single_ones(spark):
+    """Groups folded side by side give what each gives on its own: forgotten tracks, ties, photos, long and short groups."""
+    rows = []
+    for g in range(40):
+        for k in range(RNG.choice((1, 3, 40, 200, 600))):
+            x, y = RNG.randrange(0, 300, 6), RNG.randrange(0, 60, 6)
+            rows.append(("d", "__photos__" if g == 7 else f"v{g:02}", k // RNG.choice((1, 4, 9)) * 2, k, f"{g}-{k}", float(x), float(y), x + 20.0, y + RNG.choice((20.0, 50.0)), 1000, 700))
+    kind = "device string, track_group string, frame_pos long, ann_idx int, box_id string, x1 double, y1 double, x2 double, y2 double, width int, height int"
+    pdf = pd.DataFrame(rows, columns=[c.split()[0] for c in kind.split(", ")]).sort_values(["track_group", "frame_pos", "ann_idx"]).reset_index(drop=True)
+    corners, frames, scale = pdf[B.CORNERS].to_numpy(), pdf["frame_pos"].to_numpy(), pdf[["width", "height"]].to_numpy(float)
+    limits, want = B._track_limits(pdf["track_group"]), {}
+    for _, group in pdf.groupby("track_group"):
+        tracks = B._Tracks()
+        for i in group.index:
+            tracks.forget(frames[i])
+            score = B._track_scores(corners[i], tracks.box, scale[i], tracks.used != frames[i], *limits[i])
+            want[pdf["box_id"][i]] = tracks.place(pdf["box_id"][i], corners[i], frames[i], score)
+    opened = B._opening_rows(corners, frames, scale, limits, np.flatnonzero(~pdf["track_group"].duplicated()))
+    assert dict(zip(pdf["box_id"], pdf["box_id"].to_numpy()[opened])) == want
+    assert {r.box_id: r.track for r in B.track_boxes(spark.createDataFrame(rows, kind)).collect()} == want

@@ -64,6 +64,20 @@ def test_long_texts(spark):
     assert hits == list(range(0, 20_000 * (90 + len(word)), 90 + len(word)))
 
 
+def test_template_votes_grow_with_shapes_not_copies(spark):
+    """500 copies of a template and 500 boxes of one shape: one pair, not 250 000; a box with two rows is voted on by both."""
+    places = [(10.0 + 200 * (i % 2), 10.0) for i in range(500)]
+    kind = "device string, target string, box_id int, x1 double, y1 double, x2 double, y2 double, class_id int"
+    mine = spark.createDataFrame([("d", "t", i, x, y, x + 20, y + 20, None) for i, (x, y) in enumerate(places)]
+                                 + [("d", "t", 0, 210.0, 10.0, 230.0, 30.0, None)], kind)
+    projected = mine.select("device", "target", F.lit("p").alias("template"), (F.col("x1") / 200).cast("int").alias("class_id"),
+                            F.lit(1.0).alias("strength"), *[F.col(c).alias(f"p_{c}") for c in B.CORNERS])
+    votes = B.template_votes(mine, projected)
+    got = {r.box_id: (r.winner, round(r.winner_score, 6), round(r.second_score, 6), r.accepted) for r in votes.collect()}
+    assert got == {0: (1, 251.0, 250.0, False)} | {i: ((1, 251.0, 0.0, True) if i % 2 else (0, 250.0, 0.0, True)) for i in range(1, 500)}
+    assert "sum(strength#" in votes._jdf.queryExecution().optimizedPlan().toString()  # copies of a template are merged before they meet boxes
+
+
 def test_projection_evaluates_every_corner_once(spark):
     """Nested copies of the corner formulas made one projected box cost 80 microseconds."""
     boxes = spark.createDataFrame([("d", "p", 1.0, 2.0, 21.0, 22.0, 3, 8.0), ("d", "p", 0.0, 0.0, 0.0, 5.0, 3, 8.0)],

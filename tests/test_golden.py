@@ -87,6 +87,17 @@ def test_tracks(spark):
         assert {r.box_id: r.track for r in B.track_boxes(df, chunk).collect()} == want
 
 
+def test_track_votes_do_not_depend_on_float_noise(spark):
+    """Exactly equal weights go to the class seen first, exactly ``lead`` times the next is enough; float sums missed both."""
+    def rows(track, first, second):
+        return [("d", "v", track, i, c, float(x)) for c, xs in ((1, first), (2, second)) for i, x in enumerate(xs, c * 10)]
+
+    data = rows(1, (1, 13), (2, 12)) + rows(2, (40, 57), (3, 17))
+    df = spark.createDataFrame(data, "device string, track_group string, track int, ann_order int, class_id int, class_score double")
+    got = {r.track: (r.members, r.winner, r.stable) for r in B.track_classes(df).collect()}
+    assert got == {1: (4, 1, False), 2: (4, 1, True)}
+
+
 def reference_chunks(body, size=700, overlap=120):
     """The chunk rule written as plain loops."""
     packed, current = [], ""

@@ -178,3 +178,16 @@ def test_recorded_samples_through_the_engine_equal_the_fold(spark):
     lost = few.withColumn("frame_idx", F.lit(None).cast("long"))
     with pytest.raises(ValueError, match="no frame number"):
         live.stream_recorded(lost, live.routed_devices)
+
+
+def test_batches_open_stores_in_proportion_to_rows(spark, monkeypatch):
+    """Ten times the rows opened a hundred times the stores; a busy stream still comes in bounded batches."""
+    monkeypatch.setattr(live, "CHUNK_ROWS", 40)
+    monkeypatch.setattr(live, "STATE_ROWS", 5)
+    for total in (400, 4000):
+        many = spark.range(total).select((F.col("id") % 100).alias("stream_id"), F.col("id").alias("frame_idx"))
+        assert live._batches(many, total, 1000, None) == (total // 5, [])
+    assert len(live._batches(many, 4000, 100, None)[1]) == 7
+    busy = many.withColumn("stream_id", F.lit(1))
+    assert 90 <= len(live._batches(busy, 4000, 100, None)[1]) <= 99
+    assert len(live._batches(many, 4000, 100, 1000)[1]) == 3

@@ -84,6 +84,12 @@ def test_exact_quantiles(spark):
     assert [(r.k, round(r.q, 6)) for r in got.orderBy("k").collect()] == [(r.k, round(r.q, 6)) for r in want.orderBy("k").collect()]
 
 
+def test_quantile_positions_are_whole_numbers(spark):
+    df = spark.range(1501).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("x"))
+    assert 1500 * 0.67 > 1005  # in floats
+    assert ordered.exact_quantiles(df, ["k"], "x", {"q": 0.67, "low": 0.335}).first()[:3] == (1, 1005.0, 502.5)
+
+
 def test_fold_in_chunks_equals_one_pass(spark):
     df = frame(spark)
     schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("id", T.LongType()), T.StructField("seen", T.LongType())])

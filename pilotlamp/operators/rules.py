@@ -12,6 +12,7 @@ from pilotlamp import vocab
 from pilotlamp.functions import text
 from pilotlamp.operators import ordered
 from pilotlamp.operators.judge import KEY
+from pilotlamp.session import durable
 
 NESTED_RULES = T.MapType(T.StringType(), T.StructType([
     T.StructField("normal_state_description", T.StringType()),
@@ -31,21 +32,22 @@ def flatten_rules(documents: DataFrame, column: str = "body") -> DataFrame:
     return lamps.select(*keep, "device", "normal_state", "indicator", F.inline("detail.rules"))
 
 
-def header_position(cells: Column, logical: str) -> Column:
-    """0-based cell index of a logical column: exact header word first, contained word second, else NULL."""
+def header_position(keys: Column, logical: str) -> Column:
+    """0-based index of a logical column among lower-case compact cells: exact header word first, contained word second, else NULL."""
     words = sorted({w.replace(" ", "").lower() for w in vocab.HEADER_WORDS[logical]})
-    keys = F.transform(cells, lambda c: F.lower(text.compact_cell(c)))
     exact = F.array_position(F.transform(keys, lambda k: k.isin(*words)), True)
     part = F.array_position(F.transform(keys, lambda k: text._contains_any(k, words)), True)
-    return F.coalesce(F.when(exact > 0, exact - 1), F.when(part > 0, part - 1)).cast("int")
+    return F.coalesce(F.nullif(exact, F.lit(0).cast("long")), F.nullif(part, F.lit(0).cast("long"))).cast("int") - 1
 
 
 def find_headers(cells: DataFrame, scan_rows: int | None = None) -> DataFrame:
     """Header row per table: the first row that names most logical columns, among the first ``scan_rows`` if set."""
-    at = F.struct(*[header_position(F.col("cells"), c).alias(c) for c in vocab.HEADER_WORDS])
-    head = (cells if scan_rows is None else cells.filter(F.col("row_index") < scan_rows)).withColumn("at", at)
+    head = ordered.spread(cells if scan_rows is None else cells.filter(F.col("row_index") < scan_rows), "table_index", "row_index")
+    keys = F.transform("cells", lambda c: F.lower(text.compact_cell(c)))
+    at = ordered.once(head.select("table_index", "row_index", keys.alias("keys")), "at", text.let(
+        F.col("keys"), lambda k: F.struct(*[header_position(k, c).alias(c) for c in vocab.HEADER_WORDS])))
     named = sum((F.col(f"at.{c}").isNotNull().cast("int") for c in vocab.HEADER_WORDS), F.lit(0))
-    best = head.withColumn("named", named).groupBy("table_index").agg(
+    best = at.withColumn("named", named).groupBy("table_index").agg(
         F.max_by(F.struct("row_index", "at", "named"), F.struct("named", -F.col("row_index"))).alias("h"))
     return best.select("table_index", F.col("h.row_index").alias("header_row"), F.col("h.at").alias("at"),
                        F.col("h.named").alias("named"))
@@ -67,28 +69,29 @@ def extract_rules(cells: DataFrame) -> DataFrame:
     Device, indicator, colour and normal state are filled down inside a table (merged cells); state and
     meaning are not. Repeated header rows update the carried values and are then skipped.
     """
-    usable = find_headers(cells).filter(
-        (F.col("named") >= 3) & F.col("at.device_name").isNotNull() & F.col("at.indicator_name").isNotNull())
-    body = cells.join(usable, "table_index").filter(F.col("row_index") > F.col("header_row"))
-
-    def value(c: str) -> Column:
-        return F.nullif(text.clean_cell(F.get("cells", F.col(f"at.{c}"))), F.lit(""))
-
-    rows = body.select("table_index", "row_index", *[value(c).alias(c) for c in vocab.HEADER_WORDS])
+    usable = durable(find_headers(cells).filter(
+        (F.col("named") >= 3) & F.col("at.device_name").isNotNull() & F.col("at.indicator_name").isNotNull()))
+    # words are read before values are filled down, on all partitions; a filled word keeps what it was read as
+    body = ordered.spread(cells, "table_index", "row_index").join(usable, "table_index").filter(F.col("row_index") > F.col("header_row"))
+    body = ordered.once(body, "clean", F.transform("cells", text.clean_cell))
+    rows = body.select("table_index", "row_index", *[
+        F.nullif(F.get("clean", F.col(f"at.{c}")), F.lit("")).alias(c) for c in vocab.HEADER_WORDS])
+    headers = sorted({w.replace(" ", "").lower() for w in vocab.HEADER_WORDS["device_name"]})
+    rows = ordered.once(rows, "known_state", text.rule_state(F.col("state")))
+    rows = rows.withColumns({
+        "known_color": F.when(F.col("color").isNotNull(), text.rule_color(F.col("color"))),
+        "severity": text.severity_of(F.coalesce("meaning", F.lit("")), F.col("known_state")),
+        "heads": F.when(F.col("device_name").isNotNull(), F.lower(text.compact_cell(F.col("device_name"))).isin(*headers))})
     filled = ordered.fill_down(rows, ["table_index"], [("row_index", "asc")],
-                               ["device_name", "indicator_name", "color", "normal_state"])
+                               ["device_name", "heads", "indicator_name", "color", "known_color", "normal_state"])
     blank = F.lit("")
-    filled = filled.filter(F.coalesce(*[F.col(c) for c in vocab.HEADER_WORDS]).isNotNull())
-    headers = sorted({w.replace(" ", "").lower() for w in vocab.HEADER_WORDS["device_name"]})
-    filled = filled.filter(~F.lower(text.compact_cell(F.col("device_name"))).isin(*headers))
-    state = text.rule_state(F.col("state"))
+    filled = filled.filter(F.coalesce(*[F.col(c) for c in vocab.HEADER_WORDS]).isNotNull() & ~F.coalesce("heads", F.lit(False)))
     return filled.select(
         "table_index", (F.col("row_index") + 1).alias("source_row_index"),
         F.coalesce("device_name", blank).alias("device_name"), F.coalesce("indicator_name", blank).alias("indicator_name"),
-        F.coalesce("color", blank).alias("color_raw"), text.rule_color(F.col("color")).alias("color"),
-        F.coalesce("state", blank).alias("state_raw"), state.alias("state"), F.coalesce("meaning", blank).alias("meaning"),
-        F.coalesce("normal_state", blank).alias("normal_state"),
-        text.severity_of(F.coalesce("meaning", blank), state).alias("severity"))
+        F.coalesce("color", blank).alias("color_raw"), F.coalesce("known_color", F.lit("unknown")).alias("color"),
+        F.coalesce("state", blank).alias("state_raw"), F.col("known_state").alias("state"), F.coalesce("meaning", blank).alias("meaning"),
+        F.coalesce("normal_state", blank).alias("normal_state"), "severity")
 
 
 def drop_repeated(rows: DataFrame, keys: Sequence[str] = RAW,

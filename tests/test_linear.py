@@ -7,9 +7,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from pilotlamp import vocab
-from pilotlamp.functions import arrays
+from pilotlamp.functions import arrays, text
 from pilotlamp.operators import boxes as B
 from pilotlamp.operators import corpus as D
+from pilotlamp.operators import rules as R
 
 RNG = random.Random(5)
 
@@ -110,3 +111,21 @@ def test_many_track_groups_equal_single_ones(spark):
     opened = B._opening_rows(corners, frames, scale, limits, np.flatnonzero(~pdf["track_group"].duplicated()))
     assert dict(zip(pdf["box_id"], pdf["box_id"].to_numpy()[opened])) == want
     assert {r.box_id: r.track for r in B.track_boxes(spark.createDataFrame(rows, kind)).collect()} == want
+
+
+def test_texts_are_cleaned_once_per_row(spark):
+    """A cleaned text that every word test computes anew costs a hundred regular expressions a row."""
+    df = spark.createDataFrame([("a", "b")], "m string, s string")
+    for made in (text.severity_of(F.col("m"), F.col("s")), text.rule_color(F.col("m")), text.rule_state(F.col("s")),
+                 text.request_color(F.col("m")), text.request_state(F.col("s"))):
+        plan = df.select(made.alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace(") <= 6
+
+
+def test_filled_words_keep_what_they_were_read_as(spark):
+    cells = [(1, 0, ["设备名称", "指示灯", "灯色", "状态", "含义"]), (1, 1, ["A", "L1", "绿", "常亮", "正常"]), (1, 2, ["", "", "", "慢闪", "故障"]),
+             (1, 3, ["设备 名称", "", "红", "", ""]), (1, 4, ["", "L2", "", "", "x"]), (1, 5, ["B", "", "", "灭", ""]), (2, 0, ["A", "L1", "绿", "常亮", "正常"])]
+    got = R.extract_rules(spark.createDataFrame(cells, "table_index long, row_index long, cells array<string>"))
+    rows = [(r.source_row_index, r.device_name, r.indicator_name, r.color_raw, r.color, r.state, r.severity) for r in got.orderBy("source_row_index").collect()]
+    assert rows == [(2, "A", "L1", "绿", "green", "steady", "normal"), (3, "A", "L1", "绿", "green", "slow_blinking", "critical"),
+                    (6, "B", "L2", "红", "red", "off", "unknown")]

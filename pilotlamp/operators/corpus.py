@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,45 +148,61 @@ def source_blocks(found: DataFrame, key: str) -> DataFrame:
     return listed.select(key, F.array_join(F.transform("all", lambda x: x["b"]), "\n\n").alias("context"))
 
 
-def nearest(queries: DataFrame, items: DataFrame, on: str, k: int, query_rows: int = 256, item_rows: int = 1024,
+def nearest(queries: DataFrame, items: DataFrame, on: str, k: int, query_rows: int = 4096, item_rows: int = 4096,
             digits: int = 6) -> DataFrame:
     """Exact ``k`` nearest items per query by cosine distance within equal ``on``.
 
-    ``queries``: on, query_id, vector; ``items``: on, item_id, vector. Both sides are packed into blocks
-    of bounded size that meet on ``on`` and a salt, one matrix product per pair of blocks; only ``k`` rows
-    per query leave a block. A device has a salt for every block of its items. Ties go to the lower id.
+    ``queries``: on, query_id, vector; ``items``: on, item_id, vector. Both sides of an ``on`` are dealt by hash into parts of
+    about ``query_rows`` and ``item_rows``; every pair of parts is a tile of its own, on any partition, and only ``k`` rows per
+    query leave it. Ties go to the lower id. The number of pairs is quadratic by nature, the memory of a tile is not.
     """
-    def blocks(df: DataFrame, id_col: str, rows: int, name: str) -> DataFrame:
-        return ordered.pages(df, [on], [(id_col, "asc")], F.struct(F.col(id_col).alias("id"), F.col("vector").alias("v")), name,
-                             rows)
-
-    right = blocks(items, "item_id", item_rows, "items").withColumnRenamed("page", "salt")
-    width = items.groupBy(on).agg(F.ceil(F.count(F.lit(1)) / F.lit(item_rows)).alias("pages"))
-    left = blocks(queries, "query_id", query_rows, "asked").drop("page").join(width, on)
-    left = left.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1)))
-    pairs = left.select(on, "salt", "asked").join(right, [on, "salt"]).select("asked", "items")
+    def parts(df: DataFrame, id_col: str, rows: int, name: str) -> tuple[DataFrame, DataFrame]:
+        df = df.filter(F.col(on).isNotNull()).select(on, id_col, "vector")
+        width = df.groupBy(on).agg(F.ceil(F.count(F.lit(1)) / F.lit(rows)).alias(f"{name}_parts"))
+        return df.join(width, on).withColumn(name, F.pmod(F.xxhash64(id_col, "vector"), F.col(f"{name}_parts"))).drop(f"{name}_parts"), width
+
+    def meet(df: DataFrame, width: DataFrame, name: str) -> DataFrame:
+        each = df.join(width, on).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{name}_parts") - 1)))
+        return ordered.lay_out(each.drop(f"{name}_parts"), on, "asked", "offered")
+
+    asked, asked_parts = parts(queries, "query_id", query_rows, "asked")
+    offered, offered_parts = parts(items, "item_id", item_rows, "offered")
+    left, right = meet(asked, offered_parts, "offered"), meet(offered, asked_parts, "asked")
     schema = T.StructType([T.StructField("query_id", queries.schema["query_id"].dataType),
                            T.StructField("item_id", items.schema["item_id"].dataType),
                            T.StructField("distance", T.DoubleType())])
+    slack = 2 * 10.0 ** -digits  # distances that round alike lie within it
 
-    def unit(block) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array([x["id"] for x in block])
-        m = np.array([x["v"] for x in block], dtype=np.float64)
+    def unit(table: pa.Table) -> np.ndarray:
+        flat = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        m = flat.reshape(table.num_rows, -1)
         norm = np.sqrt((m * m).sum(axis=1, keepdims=True))
-        return ids, m / np.where(norm > 0, norm, 1.0)
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for asked, offered in zip(batch["asked"], batch["items"]):
-                q_ids, q = unit(asked)
-                i_ids, m = unit(offered)
-                d = np.round(1.0 - q @ m.T, digits)
-                n = min(k, len(i_ids))
-                best = np.lexsort((np.broadcast_to(i_ids, d.shape), d), axis=1)[:, :n]
-                yield pd.DataFrame({"query_id": np.repeat(q_ids, n), "item_id": i_ids[best].ravel(),
-                                    "distance": np.take_along_axis(d, best, axis=1).ravel() + 0.0})
-
-    found = pairs.mapInPandas(search, schema)
+        return m / np.where(norm > 0, norm, 1.0)
+
+    def search(queries_: pa.Table, items_: pa.Table) -> pa.Table:
+        rows, columns, distances = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
+        if queries_.num_rows and items_.num_rows:
+            q, m = unit(queries_), unit(items_)
+            n = min(k, len(m))
+            rank = np.empty(len(m), np.int64)
+            rank[pc.sort_indices(items_.column("item_id"), null_placement="at_start").to_numpy()] = np.arange(len(m))
+            for at in range(0, len(q), 256):
+                near = q[at:at + 256] @ m.T
+                least = np.partition(near, len(m) - n, axis=1)[:, len(m) - n]
+                row, column = np.nonzero(near >= least[:, None] - slack)
+                d = np.round(1.0 - near[row, column], digits) + 0.0
+                order = np.lexsort((rank[column], d, row))
+                row, column, d = row[order], column[order], d[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                rows.append(row[place < n] + at)
+                columns.append(column[place < n])
+                distances.append(d[place < n])
+        return pa.table({"query_id": queries_.column("query_id").take(pa.array(np.concatenate(rows))),
+                         "item_id": items_.column("item_id").take(pa.array(np.concatenate(columns))),
+                         "distance": pa.array(np.concatenate(distances))})
+
+    tile = [on, "asked", "offered"]
+    found = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInArrow(search, schema)
     return ordered.top_in_groups(found, ["query_id"], [("distance", "asc"), ("item_id", "asc")], k, "place")
 
 

@@ -129,3 +129,25 @@ def test_filled_words_keep_what_they_were_read_as(spark):
     rows = [(r.source_row_index, r.device_name, r.indicator_name, r.color_raw, r.color, r.state, r.severity) for r in got.orderBy("source_row_index").collect()]
     assert rows == [(2, "A", "L1", "绿", "green", "steady", "normal"), (3, "A", "L1", "绿", "green", "slow_blinking", "critical"),
                     (6, "B", "L2", "红", "red", "off", "unknown")]
+
+
+def test_nearest_meets_in_tiles(spark):
+    """Every tile gives the same as one product; no row holds a block of vectors."""
+    vectors = [[float(RNG.randrange(-2, 3)) for _ in range(4)] for _ in range(300)]
+    rows = [("a" if i % 3 else "b" if i % 2 else None, f"i{i:03d}", v) for i, v in enumerate(vectors)]
+    items = spark.createDataFrame(rows, "on string, item_id string, vector array<float>")
+    queries = items.filter("item_id < 'i090' OR on IS NULL").withColumnRenamed("item_id", "query_id")
+    found = D.nearest(queries, items, "on", 4, query_rows=16, item_rows=32)
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+    m = np.array(vectors)
+    norm = np.linalg.norm(m, axis=1, keepdims=True)
+    m = m / np.where(norm > 0, norm, 1)
+    want = {}
+    for on, q, _ in rows:
+        if on and q < "i090":
+            d = np.round(1 - m @ m[int(q[1:])], 6) + 0.0
+            want[q] = sorted((d[int(i[1:])], i) for o, i, _ in rows if o == on)[:4]
+    got = {}
+    for r in found.orderBy("query_id", "place").collect():
+        got.setdefault(r.query_id, []).append((r.distance, r.item_id))
+    assert got == want

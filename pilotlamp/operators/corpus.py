@@ -163,7 +163,8 @@ def nearest(queries: DataFrame, items: DataFrame, on: str, k: int, query_rows: i
 
     def meet(df: DataFrame, width: DataFrame, name: str) -> DataFrame:
         each = df.join(width, on).withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{name}_parts") - 1)))
-        return ordered.lay_out(each.drop(f"{name}_parts"), on, "asked", "offered")
+        # new names of the columns: both sides may come from one table
+        return ordered.lay_out(each.select(*[F.col(c).alias(c) for c in each.columns if c != f"{name}_parts"]), on, "asked", "offered")
 
     asked, asked_parts = parts(queries, "query_id", query_rows, "asked")
     offered, offered_parts = parts(items, "item_id", item_rows, "offered")

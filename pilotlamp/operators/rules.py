@@ -26,7 +26,8 @@ RAW = ["device_name", "indicator_name", "color_raw", "state_raw", "meaning"]
 def flatten_rules(documents: DataFrame, column: str = "body") -> DataFrame:
     """Nested device -> indicator -> rules JSON to one row per rule."""
     keep = [c for c in documents.columns if c != column]
-    devices = documents.select(*keep, F.explode(F.from_json(column, NESTED_RULES)).alias("device", "info"))
+    parsed = ordered.once(documents, "doc", F.from_json(column, NESTED_RULES))
+    devices = parsed.select(*keep, F.explode("doc").alias("device", "info"))
     lamps = devices.select(*keep, "device", F.col("info.normal_state_description").alias("normal_state"),
                            F.explode("info.indicators").alias("indicator", "detail"))
     return lamps.select(*keep, "device", "normal_state", "indicator", F.inline("detail.rules"))

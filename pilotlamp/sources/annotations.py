@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pilotlamp.functions import text
+from pilotlamp.operators import ordered
 
 BOX = T.StructType([
     T.StructField("class_id", T.IntegerType()), T.StructField("class_name", T.StringType()),
@@ -22,7 +23,7 @@ ANSWER = T.StructType([
 def explode_annotations(documents: DataFrame, column: str) -> DataFrame:
     """One row per box; an image without boxes stays as one row of NULLs (a negative)."""
     keep = [c for c in documents.columns if c != column]
-    doc = documents.withColumn("doc", F.from_json(column, DOCUMENT))
+    doc = ordered.once(documents, "doc", F.from_json(column, DOCUMENT))
     images = doc.select(*keep, F.col("doc.device_name").alias("device"), F.explode("doc.annotations").alias("filename", "list"))
     rows = images.select(*keep, "device", "filename", F.posexplode_outer("list").alias("ann_idx", "box"))
     return rows.select(*keep, "device", "filename", "ann_idx", "box.*")
@@ -30,12 +31,11 @@ def explode_annotations(documents: DataFrame, column: str) -> DataFrame:
 
 def class_names(documents: DataFrame, column: str) -> DataFrame:
     """Class dictionary of annotation documents."""
-    doc = documents.withColumn("doc", F.from_json(column, DOCUMENT))
+    doc = ordered.once(documents, "doc", F.from_json(column, DOCUMENT))
     return doc.select(F.col("doc.device_name").alias("device"), F.explode("doc.names").alias("id", "name")).select(
         "device", F.col("id").try_cast("int").alias("class_id"), "name")
 
 
 def box_of_answer(answer: Column) -> Column:
     """Box array of a model answer: ``bbox_2d``, else ``bbox``."""
-    a = F.from_json(text.json_object(answer), ANSWER)
-    return F.coalesce(a["bbox_2d"], a["bbox"])
+    return text.let(F.from_json(text.json_object(answer), ANSWER), lambda a: F.coalesce(a["bbox_2d"], a["bbox"]))

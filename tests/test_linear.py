@@ -11,6 +11,7 @@ from pilotlamp.functions import arrays, text
 from pilotlamp.operators import boxes as B
 from pilotlamp.operators import corpus as D
 from pilotlamp.operators import rules as R
+from pilotlamp.sources import annotations as A
 
 RNG = random.Random(5)
 
@@ -151,3 +152,15 @@ def test_nearest_meets_in_tiles(spark):
     for r in found.orderBy("query_id", "place").collect():
         got.setdefault(r.query_id, []).append((r.distance, r.item_id))
     assert got == want
+
+
+def test_json_is_parsed_once_per_row(spark):
+    docs = spark.createDataFrame([(1, '{"device_name": "d", "annotations": {"a": [{"class_id": 1, "x": 2.0}], "b": []}}')], "id int, body string")
+    made = A.explode_annotations(docs, "body")
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [(r.filename, r.class_id, r.x) for r in made.orderBy("filename").collect()] == [("a", 1, 2.0), ("b", None, None)]
+    box = docs.select(A.box_of_answer(F.col("body")).alias("b"))
+    assert box._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    texts = ['[1]', '"a"', '-12', 'true', 'null', 'nothing', 'x {"a": 1} y', '```json\n{"a": 2}\n```', '{"a": ', '', None, 'truely {"b": 3}', '.5']
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, s string").select("i", text.json_object(F.col("s")).alias("j")).orderBy("i").collect()
+    assert [r.j for r in got] == ['[1]', '"a"', '-12', 'true', 'null', None, '{"a": 1}', '{"a": 2}', None, None, None, '{"b": 3}', None]

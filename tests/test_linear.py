@@ -164,3 +164,19 @@ def test_json_is_parsed_once_per_row(spark):
     texts = ['[1]', '"a"', '-12', 'true', 'null', 'nothing', 'x {"a": 1} y', '```json\n{"a": 2}\n```', '{"a": ', '', None, 'truely {"b": 3}', '.5']
     got = spark.createDataFrame(list(enumerate(texts)), "i int, s string").select("i", text.json_object(F.col("s")).alias("j")).orderBy("i").collect()
     assert [r.j for r in got] == ['[1]', '"a"', '-12', 'true', 'null', None, '{"a": 1}', '{"a": 2}', None, None, None, '{"b": 3}', None]
+
+
+def test_pairs_in_a_row_equal_pairs_on_grids(spark):
+    """Small images need no grid; with a limit of 3 both ways run, with 0 all go to the grid."""
+    rows = [(None if i % 9 == 0 else f"im{i % 9}", f"b{i:03d}", *(x := [float(RNG.randrange(30)), float(RNG.randrange(30))]), x[0] + RNG.randrange(1, 15), x[1] + RNG.randrange(1, 15),
+             RNG.randrange(5)) for i in range(60)] + [("im1", "c1", 1.0, 1.0, 9.0, 9.0, 1), ("im1", "c2", 1.0, 1.0, 9.0, 9.0, 1), ("solo", "s", 1.0, 1.0, 2.0, 2.0, 1)]
+    boxes = spark.createDataFrame(rows, "image string, box_id string, x1 double, y1 double, x2 double, y2 double, score int")
+    order = [("score", "desc"), ("box_id", "asc")]
+    decided = B.suppress(boxes, ["image"], order, B.near_conflict(), 0.65)
+    records, partners = [], []
+    for limit in (0, 3, 64):
+        made = B.conflict_record(decided, ["image"], order, B.near_conflict(), ["box_id", "score"], 0.65, pair_boxes=limit)
+        records.append(sorted(map(repr, made.collect())))
+        partners.append(sorted(map(repr, B.overlap_partners(boxes, ["image"], pair_boxes=limit).select("image", *B.CORNERS, "copies", "partners", F.round("best_iou", 9).alias("iou")).collect())))
+    assert records[0] == records[1] == records[2] and len(records[0]) > 10
+    assert partners[0] == partners[1] == partners[2]

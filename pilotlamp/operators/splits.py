@@ -205,8 +205,12 @@ def split_summary(images: DataFrame) -> DataFrame:
 
 
 def match_inventory(annotations: DataFrame, inventory: DataFrame, on: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Annotations with a file, and those whose file is missing."""
-    files = inventory.select(*on).distinct()
+    """Annotations with a file, and those whose file is missing.
+
+    Names in order shrink to little in a shuffle, so partitions merged by size would hold too many rows to sort in memory.
+    """
+    files = ordered.lay_out(inventory.select(*on), *on).distinct()
+    annotations = ordered.lay_out(annotations, *on)
     return annotations.join(files, list(on)), annotations.join(files, list(on), "left_anti")
 
 

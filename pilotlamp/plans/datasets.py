@@ -118,10 +118,9 @@ def a10(t: Tables):
     FROM {lineitem} GROUP BY l_orderkey""")
 def j10(t: Tables):
     files = t.orders.filter("o_custkey % 3 <> 0").select(F.col("o_orderkey").alias("image"))
-    rows = t.lineitem.select(F.col("l_orderkey").alias("image"))
+    rows = t.lineitem.groupBy(F.col("l_orderkey").alias("image")).agg(F.count(F.lit(1)).alias("boxes"))
     present, missing = S.match_inventory(rows, files, ["image"])
-    both = present.withColumn("present", F.lit(True)).unionByName(missing.withColumn("present", F.lit(False)))
-    return both.groupBy("image", "present").agg(F.count(F.lit(1)).alias("boxes"))
+    return present.withColumn("present", F.lit(True)).unionByName(missing.withColumn("present", F.lit(False)))
 
 
 _LINES = """SELECT l_orderkey AS file, l_partkey AS line_no, concat(CASE WHEN l_partkey % 50 = 1 THEN 'one' WHEN l_partkey % 50 = 2 THEN '9' ELSE CAST(l_linenumber AS STRING) END, ' ',

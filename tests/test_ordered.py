@@ -219,3 +219,15 @@ def test_shuffled_split_properties(spark):
         assert len({r.grp for r in got}) == len(got) == len(sizes)
         if len(sizes) >= 3:
             assert {r.split for r in got} == set(S.SPLITS)
+
+
+def test_ranks_of_few_large_groups_are_stored_once(spark, monkeypatch):
+    """With few groups the rows are numbered as they are stored: no window over the rows; with many the old way gives the same."""
+    df = frame(spark)
+    few = ordered.rank_in_groups(df, ["k"], [("x", "asc"), ("id", "asc")], bucket_rows=20)
+    assert "windowspecdefinition(k#" not in few._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(ordered, "BROADCAST_RANGES", 0)
+    many = ordered.rank_in_groups(df, ["k"], [("x", "asc"), ("id", "asc")], bucket_rows=20)
+    assert "windowspecdefinition(k#" in many._jdf.queryExecution().optimizedPlan().toString()
+    same(few, df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("x", "id")).cast("long")))
+    same(few, many)

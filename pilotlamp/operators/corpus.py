@@ -98,8 +98,9 @@ def _hits(low: Column, word: str) -> Column:
         return F.struct((here + len(word)).alias("state"), here.alias("out"))
 
     # the last part ends with the text, not with a word
-    return arrays.scan(F.split(low, "\\Q" + word + "\\E", -1), F.lit(0), add, "int",
-                       lambda _, found: F.slice(found, F.lit(1), F.size(found) - 1))
+    found = arrays.scan(F.split(low, "\\Q" + word + "\\E", -1), F.lit(0), add, "int",
+                        lambda _, found: F.slice(found, F.lit(1), F.size(found) - 1))
+    return F.when(low.contains(word), found).otherwise(F.array().cast("array<int>"))
 
 
 def evidence_windows(body: Column, radius: int = 1000, limit: int | None = None) -> Column:
@@ -110,7 +111,10 @@ def evidence_windows(body: Column, radius: int = 1000, limit: int | None = None)
     def window(pieces: Column, i: Column) -> Column:
         first = F.greatest(F.lit(0), i - radius)
         piece = arrays.part_of(pieces, 2 * radius, first, i + radius - first, 2 * radius)
-        return text.strip(F.regexp_replace(piece, "\n{3,}", "\n\n"))
+        # most windows have nothing to mend; looking is faster than replacing
+        single = arrays.let(piece, lambda p: F.when(p.contains("\n\n\n"), F.regexp_replace(p, "\n{3,}", "\n\n")).otherwise(p))
+        return arrays.let(single, lambda p: F.when(
+            F.concat(F.substring(p, 1, 1), F.substring(p, -1, 1)).rlike(r"(?U)\s"), text.strip(p)).otherwise(p))
 
     windows = arrays.let(arrays.pieces_of(body, 2 * radius), lambda pieces: F.transform(
         arrays.let(F.lower(body), around), lambda i: window(pieces, i)))

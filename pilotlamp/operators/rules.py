@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pilotlamp import vocab
-from pilotlamp.functions import text
+from pilotlamp.functions import arrays, text
 from pilotlamp.operators import ordered
 from pilotlamp.operators.judge import KEY
 from pilotlamp.session import durable
@@ -45,7 +45,7 @@ def find_headers(cells: DataFrame, scan_rows: int | None = None) -> DataFrame:
     """Header row per table: the first row that names most logical columns, among the first ``scan_rows`` if set."""
     head = ordered.spread(cells if scan_rows is None else cells.filter(F.col("row_index") < scan_rows), "table_index", "row_index")
     keys = F.transform("cells", lambda c: F.lower(text.compact_cell(c)))
-    at = ordered.once(head.select("table_index", "row_index", keys.alias("keys")), "at", text.let(
+    at = ordered.once(head.select("table_index", "row_index", keys.alias("keys")), "at", arrays.let(
         F.col("keys"), lambda k: F.struct(*[header_position(k, c).alias(c) for c in vocab.HEADER_WORDS])))
     named = sum((F.col(f"at.{c}").isNotNull().cast("int") for c in vocab.HEADER_WORDS), F.lit(0))
     best = at.withColumn("named", named).groupBy("table_index").agg(

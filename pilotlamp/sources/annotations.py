@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pilotlamp.functions import text
+from pilotlamp.functions import arrays, text
 from pilotlamp.operators import ordered
 
 BOX = T.StructType([
@@ -38,4 +38,4 @@ def class_names(documents: DataFrame, column: str) -> DataFrame:
 
 def box_of_answer(answer: Column) -> Column:
     """Box array of a model answer: ``bbox_2d``, else ``bbox``."""
-    return text.let(F.from_json(text.json_object(answer), ANSWER), lambda a: F.coalesce(a["bbox_2d"], a["bbox"]))
+    return arrays.let(F.from_json(text.json_object(answer), ANSWER), lambda a: F.coalesce(a["bbox_2d"], a["bbox"]))

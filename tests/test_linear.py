@@ -11,8 +11,13 @@ from pilotlamp.functions import arrays, text
 from pilotlamp.operators import boxes as B
 from pilotlamp.operators import corpus as D
 from pilotlamp.operators import rules as R
+from pilotlamp.operators import splits as S
+from pilotlamp.plans import load_all
+from pilotlamp.plans.registry import QUERIES, Tables
 from pilotlamp.sources import annotations as A
 
+load_all()
+
 RNG = random.Random(5)
 
 
@@ -180,3 +185,41 @@ def test_pairs_in_a_row_equal_pairs_on_grids(spark):
         partners.append(sorted(map(repr, B.overlap_partners(boxes, ["image"], pair_boxes=limit).select("image", *B.CORNERS, "copies", "partners", F.round("best_iou", 9).alias("iou")).collect())))
     assert records[0] == records[1] == records[2] and len(records[0]) > 10
     assert partners[0] == partners[1] == partners[2]
+
+
+def test_windows_without_white_edges_are_left_alone(spark):
+    texts = ["x" * 30 + " alarm 电源 正常\n\n\n\ny " * 3, "  故障　", "nothing here", "", "故障  ", "\n\n故障\n\n\n告警 "]
+    plain = [[text_window(t, i) for i in hits(t)] for t in texts]
+    want = [list(dict.fromkeys(w for w in ws if w)) for ws in plain]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    made = df.select("i", D.evidence_windows(F.col("t"), radius=20).alias("w"))
+    assert [r.w for r in made.orderBy("i").collect()] == want and any(want)
+    plan = df.select(D._hits(F.col("t"), "故障").alias("h"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "contains(t" in plan.lower()  # a text without the word is not cut
+
+
+def hits(t):
+    found = set()
+    for w in vocab.EVIDENCE_WORDS:
+        at = t.lower().find(w.lower())
+        while at >= 0:
+            found.add(at)
+            at = t.lower().find(w.lower(), at + len(w))
+    return sorted(found)
+
+
+def text_window(t, i, radius=20):
+    import re
+    return re.sub("\n{3,}", "\n\n", t[max(0, i - radius):i + radius]).strip()
+
+
+def test_inventory_partitions_are_not_merged_by_size(spark):
+    rows = spark.createDataFrame([(1,), (1,), (2,), (None,)], "image int")
+    present, missing = S.match_inventory(rows, spark.createDataFrame([(1,), (3,)], "image int"), ["image"])
+    assert [r.image for r in present.collect()] == [1, 1] and {r.image for r in missing.collect()} == {2, None}
+    assert "RepartitionByExpression" in present._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_requests_are_read_and_matched_once(spark):
+    made = QUERIES["e2_judged_requests"].build(Tables(spark, "/root/testdata/sf0.001"))
+    assert "posexplode" not in made._jdf.queryExecution().optimizedPlan().toString()  # stored, not computed by every reader

@@ -6,7 +6,8 @@ token ``(place, value)`` whose hash with the node falls under ``1 / (similarity
 shared token can follow it together. Buckets of at most ``SMALL`` members are compared at once, larger ones are split
 again, and those that stay large at the last depth are compared in tiles. Independent runs are added until the recall at
 the threshold reaches its target, in two waves: what the first finds joins members to components, and the second drops buckets that lie
-in one component, for those could only give links inside a candidate group that is checked pair by pair anyway. So a large group
+in one component, for those could only give links inside a candidate group that is checked pair by pair anyway. A bucket of which all
+but ``SMALL`` members lie in one component is not split either: the others meet its members, who do not meet each other. So a large group
 of near copies is split in the first wave, not in every run. Members whose sketches look alike form candidate groups; inside those every pair is
 checked exactly on whole shingle sets, in tiles of bounded size, and links are counted in the tile.
 
@@ -161,10 +162,15 @@ def _candidates(members: DataFrame, similarity: float, recall: float, small: int
             sizes = nodes.groupBy("bucket").agg(F.count("*").alias("n"), F.coalesce(in_one, F.lit(False)).alias("in_one")).where("n > 1 AND NOT in_one").drop("in_one")
             shared = durable(nodes.join(sizes, "bucket"))
             last = level == DEPTH
+            large = shared.where(F.col("n") > small)
             leaf = shared if last else shared.where(F.col("n") <= small)
-            leaf = _tiled(leaf.drop("root").join(brief, "member"), "bucket", F.ceil(F.col("n") / tile))
+            if found is not None:
+                main = durable(_main_roots(large, small))
+                around = shared.join(main, "bucket")
+                large, leaf = large.join(main, "bucket", "left_anti"), leaf.join(main, "bucket", "left_anti")
+                stars.append(durable(_alike(_dealt_around(around.join(brief, "member"), tile), similarity)))
+            leaf = _tiled(leaf.join(brief, "member"), "bucket", F.ceil(F.col("n") / tile))
             stars.append(durable(_alike(leaf, similarity)))
-            large = shared.where(F.col("n") > small)
             if last or large.isEmpty():
                 break
             nodes = durable(_split(large.join(members.select("member", "sketch"), "member"), similarity))
@@ -173,6 +179,21 @@ def _candidates(members: DataFrame, similarity: float, recall: float, small: int
     return found
 
 
+def _main_roots(large: DataFrame, small: int) -> DataFrame:
+    """``bucket, main``: the component that all but at most ``small`` members of a bucket lie in."""
+    parts = large.where("root IS NOT NULL").groupBy("bucket", "n", "root").agg(F.count("*").alias("part"))
+    most = parts.groupBy("bucket", "n").agg(F.max(F.struct("part", "root")).alias("most"))
+    return most.where(F.col("n") - F.col("most.part") <= small).select("bucket", F.col("most.root").alias("main"))
+
+
+def _dealt_around(rows: DataFrame, tile: int) -> DataFrame:
+    """Tiles of buckets with a main component: its members are dealt over them, the few others are in each."""
+    blocks = F.ceil(F.col("n") / tile)
+    own = F.when(F.col("root").eqNullSafe(F.col("main")), F.array(F.pmod(F.xxhash64("member"), blocks)))
+    dealt = rows.withColumn("_block", F.explode(F.coalesce(own, F.sequence(F.lit(0).cast("long"), blocks - 1))))
+    return dealt.withColumn("tile", F.xxhash64("bucket", "_block")).withColumn("side", F.lit(0)).drop("_block")
+
+
 def _labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Least node of each node's component."""
     label = np.arange(n)
@@ -188,14 +209,21 @@ def _labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return label
 
 
+def _run_ends(new: np.ndarray) -> np.ndarray:
+    """For each row the end of its run; ``new`` tells of all rows but the first whether one begins."""
+    ends = np.append(np.flatnonzero(new) + 1, len(new) + 1)
+    return np.repeat(ends, np.diff(np.append(0, ends)))
+
+
 def _brief(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PLACES)
 
 
 def _alike(leaves: DataFrame, similarity: float) -> DataFrame:
-    """Stars ``member, root`` over members of a leaf whose sketches look alike.
+    """Stars ``member, root`` over members of a leaf whose sketches look alike, those of one component aside.
 
-    ``leaves`` has ``tile`` (a bucket or a pair of blocks of one), ``side`` (0: both, 1 and 2: first and second block).
+    ``leaves`` has ``tile`` (a bucket or a pair of blocks of one), ``side`` (0: both, 1 and 2: first and second block),
+    ``root`` (the component known so far, or null).
     """
     need = math.floor((similarity - LOOSE) * PLACES)
 
@@ -203,15 +231,16 @@ def _alike(leaves: DataFrame, similarity: float) -> DataFrame:
         for t in whole_groups(batches):
             tile, side = t.column(0).to_numpy(), t.column(1).to_numpy()
             ids, s = t.column(2), _brief(t.column(3))
-            ends = np.append(np.flatnonzero(tile[1:] != tile[:-1]) + 1, len(tile))
-            end = np.repeat(ends, np.diff(np.append(0, ends)))
-            reach = end - np.arange(len(tile)) - 1
+            root = t.column(4).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy()
+            new = tile[1:] != tile[:-1]
+            end, past = _run_ends(new), _run_ends(new | (root[1:] != root[:-1]) | (root[1:] < 0))  # of the tile, of its rows of one component
+            reach = end - past
             found_l, found_r, at = [], [], 0
             upto = np.cumsum(reach)
             while at < len(tile):  # about 200 000 pairs at a time
                 stop = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + 200_000, side="right")))
                 left = np.repeat(np.arange(at, stop), reach[at:stop])
-                right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(reach[at:stop]) - reach[at:stop], reach[at:stop])
+                right = past[left] + np.arange(len(left)) - np.repeat(np.cumsum(reach[at:stop]) - reach[at:stop], reach[at:stop])
                 apart = (side[left] == side[right]) & (side[left] > 0)  # both of one block: met in the block's own tile
                 left, right = left[~apart], right[~apart]
                 hit = (s[left] == s[right]).sum(1) >= need
@@ -222,7 +251,7 @@ def _alike(leaves: DataFrame, similarity: float) -> DataFrame:
             moved = np.flatnonzero(label != np.arange(len(tile)))
             yield from pa.table({"member": ids.take(pa.array(moved)), "root": ids.take(pa.array(label[moved]))}).to_batches()
 
-    sorted_leaves = leaves.select("tile", "side", "member", "brief").repartition("tile").sortWithinPartitions("tile")
+    sorted_leaves = leaves.select("tile", "side", "member", "brief", "root").repartition("tile").sortWithinPartitions("tile", "root")
     return sorted_leaves.mapInArrow(compare, "member binary, root binary")
 
 

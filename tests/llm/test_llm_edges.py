@@ -143,6 +143,31 @@ def test_ngram_join_splits_large_groups(spark):
         assert [got[i].class_id for i, _ in rows] == [rows[r][0] for r in root]
 
 
+def test_ngram_join_splits_a_group_of_near_copies_in_the_first_wave_only(spark, monkeypatch):
+    """Other texts that share a passage with the group do not send it down the trees again, and find their own links."""
+    passage = [f"w{i}" for i in range(100)]
+    group = [(i, " ".join(passage[:i % 90] + [f"x{i}"] + passage[i % 90 + 1:])) for i in range(90)]
+    others = [(1000 + i, " ".join(passage[i:i + 40] + [f"y{i // 2}z{j}" for j in range(60)] + [f"e{i}"])) for i in range(12)]
+    rows = group + others
+    from brute import links
+
+    made, split = [], ngram_join._split
+
+    def counted(members, similarity, runs=None):
+        made.append([runs, 0])
+        out = split(members, similarity, runs)
+        made[-1][1] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "_split", counted)
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), small=30, tile=16)
+    n, root = links([t for _, t in rows])
+    got = {r.doc_id: r for r in found.collect()}
+    assert [got[i].n_links for i, _ in rows] == n and [got[i].class_id for i, _ in rows] == [rows[r][0] for r in root]
+    starts = [i for i, (runs, _) in enumerate(made) if runs]
+    assert len(starts) == 2 and sum(k for _, k in made[1:starts[1]]) > 0 and sum(k for _, k in made[starts[1] + 1:]) == 0
+
+
 def test_pii(odd, none):
     got = pii.find(odd)
     spans = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in got.collect() if r.doc_id}

@@ -156,8 +156,7 @@ def u02(t: Tables):
     def client():
         return lambda question: chr(123) + '"status": "' + ("warning" if "规则未确定原因" in question else "normal") + '"' + chr(125)
 
-    matched = _matched(t)
-    answers = judge.ask_model(judge.roll_up(matched), judge.question_text(matched), client)
+    answers = judge.ask_model(None, judge.question_text(_matched(t)), client)
     read = judge.read_answers(answers)
     return read.groupBy("request_id", "model_status", "model_review").agg(F.count(F.lit(1)).alias("devices"))
 

@@ -191,3 +191,18 @@ def test_batches_open_stores_in_proportion_to_rows(spark, monkeypatch):
     busy = many.withColumn("stream_id", F.lit(1))
     assert 90 <= len(live._batches(busy, 4000, 100, None)[1]) <= 99
     assert len(live._batches(many, 4000, 100, 1000)[1]) == 3
+
+
+def test_routes_of_many_streams_equal_those_row_by_row():
+    """Epochs, short streams, ties and missing names: the fold of whole streams gives what the step gives."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    for interval, window in ((1, 5), (3, 4), (15, 5), (2, 1)):
+        parts = [pd.DataFrame({"stream_id": i, "epoch": np.sort(rng.integers(0, 3, k)), "frame_idx": np.arange(k),
+                               "class_name": rng.choice(np.array(["a", "b", "c", None], object), k), "confidence": rng.random(k)}) for i, k in enumerate((1, 2, 40, 97, 5))]
+        router = live._Routed(interval, window)
+        want = pd.concat([router.fold(p, None)[0] for p in parts], ignore_index=True)
+        got = router.many(pd.concat(parts, ignore_index=True), np.cumsum([0, 1, 2, 40, 97]))
+        pd.testing.assert_frame_equal(got.astype(object), want.astype(object))

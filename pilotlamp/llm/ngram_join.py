@@ -5,11 +5,12 @@ Members are split recursively on sampled shared tokens of their min-hash embeddi
 token ``(place, value)`` whose hash with the node falls under ``1 / (similarity * places)``, so that members with a
 shared token can follow it together. Buckets of at most ``SMALL`` members are compared at once, larger ones are split
 again, and those that stay large at the last depth are compared in tiles. Independent runs are added until the recall at
-the threshold reaches its target, in two waves: what the first finds joins members to components, and the second drops buckets that lie
-in one component, for those could only give links inside a candidate group that is checked pair by pair anyway. A bucket of which all
-but ``SMALL`` members lie in one component is not split either: the others meet its members, who do not meet each other. So a large group
-of near copies is split in the first wave, not in every run. Members whose sketches look alike form candidate groups; inside those every pair is
-checked exactly on whole shingle sets, in tiles of bounded size, and links are counted in the tile.
+the threshold reaches its target, in two waves. Components of members known to be alike come from the first wide buckets, whose members
+all meet about ``PIVOTS`` of them, and again from the whole first wave. Buckets that lie in one component are dropped, for those could only
+give links inside a candidate group that is checked pair by pair anyway. Where at least half of a large bucket, or all but ``SMALL`` of it, lies in one component,
+the others meet its members, who do not meet each other, and only the others are split again. The sketches compared there are at most about
+as many as the component has pairs, which are checked anyway. So a wide group of near copies is hardly split at all, a large one in the first wave. Members whose sketches look
+alike form candidate groups; inside those every pair is checked exactly on whole shingle sets, in tiles of bounded size, and links are counted in the tile.
 
 Null texts and texts without words have no shingles: they link to nothing, and each is a class of its own. Fewer words than a
 shingle give one shingle of all words. Repeated rows are copies: they share a class and count as links. Classes and copies are
@@ -37,6 +38,8 @@ SHINGLE, SIMILARITY, RECALL = 5, 0.8, 0.999
 PLACES = 64  # of the embedding
 DEPTH, SMALL = 4, 100
 WAVE = 3  # runs of the first wave; the second has the others
+PIVOTS = 16  # of a wide bucket, on average
+WIDE = 10 * PIVOTS  # members of one; below that pivots spare little
 LOOSE = 0.15  # what an estimate may lack, three deviations
 TILE, TILE_SHINGLES = 1024, 1_500_000  # members and shingles in one side of a tile
 BROADCAST_ROWS = 500_000  # ids of 16 bytes
@@ -154,21 +157,27 @@ def _candidates(members: DataFrame, similarity: float, recall: float, small: int
     for runs in (range(WAVE), range(WAVE, max(runs_for(recall), WAVE + 1))):
         known = members.select("member", "sketch", F.lit(None).cast("binary").alias("root"))
         if found is not None:
-            groups = found.unionByName(found.select(F.col("root").alias("member"), "root").distinct())
-            known = members.select("member", "sketch").join(groups, "member", "left")
+            known = members.select("member", "sketch").join(_roots(found), "member", "left")
         nodes = durable(_split(known, similarity, runs))
         for level in range(1, DEPTH + 1):
             in_one = (F.count("root") == F.count("*")) & (F.min("root") == F.max("root"))
             sizes = nodes.groupBy("bucket").agg(F.count("*").alias("n"), F.coalesce(in_one, F.lit(False)).alias("in_one")).where("n > 1 AND NOT in_one").drop("in_one")
             shared = durable(nodes.join(sizes, "bucket"))
             last = level == DEPTH
-            large = shared.where(F.col("n") > small)
-            leaf = shared if last else shared.where(F.col("n") <= small)
+            large, leaf = shared.where(F.col("n") > small), shared.where(F.col("n") <= small)
+            wide = large.where(F.col("n") > WIDE)
+            if found is None and not wide.isEmpty():
+                found = components(_alike(_dealt_pivots(wide.join(brief, "member"), tile), similarity))
+                large = durable(large.drop("root").join(_roots(found), "member", "left"))
+                stars.append(found)
             if found is not None:
                 main = durable(_main_roots(large, small))
-                around = shared.join(main, "bucket")
-                large, leaf = large.join(main, "bucket", "left_anti"), leaf.join(main, "bucket", "left_anti")
+                around = large.join(main, "bucket")
                 stars.append(durable(_alike(_dealt_around(around.join(brief, "member"), tile), similarity)))
+                rest = around.where(~F.col("root").eqNullSafe(F.col("main"))).withColumn("n", F.col("n") - F.col("part")).where("n > 1")
+                large = durable(large.join(main, "bucket", "left_anti").unionByName(rest.select(*large.columns)))
+            leaf = leaf.unionByName(large if last else large.where(F.col("n") <= small))
+            large = large.where(F.col("n") > small)
             leaf = _tiled(leaf.join(brief, "member"), "bucket", F.ceil(F.col("n") / tile))
             stars.append(durable(_alike(leaf, similarity)))
             if last or large.isEmpty():
@@ -179,21 +188,41 @@ def _candidates(members: DataFrame, similarity: float, recall: float, small: int
     return found
 
 
+def _roots(found: DataFrame) -> DataFrame:
+    """Stars with a row for each root itself."""
+    return found.unionByName(found.select(F.col("root").alias("member"), "root").distinct())
+
+
 def _main_roots(large: DataFrame, small: int) -> DataFrame:
-    """``bucket, main``: the component that all but at most ``small`` members of a bucket lie in."""
+    """``bucket, main, part``: the component that at least half of a bucket's members, or all but ``small``, lie in, and how many do."""
     parts = large.where("root IS NOT NULL").groupBy("bucket", "n", "root").agg(F.count("*").alias("part"))
     most = parts.groupBy("bucket", "n").agg(F.max(F.struct("part", "root")).alias("most"))
-    return most.where(F.col("n") - F.col("most.part") <= small).select("bucket", F.col("most.root").alias("main"))
+    return most.where(F.col("n") - F.col("most.part") <= F.greatest("most.part", F.lit(small))).select("bucket", F.col("most.root").alias("main"), "most.part")
 
 
-def _dealt_around(rows: DataFrame, tile: int) -> DataFrame:
-    """Tiles of buckets with a main component: its members are dealt over them, the few others are in each."""
+_APART = b""  # a root of members that are not to meet each other
+
+
+def _dealt_pivots(rows: DataFrame, tile: int) -> DataFrame:
+    """Tiles of buckets: about ``PIVOTS`` members, chosen by hash, are in each, the others are dealt over them and meet only those."""
     blocks = F.ceil(F.col("n") / tile)
-    own = F.when(F.col("root").eqNullSafe(F.col("main")), F.array(F.pmod(F.xxhash64("member"), blocks)))
-    dealt = rows.withColumn("_block", F.explode(F.coalesce(own, F.sequence(F.lit(0).cast("long"), blocks - 1))))
+    pivot = F.pmod(F.xxhash64("bucket", "member"), F.col("n")) < PIVOTS
+    own = F.when(pivot, F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("member"), blocks)))
+    dealt = rows.withColumn("root", F.when(~pivot, F.lit(_APART))).withColumn("_block", F.explode(own))
     return dealt.withColumn("tile", F.xxhash64("bucket", "_block")).withColumn("side", F.lit(0)).drop("_block")
 
 
+def _dealt_around(rows: DataFrame, tile: int) -> DataFrame:
+    """Tiles of buckets with a main component: each block of its members meets each block of the others."""
+    is_main = F.col("root").eqNullSafe(F.col("main"))
+    of_main, of_rest = F.ceil(F.col("part") / tile), F.ceil((F.col("n") - F.col("part")) / tile)
+    own = F.pmod(F.xxhash64("member"), F.when(is_main, of_main).otherwise(of_rest))
+    met = F.sequence(F.lit(0).cast("long"), F.when(is_main, of_rest).otherwise(of_main) - 1)
+    dealt = rows.where("n > part").withColumn("_own", own).withColumn("_met", F.explode(met))
+    tile_id = F.xxhash64("bucket", F.when(is_main, F.col("_own")).otherwise(F.col("_met")), F.when(is_main, F.col("_met")).otherwise(F.col("_own")))
+    return dealt.withColumn("tile", tile_id).withColumn("side", F.lit(0)).withColumn("root", F.when(is_main, F.col("root")).otherwise(F.lit(_APART))).drop("_own", "_met")
+
+
 def _labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Least node of each node's component."""
     label = np.arange(n)

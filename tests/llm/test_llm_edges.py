@@ -168,6 +168,30 @@ def test_ngram_join_splits_a_group_of_near_copies_in_the_first_wave_only(spark,
     assert len(starts) == 2 and sum(k for _, k in made[1:starts[1]]) > 0 and sum(k for _, k in made[starts[1] + 1:]) == 0
 
 
+def test_ngram_join_does_not_split_a_wide_group_of_near_copies(spark, monkeypatch):
+    """Few members that all others meet tell the group apart; texts that only share a passage with it go on alone and find their links."""
+    passage = [f"w{i}" for i in range(100)]
+    group = [(i, " ".join(passage[:i % 90] + [f"x{i}"] + passage[i % 90 + 1:])) for i in range(240)]
+    others = [(1000 + i, " ".join(passage[i:i + 40] + [f"y{i // 2}z{j}" for j in range(60)] + [f"e{i}"])) for i in range(50)]
+    rows = group + others
+    from brute import links
+
+    made, split = [], ngram_join._split
+
+    def counted(members, similarity, runs=None):
+        out = split(members, similarity, runs)
+        if not runs:
+            made.append(out.select("member").distinct().count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_split", counted)
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), small=30, tile=64)
+    n, root = links([t for _, t in rows])
+    got = {r.doc_id: r for r in found.collect()}
+    assert [got[i].n_links for i, _ in rows] == n and [got[i].class_id for i, _ in rows] == [rows[r][0] for r in root]
+    assert max(made, default=0) <= len(others)  # at every level, the others at most
+
+
 def test_pii(odd, none):
     got = pii.find(odd)
     spans = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in got.collect() if r.doc_id}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -150,25 +151,37 @@ def with_manual_text(entries: DataFrame) -> DataFrame:
 
 WEIGHTS = {"near": (8, 30), "place": (4, 12), "equal": (100, 100), "label": (75, 75), "module": (38, 38), "interface": (32, 32)}  # a hit, at most
 
+HITS = 1_000_000  # of one partition, on average
+
 
 def evidence_hits(asked: DataFrame, entries: DataFrame) -> DataFrame:
     """``e_id, class_id`` of every piece of evidence and entry of its device that have something in common, with their score.
 
     Tokens meet in posting lists by (device, token); texts inside a manual text are found by their rarest piece. Each hit adds its weight.
+    Hits are laid out by evidence before they are counted, in partitions whose number grows with them, so that no task holds more as tables grow.
     """
     tokens = {"near": F.col("e_nearby"), "place": F.col("e_place"), "equal": F.filter(F.array("e_label"), lambda x: x != "")}
     wanted = [asked.select("device", "e_id", F.lit(kind).alias("kind"), F.explode(F.array_distinct(c)).alias("token")) for kind, c in tokens.items()]
     postings = entries.select("device", "class_id", F.explode(F.array_distinct("manual_tokens")).alias("token"))
-    by_token = reduce(DataFrame.unionByName, wanted).join(postings, ["device", "token"]).select("e_id", "class_id", "kind")
+    wanted = reduce(DataFrame.unionByName, wanted)
+    by_token = wanted.join(postings, ["device", "token"]).select("e_id", "class_id", "kind")
 
     texts = {"label": F.when(F.length("e_label") >= 3, F.col("e_label")), "module": F.col("e_module"), "interface": F.col("e_interface")}
     inner = durable(reduce(DataFrame.unionByName, [
         asked.select("device", "e_id", F.lit(kind).alias("kind"), c.alias("key")).filter("key != ''") for kind, c in texts.items()]))
     bodies = entries.select("device", "class_id", F.col("manual_text").alias("key"))
-    pairs = matching._inside(matching._keys(inner, "key", ["device"]), matching._keys(bodies, "key", ["device"]), ["device"])
+    pairs = durable(matching._inside(matching._keys(inner, "key", ["device"]), matching._keys(bodies, "key", ["device"]), ["device"]))
     by_text = pairs.join(inner, ["device", "key"]).join(bodies.withColumnRenamed("key", "stack"), ["device", "stack"]).select("e_id", "class_id", "kind")
 
-    counts = by_token.unionByName(by_text).groupBy("e_id", "class_id").agg(*[F.count_if(F.col("kind") == kind).alias(kind) for kind in WEIGHTS])
+    def sizes(rows: DataFrame, *on: str) -> DataFrame:
+        return rows.groupBy("device", *on).agg(F.count("*").alias("_" + on[0]))
+
+    stacks = bodies.withColumnRenamed("key", "stack")
+    of_token = sizes(wanted, "token").join(sizes(postings, "token").withColumnRenamed("_token", "_n"), ["device", "token"]).select((F.col("_token") * F.col("_n")).alias("n"))
+    of_text = pairs.join(sizes(inner, "key"), ["device", "key"]).join(sizes(stacks, "stack"), ["device", "stack"]).select((F.col("_key") * F.col("_stack")).alias("n"))
+    n = of_token.unionByName(of_text).agg(F.sum("n")).first()[0] or 0
+    parts = max(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(n / HITS))
+    counts = by_token.unionByName(by_text).repartition(parts, "e_id").groupBy("e_id", "class_id").agg(*[F.count_if(F.col("kind") == kind).alias(kind) for kind in WEIGHTS])
     points = {kind: F.least(F.col(kind) * each, F.lit(most)) for kind, (each, most) in WEIGHTS.items()}
     label = F.greatest(points.pop("equal"), points.pop("label"))
     return counts.select("e_id", "class_id", reduce(lambda x, y: x + y, points.values(), label).cast("int").alias("score"))

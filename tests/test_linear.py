@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pilotlamp import vocab
 from pilotlamp.functions import arrays, text
 from pilotlamp.operators import boxes as B
+from pilotlamp.operators import catalog as C
 from pilotlamp.operators import corpus as D
 from pilotlamp.operators import rules as R
 from pilotlamp.operators import splits as S
@@ -223,3 +224,15 @@ def test_inventory_partitions_are_not_merged_by_size(spark):
 def test_requests_are_read_and_matched_once(spark):
     made = QUERIES["e2_judged_requests"].build(Tables(spark, "/root/testdata/sf0.001"))
     assert "posexplode" not in made._jdf.queryExecution().optimizedPlan().toString()  # stored, not computed by every reader
+
+
+def test_hits_of_evidence_are_counted_in_partitions_of_bounded_size(spark, monkeypatch):
+    kind = "device string, e_id long, e_nearby array<string>, e_place array<string>, e_label string, e_module string, e_interface string"
+    asked = spark.createDataFrame([("d", i, ["ALM", f"N{i % 10}"], [], "ALM", "M1", f"N{i % 10}") for i in range(200)], kind)
+    entries = spark.createDataFrame([("d", c, f"ALMN{c}M1", ["ALM", f"N{c}"]) for c in range(10)],
+                                    "device string, class_id int, manual_text string, manual_tokens array<string>")
+    monkeypatch.setattr(C, "HITS", 400, raising=False)
+    found = C.evidence_hits(asked, entries).withColumn("part", F.spark_partition_id()).collect()
+    assert {(r.e_id, r.class_id): r.score for r in found} == {(i, c): 100 + 8 + 38 + (8 + 32) * (c == i % 10) for i in range(200) for c in range(10)}
+    sizes = [sum(r.part == p for r in found) for p in {r.part for r in found}]
+    assert len(found) == 2000 and max(sizes) <= 400  # of 8 400 hits; 4 shuffle partitions

@@ -206,3 +206,73 @@ def test_routes_of_many_streams_equal_those_row_by_row():
         want = pd.concat([router.fold(p, None)[0] for p in parts], ignore_index=True)
         got = router.many(pd.concat(parts, ignore_index=True), np.cumsum([0, 1, 2, 40, 97]))
         pd.testing.assert_frame_equal(got.astype(object), want.astype(object))
+
+
+def test_lanes_of_streams_equal_streams_one_by_one():
+    """A key of many streams: one call and one trip to the store a batch; epochs that go on, start or come late, as one stream at a time gives them."""
+    import json
+
+    import numpy as np
+    import pandas as pd
+
+    class Store:
+        body, trips = None, 0
+
+        def exists(self):
+            return self.body is not None
+
+        def get(self):
+            return self.body
+
+        def update(self, body):
+            self.body, self.trips = body, self.trips + 1
+
+    rng = np.random.default_rng(5)
+    for make in (lambda: live._Routed(3, 4), lambda: live._Routed(1, 5), lambda: live._Stable(4, 0.3, 0.75, 0.8, 0.0)):
+        lane, store, saved = make(), Store(), {}
+        lane.lanes, lane.state = True, store
+        for batch in range(4):
+            k = 200
+            rows = pd.DataFrame({"lane": 0, "stream_id": rng.integers(0, 40, k), "epoch": rng.integers(max(0, batch - 2), batch + 1, k), "frame_idx": np.arange(k) + batch * k,
+                                 "ts": pd.Timestamp(0), "class_name": rng.choice(np.array(["a", "b", "c", None], object), k), "confidence": np.where(rng.random(k) < 0.1, np.nan, rng.random(k))})
+            want = []
+            for stream, part in rows.sort_values(["stream_id", "epoch", "frame_idx"]).groupby("stream_id"):
+                made, saved[str(stream)] = make().fold(part, saved.get(str(stream)))
+                want.append(made)
+            got, = lane.handleInputRows((0,), iter([rows[:70], rows[70:]]), None)
+            pd.testing.assert_frame_equal(got.astype(object).where(got.notna(), None), (w := pd.concat(want, ignore_index=True)).astype(object).where(w.notna(), None))
+            assert store.trips == batch + 1 and (batch < 2 or got["late"].max() > 0)
+        left = {s: json.loads(b) for s, b in json.loads(store.body[0]).items()}
+        assert str(left) == str({s: {c: json.loads(saved[s])[c] for c in b} for s, b in left.items()}) and set(left) == set(saved)
+    lane, store = live._Routed(15, 5), Store()
+    lane.lanes, lane.state = True, store
+    out, = lane.handleInputRows((-1,), iter([rows.assign(lane=-1, stream_id=0)]), None)
+    assert out["stream_id"].isna().all() and len(out) + out["late"].max() == 200
+
+
+def test_recorded_streams_share_lanes(spark, monkeypatch):
+    """Three thousand streams come as a few lanes, in several batches, with what a fold of each stream gives; rows without a stream are one."""
+    monkeypatch.setattr(live, "STATE_ROWS", 1000)
+    seen = []
+    rows_ = spark.range(9000).select(F.when(F.col("id") % 3000 != 7, F.col("id") % 3000).alias("stream_id"), F.col("id").alias("frame_idx"), F.lit("2024-01-01").cast("timestamp").alias("ts"),
+                                     F.when(F.col("id") % 11 != 0, F.concat(F.lit("c"), (F.col("id") * 7 % 5).cast("string"))).alias("class_name"), (F.col("id") % 10 / 10).alias("confidence"))
+
+    def vote(s):
+        seen.append(s.columns)
+        return live.routed_devices(s, 2, 5)
+
+    cols = ["stream_id", "frame_idx", "position", "voted", "device", "device_confidence"]
+    flat = lambda df: rows(df.fillna(-1, ["stream_id"]).fillna("", ["voted", "device"]), *cols)
+    got = live.stream_recorded(rows_, vote, 2500)
+    assert flat(got) == flat(live.replay(rows_, lambda s: live.routed_devices(s, 2, 5)))
+    assert "lane" in seen[0] and "lane" not in got.columns
+    assert live._with_lanes(rows_, 4, 3000).select("lane").distinct().count() <= 4 * live.LANES + 1
+    assert live._with_lanes(rows_, 4, 300_000).agg(F.max("lane")).first()[0] >= 300_000 // live.LANE_STREAMS - 2
+
+
+def test_a_busy_stream_does_not_cut_batches_further_than_it_must(spark, monkeypatch):
+    """A stream of a tenth of the rows halves the batches a few times; they are not all cut to the least size."""
+    monkeypatch.setattr(live, "CHUNK_ROWS", 40)
+    monkeypatch.setattr(live, "STATE_ROWS", 10)
+    some = spark.range(8000).select(F.when(F.col("id") % 10 == 0, -1).otherwise(F.col("id") % 1000).alias("stream_id"), F.col("id").alias("frame_idx"))
+    assert 15 <= len(live._batches(some, 8000, 100, None)[1]) <= 40

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from pilotlamp import vocab
@@ -236,3 +237,52 @@ def test_hits_of_evidence_are_counted_in_partitions_of_bounded_size(spark, monke
     assert {(r.e_id, r.class_id): r.score for r in found} == {(i, c): 100 + 8 + 38 + (8 + 32) * (c == i % 10) for i in range(200) for c in range(10)}
     sizes = [sum(r.part == p for r in found) for p in {r.part for r in found}]
     assert len(found) == 2000 and max(sizes) <= 400  # of 8 400 hits; 4 shuffle partitions
+
+
+def test_tracks_carry_columns_as_a_join_would(spark):
+    """Rows with their tracks took two more shuffles of all rows; repeated ids, missing and odd values are those of the join."""
+    kind = ("device string, track_group string, frame_pos long, ann_idx string, box_id string, x1 double, y1 double, x2 double, y2 double, width int, height int,"
+            " big long, n int, score double, f float, ok boolean, note string")
+    rng, rows = random.Random(8), []
+    for g in range(12):
+        for k in range((1, 5, 60, 600)[g % 4]):
+            x = float(rng.randrange(0, 200, 5))
+            rows.append(("d" if g != 2 else None, f"v{g}" if g != 5 else None, k // 3, str(k), rng.choice((f"{g}-{k}", f"{g}-{k // 2}", f"{g}-{k // 3}")) if k % 17 else None,
+                         x, 0.0, x + 20, 20.0, 1000, 700, rng.choice((None, 2**60 + k)), rng.choice((None, k)), rng.choice((None, float("nan"), -0.0, k / 3)),
+                         rng.choice((None, float("nan"), 0.5)), rng.choice((None, True, False)), rng.choice((None, "", "x"))))
+    boxes, carry = spark.createDataFrame(rows, kind), ["big", "n", "score", "f", "ok", "note"]
+    keys = ["device", "track_group", "box_id"]
+    shown = lambda df: sorted(map(str, df.select(*keys, "track", *carry).collect()))
+    want = shown(boxes.select(*keys, *carry).join(B.track_boxes(boxes), keys))
+    assert len(want) > sum(None not in (r[0], r[1], r[4]) for r in rows) < len(rows)  # repeated ids give pairs
+    got = B.track_boxes(boxes, carry=carry)
+    assert shown(got) == want and dict(got.dtypes) == {c: dict([*boxes.dtypes, ("track", "string")])[c] for c in got.columns}
+    one = B.track_boxes(boxes.withColumn("device", F.lit("d")), carry=carry)._jdf.queryExecution().executedPlan().toString()
+    assert one.count("Exchange") == 1 and "Join" not in one  # a constant key made the window shuffle again
+    chunked = B.track_boxes(boxes, 500, carry=carry)
+    assert shown(chunked) == shown(boxes.select(*keys, *carry).join(B.track_boxes(boxes, 500), keys))
+    with pytest.raises(ValueError, match="does not go through pandas"):
+        B.track_boxes(boxes.withColumn("when", F.current_date()), carry=["when"])
+
+
+def test_track_input_is_read_once_by_the_fold(spark, tmp_path):
+    """Boxes met their tracks in a second pass over lines and orders; texts were made before the lines were shuffled."""
+    from pilotlamp.plans import annotation as P
+
+    spark.createDataFrame([(i, i % 3) for i in range(30)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(i % 30, i % 7 + 1, i * 3 % 50, i % 5, 10.25 + i % 2, float(i % 9)) for i in [*range(200), 5, 5]],
+                          "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    t = Tables(spark, str(tmp_path))
+    rows = P._track_input(t)
+    old = rows.withColumn("ann_order", F.struct("image", F.col("line").alias("ann_idx"), "box_id")).join(B.track_boxes(rows), ["device", "track_group", "box_id"])
+    flat = lambda df: sorted(map(str, B.track_classes(df).collect()))
+    new = P._tracked(t)
+    assert flat(new) == flat(old) and new.count() == old.count() > 202
+    plan = new._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet [l_orderkey") == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = P._track_input(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "concat_ws" in joined[:joined.index("SortMergeJoin")] and "concat_ws" not in joined[joined.index("SortMergeJoin"):]

@@ -273,7 +273,7 @@ def test_track_input_is_read_once_by_the_fold(spark, tmp_path):
     spark.createDataFrame([(i % 30, i % 7 + 1, i * 3 % 50, i % 5, 10.25 + i % 2, float(i % 9)) for i in [*range(200), 5, 5]],
                           "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
     t = Tables(spark, str(tmp_path))
-    rows = P._track_input(t)
+    rows = P._track_input(t)[0]
     old = rows.withColumn("ann_order", F.struct("image", F.col("line").alias("ann_idx"), "box_id")).join(B.track_boxes(rows), ["device", "track_group", "box_id"])
     flat = lambda df: sorted(map(str, B.track_classes(df).collect()))
     new = P._tracked(t)
@@ -282,7 +282,9 @@ def test_track_input_is_read_once_by_the_fold(spark, tmp_path):
     assert plan.count("FileScan parquet [l_orderkey") == 1
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = P._track_input(t)._jdf.queryExecution().executedPlan().toString()
+        joined = P._tracked(t)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "concat_ws" in joined[:joined.index("SortMergeJoin")] and "concat_ws" not in joined[joined.index("SortMergeJoin"):]
+    at = joined.index("REPARTITION_BY_NUM")  # texts are made above it, the join is below it
+    assert "concat_ws" in joined[:at] and "concat_ws" not in joined[at:] and joined.index("SortMergeJoin") > at
+    assert joined.count("Exchange") == 3 and joined[:at].count("Exchange") == 1
